@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import doubling, topk, warc
 from . import line_dedup as _lines
-from . import topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = doubling.substring_dedup(_table(spark, sf_dir, "documents"), 13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.round_trip(_table(spark, sf_dir, "pages"))
     checked = F.when(F.col("error").isNull(), F.col("payload_bytes")).otherwise(F.raise_error(F.concat(F.lit("WARC record "), "record_id", F.lit(": "), "error")).cast("long"))
@@ -31,6 +36,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op4_exact_top_k": op4_exact_top_k,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_warc": op10_warc,
 }
 
@@ -46,11 +52,19 @@ k AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS text, count(*
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, coalesce(len(d.ls), 0)::BIGINT AS n_lines, (coalesce(len(d.ls), 0) - coalesce(k.n, 0))::BIGINT AS n_removed
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
     "op4_exact_top_k": """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op8_substring_dedup": """
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM d)),
+f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM w),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM f WHERE doc_id > first),
+l AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM d),
+k AS (SELECT l.doc_id, string_agg(l.word, ' ' ORDER BY l.i) AS s, count(*) AS n FROM l LEFT JOIN g ON l.doc_id = g.doc_id AND l.i = g.i WHERE g.i IS NULL GROUP BY l.doc_id)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, (len(d.ws) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.s, '')) AS kept_sha256 FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
     "op10_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, ''))::BIGINT AS n FROM pages),
 m AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last FROM p)
