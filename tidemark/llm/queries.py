@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import doubling, topk, warc
+from . import decontaminate, doubling, topk, toxicity, warc
 from . import line_dedup as _lines
+from .common import fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,11 +23,22 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = toxicity.fit(docs, _table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+    out = toxicity.score(docs, index)
+    return out.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted", "evidence")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = doubling.substring_dedup(_table(spark, sf_dir, "documents"), 13)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.round_trip(_table(spark, sf_dir, "pages"))
     checked = F.when(F.col("error").isNull(), F.col("payload_bytes")).otherwise(F.raise_error(F.concat(F.lit("WARC record "), "record_id", F.lit(": "), "error")).cast("long"))
@@ -36,7 +48,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op4_exact_top_k": op4_exact_top_k,
+    "op6_toxicity": op6_toxicity,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
 }
 

@@ -127,3 +127,32 @@ def row_windows(rows: np.ndarray, length: int) -> np.ndarray:
     if not counts.sum():
         return np.zeros(0, np.int64)
     return np.repeat(rows[:-1] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+
+
+_PUNCT = np.zeros(256, bool)
+_PUNCT[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+
+
+def bare_words(array: pa.Array) -> Words:
+    """Lower-cased words without ASCII punctuation at their ends; words of punctuation only are left out."""
+    w = words(array, lower=True)
+    starts, ends, data = w.starts.copy(), w.ends.copy(), w.data
+    live = np.arange(len(starts))
+    while len(live):
+        live = live[(starts[live] < ends[live]) & _PUNCT[data[np.minimum(starts[live], len(data) - 1)]]]
+        starts[live] += 1
+    live = np.arange(len(starts))
+    while len(live):
+        live = live[(ends[live] > starts[live]) & _PUNCT[data[ends[live] - 1]]]
+        ends[live] -= 1
+    keep = ends > starts
+    rows = np.concatenate([[0], np.cumsum(keep)])[w.rows]
+    starts, ends = starts[keep], ends[keep]
+    return Words(data, w.offsets, starts, ends, rows, hash_spans(data, starts, ends))
+
+
+def map_rows(batch: pa.RecordBatch, fields: list[pa.Field], columns: list[pa.Array]) -> pa.RecordBatch:
+    """The batch with columns replaced or added by name."""
+    names = {f.name for f in fields}
+    kept = [i for i, f in enumerate(batch.schema) if f.name not in names]
+    return pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *columns], schema=pa.schema([*(batch.schema.field(i) for i in kept), *fields]))
