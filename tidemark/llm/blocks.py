@@ -22,7 +22,7 @@ from .common import slices, text_bytes
 from .words import U, mix
 
 #: Text bytes of a piece, and text bytes for which one bucket is added.
-PIECE, BUCKET = 8 << 20, 12 << 20
+PIECE, BUCKET = 4 << 20, 8 << 20
 ASK = "bucket int, piece_id long, level int, payload binary"
 ANSWER = "piece_id long, level int, bucket int, bits binary"
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import blocks
 from .common import checkpoint
-from .words import U, Words, mix, row_windows, windows, words
+from .words import U, Words, mix, row_windows, windows, words_in_slices
 
 FIRST = 5  # no level is shorter
 _NO_ID = np.iinfo(np.int64).max
@@ -48,7 +48,7 @@ class _Piece:
         table = blocks.opened(payload)
         self.ids = table["doc_id"].combine_chunks()
         self.doc = self.ids.fill_null(_NO_ID).to_numpy(zero_copy_only=False)
-        self.w: Words = words(table["text"])
+        self.w: Words = words_in_slices(table["text"].combine_chunks())
         self.levels, self.buckets = levels, buckets
         self.of_word = self.doc[self.w.row]
         self.at = row_windows(self.w.rows, levels[min(1, len(levels) - 1)])

@@ -103,6 +103,21 @@ def words(array: pa.Array, lower: bool = False) -> Words:
     return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets), hash_spans(data, starts, ends))
 
 
+def words_in_slices(array: pa.Array, limit: int = 1 << 20) -> Words:
+    """As ``words``, hashing about ``limit`` bytes at a time: bounded scratch memory for large arrays."""
+    data, offsets = buffers(array)
+    parts, at = [], 0
+    while at < len(offsets) - 1:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
+        w = words(array.slice(at, to - at))
+        parts.append((w.starts + offsets[at], w.ends + offsets[at], np.diff(w.rows), w.hashes))
+        at = to
+    if not parts:
+        return words(array)
+    starts, ends, counts, hashes = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return Words(data, offsets, starts, ends, np.concatenate([[0], np.cumsum(counts)]), hashes)
+
+
 def windows(hashes: np.ndarray, length: int) -> np.ndarray:
     """Order-sensitive hash of each run of ``length`` hashes, by doubling; len - length + 1 values."""
     n = len(hashes) - length + 1
