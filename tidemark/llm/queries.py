@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, doubling, topk, toxicity, warc
+from . import decontaminate, doubling, pieces_bpe, topk, toxicity, warc
 from . import line_dedup as _lines
 from .common import fold
 
@@ -19,6 +19,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines.line_dedup(docs).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = pieces_bpe.decode(pieces_bpe.encode(docs))
+    return back.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids", F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
@@ -47,6 +53,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_piece_codec": op3_piece_codec,
     "op4_exact_top_k": op4_exact_top_k,
     "op6_toxicity": op6_toxicity,
     "op8_substring_dedup": op8_substring_dedup,
