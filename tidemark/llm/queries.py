@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, doubling, pieces_bpe, topk, toxicity, warc
+from . import crf, decontaminate, doubling, lm, pieces_bpe, topk, toxicity, warc
 from . import line_dedup as _lines
 from .common import fold
 
@@ -14,6 +14,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = crf.fit(docs.select("doc_id", "text", "lang"), fold("doc_id", 4) != 2)
+    out = crf.label(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "runs")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return _lines.line_dedup(docs).select("doc_id", "text", "n_lines", "n_removed")
@@ -29,6 +36,11 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lm.score(_table(spark, sf_dir, "documents"), fold("doc_id", 5) != 1)
+    return out.select("doc_id", (fold("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     index = toxicity.fit(docs, _table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
@@ -52,9 +64,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language": op1_language,
     "op2_line_dedup": op2_line_dedup,
     "op3_piece_codec": op3_piece_codec,
     "op4_exact_top_k": op4_exact_top_k,
+    "op5_lm_score": op5_lm_score,
     "op6_toxicity": op6_toxicity,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
