@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crf, decontaminate, doubling, lm, pieces_bpe, topk, toxicity, warc
+from . import bagminhash, crf, decontaminate, doubling, lm, pieces_bpe, topk, toxicity, warc
 from . import line_dedup as _lines
 from .common import fold
 
@@ -48,6 +48,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted", "evidence")
 
 
+def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = doubling.substring_dedup(_table(spark, sf_dir, "documents"), 13)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -70,6 +74,7 @@ QUERIES = {
     "op4_exact_top_k": op4_exact_top_k,
     "op5_lm_score": op5_lm_score,
     "op6_toxicity": op6_toxicity,
+    "op7_bagminhash": op7_bagminhash,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
