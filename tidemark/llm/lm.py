@@ -12,7 +12,8 @@ broadcast; all others meet their documents in a join.
 
 Defined cases: a null text is an empty one, which has the end token only; without
 training documents every count is 0; repeated rows are scored each; other columns are
-ignored.
+ignored. ``docs`` must be a stable scan (files or a table), as rows are known by their
+place in it.
 """
 
 from __future__ import annotations
