@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import slices
-from .words import U, Words, hash_spans, map_rows, mix, words
+from .words import U, Words, map_rows, mix, words
 
 #: Sample bounds, words of a chain, rows of weights, training sweeps, their rate and share of switches assumed between words.
 PER_LANGUAGE, LANGUAGES, CHAIN, ROWS, SWEEPS, RATE, SWITCH = 300, 64, 64, 1 << 17, 25, 0.5, 0.02
@@ -41,7 +41,7 @@ def word_features(w: Words, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for n in (1, 2, 3):
         long = np.flatnonzero(size >= n)
         for tag, a in ((10 + n, starts[long]), (20 + n, ends[long] - n)):
-            keys.append(mix(hash_spans(w.data, a, a + n) + U(tag)))
+            keys.append(mix(w.spans(a, a + n) + U(tag)))
             owner.append(long)
     wide = w.data.astype(np.uint32)
     for n, tag in ((2, 1 << 26), (3, 1 << 27)):

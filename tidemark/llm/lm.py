@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpoint, slices
-from .words import U, hash_spans, mix, words
+from .words import U, mix, words
 
 #: Classes, rows of weights, tokens in a gradient step, its rate; and the bound on broadcast tokens: a token is frequent if count * FREQUENT >= all tokens.
 CLASSES, ROWS, STEP, RATE, FREQUENT = 32, 1 << 15, 4096, 0.3, 2_000_000
@@ -39,7 +39,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     w = words(texts, lower=True)
     n = len(w.rows) - 1
     tail = np.maximum(w.starts, w.ends - 2)
-    cls = (1 + mix(hash_spans(w.data, tail, w.ends)) % U(CLASSES - 1)).astype(np.int64)
+    cls = (1 + mix(w.spans(tail, w.ends)) % U(CLASSES - 1)).astype(np.int64)
     at = np.arange(len(w.hashes)) + w.row
     h, c = np.full(len(w.hashes) + n, _END), np.zeros(len(w.hashes) + n, np.int64)
     h[at], c[at] = w.hashes, cls

@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import slices
-from .words import U, Words, bare_words, hash_spans, map_rows, mix
+from .words import U, Words, bare_words, map_rows, mix
 
 #: Labelled examples of a class, vocabulary terms, least |z| of a term, neighbours, examples in a block, and the prior's weight.
-EXAMPLES, TERMS, LEAST_Z, NEIGHBOURS, BLOCK, PRIOR = 4000, 2048, 5.0, 15, 64, 1.0
+EXAMPLES, TERMS, LEAST_Z, NEIGHBOURS, BLOCK, PRIOR = 4000, 768, 6.0, 15, 64, 1.0
 _PREFIXES = (4, 6, 8)
 
 
@@ -39,7 +39,7 @@ def terms(w: Words) -> tuple[np.ndarray, np.ndarray]:
     rows.append(row)
     for k, n in enumerate(_PREFIXES):
         of = np.flatnonzero(w.ends - w.starts >= n)
-        keys.append(mix(hash_spans(w.data, w.starts[of], w.starts[of] + n) + U(k + 1)))
+        keys.append(mix(w.spans(w.starts[of], w.starts[of] + n) + U(k + 1)))
         rows.append(row[of])
     return np.concatenate(keys), np.concatenate(rows)
 
@@ -64,29 +64,47 @@ class Index:
     empty: float = 0.0
     knots: tuple = ((0.0,), (0.0,))
     bounds: np.ndarray = field(init=False)
+    blocks: np.ndarray = field(init=False)
 
     def __post_init__(self):
         by = np.lexsort((self.ids, self.matrix.argmax(1))) if len(self.ids) else np.zeros(0, int)
-        self.ids, self.labels, self.weights, self.matrix = self.ids[by], self.labels[by], self.weights[by], np.ascontiguousarray(self.matrix[by])
-        starts = np.arange(0, len(by), BLOCK)
-        self.bounds = np.maximum.reduceat(self.matrix, starts, axis=0) if len(by) else self.matrix
+        self.ids, self.labels, self.weights = self.ids[by], self.labels[by], self.weights[by]
+        n, v = -(-len(by) // BLOCK), self.matrix.shape[1]
+        full = np.zeros((n * BLOCK, v), np.float32)
+        full[: len(by)] = self.matrix[by]
+        self.blocks = np.ascontiguousarray(full.reshape(n, BLOCK, v).transpose(0, 2, 1))  # block, term, example
+        self.bounds = np.ascontiguousarray(self.blocks.max(2).T) if n else np.zeros((v, 0), np.float32)  # term, block
+        self.matrix = np.zeros((0, v))
         self.prior = float((self.weights * self.labels).sum() / self.weights.sum()) if len(by) else 0.0
 
+    def vector(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of an example."""
+        row = self.blocks[k // BLOCK, :, k % BLOCK]
+        term = np.flatnonzero(row)
+        return term, row[term]
+
     def nearest(self, term: np.ndarray, weight: np.ndarray, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the NEIGHBOURS nearest with a positive cosine; ``leave`` is left out."""
-        upper = self.bounds[:, term] @ weight
+        weight = weight.astype(np.float32)
+        upper = weight @ self.bounds[term]
         order = np.argsort(-upper, kind="stable")
-        best, sims = np.zeros(0, np.int64), np.zeros(0)
-        for block in order:
-            if upper[block] <= 1e-9 or (len(sims) == NEIGHBOURS and upper[block] < sims[-1] - 1e-9):
+        best, sims, at, step = np.zeros(0, np.int64), np.zeros(0, np.float32), 0, 4
+        lane = np.arange(BLOCK)
+        while at < len(order):
+            some = order[at : at + step]
+            some = some[upper[some] > (sims[-1] - 1e-6 if len(sims) == NEIGHBOURS else 1e-6)]
+            if not len(some):
                 break
-            of = np.arange(block * BLOCK, min((block + 1) * BLOCK, len(self.ids)))
-            got = self.matrix[of][:, term] @ weight
-            good = (got > 1e-9) & (of != leave)
-            best, sims = np.concatenate([best, of[good]]), np.concatenate([sims, got[good]])
-            top = np.lexsort((self.ids[best], -sims))[:NEIGHBOURS]
-            best, sims = best[top], sims[top]
-        return best, sims
+            got = np.einsum("btx,t->bx", self.blocks[some[:, None], term], weight).ravel()
+            good = np.flatnonzero(got >= (sims[-1] if len(sims) == NEIGHBOURS else np.float32(1e-6)))
+            if len(good):
+                of = (some[good // BLOCK] * BLOCK) + lane[good % BLOCK]
+                good, of = good[of != leave], of[of != leave]
+                best, sims = np.concatenate([best, of]), np.concatenate([sims, got[good]])
+                top = np.lexsort((self.ids[best], -sims))[:NEIGHBOURS]
+                best, sims = best[top], sims[top]
+            at, step = at + step, step * 2
+        return best, sims.astype(np.float64)
 
     def vote(self, best: np.ndarray, sims: np.ndarray) -> float:
         w = sims**2 * self.weights[best]
@@ -188,8 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Index:
     if len(found):
         votes = np.empty(len(found))
         for k in range(len(found)):
-            term = np.flatnonzero(index.matrix[k])
-            votes[k] = index.vote(*index.nearest(term, index.matrix[k][term], leave=k))
+            votes[k] = index.vote(*index.nearest(*index.vector(k), leave=k))
         index.knots = isotonic(votes, index.labels, index.weights)
     return index
 

@@ -37,10 +37,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x ^ (x >> U(33))
-    x = x * U(0xFF51AFD7ED558CCD)
-    x = x ^ (x >> U(33))
-    x = x * U(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> U(33))
+    x *= U(0xFF51AFD7ED558CCD)
+    x ^= x >> U(33)
+    x *= U(0xC4CEB9FE1A85EC53)
+    x ^= x >> U(33)
+    return x
 
 
 def buffers(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -65,21 +66,32 @@ class Words:
     ends: np.ndarray  # byte end of each word
     rows: np.ndarray  # word offsets of rows
     hashes: np.ndarray  # 64-bit hash of each word
+    spans: Spans | None = None  # of data
 
     @property
     def row(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.rows) - 1), np.diff(self.rows))
 
 
+class Spans:
+    """64-bit hashes of byte spans [start, end) of one buffer, equal for equal bytes; sums are made once."""
+
+    def __init__(self, data: np.ndarray):
+        power, self.inverse = powers(max(1, len(data)))
+        self.sums = np.empty(len(data) + 1, U)
+        self.sums[0] = 0
+        step = _TABLE[data]
+        step *= power[: len(data)]
+        np.cumsum(step, out=self.sums[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if not len(starts):
+            return np.zeros(0, U)
+        return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
+
+
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans [start, end), equal for equal bytes."""
-    if not len(starts):
-        return np.zeros(0, U)
-    power, inverse = powers(len(data))
-    sums = np.empty(len(data) + 1, U)
-    sums[0] = 0
-    np.cumsum(_TABLE[data] * power, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
+    return Spans(data)(starts, ends)
 
 
 def words(array: pa.Array, lower: bool = False) -> Words:
@@ -100,7 +112,8 @@ def words(array: pa.Array, lower: bool = False) -> Words:
         after[cuts - 1] = False
     starts = np.flatnonzero(inside & ~before)
     ends = np.flatnonzero(inside & ~after) + 1
-    return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets), hash_spans(data, starts, ends))
+    spans = Spans(data)
+    return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets), spans(starts, ends), spans)
 
 
 def words_in_slices(array: pa.Array, limit: int = 1 << 20) -> Words:
@@ -163,7 +176,7 @@ def bare_words(array: pa.Array) -> Words:
     keep = ends > starts
     rows = np.concatenate([[0], np.cumsum(keep)])[w.rows]
     starts, ends = starts[keep], ends[keep]
-    return Words(data, w.offsets, starts, ends, rows, hash_spans(data, starts, ends))
+    return Words(data, w.offsets, starts, ends, rows, w.spans(starts, ends), w.spans)
 
 
 def map_rows(batch: pa.RecordBatch, fields: list[pa.Field], columns: list[pa.Array]) -> pa.RecordBatch:
