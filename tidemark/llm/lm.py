@@ -3,7 +3,7 @@
 A token's probability is P(class | history) * P(token | class). The class softmax has
 hashed features: the word before, the two words before, and the word before that one
 alone (a skip). The softmax inside a class has the token's bias only, whose maximum-
-entropy solution is the smoothed count. Token counts cover every training document.
+entropy solution is the smoothed count; so have the classes' own biases. Token counts cover every training document.
 Weights are trained by gradient steps in every task over its own training documents,
 and the tasks' rows are averaged by how often each row was used.
 
@@ -29,7 +29,7 @@ from .common import checkpoint, slices
 from .words import U, mix, words
 
 #: Classes, rows of weights, tokens in a gradient step, its rate; and the bound on broadcast tokens: a token is frequent if count * FREQUENT >= all tokens.
-CLASSES, ROWS, STEP, RATE, FREQUENT = 32, 1 << 15, 4096, 0.3, 2_000_000
+CLASSES, ROWS, STEP, RATE, FREQUENT = 32, 1 << 15, 1024, 0.6, 2_000_000
 _END, _START = U(0x1F83D9ABFB41BD6B), U(0x5BE0CD19137E2179)
 _BLOCK = 512  # rows of weights in one shuffled row
 
@@ -73,8 +73,8 @@ def log_classes(weights: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndar
 class Trainer:
     """Gradient steps with a rate that falls per row as the row is used."""
 
-    def __init__(self):
-        self.weights, self.bias = np.zeros((ROWS, CLASSES), np.float32), np.zeros(CLASSES, np.float32)
+    def __init__(self, bias: np.ndarray):
+        self.weights, self.bias = np.zeros((ROWS, CLASSES), np.float32), bias.astype(np.float32)
         self.used, self.seen = np.zeros(ROWS, np.float32), 0
 
     def learn(self, h: np.ndarray, cls: np.ndarray, rows: np.ndarray) -> None:
@@ -86,7 +86,6 @@ class Trainer:
         error = np.exp(log_classes(self.weights, self.bias, f))
         error[np.arange(len(f)), cls] -= 1
         self.seen += len(f)
-        self.bias -= np.float32(RATE) * error.mean(0)
         flat = f.ravel()
         by = np.argsort(flat, kind="stable")
         ordered = flat[by]
@@ -130,11 +129,11 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     return found.groupBy("h").agg(F.first("cls").alias("cls"), F.sum("c").alias("c"))
 
 
-def train(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, bias) from gradient steps over all rows of ``texts``."""
+def train(texts: DataFrame, bias: np.ndarray) -> np.ndarray:
+    """Weights from gradient steps over all rows of ``texts``; ``bias`` is the log share of each class in them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = Trainer()
+        t = Trainer(bias)
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 t.learn(*tokens(part.column(0)))
@@ -142,8 +141,7 @@ def train(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             return
         blocks = range(0, ROWS, _BLOCK)
         body = [(t.weights[b : b + _BLOCK] * t.used[b : b + _BLOCK, None]).astype(np.float32).tobytes() + t.used[b : b + _BLOCK].tobytes() for b in blocks]
-        rows = [*body, (t.bias * np.float32(t.seen)).astype(np.float32).tobytes() + np.float32(t.seen).tobytes()]
-        yield pa.RecordBatch.from_arrays([pa.array([*(b // _BLOCK for b in blocks), -1], pa.int32()), pa.array(rows, pa.binary())], ["block", "sums"])
+        yield pa.RecordBatch.from_arrays([pa.array([b // _BLOCK for b in blocks], pa.int32()), pa.array(body, pa.binary())], ["block", "sums"])
 
     def add(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x.as_buffer(), np.float32).astype(np.float64) for x in table["sums"])
@@ -157,16 +155,13 @@ def train(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         total = sum(np.frombuffer(x.as_buffer(), np.float64) for x in table["sums"])
         return pa.table({"block": table["block"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
 
-    weights, bias = np.zeros((ROWS, CLASSES), np.float32), np.zeros(CLASSES, np.float32)
+    weights = np.zeros((ROWS, CLASSES), np.float32)
     for row in grouped.groupBy("block").applyInArrow(mean, "block int, sums binary").collect():  # ROWS x CLASSES numbers
         sums = np.frombuffer(row.sums, np.float64)
-        if row.block < 0:
-            bias = (sums[:CLASSES] / sums[CLASSES]).astype(np.float32)
-        else:
-            used = sums[_BLOCK * CLASSES :]
-            at = row.block * _BLOCK
-            weights[at : at + _BLOCK] = sums[: _BLOCK * CLASSES].reshape(_BLOCK, CLASSES) / np.maximum(used, 1)[:, None]
-    return weights, bias
+        used = sums[_BLOCK * CLASSES :]
+        at = row.block * _BLOCK
+        weights[at : at + _BLOCK] = sums[: _BLOCK * CLASSES].reshape(_BLOCK, CLASSES) / np.maximum(used, 1)[:, None]
+    return weights
 
 
 def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,8 +177,9 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     frequent = counts.where(F.col("c") * FREQUENT >= n_all).select("h", "c").toArrow()  # at most FREQUENT rows, as counts sum to n_all
     h = frequent["h"].to_numpy().view(U)
     by = np.argsort(h)
-    weights, bias = train(training)
-    shared = docs.sparkSession.sparkContext.broadcast((h[by], frequent["c"].to_numpy()[by], weights, bias, np.log10(in_class + 0.5 * (kinds + 1))))
+    bias = np.log((in_class + 0.5) / (n_all + 0.5 * CLASSES))
+    weights = train(training, bias)
+    shared = docs.sparkSession.sparkContext.broadcast((h[by], frequent["c"].to_numpy()[by], weights, bias.astype(np.float32), np.log10(in_class + 0.5 * (kinds + 1))))
     base = float(np.log10(n_all + 0.5 * (v_all + 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
