@@ -32,14 +32,30 @@ def query(name: str, oracle: str | None = None):
     return keep
 
 
-def columns(name: str, view: Callable, exprs: dict, keys: list[str], body: str, *views: str) -> None:
+def columns(name: str, view: Callable, exprs: Callable[[], dict], keys: list[str], body: str, *views: str) -> None:
     """Register a projection of a view: the same keys and columns on both sides."""
-    query(name, sql(body, *views))(lambda spark, sf: view(spark, sf).select(*keys, *[e.alias(c) for c, e in exprs.items()]))
+    query(name, sql(body, *views))(lambda spark, sf: view(spark, sf).select(*keys, *[e.alias(c) for c, e in exprs().items()]))
 
 
 _K = ["video_id", "ord"]
-_S = F.col("start") * 7 + 0.25
-_E = F.col("end") * 7 + 0.75
+
+
+def _s():
+    return F.col("start") * 7 + 0.25
+
+
+def _e():
+    return F.col("end") * 7 + 0.75
+
+
+def _clk():
+    return F.format_string("%02d:%02d:%02d", F.col("video_id") % 5, F.col("ord") * 7 % 60, F.col("n") % 60)
+
+
+def _codec():
+    return F.element_at(F.array(*[F.lit(c) for c in ("h264", "av1", "vp8", "vp9", "xvid")]), (F.col("ord") % 5 + 1).cast("int"))
+
+
 
 # ---- scalar functions ------------------------------------------------------------------
 
@@ -47,24 +63,23 @@ _T = 'SELECT video_id, ord, start * 7 + 0.25 AS s, "end" * 7 + 0.75 AS e, trunc(
 _CLOCK = "printf('%02d:%02d:%02d{m}%03d', {t} // 3600, ({t} % 3600) // 60, {t} % 60, trunc(({s} - {t}) * 1000)::BIGINT)"
 _READ = "CASE WHEN {t} >= 3600 THEN printf('%d:%02d:%02d', {t} // 3600, ({t} % 3600) // 60, {t} % 60) ELSE printf('%d:%02d', {t} // 60, {t} % 60) END"
 _COMP = "CASE WHEN {t} >= 3600 THEN printf('%dh%dm%ds', {t} // 3600, ({t} % 3600) // 60, {t} % 60) WHEN {t} >= 60 THEN printf('%dm%ds', {t} // 60, {t} % 60) ELSE printf('%ds', {t}) END"
-columns("fn_hms", mp.segments, {"v": tm.readable(_S)}, _K, f"SELECT video_id, ord, {_READ.format(t='t')} AS v FROM ({_T})", "seg")
-columns("fn_srt", mp.segments, {"v": tm.srt(_S)}, _K, f"SELECT video_id, ord, {_CLOCK.format(m=',', t='t', s='s')} AS v FROM ({_T})", "seg")
-columns("fn_vtt", mp.segments, {"v": tm.vtt(_S)}, _K, f"SELECT video_id, ord, {_CLOCK.format(m='.', t='t', s='s')} AS v FROM ({_T})", "seg")
-columns("fn_srt_pkg", mp.segments, {"v": F.concat(tm.srt(_S), F.lit(" --> "), tm.srt(_E))}, _K, f"SELECT video_id, ord, {_CLOCK.format(m=',', t='t', s='s')} || ' --> ' || {_CLOCK.format(m=',', t='u', s='e')} AS v FROM ({_T})", "seg")
-columns("fn_vtt_pkg", mp.segments, {"v": tm.vtt_rounded(_S)}, _K, f"SELECT video_id, ord, printf('%02d:%02d:%06.3f', t // 3600, (t % 3600) // 60, s - floor(s / 60) * 60) AS v FROM ({_T})", "seg")
-columns("fn_compact", mp.segments, {"v": tm.compact(_S)}, _K, f"SELECT video_id, ord, {_COMP.format(t='t')} AS v FROM ({_T})", "seg")
-columns("fn_duration", mp.segments, {"v": tm.duration(_S)}, _K, f"SELECT video_id, ord, concat_ws(' ', CASE WHEN t >= 3600 THEN printf('%dh', t // 3600) END, CASE WHEN t >= 60 THEN printf('%dm', (t % 3600) // 60) END, printf('%ds', t % 60)) AS v FROM ({_T})", "seg")
-columns("fn_range", mp.segments, {"a": tm.time_range(_S, _E, "readable"), "b": tm.time_range(_S, _E, "srt"), "c": tm.time_range(_S, _E, "other")}, _K, f"SELECT video_id, ord, {_READ.format(t='t')} || ' - ' || {_READ.format(t='u')} AS a, {_CLOCK.format(m=',', t='t', s='s')} || ' --> ' || {_CLOCK.format(m=',', t='u', s='e')} AS b, {_COMP.format(t='t')} || '-' || {_COMP.format(t='u')} AS c FROM ({_T})", "seg")
-_CLK = F.format_string("%02d:%02d:%02d", F.col("video_id") % 5, F.col("ord") * 7 % 60, F.col("n") % 60)
-columns("fn_parse_ts", mp.segments, {"v": tm.parse_clock(F.when(F.col("ord") % 3 == 1, "bad").otherwise(_CLK))}, _K, "SELECT video_id, ord, CASE WHEN ord % 3 = 1 THEN 0.0 ELSE (video_id % 5) * 3600.0 + (ord * 7 % 60) * 60.0 + n % 60 END::DOUBLE AS v FROM seg", "seg")
-columns("fn_probe_duration", mp.segments, {"v": tm.probe_duration(F.concat(_CLK, F.lit(".5"))), "p": F.round(tm.progress(F.col("start"), F.col("end")), 9)}, _K, 'SELECT video_id, ord, (video_id % 5) * 3600.0 + (ord * 7 % 60) * 60.0 + n % 60 + 0.5::DOUBLE AS v, round(least(coalesce(start / nullif("end", 0), 0), 1), 9) AS p FROM seg', "seg")
-columns("fn_reading", mp.segments, {"v": F.round(tm.reading_seconds(F.col("text")), 6)}, _K, "SELECT video_id, ord, round(n / 180.0::DOUBLE * 60, 6) AS v FROM seg", "seg")
-columns("fn_sanitize", mp.segments, {"v": tx.sanitize(F.col("text"), 120)}, _K, "SELECT video_id, ord, CASE WHEN length(c) > 120 THEN left(c, 117) || '...' ELSE c END AS v FROM (SELECT *, regexp_replace(trim(regexp_replace(text, '\\s+', ' ', 'g')), '[\\x00-\\x1f]', '', 'g') AS c FROM seg)", "seg")
-columns("fn_caption_id", mp.segments, {"v": tx.caption_id(F.col("ord"), F.col("start").cast("bigint"))}, _K, "SELECT video_id, ord, printf('CAP_%03d_', ord) || left(md5(start::BIGINT::VARCHAR), 6) AS v FROM seg", "seg")
+columns("fn_hms", mp.segments, lambda: {"v": tm.readable(_s())}, _K, f"SELECT video_id, ord, {_READ.format(t='t')} AS v FROM ({_T})", "seg")
+columns("fn_srt", mp.segments, lambda: {"v": tm.srt(_s())}, _K, f"SELECT video_id, ord, {_CLOCK.format(m=',', t='t', s='s')} AS v FROM ({_T})", "seg")
+columns("fn_vtt", mp.segments, lambda: {"v": tm.vtt(_s())}, _K, f"SELECT video_id, ord, {_CLOCK.format(m='.', t='t', s='s')} AS v FROM ({_T})", "seg")
+columns("fn_srt_pkg", mp.segments, lambda: {"v": F.concat(tm.srt(_s()), F.lit(" --> "), tm.srt(_e()))}, _K, f"SELECT video_id, ord, {_CLOCK.format(m=',', t='t', s='s')} || ' --> ' || {_CLOCK.format(m=',', t='u', s='e')} AS v FROM ({_T})", "seg")
+columns("fn_vtt_pkg", mp.segments, lambda: {"v": tm.vtt_rounded(_s())}, _K, f"SELECT video_id, ord, printf('%02d:%02d:%06.3f', t // 3600, (t % 3600) // 60, s - floor(s / 60) * 60) AS v FROM ({_T})", "seg")
+columns("fn_compact", mp.segments, lambda: {"v": tm.compact(_s())}, _K, f"SELECT video_id, ord, {_COMP.format(t='t')} AS v FROM ({_T})", "seg")
+columns("fn_duration", mp.segments, lambda: {"v": tm.duration(_s())}, _K, f"SELECT video_id, ord, concat_ws(' ', CASE WHEN t >= 3600 THEN printf('%dh', t // 3600) END, CASE WHEN t >= 60 THEN printf('%dm', (t % 3600) // 60) END, printf('%ds', t % 60)) AS v FROM ({_T})", "seg")
+columns("fn_range", mp.segments, lambda: {"a": tm.time_range(_s(), _e(), "readable"), "b": tm.time_range(_s(), _e(), "srt"), "c": tm.time_range(_s(), _e(), "other")}, _K, f"SELECT video_id, ord, {_READ.format(t='t')} || ' - ' || {_READ.format(t='u')} AS a, {_CLOCK.format(m=',', t='t', s='s')} || ' --> ' || {_CLOCK.format(m=',', t='u', s='e')} AS b, {_COMP.format(t='t')} || '-' || {_COMP.format(t='u')} AS c FROM ({_T})", "seg")
+columns("fn_parse_ts", mp.segments, lambda: {"v": tm.parse_clock(F.when(F.col("ord") % 3 == 1, "bad").otherwise(_clk()))}, _K, "SELECT video_id, ord, CASE WHEN ord % 3 = 1 THEN 0.0 ELSE (video_id % 5) * 3600.0 + (ord * 7 % 60) * 60.0 + n % 60 END::DOUBLE AS v FROM seg", "seg")
+columns("fn_probe_duration", mp.segments, lambda: {"v": tm.probe_duration(F.concat(_clk(), F.lit(".5"))), "p": F.round(tm.progress(F.col("start"), F.col("end")), 9)}, _K, 'SELECT video_id, ord, (video_id % 5) * 3600.0 + (ord * 7 % 60) * 60.0 + n % 60 + 0.5::DOUBLE AS v, round(least(coalesce(start / nullif("end", 0), 0), 1), 9) AS p FROM seg', "seg")
+columns("fn_reading", mp.segments, lambda: {"v": F.round(tm.reading_seconds(F.col("text")), 6)}, _K, "SELECT video_id, ord, round(n / 180.0::DOUBLE * 60, 6) AS v FROM seg", "seg")
+columns("fn_sanitize", mp.segments, lambda: {"v": tx.sanitize(F.col("text"), 120)}, _K, "SELECT video_id, ord, CASE WHEN length(c) > 120 THEN left(c, 117) || '...' ELSE c END AS v FROM (SELECT *, regexp_replace(trim(regexp_replace(text, '\\s+', ' ', 'g')), '[\\x00-\\x1f]', '', 'g') AS c FROM seg)", "seg")
+columns("fn_caption_id", mp.segments, lambda: {"v": tx.caption_id(F.col("ord"), F.col("start").cast("bigint"))}, _K, "SELECT video_id, ord, printf('CAP_%03d_', ord) || left(md5(start::BIGINT::VARCHAR), 6) AS v FROM seg", "seg")
 _SUM = """SELECT video_id, ord, CASE WHEN n <= 30 THEN text WHEN d > z * 0.6 THEN left(c, d + 1) WHEN m > z * 0.7 THEN left(c, m) || '...' ELSE c || '...' END AS v FROM (SELECT *, length(c) AS z,
   CASE WHEN contains(c, '.') THEN length(c) - strpos(reverse(c), '.') ELSE -1 END AS d, CASE WHEN contains(c, ',') THEN length(c) - strpos(reverse(c), ',') ELSE -1 END AS m
   FROM (SELECT *, array_to_string(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')[1:30], ' ') AS c FROM seg))"""
-columns("fn_summary", mp.segments, {"v": tx.summary(F.col("text"))}, _K, _SUM, "seg")
+columns("fn_summary", mp.segments, lambda: {"v": tx.summary(F.col("text"))}, _K, _SUM, "seg")
 
 
 def _speakers(spark, sf):
@@ -114,10 +129,9 @@ query("src_frame_at", sql("SELECT s.video_id, s.ord, trunc(s.start * 10)::INTEGE
     lambda s, d: rd.frame_at(mp.segments(s, d).select("video_id", "ord", F.col("start").alias("t")), mp.detections(s, d).groupBy("video_id", F.col("decis").cast("int").alias("frame")).agg(F.count("*").alias("h")), 10.0).select("video_id", "ord", "frame", F.coalesce("h", F.lit(0)).alias("hits"))
 )
 query("src_meta", "SELECT event_id, chr((97 + event_id % 26)::INTEGER) || 'v' || chr((97 + event_id % 7)::INTEGER) || '1' AS codec FROM events")(lambda s, d: mp.table(s, d, "events").select("event_id", rd.fourcc((97 + F.col("event_id") % 26) + F.lit(118) * 256 + (97 + F.col("event_id") % 7) * 65536 + F.lit(49) * 16777216).alias("codec")))
-_CODEC = F.element_at(F.array(*[F.lit(c) for c in ("h264", "av1", "vp8", "vp9", "xvid")]), (F.col("ord") % 5 + 1).cast("int"))
 _CODEC_SQL = "['h264', 'av1', 'vp8', 'vp9', 'xvid'][(ord % 5 + 1)::INT]"
-query("src_probe", sql(f"SELECT ord, concat_ws(',', CASE WHEN {_CODEC_SQL} IN ('av1', 'vp8') THEN 'codec' END, CASE WHEN x2 < 320 OR y2 < 100 THEN 'resolution' END, CASE WHEN ord % 40 < 15 THEN 'frame rate' END) AS issues FROM det", "det"))(lambda s, d: mp.detections(s, d).select("ord", F.array_join(ql.issues(_CODEC, F.col("box.x2") + 320, F.col("box.y2") + 380, F.col("ord") % 40), ",").alias("issues")))
-query("src_codec_compat", sql(f"SELECT ord, CASE WHEN {_CODEC_SQL} = 'h264' THEN 'true' WHEN {_CODEC_SQL} IN ('av1', 'vp8', 'vp9') THEN 'false' ELSE 'unknown' END AS ok FROM det", "det"))(lambda s, d: mp.detections(s, d).select("ord", F.coalesce(ql.codec_support(_CODEC).cast("string"), F.lit("unknown")).alias("ok")))
+query("src_probe", sql(f"SELECT ord, concat_ws(',', CASE WHEN {_CODEC_SQL} IN ('av1', 'vp8') THEN 'codec' END, CASE WHEN x2 < 320 OR y2 < 100 THEN 'resolution' END, CASE WHEN ord % 40 < 15 THEN 'frame rate' END) AS issues FROM det", "det"))(lambda s, d: mp.detections(s, d).select("ord", F.array_join(ql.issues(_codec(), F.col("box.x2") + 320, F.col("box.y2") + 380, F.col("ord") % 40), ",").alias("issues")))
+query("src_codec_compat", sql(f"SELECT ord, CASE WHEN {_CODEC_SQL} = 'h264' THEN 'true' WHEN {_CODEC_SQL} IN ('av1', 'vp8', 'vp9') THEN 'false' ELSE 'unknown' END AS ok FROM det", "det"))(lambda s, d: mp.detections(s, d).select("ord", F.coalesce(ql.codec_support(_codec()).cast("string"), F.lit("unknown")).alias("ok")))
 query("src_scenes_cv")(lambda s, d: rd.scene_cuts(mp.detections(s, d).select("video_id", F.col("decis").alias("frame"), F.col("confidence").alias("diff")), 0.2, 30))
 query("src_synthetic")(lambda s, d: rd.synthetic(s))
 query("src_latest_session", "SELECT max(lpad((20240000 + event_id)::VARCHAR, 8, '0') || '_000000') AS v FROM events")(lambda s, d: mp.table(s, d, "events").select(F.max(rd.session_stamp(F.format_string("/x/session_%08d_000000/a.json", F.col("event_id") + 20240000))).alias("v")))
@@ -157,7 +171,7 @@ query("flt_time_tol", sql("SELECT ord, ts FROM det WHERE abs(ts - 100) <= 0.5",
 query("flt_min_conf", sql("SELECT ord FROM det WHERE confidence IS NOT NULL AND confidence >= 0.5", "det"))(lambda s, d: mp.detections(s, d).where("confidence is not null and confidence >= 0.5").select("ord"))
 query("flt_min_app", sql("SELECT video_id, character_id, count(*) AS n FROM det GROUP BY ALL HAVING count(*) >= 5", "det"))(lambda s, d: mp.detections(s, d).groupBy("video_id", "character_id").agg(F.count("*").alias("n")).where("n >= 5"))
 _IMP = """least(2.0::DOUBLE, 1.0::DOUBLE * (CASE WHEN "end" - start > 3 THEN 1.2 ELSE 1.0 END)::DOUBLE * (CASE WHEN confidence > 0.8 THEN 1.1 ELSE 1.0 END)::DOUBLE * (CASE WHEN emotion <> 'neutral' THEN 1.1 ELSE 1.0 END)::DOUBLE)"""
-columns("prj_importance", mp.segments, {"v": F.round(ql.importance(F.col("start"), F.col("end"), F.col("confidence"), F.col("emotion")), 6)}, _K, f"SELECT video_id, ord, round({_IMP}, 6) AS v FROM seg", "seg")
+columns("prj_importance", mp.segments, lambda: {"v": F.round(ql.importance(F.col("start"), F.col("end"), F.col("confidence"), F.col("emotion")), 6)}, _K, f"SELECT video_id, ord, round({_IMP}, 6) AS v FROM seg", "seg")
 query("prj_name", sql("SELECT ord, CASE WHEN character_id IN ('C0', 'C1') THEN 'Ann' ELSE 'Character_' || character_id END AS name FROM det", "det"))(
     lambda s, d: mp.detections(s, d).join(F.broadcast(s.createDataFrame([("C0", "Ann"), ("C1", "Ann")], "character_id string, n string")), "character_id", "left").select("ord", F.coalesce("n", F.concat(F.lit("Character_"), "character_id")).alias("name"))
 )

@@ -196,9 +196,14 @@ SELECT s.*, t.emotion AS dominant, t.n AS dominant_n FROM s JOIN t USING (charac
 query("agg_attr_best", sql("SELECT character_id, ord FROM (SELECT *, row_number() OVER (PARTITION BY character_id ORDER BY confidence DESC, ord) AS k FROM det) WHERE k = 1", "det"))(lambda s, d: iv.first_by(mp.detections(s, d), ["character_id"], F.desc("confidence"), "ord").select("character_id", "ord"))
 query("agg_bbox", sql("SELECT video_id, character_id, round(avg((x2 - x1) * (y2 - y1)), 6) AS area FROM det GROUP BY ALL", "det"))(lambda s, d: mp.detections(s, d).groupBy("video_id", "character_id").agg(F.round(F.avg(vc.box_area(F.col("box"))), 6).alias("area")))
 query("agg_character", sql("SELECT video_id, character_id, count(*) AS n, min(ts) AS first, max(ts) AS last, max(ts) - min(ts) AS span, count(DISTINCT floor(ts)) AS present FROM det GROUP BY ALL", "det"))(lambda s, d: mp.detections(s, d).groupBy("video_id", "character_id").agg(F.count("*").alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"), (F.max("ts") - F.min("ts")).alias("span"), F.count_distinct(F.floor("ts")).alias("present")))
-_RULES = {"times": F.col("end") > F.col("start"), "text": F.trim("text") != "", "score": F.col("confidence").between(0.1, 1)}
+
+
+def _rules():
+    return {"times": F.col("end") > F.col("start"), "text": F.trim("text") != "", "score": F.col("confidence").between(0.1, 1)}
+
+
 _CHECK = "count(*) AS rows, count(*) FILTER (NOT {a}) AS bad_times, count(*) FILTER (NOT {b}) AS bad_text, count(*) FILTER (NOT {c}) AS bad_score, bool_and({a} AND {b} AND {c}) AS valid"
-query("agg_validate_a", sql("SELECT video_id, " + _CHECK.format(a='("end" > start)', b="(trim(text) <> '')", c="(confidence BETWEEN 0.1 AND 1)") + " FROM seg GROUP BY ALL", "seg"))(lambda s, d: rp.checks(mp.segments(s, d), _RULES))
+query("agg_validate_a", sql("SELECT video_id, " + _CHECK.format(a='("end" > start)', b="(trim(text) <> '')", c="(confidence BETWEEN 0.1 AND 1)") + " FROM seg GROUP BY ALL", "seg"))(lambda s, d: rp.checks(mp.segments(s, d), _rules()))
 query("agg_validate_b", sql('SELECT video_id, count(*) AS rows, count(*) FILTER (NOT "end" > start) AS bad_times, count(*) FILTER (speaker_id NOT IN (\'user\', \'assistant\')) AS bad_speaker, bool_and("end" > start AND speaker_id IN (\'user\', \'assistant\')) AS valid FROM turn GROUP BY ALL', "turn"))(lambda s, d: rp.checks(mp.turns(s, d), {"times": F.col("end") > F.col("start"), "speaker": F.col("speaker_id").isin("user", "assistant")}))
 query("agg_validate_c", sql("SELECT video_id, count(*) AS rows, count(*) FILTER (NOT x2 > x1) AS bad_box, count(*) FILTER (NOT confidence >= 0.01) AS bad_score, bool_and(x2 > x1 AND confidence >= 0.01) AS valid FROM det GROUP BY ALL", "det"))(lambda s, d: rp.checks(mp.detections(s, d), {"box": F.col("box.x2") > F.col("box.x1"), "score": F.col("confidence") >= 0.01}))
 query("agg_validate_d", sql("SELECT video_id, count(*) AS rows, count(*) FILTER (n <= 60) AS bad_match, bool_and(n > 60) AS valid FROM seg GROUP BY ALL", "seg"))(lambda s, d: rp.checks(mp.segments(s, d), {"match": F.col("n") > 60}))
