@@ -266,7 +266,7 @@ query("snk_reports", sql("SELECT '# Video ' || video_id || chr(10) || '- segment
 # ---- model boundary --------------------------------------------------------------------
 
 query("udf_mllm")(lambda s, d: registry.captioned(mp.segments(s, d).select("video_id", "ord", F.concat(F.lit("Characters: "), "speaker", F.lit("\n"), "text").alias("prompt"))).drop("prompt"))
-query("udf_presets", "SELECT * FROM (VALUES ('action', 0.2, 3000), ('crowd', 0.3, 3000), ('dark', 0.15, 2000), ('default', 0.3, 2000), ('dialogue', 0.4, 1500), ('fast', 0.5, 600)) t(name, quality, max_frames)")(lambda s, d: _presets(s))
+query("udf_presets", "SELECT * FROM (VALUES ('action', 0.2::DOUBLE, 3000), ('crowd', 0.3, 3000), ('dark', 0.15, 2000), ('default', 0.3, 2000), ('dialogue', 0.4, 1500), ('fast', 0.5, 600)) t(name, quality, max_frames)")(lambda s, d: _presets(s))
 query("udf_cinematic", sql("SELECT video_id, 'disabled' AS status FROM vid", "vid"))(lambda s, d: registry.cinematic(mp.videos(s, d)))
 query("udf_progress", "SELECT event_id FROM events WHERE event_id % 10 = 0")(lambda s, d: mp.table(s, d, "events").where("event_id % 10 = 0").select("event_id"))
 
