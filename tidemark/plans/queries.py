@@ -208,4 +208,4 @@ query("prj_video_recs", sql("SELECT video_id, concat_ws(',', CASE WHEN q < 0.25
 query("flt_emotion_rows", sql("SELECT video_id, ord, CASE WHEN n < 50 THEN 'neutral' ELSE emotion END AS emotion, CASE WHEN n < 50 THEN 0.0 ELSE emotion_confidence END::DOUBLE AS c FROM seg", "seg"))(lambda s, d: mp.segments(s, d).select("video_id", "ord", F.when(F.col("n") < 50, "neutral").otherwise(F.col("emotion")).alias("emotion"), F.when(F.col("n") < 50, 0.0).otherwise(F.col("emotion_confidence")).alias("c")))
 query("prj_audio_slice", sql("SELECT video_id, ord, greatest(400, n * 100)::INTEGER AS v FROM seg", "seg"))(lambda s, d: mp.segments(s, d).select("video_id", "ord", F.size(ql.audio_slice(F.transform(F.sequence(F.lit(0), (F.col("n") * 100 - 1).cast("int")), lambda i: i.cast("double")), F.lit(0.0), F.col("n").cast("double"), 100)).alias("v")))
 
-from . import queries_joins, queries_more  # noqa: E402, F401
+from . import queries_io, queries_joins, queries_more  # noqa: E402, F401

@@ -114,7 +114,7 @@ query("sc_single_char", sql(_PRES + "SELECT video_id, segment_id, character_id,
 query("sc_lip", sql(_PRES + "SELECT video_id, segment_id, character_id, CASE WHEN near > 0 THEN 0.1 ELSE 0 END::DOUBLE AS v FROM q", "seg", "det"))(lambda s, d: _presence(s, d).select(*_PK, sc.lip().alias("v")))
 query("sc_centrality", sql(_PRES + "SELECT video_id, segment_id, character_id, round(central, 6) AS v FROM q", "seg", "det"))(lambda s, d: _presence(s, d).select(*_PK, F.round(sc.centrality_score(), 6).alias("v")))
 query("sc_temporal", sql(_PRES + "SELECT video_id, segment_id, character_id, round(temporal, 6) AS v FROM q", "seg", "det"))(lambda s, d: _presence(s, d).select(*_PK, F.round(sc.temporal(F.col("distance")), 6).alias("v")))
-query("sc_llm_sim", sql(_PRES + "SELECT video_id, segment_id, character_id, round(rule, 6) AS v, CASE WHEN during > 0 THEN concat_ws('; ', 'visible', CASE WHEN size > 0.15 THEN 'large face' END, CASE WHEN centrality > 0.7 THEN 'central' END, CASE WHEN who_during = 1 THEN 'alone' END) ELSE 'not visible' END AS why FROM q", "seg", "det"))(
+query("sc_llm_sim", sql(_PRES + "SELECT video_id, segment_id, character_id, round(rule, 6)::DOUBLE AS v, CASE WHEN during > 0 THEN concat_ws('; ', 'visible', CASE WHEN size > 0.15 THEN 'large face' END, CASE WHEN centrality > 0.7 THEN 'central' END, CASE WHEN who_during = 1 THEN 'alone' END) ELSE 'not visible' END AS why FROM q", "seg", "det"))(
     lambda s, d: _presence(s, d).select(*_PK, F.round(sc.rules(F.lit(False)), 6).alias("v"), sc.reasons(F.lit(False)).alias("why"))
 )
 _BEST = "greatest(single, 0.1, central, temporal)"

@@ -18,15 +18,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def listing(spark: SparkSession, folder: str, endings: tuple[str, ...] = (".json", ".srt", ".vtt", ".html")) -> list[str]:
     """File names under a folder of any file system, by name."""
     fs, p = _fs(spark, folder)
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().endswith(endings)) if fs.exists(p) else []
 
 
-def read_document(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """Whole documents with their declared schema; what cannot be parsed is kept in _corrupt_record."""
-    return spark.read.schema(DOCUMENTS[kind]).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+def read_document(spark: SparkSession, path: str, kind: str, lines: bool = False) -> DataFrame:
+    """Whole documents (one a file, or one a line) with their declared schema; what cannot be parsed is kept in _corrupt_record."""
+    return spark.read.schema(DOCUMENTS[kind]).option("multiLine", not lines).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
 
 
 def rows_of(documents: DataFrame, kind: str) -> DataFrame:
