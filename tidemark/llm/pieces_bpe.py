@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 from .common import slices
 from .words import U, buffers, hash_spans, map_rows, mix
 
-LONG, NONE = 64, np.int32(2**31 - 1)
+#: Characters of a long word, cells of a joint agenda, text bytes and ids taken at once, and no candidate.
+LONG, CELLS, TEXT, IDS, NONE = 64, 1 << 18, 1 << 19, 1 << 17, np.int32(2**31 - 1)
 _WIDTHS = (4, 6, 8, 10, 12, 16, 24, 40, LONG)
 _K = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9))
 
@@ -85,16 +86,16 @@ class Model:
         slot = self._slot(keys)
         first = np.zeros(len(keys), bool)
         first[np.unique(slot, return_index=True)[1]] = True
-        self.slot_key, self.slot_value = np.full(1 << 21, -1, np.int64), np.full(1 << 21, -1, np.int32)
+        self.slot_key, self.slot_value = np.full(1 << 19, -1, np.int64), np.full(1 << 19, -1, np.int32)
         self.slot_key[slot[first]], self.slot_value[slot[first]] = keys[first], values[first]
         rest = np.argsort(keys[~first])
         self.rest_key, self.rest_value = keys[~first][rest], values[~first][rest]
-        self.crowded = np.zeros(1 << 21, bool)
+        self.crowded = np.zeros(1 << 19, bool)
         self.crowded[slot[~first]] = True
 
     @staticmethod
     def _slot(keys: np.ndarray) -> np.ndarray:
-        return (keys.astype(U) * _K[0] >> U(43)).astype(np.int64)
+        return (keys.astype(U) * _K[0] >> U(45)).astype(np.int64)
 
     def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece that each pair makes, or -1."""
@@ -159,8 +160,8 @@ def segment(model: Model, symbols: np.ndarray, offsets: np.ndarray, draws: np.nd
     for width in _WIDTHS:
         group = np.flatnonzero((sizes > low) & (sizes <= width))
         low = width
-        for at in range(0, len(group), max(1, (1 << 20) // width)):
-            _together(model, symbols, offsets, draws, limit, group[at : at + max(1, (1 << 20) // width)], width, out, count)
+        for at in range(0, len(group), max(1, CELLS // width)):
+            _together(model, symbols, offsets, draws, limit, group[at : at + max(1, CELLS // width)], width, out, count)
     for i in np.flatnonzero(sizes > LONG):
         got = agenda(model, symbols[offsets[i] : offsets[i + 1]].tolist(), int(draws[i]), dropout)
         out[offsets[i] : offsets[i] + len(got)], count[i] = got, len(got)
@@ -173,7 +174,7 @@ def _together(model, symbols, offsets, draws, limit, rows, width, out, count) ->
     column = np.arange(width)
     size = (offsets[rows + 1] - offsets[rows])[:, None]
     ids = np.where(column < size, symbols[np.minimum(offsets[rows][:, None] + column, len(symbols) - 1)], np.int32(-1))
-    place = np.broadcast_to(column, ids.shape).copy()
+    place = np.broadcast_to(column.astype(np.int16), ids.shape).copy()
     draw = draws[rows]
     merged = model.joined(ids[:, :-1], ids[:, 1:])
     rank = _priority(model, merged, draw[:, None], place[:, :-1], place[:, 1:], limit)
@@ -296,7 +297,7 @@ def encode(docs: DataFrame, text_col: str = "text", key_col: str = "doc_id", mod
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(batch, text_col, TEXT):
                 text, keys = part.column(text_col), part.column(key_col).cast(pa.string()).fill_null("")
                 raw, at = buffers(keys)
                 ids, rows = encode_array(model, text, hash_spans(raw, at[:-1], at[1:]), seed, dropout, variants)
@@ -319,7 +320,7 @@ def decode(docs: DataFrame, ids_col: str = "piece_ids", model_path: str | None =
             flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             at = 0
             while at < batch.num_rows:
-                to = max(at + 1, int(np.searchsorted(rows, rows[at] + (1 << 20), "right")) - 1)
+                to = max(at + 1, int(np.searchsorted(rows, rows[at] + IDS, "right")) - 1)
                 raw, offsets = decode_array(model, flat[rows[at] : rows[to]], rows[at : to + 1] - rows[at])
                 made = pa.LargeBinaryArray.from_buffers(pa.large_binary(), to - at, [None, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(raw)]).cast(pa.binary())
                 text = pa.Array.from_buffers(pa.string(), len(made), made.buffers(), offset=made.offset)
