@@ -59,7 +59,7 @@ query("snk_frames_meta", sql("SELECT ord, printf('frame_%06d.jpg', ord) AS file,
 query("snk_visual_results", sql("SELECT video_id, character_id, count(*) AS n FROM det GROUP BY ALL", "det"))(lambda s, d: _written(mp.detections(s, d)).groupBy("video_id", "character_id").agg(F.count("*").alias("n")))
 query("snk_format_router", "SELECT * FROM (VALUES ('json', 'written'), ('none', 'unknown'), ('srt', 'written')) t(format, status)")(lambda s, d: _routed(s, d))
 query("snk_listing", "SELECT 'a.json' AS name WHERE false")(lambda s, d: s.createDataFrame([(n,) for n in rd.listing(s, shared_folder(s))], "name string"))
-query("src_packaged", "SELECT 0::BIGINT AS shots, 0::BIGINT AS scenes")(lambda s, d: rd.read_or_empty(s, shared_folder(s), "shots").agg(F.count("*").alias("shots")).crossJoin(rd.read_or_empty(s, shared_folder(s), "scenes").agg(F.count("*").alias("scenes"))))
+query("src_packaged", "SELECT 0::BIGINT AS shots, 0::BIGINT AS scenes")(lambda s, d: rd.read_or_empty(s, shared_folder(s), "shots").select(F.lit("shots").alias("k")).unionAll(rd.read_or_empty(s, shared_folder(s), "scenes").select(F.lit("scenes").alias("k"))).agg(F.count_if(F.col("k") == "shots").alias("shots"), F.count_if(F.col("k") == "scenes").alias("scenes")))
 query("src_fusion_docs", sql("SELECT DISTINCT character_id, 'Character_' || character_id AS name FROM det", "det"))(lambda s, d: mp.detections(s, d).select("character_id").distinct().withColumn("name", F.concat(F.lit("Character_"), "character_id")))
 query("src_keyframes", sql("SELECT video_id, id, printf('shot_%04d.jpg', id) AS path FROM shot", "shot"))(lambda s, d: mp.shots(s, d).withColumn("path", F.format_string("shot_%04d.jpg", "id")).select("video_id", F.regexp_extract("path", r"shot_(\d+)", 1).cast("bigint").alias("id"), "path"))
 

@@ -229,8 +229,18 @@ query("jn_cosine", _CENT + " SELECT a.label AS a, b.label AS b, round(list_inner
     lambda s, d: centroids(s, d).alias("a").join(centroids(s, d).alias("b"), F.col("a.label") < F.col("b.label")).select(F.col("a.label").alias("a"), F.col("b.label").alias("b"), F.round(vc.cosine(F.col("a.v"), F.col("b.v")), 4).alias("v"))
 )
 query("jn_emb_match", _CENT + ", m AS (SELECT e.vec_id, c.label, (list_inner_product(e.embedding::DOUBLE[], c.v) / sqrt(list_inner_product(e.embedding::DOUBLE[], e.embedding::DOUBLE[]) * list_inner_product(c.v, c.v)) + 1) / 2 AS s FROM embeddings e JOIN c ON true), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, label) AS k FROM m) SELECT vec_id, label AS best, round(s, 4) AS s FROM r WHERE k = 1 AND s > 0.55")(
-    lambda s, d: iv.first_by(mp.table(s, d, "embeddings").select("vec_id", "embedding").crossJoin(centroids(s, d)).withColumn("s", vc.centred_cosine(F.col("embedding"), F.col("v"))), ["vec_id"], F.desc("s"), "label").where("s > 0.55").select("vec_id", F.col("label").alias("best"), F.round("s", 4).alias("s"))
+    lambda s, d: _nearest(s, d)
 )
+
+
+def _nearest(spark, sf):
+    """Each face with the nearest of its video's character centroids, which travel as one array a video: no pair of rows is made."""
+    known = centroids(spark, sf).groupBy(F.lit(0).alias("video_id")).agg(F.array_sort(F.collect_list(F.struct("label", "v"))).alias("known"))
+    faces = mp.table(spark, sf, "embeddings").select(F.lit(0).alias("video_id"), "vec_id", "embedding").join(known, "video_id")
+    best = F.array_max(F.transform("known", lambda c: F.struct(vc.centred_cosine(F.col("embedding"), c["v"]).alias("s"), (-c["label"]).alias("k"))))
+    return faces.select("vec_id", best.alias("b")).where("b.s > 0.55").select("vec_id", (-F.col("b.k")).alias("best"), F.round("b.s", 4).alias("s"))
+
+
 query("clu_greedy")(lambda s, d: fo.merged_clusters(centroids(s, d).select(F.lit(0).cast("bigint").alias("video_id"), F.col("label").cast("bigint").alias("cluster_id"), F.col("v").alias("embedding")), 0.3))
 query("clu_dbscan")(lambda s, d: fo.clustered(_faces(s, d), 3, 0.75))
 query("clu_agglo")(lambda s, d: fo.clustered(_faces(s, d), 3, 0.6, "average"))
