@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import itertools
 import tempfile
 from collections.abc import Iterator
 
@@ -17,10 +19,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-"))
 
 
+_made = itertools.count(1)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a replicated copy in the shared checkpoint folder."""
+    """Cut the lineage of ``df`` with a replicated copy in the shared checkpoint folder.
+
+    After every fourth copy the driver's garbage is collected: plans, shuffle files and
+    copies that an iteration no longer needs go then, and not whenever its heap is full.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if next(_made) % 4 == 0:
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
+    return out
 
 
 def fold(col: Column, modulus: int) -> Column:
