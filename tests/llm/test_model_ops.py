@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tidemark.llm import bagminhash, components, crf, lm, topk, toxicity, warc
@@ -269,6 +270,27 @@ def test_star_around_a_late_base(spark):
     assert {r.class_id for r in bagminhash.classes(df).collect()} == set(plain_classes(rows).values()) == {0}
 
 
+def test_pair_in_a_crowded_bucket(spark):
+    """Texts on one template, all under the threshold but two that no hub is near."""
+    rows = [(i, " ".join([f"t{k}" for k in range(304)] + [f"o{i}_{k}" for k in range(40)])) for i in range(160)]
+    pairs = [(1000 + 2 * p + q, " ".join([f"t{k}" for k in range(304)] + [f"p{p}_{k}" for k in range(4)] + [f"o{p}_{q}_{k}" for k in range(36)])) for p in range(6) for q in range(2)]
+    df = spark.createDataFrame(rows + pairs, "doc_id long, text string").coalesce(2)
+    want = {i: i - i % 2 if i >= 1000 else i for i, _ in rows + pairs}
+    assert want == plain_classes(rows + pairs)
+    assert {r.doc_id: r.class_id for r in bagminhash.classes(df).collect()} == want
+
+
+def test_shared_shingles_of_blocks():
+    rng = random.Random(13)
+    bags = [bagminhash._bag(zstandard.compress(" ".join(f"w{rng.randrange(3)}" for _ in range(rng.randrange(1, 60))).encode())) for _ in range(30)]
+    row = np.repeat(np.arange(30), [len(h) for h, _ in bags])
+    both = bagminhash.shared(row, *(np.concatenate(x) for x in zip(*bags, strict=True)), np.arange(12), np.arange(12, 30))
+    for x in range(12):
+        for y in range(18):
+            total = bags[x][1].sum() + bags[12 + y][1].sum()
+            assert both[x, y] / (total - both[x, y]) == pytest.approx(bagminhash.overlap(bags[x], bags[12 + y]))
+
+
 def test_repeated_and_empty(spark):
     df = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (None, "q")], "doc_id long, text string").coalesce(1)
     assert sorted((r.doc_id or 0, r.class_id or 0) for r in bagminhash.classes(df).collect()) == [(0, 0), (0, 1), (1, 1), (1, 1)]

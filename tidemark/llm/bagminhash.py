@@ -10,11 +10,12 @@ weighted Jaccard similarity, and points later than every register are never draw
 
 Equal texts are one node. Nodes that share a band's registers meet in a bucket; each is
 linked with the bucket's two hubs (the smallest id, and the node with the most
-neighbours), and the overlap of each link is counted on the whole multisets. A bucket
-with classes that no hub came from gets HUBS further hubs out of them, the whole bucket
-is held against these, and so on until a round adds no link. A round makes at most HUBS
-pairs for a node and bucket: copies are never expanded into pairs, and no bucket is
-gathered.
+neighbours), and the overlap of each link is counted on the whole multisets. The other
+members of a bucket, where they are of more than one class yet, are dealt to blocks of
+about BLOCK nodes or BLOCK_BYTES of text, and each two blocks are held against each other
+exactly, by the product of their members' shingle tables. So every two nodes of a bucket
+are in one class or were compared. Two blocks give a forest of links at most: copies are
+never expanded into pairs, and no bucket is gathered.
 
 Defined cases: null and empty texts have no shingle and are near copies of their equals
 only (null is not equal to empty); texts of one to four words are one shingle; rows that
@@ -37,8 +38,8 @@ from .common import checkpoint, slices
 from .components import components
 from .words import U, Words, mix, windows, words
 
-#: Words of a shingle, least similarity, registers, registers of a band, sketch bits that a link may differ in (J = 0.8 differs in 10 of 100, sd 3), and further hubs a round.
-SHINGLE, SIMILAR, REGISTERS, BAND, DIFFER, HUBS = 5, 0.8, 100, 5, 30, 8
+#: Words of a shingle, least similarity, registers, registers of a band, sketch bits that a link may differ in (J = 0.8 differs in 10 of 100, sd 3), nodes and bytes of text in a block, and cells of a shingle table.
+SHINGLE, SIMILAR, REGISTERS, BAND, DIFFER, BLOCK, BLOCK_BYTES, CELLS = 5, 0.8, 100, 5, 30, 1024, 2 << 20, 1 << 21
 BANDS = REGISTERS // BAND
 
 
@@ -155,6 +156,58 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good))
 
 
+def shared(row: np.ndarray, h: np.ndarray, count: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Shingles that each text of ``left`` has in common with each of ``right``, repeats counted."""
+    turn = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    row, h = np.repeat(row, count), np.repeat(h, count)
+    h = np.where(turn > 0, mix(h + turn.astype(U) * U(0x9E3779B97F4A7C15)), h)  # the second, third, ... of a shingle are keys of their own
+    by = np.argsort(h, kind="stable")
+    row, h = row[by], h[by]
+    cut = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    size = np.diff(np.append(cut, len(h)))
+    row, size = row[np.repeat(size > 1, size)], size[size > 1]
+    column = np.repeat(np.arange(len(size)), size)
+    n, out = int(max(left.max(), right.max())) + 1, np.zeros((len(left), len(right)), np.float32)
+    wide = max(1, CELLS // n)
+    for at in range(0, len(size), wide):
+        some = slice(*np.searchsorted(column, [at, at + wide]))
+        table = np.zeros((n, min(wide, len(size) - at)), np.float32)
+        table[row[some], column[some] - at] = 1
+        out += table[left] @ table[right].T
+    return out
+
+
+def _blocks(group: pa.Table) -> pa.Table:
+    """Two blocks of a bucket (i, j, k, id, c, z) to a forest of links between their classes."""
+    i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+    k, ids, c = (group.column(x).to_numpy() for x in ("k", "id", "c"))
+    a, b = [], []
+    left, right = np.flatnonzero(k == i), np.flatnonzero(k == j)
+    if len(left) and len(right) and c.min() != c.max():
+        row, h, count = shingles(words(pa.array([zstandard.decompress(z.as_py()) for z in group.column("z")], pa.binary()).cast(pa.string())))
+        total = np.bincount(row, count, len(ids))
+        both = shared(row, h, count, left, right)
+        part = max(1, CELLS // len(right))
+        root = {x: x for x in c.tolist()}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for at in range(0, len(left), part):
+            of, same = left[at : at + part], both[at : at + part].astype(np.float64)
+            near = (same / np.maximum(total[of][:, None] + total[right] - same, 1) >= SIMILAR) & (c[of][:, None] != c[right])
+            for x, y in zip(*np.nonzero(near), strict=True):
+                x, y = of[x], right[y]
+                cx, cy = find(int(c[x])), find(int(c[y]))
+                if cx != cy:
+                    root[cx] = cy
+                    a.append(min(ids[x], ids[y]))
+                    b.append(max(ids[x], ids[y]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=3)
     for batch in batches:
@@ -170,9 +223,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).withColumn("rid", F.monotonically_increasing_id())
     rows = rows.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit(7), "text")})
     keys = rows.select("rid", "doc_id", "k1", "k2")
-    first = checkpoint(rows.where("doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.min("rid").alias("rid"), F.count("*").alias("copies")))
+    first = checkpoint(rows.where("doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.min("rid").alias("rid"), F.max(F.octet_length("text")).alias("bytes")))
     signed = checkpoint(_nodes(rows, first))
-    band = signed.select(F.struct("id", "s1", "s2").alias("n"), F.explode("bands").alias("bucket"))
+    band = signed.select(F.struct("id", "s1", "s2", "bytes").alias("n"), F.explode("bands").alias("bucket"))
     size = band.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     # the degree of a node is the sum of its buckets' sizes: the text that others were copied from has the highest
     degree = band.select("n.id", "bucket").join(size, "bucket").groupBy("id").agg(F.sum("size").alias("degree"))
@@ -183,15 +236,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     needed = placed.select("n.id").distinct()
     text = rows.select(F.col("doc_id").alias("id"), "text").where("text is not null").join(needed, "id")
     text = checkpoint(text.mapInArrow(_squeeze, "id long, z binary"))
-    tried = checkpoint(hubs.select("bucket", "h.id"))
-    found = _checked(links, text)
-    comp, found = components(found)
-    while True:
-        hubs = checkpoint(_next_hubs(placed, tried, comp))
-        more = checkpoint(_checked(_apart(_linked(placed, hubs), comp), text))
-        if more.isEmpty():
-            break
-        tried = checkpoint(tried.unionByName(hubs.select("bucket", "h.id")))
+    comp, found = components(_checked(links, text))
+    more = checkpoint(_rest(placed, hubs, comp, text))
+    if not more.isEmpty():
         comp, found = components(found.unionByName(more))
     by_text = first.select("k1", "k2", "id").join(comp, "id", "left").select("k1", "k2", F.coalesce("comp", "id").alias("class_id"))
     return keys.join(by_text, ["k1", "k2"], "left").select("rid", "doc_id", "class_id")
@@ -200,7 +247,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def _nodes(rows: DataFrame, first: DataFrame) -> DataFrame:
     """Signature of one row of each distinct text."""
     signed = rows.where("text is not null").select("rid", "text").mapInArrow(_sign, "rid long, bands array<long>, s1 long, s2 long")
-    return signed.join(first.select("rid", "id"), "rid").where("bands is not null").groupBy("id").agg(F.first("bands").alias("bands"), F.first("s1").alias("s1"), F.first("s2").alias("s2"))
+    return signed.join(first.select("rid", "id", "bytes"), "rid").where("bands is not null").groupBy("id").agg(*(F.first(x).alias(x) for x in ("bands", "s1", "s2", "bytes")))
 
 
 def _checked(pairs: DataFrame, text: DataFrame) -> DataFrame:
@@ -210,26 +257,23 @@ def _checked(pairs: DataFrame, text: DataFrame) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").select("a", "b", "za", "zb").mapInArrow(_verify, "a long, b long").distinct()
 
 
-def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs whose ends are in different components."""
-    a, b = (comp.select(F.col("id").alias(k), F.col("comp").alias(f"c{k}")) for k in "ab")
-    return pairs.join(a, "a", "left").join(b, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-
 def _linked(placed: DataFrame, hubs: DataFrame) -> DataFrame:
     """Pairs (a < b) of the buckets' members with the buckets' hubs that their sketches allow."""
     pairs = placed.join(hubs, "bucket").where("n.id <> h.id").where(_differ("n", "h") <= DIFFER)
     return pairs.select(F.least("n.id", "h.id").alias("a"), F.greatest("n.id", "h.id").alias("b")).distinct()
 
 
-def _next_hubs(placed: DataFrame, tried: DataFrame, comp: DataFrame) -> DataFrame:
-    """Further hubs for each bucket with classes that no hub has come from: their members of the highest degrees."""
+def _rest(placed: DataFrame, hubs: DataFrame, comp: DataFrame, text: DataFrame) -> DataFrame:
+    """Links (a < b) between a bucket's members that are no hubs of it; a hub has met all."""
     label = comp.select(F.col("id").alias("m"), "comp")
-    met = tried.join(label, F.col("id") == F.col("m"), "left").select("bucket", F.coalesce("comp", "id").alias("c")).distinct()
-    member = placed.join(label, F.col("n.id") == F.col("m"), "left").select("bucket", "n", "degree", F.coalesce("comp", "n.id").alias("c"))
-    open_ = member.join(met, ["bucket", "c"], "left_anti")
-    best = Window.partitionBy("bucket").orderBy(F.desc("degree"), "n.id")
-    return open_.withColumn("k", F.row_number().over(best)).where(F.col("k") <= HUBS).select("bucket", F.col("n").alias("h"))
+    member = placed.select("bucket", "n.id", "n.bytes").join(hubs.select("bucket", "h.id"), ["bucket", "id"], "left_anti")
+    member = checkpoint(member.join(label, F.col("id") == F.col("m"), "left").select("bucket", "id", "bytes", F.coalesce("comp", "id").alias("c")))
+    many = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int")
+    open_ = member.groupBy("bucket").agg(many.alias("many"), F.min("c").alias("least"), F.max("c").alias("most")).where("least < most")
+    dealt = member.join(open_.select("bucket", "many"), "bucket").withColumn("k", F.pmod(F.xxhash64("id"), F.col("many")).cast("int"))
+    dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("many") - 1)))
+    dealt = dealt.select("bucket", F.least("k", "o").alias("i"), F.greatest("k", "o").alias("j"), "k", "id", "c").join(text, "id")
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(_blocks, "a long, b long").distinct()
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
