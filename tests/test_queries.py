@@ -1,5 +1,7 @@
 """Every registered query with SQL agrees with DuckDB on the smallest tables; the others give rows."""
 
+import collections
+import json
 import os
 
 import pytest
@@ -58,3 +60,15 @@ def test_entry(spark):
 
 def test_ids_are_the_blueprints():
     assert len(QUERIES) > 200
+
+
+@needs_data
+def test_json_captions_are_whole(spark):
+    from tidemark.plans import mapping as mp
+
+    told = collections.defaultdict(list)
+    for r in mp.segments(spark, SF).orderBy("video_id", "ord").collect():
+        told[r.video_id].append(r.text)
+    assert max(len(t) for texts in told.values() for t in texts) > 40
+    for r in QUERIES["snk_json_caps"](spark, SF).collect():
+        assert [c["caption"] for c in json.loads(r.body)["captions"]] == told[r.video_id]

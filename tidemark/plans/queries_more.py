@@ -240,18 +240,23 @@ query("top_sample", sql("SELECT video_id, ord FROM (SELECT video_id, ord, row_nu
 
 
 def captions(spark, sf):
-    return mp.segments(spark, sf).select("video_id", F.col("ord").alias("scene_id"), "start", "end", F.left("text", F.lit(40)).alias("caption"), F.array("speaker").alias("characters"), (F.col("ord") % 2 == 0).alias("has_dialogue"))
+    return mp.segments(spark, sf).select("video_id", F.col("ord").alias("scene_id"), "start", "end", F.col("text").alias("caption"), F.array("speaker").alias("characters"), (F.col("ord") % 2 == 0).alias("has_dialogue"))
+
+
+def _prefixes(spark, sf):
+    """The captions' first 40 characters, which are all that the SQL of five queries asks for."""
+    return captions(spark, sf).withColumn("caption", F.left("caption", F.lit(40)))
 
 
 _CS = "printf('%02d:%02d:%02d{m}%03d', {c}::BIGINT // 3600, ({c}::BIGINT % 3600) // 60, {c}::BIGINT % 60, 0)"
 _A, _B = _CS.format(m=",", c="start"), _CS.format(m=",", c='"end"')
 _AV, _BV = _CS.format(m=".", c="start"), _CS.format(m=".", c='"end"')
 _WHO = "CASE WHEN ord % 2 = 0 THEN '[' || speaker || '] ' ELSE '' END"
-query("snk_srt", sql(f"SELECT video_id, string_agg((ord + 1) || chr(10) || {_A} || ' --> ' || {_B} || chr(10) || {_WHO} || left(text, 40) || chr(10), chr(10) ORDER BY ord) || chr(10) AS body FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY ord) - 1 AS o FROM seg) GROUP BY ALL", "seg"))(lambda s, d: sk.srt_file(captions(s, d)))
-query("snk_vtt", sql(f"SELECT video_id, 'WEBVTT' || chr(10) || 'Kind: captions' || chr(10) || chr(10) || string_agg(printf('SCENE_%03d', ord) || chr(10) || {_AV} || ' --> ' || {_BV} || ' align:left line:90%' || chr(10) || CASE WHEN ord % 2 = 0 THEN '<v ' || speaker || '>' ELSE '' END || left(text, 40) || chr(10), chr(10) ORDER BY ord) || chr(10) AS body FROM seg GROUP BY ALL", "seg"))(lambda s, d: sk.vtt_file(captions(s, d)))
-query("snk_pkg_srt_vtt", sql(f"SELECT video_id, string_agg(ord || chr(10) || {_A} || ' --> ' || {_B} || chr(10) || left(text, 40) || chr(10), chr(10) ORDER BY ord) || chr(10) AS body FROM seg GROUP BY ALL", "seg"))(lambda s, d: sk.plain_srt(captions(s, d)))
+query("snk_srt", sql(f"SELECT video_id, string_agg((ord + 1) || chr(10) || {_A} || ' --> ' || {_B} || chr(10) || {_WHO} || left(text, 40) || chr(10), chr(10) ORDER BY ord) || chr(10) AS body FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY ord) - 1 AS o FROM seg) GROUP BY ALL", "seg"))(lambda s, d: sk.srt_file(_prefixes(s, d)))
+query("snk_vtt", sql(f"SELECT video_id, 'WEBVTT' || chr(10) || 'Kind: captions' || chr(10) || chr(10) || string_agg(printf('SCENE_%03d', ord) || chr(10) || {_AV} || ' --> ' || {_BV} || ' align:left line:90%' || chr(10) || CASE WHEN ord % 2 = 0 THEN '<v ' || speaker || '>' ELSE '' END || left(text, 40) || chr(10), chr(10) ORDER BY ord) || chr(10) AS body FROM seg GROUP BY ALL", "seg"))(lambda s, d: sk.vtt_file(_prefixes(s, d)))
+query("snk_pkg_srt_vtt", sql(f"SELECT video_id, string_agg(ord || chr(10) || {_A} || ' --> ' || {_B} || chr(10) || left(text, 40) || chr(10), chr(10) ORDER BY ord) || chr(10) AS body FROM seg GROUP BY ALL", "seg"))(lambda s, d: sk.plain_srt(_prefixes(s, d)))
 _RD = "CASE WHEN {c} >= 3600 THEN printf('%d:%02d:%02d', {c}::BIGINT // 3600, ({c}::BIGINT % 3600) // 60, {c}::BIGINT % 60) ELSE printf('%d:%02d', {c}::BIGINT // 60, {c}::BIGINT % 60) END"
-query("snk_txt", sql(f"SELECT video_id, string_agg('[' || {_RD.format(c='start')} || ' - ' || {_RD.format(c=chr(34) + 'end' + chr(34))} || '] ' || left(text, 40), chr(10) ORDER BY ord) || chr(10) AS body FROM seg GROUP BY ALL", "seg"))(lambda s, d: sk.text_file(captions(s, d)))
+query("snk_txt", sql(f"SELECT video_id, string_agg('[' || {_RD.format(c='start')} || ' - ' || {_RD.format(c=chr(34) + 'end' + chr(34))} || '] ' || left(text, 40), chr(10) ORDER BY ord) || chr(10) AS body FROM seg GROUP BY ALL", "seg"))(lambda s, d: sk.text_file(_prefixes(s, d)))
 query("snk_html", "SELECT doc_id AS video_id, '<!DOCTYPE html>' || chr(10) || '<meta charset=\"utf-8\">' || chr(10) || '<p><b>0:00</b> ' || replace(replace(replace(replace(replace(left(text, 200), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') || '</p>' || chr(10) AS body FROM documents")(
     lambda s, d: sk.html_file(mp.table(s, d, "documents").select(F.col("doc_id").alias("video_id"), F.lit(1).alias("scene_id"), F.lit(0.0).alias("start"), F.left("text", F.lit(200)).alias("caption")))
 )
@@ -260,7 +265,7 @@ query("snk_json_docs", sql("SELECT video_id, count(*)::INTEGER AS n, string_agg(
 query("snk_shots_scenes", sql('SELECT video_id, count(*)::INTEGER AS total_shots, max("end") AS "end" FROM shot GROUP BY ALL', "shot"))(lambda s, d: sk.nested(mp.shots(s, d), "shots", "id", "start", "end").select("video_id", "total_shots", F.element_at("shots", -1)["end"].alias("end")))
 query("snk_analysis", sql("SELECT v.video_id, duration, (SELECT count(*) FROM shot s WHERE s.video_id = v.video_id)::INTEGER AS total_shots, (SELECT count(*) FROM scene c WHERE c.video_id = v.video_id)::INTEGER AS total_scenes FROM vid v", "shot", "scene"))(lambda s, d: sk.analysis(mp.videos(s, d), mp.shots(s, d), mp.scenes(s, d)).select("video_id", "duration", "total_shots", "total_scenes"))
 query("snk_tracking", sql("SELECT character_id, string_agg(ord::VARCHAR, ',' ORDER BY k DESC) AS v FROM (SELECT character_id, ord, row_number() OVER (PARTITION BY character_id ORDER BY ord DESC) AS k FROM det) WHERE k <= 10 GROUP BY ALL", "det"))(lambda s, d: mp.detections(s, d).withColumn("k", F.row_number().over(Window.partitionBy("character_id").orderBy(F.desc("ord")))).where("k <= 10").groupBy("character_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list("ord")), lambda x: x.cast("string")), ",").alias("v")))
-query("snk_context", sql("SELECT video_id, ord AS scene_id, speaker || ': ' || left(text, 40) AS v FROM seg", "seg"))(lambda s, d: captions(s, d).select("video_id", "scene_id", F.concat(F.get("characters", F.lit(0)), F.lit(": "), "caption").alias("v")))
+query("snk_context", sql("SELECT video_id, ord AS scene_id, speaker || ': ' || left(text, 40) AS v FROM seg", "seg"))(lambda s, d: _prefixes(s, d).select("video_id", "scene_id", F.concat(F.get("characters", F.lit(0)), F.lit(": "), "caption").alias("v")))
 query("snk_reports", sql("SELECT '# Video ' || video_id || chr(10) || '- segments: ' || segments || chr(10) || '- words: ' || words AS body FROM vid", "vid"))(lambda s, d: mp.videos(s, d).select(F.concat(F.lit("# Video "), F.col("video_id").cast("string"), F.lit("\n- segments: "), F.col("segments").cast("string"), F.lit("\n- words: "), F.col("words").cast("string")).alias("body")))
 
 # ---- model boundary --------------------------------------------------------------------
