@@ -181,20 +181,88 @@ def test_toxicity(spark):
     assert any(e.toxic == 1 for i in held if truth[i] for e in rows[i].evidence)
 
 
-def test_neighbours_are_exact(spark):
-    docs, labels, _ = toxic_docs(spark, 300)
-    index = toxicity.fit(docs, labels, F.lit(True))
-    n = len(index.ids)
-    dense = np.zeros((n, len(index.vocabulary)))
-    for k in range(n):
-        t, w = index.vector(k)
-        dense[k, t] = w
-    for k in range(0, n, 7):
-        t, w = index.vector(k)
-        best, sims = index.nearest(t, w)
-        plain = np.sort(dense[:, t] @ w)[::-1]
-        plain = plain[plain > 1e-6][: toxicity.NEIGHBOURS]
-        assert np.allclose(sims, plain, atol=1e-5)
+def plain_terms(text):
+    out = collections.Counter()
+    for w in re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or "")):
+        if w := w.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"):
+            out[0, w.encode()] += 1
+            for n in (4, 6, 8):
+                if len(w.encode()) >= n:
+                    out[n, w.encode()[:n]] += 1
+    return out
+
+
+def plain_scores(rows, labels, learn):
+    """{row number: (score, evidence)} from the definition, all cosines computed."""
+    share, texts = collections.Counter(y for i, y in labels.items() if learn(i)), {i: t for i, t in rows}
+    sample = [i for i in sorted(labels) if learn(i) and i in texts]
+    n = [max(1, sum(labels[i] == y for i in sample)) for y in (0, 1)]
+    bags = {i: plain_terms(texts[i]) for i in sample}
+    count = [collections.Counter(t for i in sample if labels[i] == y for t in bags[i]) for y in (0, 1)]
+    df = collections.Counter(t for _, x in rows for t in plain_terms(x))
+
+    def weight(t):
+        a, b = count[0][t], count[1][t]
+        p = (a + b + 1) / (sum(n) + 2)
+        z = (b / n[1] - a / n[0]) / math.sqrt(p * (1 - p) * (1 / n[0] + 1 / n[1]))
+        return (math.log((1 + len(rows)) / (1 + df[t])) + 1) * z * z / (z * z + toxicity.Z**2) if a + b else 0.0
+
+    weights = {t: weight(t) for t in count[0].keys() | count[1].keys()}
+
+    def vector(bag):
+        v = {t: (1 + math.log(c)) * weights[t] for t, c in bag.items() if weights.get(t)}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / norm for t, x in v.items()} if norm else {}
+
+    vectors = {i: vector(bags[i]) for i in sample}
+    stands = {y: share[y] / n[y] for y in (0, 1)}
+    prior = sum(stands[labels[i]] * labels[i] for i in sample) / sum(stands[labels[i]] for i in sample)
+
+    def vote(v, leave=None):
+        near = sorted((-round(sum(x * vectors[i].get(t, 0) for t, x in v.items()), 6), i) for i in sample if i != leave)[: toxicity.NEIGHBOURS]
+        near = [(-s, i) for s, i in near if s < -1e-6]
+        total = sum(s * s * stands[labels[i]] for s, i in near)
+        return (sum(s * s * stands[labels[i]] * labels[i] for s, i in near) + prior) / (total + 1), near
+
+    full = [i for i in sample if vectors[i]]
+    x, y = toxicity.isotonic(*(np.array(c, float) for c in zip(*((vote(vectors[i], i)[0], labels[i], stands[labels[i]]) for i in full), strict=True)))
+    bare = [i for i in sample if not vectors[i]]
+    empty = sum(stands[labels[i]] * labels[i] for i in bare) / sum(stands[labels[i]] for i in bare) if bare else prior
+    out = []
+    for _, text in rows:
+        v = vector(plain_terms(text))
+        got, near = vote(v)
+        out.append((float(np.interp(got, x, y)), [(i, round(s, 4)) for s, i in near[:3]]) if v else (empty, []))
+    return out
+
+
+def test_toxicity_scores_are_the_plain_ones(spark, monkeypatch):
+    """The query's whole result against all cosines; a long text, repeated rows, empty ones and many small blocks."""
+    monkeypatch.setattr(toxicity, "BLOCK", 8)
+    monkeypatch.setattr(toxicity, "DENSE", 0.2)
+    docs, labels, truth = toxic_docs(spark, 160)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    rng = random.Random(10)
+    rows += [(200, " ".join(f"w{rng.randrange(3000)}" for _ in range(20000))), (201, None), (202, ""), (203, "... --"), (204, rows[3][1]), (205, rows[3][1]), (206, "never-seen")]
+    learn = lambda i: zlib.crc32(str(i).encode()) % 4 != 2
+    truth = {**truth, 201: 0, 202: 1}
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(3)
+    marks = spark.createDataFrame(list(truth.items()), "doc_id long, toxic int")
+    index = toxicity.fit(df, marks, fold("doc_id", 4) != 2)
+    got = {r.doc_id: r for r in toxicity.score(df, index).collect()}
+    for (i, _), (want, near) in zip(rows, plain_scores(rows, truth, learn), strict=True):
+        assert got[i].score == pytest.approx(want, abs=1e-4), i
+        assert [(e.doc_id, pytest.approx(e.cosine, abs=2e-4)) for e in got[i].evidence] == near
+
+
+def test_sample_bounds(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "EXAMPLES", 5)
+    monkeypatch.setattr(toxicity, "BYTES", 30)
+    df = spark.createDataFrame([(i, "ten bytes " if i else "x" * 31) for i in range(40)] + [(7, "a")], "doc_id long, text string")
+    marks = df.select(F.col("doc_id"), (F.col("doc_id") % 2).cast("int").alias("y")).distinct()
+    got = toxicity.sampled(df, marks).to_pylist()
+    assert 2 <= len(got) <= 6 and all(sum(r["y"] == y for r in got) <= 3 for y in (0, 1))
+    assert all(r["text"] == "a" for r in got if r["doc_id"] == 7)
 
 
 def test_no_labels(spark):
