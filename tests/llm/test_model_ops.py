@@ -61,12 +61,13 @@ def test_code_switching_and_defined_cases(spark):
     assert crf.label(df.where("false"), model).count() == 0
 
 
-def test_forward_backward_by_enumeration():
+@pytest.mark.parametrize("block", [1, 2, 64])
+def test_forward_backward_by_enumeration(block):
     from itertools import product
 
     rng = np.random.default_rng(0)
     emit, begin, trans = rng.normal(size=(5, 3)), rng.normal(size=3), rng.normal(size=(3, 3))
-    post, log_z, _, pairs = crf.forward_backward(emit, np.array([0, 3]), np.array([3, 2]), begin, trans)
+    post, log_z, _, pairs = crf.forward_backward(emit, np.array([0, 0, 3, 5, 5]), begin, trans, block)
     z_all, want, moves = 0.0, np.zeros((5, 3)), np.zeros((3, 3))
     for start, n in ((0, 3), (3, 2)):
         paths = {p: math.exp(begin[p[0]] + sum(emit[start + t, k] for t, k in enumerate(p)) + sum(trans[a, b] for a, b in zip(p, p[1:], strict=False))) for p in product(range(3), repeat=n)}
@@ -80,6 +81,75 @@ def test_forward_backward_by_enumeration():
     assert np.allclose(post, want) and math.isclose(log_z, z_all) and np.allclose(pairs, moves)
 
 
+def test_messages_cross_the_blocks():
+    rng = np.random.default_rng(4)
+    emit, begin, trans = rng.normal(size=(700, 3)), rng.normal(size=3), 2 * rng.normal(size=(3, 3))
+    rows = np.array([0, 5, 5, 300, 301, 700])
+    whole = crf.forward_backward(emit, rows, begin, trans, 1000)
+    for block in (1, 7, 64):
+        for a, b in zip(crf.forward_backward(emit, rows, begin, trans, block), whole, strict=True):
+            assert np.allclose(a, b)
+
+
+def test_predictions_by_enumeration(spark):
+    """lang_pred, score and runs of the query against sums over all label paths."""
+    from itertools import product
+
+    model = crf.fit(spoken(spark, random.Random(5), 60), F.lit(True))
+    rng = random.Random(6)
+    texts = [" ".join(word(rng, rng.choice(sorted(ENDS))) for _ in range(rng.randrange(1, 8))) for _ in range(12)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in crf.label(df, model).collect()}
+    for i, t in enumerate(texts):
+        w = wd.words(pa.array([t]), lower=True)
+        rows, at = crf.word_features(w, np.arange(len(w.hashes)))
+        emit = [model.weights[rows[a:b]].sum(0).astype(float) for a, b in zip(at[:-1], at[1:], strict=True)]
+        total = np.zeros((len(emit), 3))
+        for p in product(range(3), repeat=len(emit)):
+            v = math.exp(model.begin[p[0]] + sum(e[k] for e, k in zip(emit, p, strict=True)) + sum(model.trans[a, b] for a, b in zip(p, p[1:], strict=False)))
+            for k, label in enumerate(p):
+                total[k, label] += v
+        post = total / total.sum(1, keepdims=True)
+        mean = post.mean(0)
+        assert got[i].lang_pred == model.labels[mean.argmax()] and got[i].score == pytest.approx(mean.max(), abs=1e-4)
+        spelt = [x.lang for x in got[i].runs for _ in range(x.first_word, x.end_word)]
+        assert spelt == [model.labels[k] for k in post.argmax(1)]
+
+
+def test_switches_are_learned_from_foreign_runs():
+    word_, gold, rows = np.array([0, 0, 0, 0, 0, 0, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 1, 1, 2]), np.array([0] * 6 + [1] * 13), np.array([0, 6, 12, 19])
+    word_ = np.concatenate([np.zeros(100, int), word_])
+    gold, rows = np.concatenate([np.zeros(100, int), gold]), np.concatenate([[0], rows + 100])
+    got = crf.foreign_runs(word_, gold, rows, 2)
+    assert got[112:].tolist() == [0, 0, 0, 0, 1, 1, 1] and (got[:112] == gold[:112]).all()
+    rng = random.Random(1)
+    plain = [(" ".join(word(rng, x) for _ in range(60)), x) for x in ("aa", "bb") * 30]
+    fixed = {x: [word(rng, x) for _ in range(40)] for x in ("aa", "bb")}
+    mixed = [(" ".join(rng.choice(fixed[y]) for y in (x * 30 + z * 4 + x * 30).split("|") if y), x) for x, z in (("aa|", "bb|"), ("bb|", "aa|")) * 15]
+    pure = [(" ".join(rng.choice(fixed[x]) for _ in range(60)), x) for x in ("aa", "bb") * 30]
+    texts, langs = zip(*(plain + pure + [(t, x.strip("|")) for t, x in mixed]), strict=True)
+    often = crf.train(list(texts), list(langs)).trans
+    texts, langs = zip(*(plain + pure + pure), strict=True)
+    never = crf.train(list(texts), list(langs)).trans
+    stay = lambda t: float(np.trace(t) - t[0, 1] - t[1, 0])
+    assert stay(often) < stay(never)
+
+
+def test_language_bounds_and_edges(spark, monkeypatch):
+    """More than 64 languages, repeated ids, bytes over the bound, clashing names and a very long text."""
+    rows = [(k % 70, f"L{k % 70}x L{k % 70}y " * 3, f"l{k % 70:02d}", 0, "x") for k in range(210)] + [(5, "long " * 1000, "l05", 0, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int, runs string")
+    monkeypatch.setattr(crf, "BYTES", 4000)
+    model = crf.fit(df, F.lit(True))
+    assert len(model.labels) == 70
+    out = crf.label(df.unionByName(spark.createDataFrame([(1000, "L3x L3y " * 30000, None, 0, "x")], df.schema)), model)
+    assert out.columns == ["doc_id", "text", "lang", "lang_pred", "score", "runs"]
+    got = out.collect()
+    assert len(got) == len(rows) + 1
+    assert sum(r.lang_pred == r.lang for r in got) >= 200
+    assert next(r for r in got if r.doc_id == 1000).lang_pred == "l03"
+
+
 # ---- top-k -----------------------------------------------------------------------------
 
 

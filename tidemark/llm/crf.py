@@ -1,18 +1,25 @@
 """Language identification by a linear-chain conditional random field over words.
 
 A word's emission is a sum of hashed weights: the word itself (lexicon), prefixes and
-suffixes of 1 to 3 bytes, and byte pairs and triples. Start and transition weights are
-learned with them by gradient steps on the chain's log-likelihood. Forward-backward
+suffixes of 1 to 3 bytes, and byte pairs and triples. They are
+learned by gradient steps on the chains' log-likelihood, start weights likewise, and
+transition weights by iterative scaling until expected and labelled switches agree. Forward-backward
 gives each word's language probabilities, hence runs of languages in code-switched
-text; a document's language has the largest mean probability. A chain is CHAIN words of
-one document at most; a longer text is several chains, all of them read.
+text; a document's language has the largest mean probability. A chain is a whole text.
+It is worked in blocks of BLOCK words, side by side: a block's product of step matrices
+carries the forward and backward messages over it, so that the result is the chain's.
 
-The model is fitted on a bounded sample, at most PER_LANGUAGE documents of each of at
-most LANGUAGES languages (the commonest), chosen by hash, with their whole texts.
+The model is fitted on a bounded sample: of every language among the labelled rows at
+most PER_LANGUAGE documents and BYTES of text, chosen by hash, with their whole texts.
+A word's label is its document's language, except in runs of RUN or more words that the
+sample knows from one other language only: those are labelled with that language, and
+so are the switches that the transitions learn from. One switch of each kind is added.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and has no
 runs; with no labelled document everything is ``und``; ties go to the language first
-by name; other columns pass through.
+by name; of sample rows that share id and language the smallest text is learned; every
+row is labelled, repeated ones alike; columns named lang_pred, score or runs are
+replaced, others pass through. The model takes ROWS * 4 bytes a language.
 """
 
 from __future__ import annotations
@@ -29,8 +36,8 @@ from pyspark.sql import types as T
 from .common import slices
 from .words import U, Words, map_rows, mix, words
 
-#: Sample bounds, words of a chain, rows of weights, training sweeps, their rate and share of switches assumed between words.
-PER_LANGUAGE, LANGUAGES, CHAIN, ROWS, SWEEPS, RATE, SWITCH = 300, 64, 64, 1 << 17, 25, 0.5, 0.02
+#: Sample bounds, words of a block, rows of weights, training sweeps, their rate, words of a foreign run, and ids that may be broadcast.
+PER_LANGUAGE, BYTES, BLOCK, ROWS, SWEEPS, RATE, RUN, IDS = 300, 1 << 20, 64, 1 << 17, 25, 0.5, 3, 1_000_000
 
 
 def word_features(w: Words, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -55,44 +62,76 @@ def word_features(w: Words, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (key[by] & U(ROWS - 1)).astype(np.int64), np.searchsorted(own[by], np.arange(len(of) + 1))
 
 
-def chains(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, length) of all chains, longest first."""
+def _scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (of one or two axes) that sum to one, and what they summed to."""
+    total = x.sum(tuple(range(1, x.ndim)))
+    return x / total.reshape(-1, *[1] * (x.ndim - 1)), total
+
+
+def _carried(e: np.ndarray, a: np.ndarray, start: np.ndarray, first: np.ndarray, length: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """(message into each block, message back into its end, log of the scales); ``parts``: blocks of each text, in order."""
+    n = e.shape[1]
+    ahead, back = np.tile(start, (len(first), 1)), np.ones((len(first), n), e.dtype)
+    if parts.max(initial=0) < 2:
+        return ahead, back, 0.0
+    to = np.cumsum(parts)
+    of = np.flatnonzero(np.repeat(parts > 1, parts))
+    by = of[np.argsort(-length[of], kind="stable")]
+    product = np.zeros((len(by), n, n), e.dtype)
+    product[:, np.arange(n), np.arange(n)] = e[first[by]]
+    for t in range(1, int(length[by[0]])):
+        k = int(np.searchsorted(-length[by], -t, "left"))
+        product[:k] = _scaled((product[:k] @ a) * e[first[by[:k]] + t][:, None, :])[0]
+    place = np.empty(len(first), np.int64)
+    place[by] = np.arange(len(by))
+    texts = np.argsort(-parts, kind="stable")
+    texts, begin, logs = texts[parts[texts] > 1], (to - parts)[texts[parts[texts] > 1]], 0.0
+    many = parts[texts]
+    for k in range(1, int(many[0])):
+        at = begin[: int(np.searchsorted(-many, -k, "left"))] + k
+        last, _ = _scaled(np.einsum("bi,bij->bj", ahead[at - 1], product[place[at - 1]]))
+        ahead[at], total = _scaled(last @ a)
+        logs += float(np.log(total, dtype=np.float64).sum())
+    for k in range(int(many[0]) - 1, 0, -1):
+        at = begin[: int(np.searchsorted(-many, -k, "left"))] + k
+        back[at - 1] = _scaled(np.einsum("bij,bj->bi", product[place[at]], back[at]) @ a.T)[0]
+    return ahead, back, logs
+
+
+def forward_backward(emit: np.ndarray, rows: np.ndarray, begin: np.ndarray, trans: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
+    """(posterior of each word, log Z of all chains, expected starts, expected transitions); rows: word offsets of the texts."""
+    top = emit.max(1, keepdims=True) if len(emit) else emit
+    e, a = np.exp(emit - top), np.exp(trans).astype(emit.dtype)
     sizes = np.diff(rows)
-    parts = -(-sizes // CHAIN)
+    parts = -(-sizes // block)
     within = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    start = np.repeat(rows[:-1], parts) + within * CHAIN
-    length = np.minimum(CHAIN, np.repeat(rows[1:], parts) - start)
+    first = np.repeat(rows[:-1], parts) + within * block
+    length = np.minimum(block, np.repeat(rows[1:], parts) - first)
+    ahead, back, log_z = _carried(e, a, np.exp(begin).astype(emit.dtype), first, length, parts[parts > 0])
     by = np.argsort(-length, kind="stable")
-    return start[by], length[by]
-
-
-def forward_backward(emit: np.ndarray, first: np.ndarray, length: np.ndarray, begin: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
-    """(posterior of each word, log Z of all chains, expected starts, expected transitions)."""
-    n_labels = emit.shape[1]
-    top = emit.max(1, keepdims=True)
-    e = np.exp(emit - top)
-    a, post = np.exp(trans), np.zeros_like(e)
-    alpha, scale = np.zeros_like(e), np.ones(len(e), e.dtype)
+    first, length, now, beta = first[by], length[by], ahead[by], back[by]
+    alpha, behind = np.zeros_like(e), np.zeros_like(e)
     steps = int(length[0]) if len(length) else 0
-    active = [int(np.searchsorted(-length, -t, "left")) for t in range(steps)]  # chains longer than t
-    before = None
+    active = [int(np.searchsorted(-length, -t, "left")) for t in range(steps)]  # blocks longer than t
     for t in range(steps):
         at = first[: active[t]] + t
-        now = e[at] * (np.exp(begin) if t == 0 else before[: active[t]] @ a)
-        total = now.sum(1)
-        now /= total[:, None]
-        alpha[at], scale[at], before = now, total, now
-    log_z = float(np.log(scale, dtype=np.float64).sum() + top.sum(dtype=np.float64))
-    beta, pairs = np.ones((len(first), n_labels), e.dtype), np.zeros((n_labels, n_labels))
+        now, total = _scaled(e[at] * (now if t == 0 else now[: active[t]] @ a))
+        alpha[at] = now
+        log_z += float(np.log(total, dtype=np.float64).sum())
     for t in range(steps - 1, -1, -1):
         k = active[t]
         at = first[:k] + t
-        post[at] = alpha[at] * beta[:k]
-        if t:
-            right = e[at] * beta[:k] / scale[at][:, None]
-            pairs += a * (alpha[at - 1].T @ right)
-            beta[:k] = right @ a.T
-    return post, log_z, post[first].sum(0), pairs
+        behind[at] = beta[:k]
+        beta[:k] = _scaled((e[at] * beta[:k]) @ a.T)[0]
+    post = alpha * behind
+    post /= np.maximum(post.sum(1, keepdims=True), 1e-30)
+    follows = np.ones(len(e), bool)
+    follows[rows[:-1][sizes > 0]] = False
+    at = np.flatnonzero(follows)
+    right = e[at] * behind[at]
+    norm = ((alpha[at - 1] @ a) * right).sum(1, keepdims=True)
+    pairs = a * (alpha[at - 1].T @ (right / np.maximum(norm, 1e-30)))
+    return post, log_z + float(top.sum(dtype=np.float64)), post[~follows].sum(0), pairs
 
 
 @dataclass
@@ -109,54 +148,75 @@ class Crf:
         _, one, back = np.unique(w.hashes, return_index=True, return_inverse=True)
         rows, at = word_features(w, one)
         emit = np.add.reduceat(self.weights[rows], at[:-1], axis=0)[back]
-        return forward_backward(emit, *chains(w.rows), self.begin, self.trans)[0]
+        return forward_backward(emit, w.rows, self.begin, self.trans)[0]
+
+
+def foreign_runs(word: np.ndarray, gold: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Labels of words: ``gold``, but another language's in runs of words that the sample knows from it alone."""
+    seen = np.zeros((int(word.max(initial=-1)) + 1, n), np.int64)
+    np.add.at(seen, (word, gold), 1)
+    home = seen.argmax(1)
+    most = seen[np.arange(len(seen)), home]
+    sure = (most >= 5) & (most >= 20 * (seen.sum(1) - most))
+    other = np.where(sure[word] & (home[word] != gold), home[word], -1)
+    cut = np.ones(len(word), bool)
+    cut[1:] = other[1:] != other[:-1]
+    cut[rows[:-1][np.diff(rows) > 0]] = True
+    run = np.cumsum(cut) - 1
+    long = (np.bincount(run) >= RUN)[run] if len(run) else np.zeros(0, bool)
+    return np.where(long & (other >= 0), other, gold)
 
 
 def train(texts: list[str], langs: list[str]) -> Crf:
-    """Fit on whole labelled texts: every word carries its document's language."""
+    """Fit on whole labelled texts."""
     labels = sorted(set(langs))
     n = len(labels)
     w = words(pa.array(texts, pa.string()), lower=True)
     crf = Crf(labels, np.zeros((ROWS, n), np.float32), np.zeros(n, np.float32), np.zeros((n, n), np.float32))
     if not len(w.hashes) or n < 2:
         return crf
-    gold = np.array([labels.index(x) for x in langs])[w.row]
-    _, one, back = np.unique(w.hashes, return_index=True, return_inverse=True)
+    _, one, word = np.unique(w.hashes, return_index=True, return_inverse=True)
+    name = {x: k for k, x in enumerate(labels)}
+    gold = foreign_runs(word, np.array([name[x] for x in langs])[w.row], w.rows, n)
     rows, at = word_features(w, one)
     sizes = np.diff(at)
-    first, length = chains(w.rows)
-    stay = np.bincount(gold, minlength=n) - np.bincount(gold[first], minlength=n)
-    want = np.where(np.eye(n, dtype=bool), 1 - SWITCH, SWITCH / (n - 1)) * stay[:, None]
-    starts = np.bincount(gold[first], minlength=n)
+    starts_at = w.rows[:-1][np.diff(w.rows) > 0]
+    starts = np.bincount(gold[starts_at], minlength=n)
+    follows = np.ones(len(gold), bool)
+    follows[starts_at] = False
+    at_follow = np.flatnonzero(follows)
+    moves = np.bincount(gold[at_follow - 1] * n + gold[at_follow], minlength=n * n).reshape(n, n)
     balance = (1 / np.maximum(np.bincount(gold, minlength=n), 1))[gold].astype(np.float32)
     balance *= len(gold) / n
     sums = [np.full(ROWS, 1e-3, np.float32) for _ in range(n)]
-    gold_hot = np.eye(n, dtype=np.float32)[gold]
     for sweep in range(SWEEPS):
-        emit = np.add.reduceat(crf.weights[rows], at[:-1], axis=0)[back]
-        post, _, start_seen, pair_seen = forward_backward(emit, first, length, crf.begin, crf.trans)
+        emit = np.add.reduceat(crf.weights[rows], at[:-1], axis=0)[word]
+        post, _, start_seen, pair_seen = forward_backward(emit, w.rows, crf.begin, crf.trans)
         rate = RATE / (1 + sweep / 10)
-        error = (gold_hot - post) * balance[:, None]
+        error = -post
+        error[np.arange(len(gold)), gold] += 1
+        error *= balance[:, None]
         for k in range(n):
-            by_word = np.bincount(back, error[:, k], len(one))
+            by_word = np.bincount(word, error[:, k], len(one))
             step = np.bincount(rows, np.repeat(by_word, sizes), ROWS).astype(np.float32) / len(gold)
             sums[k] = 0.9 * sums[k] + 0.1 * np.abs(step) if sweep else np.abs(step) + 1e-9
             crf.weights[:, k] += rate * 0.2 * step / (sums[k] + 1e-5)
-        crf.begin += (rate * (starts - start_seen) / max(1, len(first))).astype(np.float32)
-        crf.trans += (rate * 2 * (want - pair_seen) / max(1, stay.sum())).astype(np.float32)
+        crf.begin += (rate * (starts - start_seen) / len(starts_at)).astype(np.float32)
+        crf.trans += (rate * 0.2 * np.log((moves + 1) / (pair_seen + 1))).astype(np.float32)  # an iterative scaling step
     return crf
 
 
 def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Crf:
     """Fit on the bounded sample of rows where ``learn`` holds and the language is not null."""
-    rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    common = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(LANGUAGES)
-    order = Window.partitionBy("l").orderBy("k", "d")
-    ids = rows.select(F.col(lang_col).alias("l"), F.col(id_col).alias("d"), F.xxhash64(F.col(id_col)).alias("k"))
-    ids = ids.join(F.broadcast(common.select(F.col(lang_col).alias("l"))), "l").withColumn("n", F.row_number().over(order)).where(F.col("n") <= PER_LANGUAGE)
-    chosen = F.broadcast(ids.select("d", "l"))  # at most LANGUAGES * PER_LANGUAGE ids
-    sample = rows.join(chosen, (F.col(id_col) == F.col("d")) & (F.col(lang_col) == F.col("l"))).select(F.col(text_col).alias("t"), "l")
-    got = sample.orderBy("l", F.xxhash64("t")).toArrow()
+    rows = docs.where(learn & F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull())
+    rows = rows.select(F.col(f"`{id_col}`").alias("d"), F.col(f"`{text_col}`").alias("t"), F.col(f"`{lang_col}`").alias("l"))
+    order = Window.partitionBy("l").orderBy(F.xxhash64("d"), "d")
+    ids = rows.select("l", "d").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= PER_LANGUAGE).select("d", "l")
+    languages = rows.select("l").distinct().count()
+    chosen = F.broadcast(ids) if languages * PER_LANGUAGE <= IDS else ids
+    sample = rows.join(chosen, ["d", "l"]).groupBy("d", "l").agg(F.min("t").alias("t"))
+    bytes_ = F.sum(F.octet_length("t")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    got = sample.withColumn("b", bytes_).where(F.col("b") <= BYTES).select("t", "l").orderBy("l", F.xxhash64("t")).toArrow()
     return train(got["t"].to_pylist(), got["l"].to_pylist())
 
 
