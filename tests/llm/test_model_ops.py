@@ -209,9 +209,69 @@ def test_model_learns_context_and_sums_to_one(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
     rows = lm.score(df, fold("doc_id", 5) != 1).where(fold("doc_id", 5) == 1).collect()
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
-    f = np.random.default_rng(0).integers(0, lm.ROWS, (50, 3))
-    w = np.random.default_rng(1).normal(size=(lm.ROWS, lm.CLASSES)).astype(np.float32)
-    assert np.allclose(np.exp(lm.log_classes(w, np.zeros(lm.CLASSES, np.float32), f)).sum(1), 1, atol=1e-5)
+
+
+def plain_language_model(texts, learn, weights):
+    """Scores from given weights: a softmax at each level of the class tree, then the token's share of its last class."""
+    mask, m64 = lm.ROWS - 1, (1 << 64) - 1
+    mixed = lambda x: int(wd.mix(np.array([x & m64], np.uint64))[0])
+
+    def hashed(t):
+        h, leaf, rows = lm.tokens(pa.array([t or ""]))
+        return [int(x) for x in h], [int(x) for x in leaf]
+
+    toks = [hashed(t) for t in texts]
+    counts, of_leaf = collections.Counter(), collections.defaultdict(set)
+    below = collections.Counter()
+    for (h, leaf), good in zip(toks, learn, strict=True):
+        for x, k in zip(h, leaf, strict=True) if good else ():
+            counts[x] += 1
+            of_leaf[k].add(x)
+            path = tuple((k // lm.WAYS ** (lm.LEVELS - 1 - d)) % lm.WAYS for d in range(lm.LEVELS))
+            for d in range(lm.LEVELS):
+                below[path[: d + 1]] += 1
+    out = []
+    for h, leaf in toks:
+        total = 0.0
+        for at, (x, k) in enumerate(zip(h, leaf, strict=True)):
+            one = h[at - 1] if at else int(lm._START)
+            two = h[at - 2] if at > 1 else int(lm._START)
+            past = [mixed(one + 1), mixed(two + 2), mixed(mixed(two + 3) + one)]
+            path = [(k // lm.WAYS ** (lm.LEVELS - 1 - d)) % lm.WAYS for d in range(lm.LEVELS)]
+            for d in range(lm.LEVELS):
+                node = int(lm._NODES[d]) + k // lm.WAYS ** (lm.LEVELS - d)
+                n = [below[(*path[:d], w)] + 0.5 for w in range(lm.WAYS)]
+                z = [math.log(v / sum(n)) + sum(float(weights[mixed(f + node * 0x9FB21C651E98DF25) & mask][w]) for f in past) for w, v in enumerate(n)]
+                total += (z[path[d]] - math.log(sum(math.exp(v) for v in z))) / math.log(10)
+            seen = sum(counts[y] for y in of_leaf[k])
+            total += math.log10((counts[x] + 0.5) / (seen + 0.5 * (len(of_leaf[k]) + 1)))
+        out.append(total)
+    return out
+
+
+def test_scores_are_the_plain_ones(spark, monkeypatch):
+    """``score`` of the query's operator against plain Python; nulls, repeated rows, a long text and clashing names."""
+    kept = []
+    monkeypatch.setattr(lm, "train", lambda texts, bias, f=lm.train: kept.append(f(texts, bias)) or kept[-1])
+    rng = random.Random(17)
+    texts = [" ".join(f"W{int(rng.paretovariate(0.6)) % 50}" for _ in range(rng.randrange(30))) for _ in range(60)] + [None, "", "same text", "same text", "new words only", "long " * 2000 + "end"]
+    rows = [(i, t, 1, "x", False) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, h int, score string, learn boolean").coalesce(2)
+    learn = [zlib.crc32(str(i).encode()) % 5 != 1 for i in range(len(texts))]
+    got = {r.doc_id: r.score for r in lm.score(df, fold("doc_id", 5) != 1).collect()}
+    assert np.abs(kept[0]).max() > 0
+    assert [got[i] for i in range(len(texts))] == pytest.approx(plain_language_model(texts, learn, kept[0]), rel=1e-4)
+
+
+def test_probabilities_sum_to_one():
+    rng = np.random.default_rng(1)
+    weights, bias = rng.normal(size=(lm.ROWS, lm.WAYS)).astype(np.float32), lm.biases(rng.integers(0, 9, lm.LEAVES).astype(float))
+    leaf = np.arange(lm.LEAVES)
+    h = np.full(lm.LEAVES * 3, 7, np.uint64)
+    rows = np.arange(lm.LEAVES + 1) * 3
+    every = np.zeros(lm.LEAVES * 3, np.int64)
+    every[2::3] = leaf
+    assert np.exp(lm.log_probability(h, every, rows, weights, bias)[2::3]).sum() == pytest.approx(1, abs=1e-4)
 
 
 def test_empty_model(spark):
@@ -256,7 +316,7 @@ def plain_terms(text):
     for w in re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or "")):
         if w := w.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"):
             out[0, w.encode()] += 1
-            for n in (4, 6, 8):
+            for n in (4,):
                 if len(w.encode()) >= n:
                     out[n, w.encode()[:n]] += 1
     return out

@@ -1,11 +1,18 @@
 """LM scoring by a hashed maximum-entropy model with a class-factored softmax.
 
-A token's probability is P(class | history) * P(token | class). The class softmax has
-hashed features: the word before, the two words before, and the word before that one
-alone (a skip). The softmax inside a class has the token's bias only, whose maximum-
-entropy solution is the smoothed count; so have the classes' own biases. Token counts cover every training document.
-Weights are trained by gradient steps in every task over its own training documents,
-and the tasks' rows are averaged by how often each row was used.
+Every word has a place in a tree of classes, LEVELS deep and WAYS wide: the first digit
+is a hash of its last two bytes, the others are hashes of the word. A token's probability
+is the product of a softmax at each level, given the history and the classes above, and
+of the token's share of its last class by smoothed counts. Every softmax has hashed
+features: the word before, the two words before, and the word before that one alone (a
+skip), each crossed with the class above. With WAYS ** LEVELS last classes a frequent
+word has its own nearly for itself, so that features bear on words. The biases of all
+softmaxes are the classes' shares of the training tokens.
+
+Token counts cover every training document, and so does the training, in ROUNDS: each
+round takes its share of the documents, by hash; every task makes gradient steps over
+its own, from the weights of the round before, and the tasks' rows are averaged by how
+often each row was used. So the weights depend on how the input is dealt to tasks.
 
 Counts of the frequent tokens, at most FREQUENT of them by the bound below, are
 broadcast; all others meet their documents in a join.
@@ -25,29 +32,39 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, slices
+from .common import checkpoint
+from .common import slices as cut
 from .words import U, mix, words
 
-#: Classes, rows of weights, tokens in a gradient step, its rate; and the bound on broadcast tokens: a token is frequent if count * FREQUENT >= all tokens.
-CLASSES, ROWS, STEP, RATE, FREQUENT = 32, 1 << 15, 1024, 0.6, 2_000_000
+#: Levels of the class tree and classes at each, rows of weights, tokens in a gradient step, its rate, rounds; and the bound on broadcast tokens: a token is frequent if count * FREQUENT >= all tokens.
+LEVELS, WAYS, ROWS, STEP, RATE, ROUNDS, FREQUENT = 3, 16, 1 << 17, 1024, 0.6, 2, 2_000_000
+LEAVES = WAYS**LEVELS
 _END, _START = U(0x1F83D9ABFB41BD6B), U(0x5BE0CD19137E2179)
-_BLOCK = 512  # rows of weights in one shuffled row
+_NODES = np.cumsum([0, *(WAYS**k for k in range(LEVELS))])  # first softmax of each level, and how many there are
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, classes, row offsets) of the tokens, each row closed by the end token."""
+    """(hashes, last classes, row offsets) of the tokens, each row closed by the end token."""
     w = words(texts, lower=True)
     n = len(w.rows) - 1
     tail = np.maximum(w.starts, w.ends - 2)
-    cls = (1 + mix(w.spans(tail, w.ends)) % U(CLASSES - 1)).astype(np.int64)
+    first = mix(w.spans(tail, w.ends)) % U(WAYS)
+    leaf = (first * U(LEAVES // WAYS) + mix(w.hashes + U(5)) % U(LEAVES // WAYS)).astype(np.int64)
     at = np.arange(len(w.hashes)) + w.row
-    h, c = np.full(len(w.hashes) + n, _END), np.zeros(len(w.hashes) + n, np.int64)
-    h[at], c[at] = w.hashes, cls
+    h, c = np.full(len(w.hashes) + n, _END), np.full(len(w.hashes) + n, int(mix(np.array([_END]))[0] % U(LEAVES)), np.int64)
+    h[at], c[at] = w.hashes, leaf
     return h, c, w.rows + np.arange(n + 1)
 
 
-def features(h: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Weight rows of each token's history: tokens x 3."""
+def softmaxes(leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(softmax, digit) on the way to each last class: tokens x LEVELS."""
+    over = WAYS ** np.arange(LEVELS - 1, -1, -1)
+    down = leaf[:, None] // over
+    return _NODES[:-1] + down // WAYS, down % WAYS
+
+
+def features(h: np.ndarray, rows: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Weight rows of each token's history at each of its softmaxes: tokens x LEVELS x 3."""
     one, two = np.empty_like(h), np.empty_like(h)
     one[1:], two[2:] = h[:-1], h[:-2]
     begin = rows[:-1]
@@ -55,49 +72,61 @@ def features(h: np.ndarray, rows: np.ndarray) -> np.ndarray:
     two[begin] = _START
     second = begin[np.diff(rows) > 1] + 1
     two[second] = _START
-    mask = U(ROWS - 1)
-    return np.stack([mix(one + U(1)) & mask, mix(two + U(2)) & mask, mix(mix(two + U(3)) + one) & mask], 1).astype(np.int64)
+    past = np.stack([mix(one + U(1)), mix(two + U(2)), mix(mix(two + U(3)) + one)], 1)
+    crossed = past[:, None, :] + node.astype(U)[:, :, None] * U(0x9FB21C651E98DF25)
+    return (mix(crossed) & U(ROWS - 1)).astype(np.int32)
 
 
-def log_classes(weights: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
-    """Natural log of the class softmax, tokens x CLASSES."""
+def log_softmax(weights: np.ndarray, bias: np.ndarray, f: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Natural log of the softmaxes: len(node) x WAYS."""
     z = weights[f[:, 0]]
     z += weights[f[:, 1]]
     z += weights[f[:, 2]]
-    z += bias
+    z += bias[node]
     z -= z.max(1, keepdims=True)
     z -= np.log(np.exp(z).sum(1, keepdims=True))
     return z
 
 
+def biases(in_leaf: np.ndarray) -> np.ndarray:
+    """Log share of each class among its softmax's classes: softmaxes x WAYS."""
+    out = []
+    for level in range(LEVELS):
+        n = in_leaf.reshape(WAYS ** (level + 1), -1).sum(1).reshape(-1, WAYS) + 0.5
+        out.append(np.log(n / n.sum(1, keepdims=True)))
+    return np.concatenate(out).astype(np.float32)
+
+
 class Trainer:
     """Gradient steps with a rate that falls per row as the row is used."""
 
-    def __init__(self, bias: np.ndarray):
-        self.weights, self.bias = np.zeros((ROWS, CLASSES), np.float32), bias.astype(np.float32)
+    def __init__(self, weights: np.ndarray, bias: np.ndarray, rate: float):
+        self.weights, self.bias, self.rate = weights.copy(), bias, np.float32(rate)
         self.used, self.seen = np.zeros(ROWS, np.float32), 0
 
-    def learn(self, h: np.ndarray, cls: np.ndarray, rows: np.ndarray) -> None:
-        f = features(h, rows)
+    def learn(self, h: np.ndarray, leaf: np.ndarray, rows: np.ndarray) -> None:
+        node, digit = softmaxes(leaf)
+        f = features(h, rows, node)
         for at in range(0, len(h), STEP):
-            self.step(f[at : at + STEP], cls[at : at + STEP])
+            some = slice(at, at + STEP)
+            self.step(f[some].reshape(-1, 3), node[some].ravel(), digit[some].ravel())
+        self.seen += len(h)
 
-    def step(self, f: np.ndarray, cls: np.ndarray) -> None:
-        error = np.exp(log_classes(self.weights, self.bias, f))
-        error[np.arange(len(f)), cls] -= 1
-        self.seen += len(f)
+    def step(self, f: np.ndarray, node: np.ndarray, digit: np.ndarray) -> None:
+        error = np.exp(log_softmax(self.weights, self.bias, f, node))
+        error[np.arange(len(f)), digit] -= 1
         flat = f.ravel()
-        by = np.argsort(flat, kind="stable")
+        by = np.argsort(flat)
         ordered = flat[by]
         cuts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         row, n = ordered[cuts], np.diff(np.append(cuts, len(ordered))).astype(np.float32)
         total = np.add.reduceat(error[by // 3], cuts, axis=0)
         self.used[row] += n
-        self.weights[row] -= np.float32(RATE) * total / np.sqrt(n * self.used[row])[:, None]
+        self.weights[row] -= self.rate * total / np.sqrt(n * self.used[row])[:, None]
 
 
 def count_tokens(texts: DataFrame) -> DataFrame:
-    """(h, cls, c): every token with its class and count, counted in each task first."""
+    """(h, leaf, c): every token with its last class and count, counted in each task first."""
 
     def merged(parts: list) -> list:
         h, c, n = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -108,10 +137,10 @@ def count_tokens(texts: DataFrame) -> DataFrame:
         held, size = [], 0
 
         def out(part) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(part[0].view(np.int64)), pa.array(part[1].astype(np.int32)), pa.array(part[2])], ["h", "cls", "c"])
+            return pa.RecordBatch.from_arrays([pa.array(part[0].view(np.int64)), pa.array(part[1].astype(np.int32)), pa.array(part[2])], ["h", "leaf", "c"])
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in cut(batch, "text"):
                 h, c, _ = tokens(part.column(0))
                 held.append((h, c, np.ones(len(h), np.int64)))
                 held[-1:] = merged(held[-1:])
@@ -125,43 +154,48 @@ def count_tokens(texts: DataFrame) -> DataFrame:
         if held:
             yield out(merged(held)[0])
 
-    found = texts.mapInArrow(run, "h long, cls int, c long")
-    return found.groupBy("h").agg(F.first("cls").alias("cls"), F.sum("c").alias("c"))
+    found = texts.mapInArrow(run, "h long, leaf int, c long")
+    return found.groupBy("h").agg(F.first("leaf").alias("leaf"), F.sum("c").alias("c"))
 
 
 def train(texts: DataFrame, bias: np.ndarray) -> np.ndarray:
-    """Weights from gradient steps over all rows of ``texts``; ``bias`` is the log share of each class in them."""
+    """Weights from gradient steps over all rows of ``texts``, in rounds that each go on from the mean of the last."""
+    weights = np.zeros((ROWS, WAYS), np.float32)
+    names = [f"w{k}" for k in range(WAYS)]
+    for turn in range(ROUNDS):
+        share = texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == turn)
+        found = share.mapInArrow(_trained(texts.sparkSession.sparkContext.broadcast((weights, bias)), RATE / (1 + turn), names), f"row int, used float, {', '.join(f'{n} float' for n in names)}")
+        got = found.groupBy("row").agg(*(F.sum(n).alias(n) for n in ("used", *names))).toArrow()  # at most ROWS rows of WAYS numbers
+        row = got["row"].to_numpy()
+        sums = np.stack([got[n].to_numpy() for n in names], 1) if len(row) else np.zeros((0, WAYS))
+        weights = weights.copy()
+        weights[row] = sums / got["used"].to_numpy()[:, None]
+    return weights
 
+
+def _trained(shared, rate: float, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = Trainer(bias)
+        t = Trainer(*shared.value, rate)
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in cut(batch, "text", 1 << 19):
                 t.learn(*tokens(part.column(0)))
-        if not t.seen:
-            return
-        blocks = range(0, ROWS, _BLOCK)
-        body = [(t.weights[b : b + _BLOCK] * t.used[b : b + _BLOCK, None]).astype(np.float32).tobytes() + t.used[b : b + _BLOCK].tobytes() for b in blocks]
-        yield pa.RecordBatch.from_arrays([pa.array([b // _BLOCK for b in blocks], pa.int32()), pa.array(body, pa.binary())], ["block", "sums"])
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_buffer(), np.float32).astype(np.float64) for x in table["sums"])
-        return pa.table({"block": table["block"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
-
-    found = texts.mapInArrow(run, "block int, sums binary")
-    # a task's sums meet in groups first, so that no group grows with the number of tasks
-    grouped = found.withColumn("part", F.spark_partition_id() % 32).groupBy("block", "part").applyInArrow(lambda t: add(t), "block int, sums binary")
-
-    def mean(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_buffer(), np.float64) for x in table["sums"])
-        return pa.table({"block": table["block"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
-
-    weights = np.zeros((ROWS, CLASSES), np.float32)
-    for row in grouped.groupBy("block").applyInArrow(mean, "block int, sums binary").collect():  # ROWS x CLASSES numbers
-        sums = np.frombuffer(row.sums, np.float64)
-        used = sums[_BLOCK * CLASSES :]
-        at = row.block * _BLOCK
-        weights[at : at + _BLOCK] = sums[: _BLOCK * CLASSES].reshape(_BLOCK, CLASSES) / np.maximum(used, 1)[:, None]
-    return weights
+        row = np.flatnonzero(t.used)
+        sums = t.weights[row] * t.used[row, None]
+        yield pa.RecordBatch.from_arrays([pa.array(row.astype(np.int32)), pa.array(t.used[row]), *(pa.array(sums[:, k]) for k in range(WAYS))], ["row", "used", *names])
+
+    return run
+
+
+def log_probability(h: np.ndarray, leaf: np.ndarray, rows: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Natural log of the probability of each token's last class, in batches."""
+    node, digit = softmaxes(leaf)
+    out = np.empty(len(h))
+    f = features(h, rows, node)
+    for at in range(0, len(h), 1 << 12):
+        some = slice(at, at + (1 << 12))
+        z = log_softmax(weights, bias, f[some].reshape(-1, 3), node[some].ravel())
+        out[some] = z[np.arange(len(z)), digit[some].ravel()].reshape(-1, LEVELS).sum(1)
+    return out
 
 
 def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -169,33 +203,29 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), learn.alias("learn"))
     training = rows.where("learn").select("text")
     counts = checkpoint(count_tokens(training))
-    totals = counts.groupBy("cls").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()  # CLASSES rows
-    in_class, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
+    totals = counts.groupBy("leaf").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()  # LEAVES rows at most
+    in_leaf, kinds = np.zeros(LEAVES), np.zeros(LEAVES)
     for t in totals:
-        in_class[t.cls], kinds[t.cls] = t.n, t.v
-    n_all, v_all = int(in_class.sum()), int(kinds.sum())
+        in_leaf[t.leaf], kinds[t.leaf] = t.n, t.v
+    n_all, v_all = int(in_leaf.sum()), int(kinds.sum())
     frequent = counts.where(F.col("c") * FREQUENT >= n_all).select("h", "c").toArrow()  # at most FREQUENT rows, as counts sum to n_all
     h = frequent["h"].to_numpy().view(U)
     by = np.argsort(h)
-    bias = np.log((in_class + 0.5) / (n_all + 0.5 * CLASSES))
+    bias = biases(in_leaf)
     weights = train(training, bias)
-    shared = docs.sparkSession.sparkContext.broadcast((h[by], frequent["c"].to_numpy()[by], weights, bias.astype(np.float32), np.log10(in_class + 0.5 * (kinds + 1))))
+    shared = docs.sparkSession.sparkContext.broadcast((h[by], frequent["c"].to_numpy()[by], weights, bias, np.log10(in_leaf + 0.5 * (kinds + 1))))
     base = float(np.log10(n_all + 0.5 * (v_all + 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, c, weights, bias, scale = shared.value
         logs = np.log10(c + 0.5)
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in cut(batch, "text", 1 << 19):
                 yield from one(part, keys, logs, weights, bias, scale)
 
     def one(part, keys, logs, weights, bias, scale):
-        h, cls, rows = tokens(part.column(1))
-        f, model = features(h, rows), np.empty(len(h))
-        for at in range(0, len(h), 1 << 14):
-            z = log_classes(weights, bias, f[at : at + (1 << 14)])
-            model[at : at + (1 << 14)] = z[np.arange(len(z)), cls[at : at + (1 << 14)]]
-        model = model / np.log(10) - scale[cls]
+        h, leaf, rows = tokens(part.column(1))
+        model = log_probability(h, leaf, rows, weights, bias) / np.log(10) - scale[leaf]
         at = np.searchsorted(keys, h)
         at[at == len(keys)] = 0
         known = keys[at] == h if len(keys) else np.zeros(len(h), bool)
