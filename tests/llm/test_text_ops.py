@@ -181,13 +181,60 @@ def test_dropout_varies_and_repeats():
     m = pieces_bpe.load(pieces_bpe.default_model())
     texts = pa.array(["internationalisation of the whole vocabulary"] * 20)
     keys = np.arange(20).astype(np.uint64)
-    ids, rows = pieces_bpe.encode_array(m, texts, keys, 1, 0.3, 16)
-    again, _ = pieces_bpe.encode_array(m, texts, keys, 1, 0.3, 16)
-    other, _ = pieces_bpe.encode_array(m, texts, keys, 2, 0.3, 16)
+    ids, rows = pieces_bpe.encode_array(m, texts, keys, 1, 0.3)
+    again, _ = pieces_bpe.encode_array(m, texts, keys, 1, 0.3)
+    other, _ = pieces_bpe.encode_array(m, texts, keys, 2, 0.3)
     assert np.array_equal(ids, again) and not np.array_equal(ids, other)
     assert len({tuple(ids[a:b]) for a, b in zip(rows[:-1], rows[1:], strict=True)}) > 5
 
 
+def plain_pieces(m, text, key, seed, dropout):
+    """Piece ids by the definition, one occurrence of a word at a time and one merge at a time."""
+    m64, k = (1 << 64) - 1, [int(x) for x in pieces_bpe._K]
+    mixed = lambda x: int(wd.mix(np.array([x & m64], np.uint64))[0])
+    t = " " + text
+    cut = lambda i: (m.cut_spaces and t[i] == " " != t[i - 1]) or (m.cut_lines and "\n" in t[i - 1 : i + 1])
+    begin = [0, *(i for i in range(1, len(t)) if cut(i))]
+    raw = str(key).encode()
+    row = int(wd.hash_spans(np.frombuffer(raw, np.uint8), np.array([0]), np.array([len(raw)]))[0])
+    out = []
+    for n, (a, b) in enumerate(zip(begin, [*begin[1:], len(t)], strict=True)):
+        draw = mixed(mixed(row + seed) + n * k[1])
+        word = [(int(m.char[ord(c)]) if m.char[ord(c)] >= 0 else -ord(c), at) for at, c in enumerate(t[a:b])]
+        while True:
+            best = None
+            for i, ((x, p), (y, q)) in enumerate(zip(word, word[1:], strict=False)):
+                new = m.merges.get((x << 20) | y) if min(x, y) >= 0 else None
+                if new is not None and not (dropout and mixed(draw + p * k[0] + q * k[1] + new * k[2]) < int(dropout * 2.0**64)):
+                    best = min(best or (1 << 40, 0, 0), (int(m.rank[new]), i, new))
+            if best is None:
+                break
+            _, i, new = best
+            word[i : i + 2] = [(new, word[i][1])]
+        out += [y for x, _ in word for y in ([x] if x >= 0 else m.byte[list(chr(-x).encode())].tolist())]
+    return out
+
+
+def test_pieces_with_dropout_are_the_plain_ones(spark):
+    """The query's operator against one agenda an occurrence; frequent words, long words, odd characters, a long text."""
+    m, rng = pieces_bpe.load(pieces_bpe.default_model()), random.Random(21)
+    words = ["the", "of", "internationalisation", "a", "governing", "é▁x😀", "schaft", "x" * 70, "  ", "\n", "tion\t"]
+    texts = [" ".join(rng.choice(words[:4] * 3 + words) for _ in range(rng.randrange(1, 60))) for _ in range(25)] + ["the " * 600, "same of the same", "same of the same"]
+    rows = [(i, t, "kept", 1) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, piece_ids string, x int").coalesce(2)
+    for p in (0.0, 0.1, 0.5):
+        out = pieces_bpe.encode(df, dropout=p, seed=5)
+        assert out.columns == ["doc_id", "text", "x", "piece_ids"]
+        for r in out.collect():
+            assert r.piece_ids == plain_pieces(m, r.text, r.doc_id, 5, p), (p, r.text)
+
+
+def test_each_occurrence_has_its_own_draw():
+    m = pieces_bpe.load(pieces_bpe.default_model())
+    ids, rows = pieces_bpe.encode_array(m, pa.array(["internationalisation"] * 300), np.arange(300).astype(np.uint64), 1, 0.5)
+    assert len({tuple(ids[a:b]) for a, b in zip(rows[:-1], rows[1:], strict=True)}) > 100
+
+
 def test_agenda_agrees_with_the_joint_run():
     m = pieces_bpe.load(pieces_bpe.default_model())
     for p in (0.0, 0.2, 0.6):

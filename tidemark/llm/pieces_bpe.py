@@ -2,13 +2,15 @@
 
 A merge-type model repeatedly joins the best-ranked neighbouring pieces. Here every
 candidate merge that enters the agenda is skipped with probability ``dropout`` by a
-hash keyed with the seed, the word's draw and the candidate's place, so a text has many
-segmentations, each of them reproducible, and all decode to the text. A word's draw is
-one of ``variants``, hashed from seed, row key and place in the text. With dropout 0
-the result is the model's own segmentation.
+hash keyed with the occurrence's draw (seed, row key and place in the text) and the
+candidate's place, so every occurrence of a word has a segmentation of its own, each
+of them reproducible, and all decode to the text. With dropout 0 the result is the
+model's own segmentation.
 
-The agenda runs over all distinct (word, draw) pairs of a slice at once: a step joins
-the best candidate of every word. Words over LONG characters use a heap each.
+The agenda runs over many words of a slice at once: a step joins the best candidate of
+every word. Words that stand often enough in a slice run once without dropout, and an
+occurrence that skips none of the candidates of that run has its result; every other
+occurrence has a run of its own. Words over LONG characters use a heap each.
 
 Defined cases: a null text gives null ids and a null decoded text; an empty one gives no
 ids; characters outside the vocabulary, and U+2581 itself, are spelt in byte pieces;
@@ -119,19 +121,25 @@ def _priority(model: Model, merged, draw, left_at, right_at, limit) -> np.ndarra
     """Rank of each candidate; NONE where there is none or it is skipped."""
     out = np.where(merged >= 0, model.rank[np.maximum(merged, 0)], NONE)
     if limit:
-        key = mix(draw + left_at.astype(U) * _K[0] + right_at.astype(U) * _K[1] + merged.astype(np.int64).astype(U) * _K[2])
-        out = np.where(key < limit, NONE, out)
+        out = np.where(mix(draw + _candidate(left_at, right_at, merged)) < limit, NONE, out)
     return out
 
 
-def agenda(model: Model, symbols: list[int], draw: int, dropout: float) -> list[int]:
-    """Segmentation of one word by a heap of candidate merges."""
+def _candidate(left_at, right_at, merged) -> np.ndarray:
+    """What a candidate's hash adds to the draw."""
+    return left_at.astype(U) * _K[0] + right_at.astype(U) * _K[1] + merged.astype(np.int64).astype(U) * _K[2]
+
+
+def agenda(model: Model, symbols: list[int], draw: int, dropout: float, trace: list | None = None) -> list[int]:
+    """Segmentation of one word by a heap of candidate merges; ``trace`` gets (left, right, merged) of every candidate."""
     limit = _limit(dropout)
     ids, after, before = list(symbols), list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1))
     heap: list[tuple[int, int, int, int, int, int]] = []
 
     def push(a: int, b: int) -> None:
         if a >= 0 and b < len(ids) and (m := model.merges.get((ids[a] << 20) | ids[b])) is not None and max(ids[a], ids[b]) < model.size:
+            if trace is not None:
+                trace.append((a, b, m))
             one = lambda v, t: np.array([v], t)
             rank = int(_priority(model, one(m, np.int32), one(draw, U), one(a, np.int64), one(b, np.int64), limit)[0])
             if rank != NONE:
@@ -152,8 +160,11 @@ def agenda(model: Model, symbols: list[int], draw: int, dropout: float) -> list[
     return [x for x in ids if x >= 0]
 
 
-def segment(model: Model, symbols: np.ndarray, offsets: np.ndarray, draws: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, offsets) of all words; symbols of word i are symbols[offsets[i]:offsets[i + 1]]."""
+def segment(model: Model, symbols: np.ndarray, offsets: np.ndarray, draws: np.ndarray, dropout: float, trace: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, offsets) of all words; symbols of word i are symbols[offsets[i]:offsets[i + 1]].
+
+    ``trace`` gets (word, left, right, merged) arrays of every candidate that was on an agenda.
+    """
     limit, sizes = _limit(dropout), np.diff(offsets)
     out, count = np.full(len(symbols), -1, np.int32), np.zeros(len(sizes), np.int64)
     low = 0
@@ -161,15 +172,18 @@ def segment(model: Model, symbols: np.ndarray, offsets: np.ndarray, draws: np.nd
         group = np.flatnonzero((sizes > low) & (sizes <= width))
         low = width
         for at in range(0, len(group), max(1, CELLS // width)):
-            _together(model, symbols, offsets, draws, limit, group[at : at + max(1, CELLS // width)], width, out, count)
+            _together(model, symbols, offsets, draws, limit, group[at : at + max(1, CELLS // width)], width, out, count, trace)
     for i in np.flatnonzero(sizes > LONG):
-        got = agenda(model, symbols[offsets[i] : offsets[i + 1]].tolist(), int(draws[i]), dropout)
+        seen: list = []
+        got = agenda(model, symbols[offsets[i] : offsets[i + 1]].tolist(), int(draws[i]), dropout, seen)
+        if trace is not None and seen:
+            trace.append((np.full(len(seen), i), *np.array(seen, np.int64).T))
         out[offsets[i] : offsets[i] + len(got)], count[i] = got, len(got)
     place = np.arange(len(symbols)) - np.repeat(offsets[:-1], sizes) < np.repeat(count, sizes)
     return out[place], np.concatenate([[0], np.cumsum(count)])
 
 
-def _together(model, symbols, offsets, draws, limit, rows, width, out, count) -> None:
+def _together(model, symbols, offsets, draws, limit, rows, width, out, count, trace=None) -> None:
     """Run the agenda of words of at most ``width`` symbols in steps of one merge each."""
     column = np.arange(width)
     size = (offsets[rows + 1] - offsets[rows])[:, None]
@@ -178,6 +192,9 @@ def _together(model, symbols, offsets, draws, limit, rows, width, out, count) ->
     draw = draws[rows]
     merged = model.joined(ids[:, :-1], ids[:, 1:])
     rank = _priority(model, merged, draw[:, None], place[:, :-1], place[:, 1:], limit)
+    if trace is not None:
+        w, a = np.nonzero(merged >= 0)
+        trace.append((rows[w], place[w, a].astype(np.int64), place[w, a + 1].astype(np.int64), merged[w, a].astype(np.int64)))
     while True:
         best = rank.argmin(1) if rank.shape[1] else np.zeros(len(rows), np.int64)
         live = rank[np.arange(len(rows)), best] != NONE if rank.shape[1] else np.zeros(len(rows), bool)
@@ -203,6 +220,9 @@ def _together(model, symbols, offsets, draws, limit, rows, width, out, count) ->
             m = model.joined(ids[of, a], ids[of, a + 1])
             merged[of, a] = m
             rank[of, a] = _priority(model, m, draw[of], place[of, a], place[of, a + 1], limit)
+            if trace is not None:
+                new = m >= 0
+                trace.append((rows[of[new]], place[of[new], a[new]].astype(np.int64), place[of[new], a[new] + 1].astype(np.int64), m[new].astype(np.int64)))
 
 
 def _symbols(model: Model, data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -237,7 +257,7 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
-def encode_array(model: Model, texts: pa.Array, row_keys: np.ndarray, seed: int, dropout: float, variants: int) -> tuple[np.ndarray, np.ndarray]:
+def encode_array(model: Model, texts: pa.Array, row_keys: np.ndarray, seed: int, dropout: float) -> tuple[np.ndarray, np.ndarray]:
     """(ids, offsets of rows) of a string array."""
     data, offsets = buffers(texts)
     full = np.flatnonzero(np.diff(offsets))
@@ -259,16 +279,16 @@ def encode_array(model: Model, texts: pa.Array, row_keys: np.ndarray, seed: int,
     end = np.append(begin[1:], len(text))
     row = np.searchsorted(starts, begin, "right") - 1
     within = np.arange(len(begin)) - np.searchsorted(begin, starts)[row]
-    draw = mix(mix(row_keys[full][row] + U(seed & 0xFFFFFFFFFFFFFFFF)) + within.astype(U) * _K[1]) % U(variants) if dropout else np.zeros(len(begin), U)
+    draw = mix(mix(row_keys[full][row] + U(seed & 0xFFFFFFFFFFFFFFFF)) + within.astype(U) * _K[1])
     word = hash_spans(text, begin, end)
-    key = mix(word + draw * _K[2] + U(1))
-    _, one, back = np.unique(key, return_index=True, return_inverse=True)
+    _, one, back = np.unique(word, return_index=True, return_inverse=True)
     width = end[one] - begin[one]
-    flat = text[_spread(begin[one], width)].tobytes()
-    symbols, at = _symbols(model, flat)
+    symbols, at = _symbols(model, text[_spread(begin[one], width)].tobytes())
     bounds = np.searchsorted(at, np.concatenate([[0], np.cumsum(width)]))
-    draws = mix(draw[one] * _K[0] + U((seed ^ 0x5DEECE66D) & 0xFFFFFFFFFFFFFFFF)) ^ word[one]
-    ids, at = segment(model, symbols, bounds, draws, dropout)
+    if dropout:
+        ids, at, back = _dropped(model, symbols, bounds, back, draw, dropout)
+    else:
+        ids, at = segment(model, symbols, bounds, draw[one], 0.0)
     ids, many = _spelt(model, ids)
     at = np.concatenate([[0], np.cumsum(many)])[at]
     n = np.diff(at)[back]
@@ -276,6 +296,39 @@ def encode_array(model: Model, texts: pa.Array, row_keys: np.ndarray, seed: int,
     return ids[_spread(at[:-1][back], n)], np.cumsum(rows)
 
 
+def _dropped(model, symbols, bounds, word, draw, dropout) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, offsets, result of each occurrence of a word) with dropout."""
+    sizes, many = np.diff(bounds), np.bincount(word, minlength=len(bounds) - 1)
+    often = np.flatnonzero(many * (1 - dropout) ** (1.5 * sizes) > 1)  # a word of n characters has about 1.5 n candidates
+    place = np.full(len(sizes), -1)
+    place[often] = np.arange(len(often))
+    trace: list = []
+    ids, at = segment(model, symbols[_spread(bounds[often], sizes[often])], np.concatenate([[0], np.cumsum(sizes[often])]), np.zeros(len(often), U), 0.0, trace)
+    back = place[word]
+    own = np.flatnonzero((back < 0) | _skips(trace, back, draw, len(often), _limit(dropout)))
+    size = sizes[word[own]]
+    more, to = segment(model, symbols[_spread(bounds[word[own]], size)], np.concatenate([[0], np.cumsum(size)]), draw[own], dropout)
+    back[own] = len(often) + np.arange(len(own))
+    return np.concatenate([ids, more]), np.concatenate([at, at[-1] + to[1:]]), back
+
+
+def _skips(trace: list, run: np.ndarray, draw: np.ndarray, runs: int, limit: np.uint64) -> np.ndarray:
+    """Whether each draw skips a candidate of its run without dropout (-1: it has none)."""
+    out = np.zeros(len(run), bool)
+    if not trace:
+        return out
+    of, left, right, merged = (np.concatenate(x) for x in zip(*trace, strict=True))
+    by = np.argsort(of, kind="stable")
+    key = _candidate(left, right, merged)[by]
+    at = np.searchsorted(of[by], np.arange(runs + 1))
+    n = np.where(run >= 0, np.diff(at)[run], 0)
+    for a in range(0, len(run), IDS):  # a bounded number of occurrences at a time
+        some = slice(a, a + IDS)
+        hit = mix(np.repeat(draw[some], n[some]) + key[_spread(at[:-1][run[some]], n[some])]) < limit
+        out[some] = np.bincount(np.repeat(np.arange(len(n[some])), n[some]), hit, len(n[some])) > 0
+    return out
+
+
 def decode_array(model: Model, ids: np.ndarray, offsets: np.ndarray) -> tuple[bytes, np.ndarray]:
     """(bytes, offsets of rows) of the texts that ids spell, without the space before each."""
     size = np.diff(model.raw_at)[ids]
@@ -290,7 +343,7 @@ def decode_array(model: Model, ids: np.ndarray, offsets: np.ndarray) -> tuple[by
 _IDS = pa.list_(pa.int32())
 
 
-def encode(docs: DataFrame, text_col: str = "text", key_col: str = "doc_id", model_path: str | None = None, seed: int = 17, dropout: float = 0.1, variants: int = 16, out: str = "piece_ids") -> DataFrame:
+def encode(docs: DataFrame, text_col: str = "text", key_col: str = "doc_id", model_path: str | None = None, seed: int = 17, dropout: float = 0.1, out: str = "piece_ids") -> DataFrame:
     """``docs`` with an array of piece ids. ``key_col`` (any id) makes the draws of rows differ."""
     path = model_path or default_model()
 
@@ -300,7 +353,7 @@ def encode(docs: DataFrame, text_col: str = "text", key_col: str = "doc_id", mod
             for part in slices(batch, text_col, TEXT):
                 text, keys = part.column(text_col), part.column(key_col).cast(pa.string()).fill_null("")
                 raw, at = buffers(keys)
-                ids, rows = encode_array(model, text, hash_spans(raw, at[:-1], at[1:]), seed, dropout, variants)
+                ids, rows = encode_array(model, text, hash_spans(raw, at[:-1], at[1:]), seed, dropout)
                 made = pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(ids, pa.int32()), mask=text.is_null() if text.null_count else None)
                 yield map_rows(part, [pa.field(out, _IDS)], [made])
 
