@@ -1,12 +1,12 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max index.
 
-Terms are lower-cased words and their first 4, 6 and 8 bytes; every term of the
+Terms are lower-cased words and their first 4 bytes; every term of the
 labelled sample is in the vocabulary. A term weighs (1 + log tf) * idf * contrast: idf
 counts every document, and contrast, z**2 / (z**2 + Z**2), follows how far the term's
 document frequencies in the two classes of the sample lie apart, so that a term that
 tells nothing counts for little and none is left out. A text and the labelled examples
 are unit vectors of those weights. The index holds each term's postings in blocks of
-examples, with the block's largest weight; the few terms that stand in one of sixteen
+examples, with the block's largest weight; the few terms that stand in one of thirty-two
 examples or more are a dense table, whose part of the cosines is a matrix product. Blocks
 are visited by falling upper bound and left out once the bound is below the k-th
 similarity found, so the neighbours are exact. They vote with weight similarity**2 over a prior; an isotonic fit of
@@ -36,8 +36,8 @@ from .common import slices
 from .words import U, Words, bare_words, map_rows, mix
 
 #: Labelled examples of a class, bytes of their texts (a class), z of a half contrast, neighbours, examples in a block, share of the examples that makes a term dense, texts in a product, and the prior's weight.
-EXAMPLES, BYTES, Z, NEIGHBOURS, BLOCK, DENSE, TOGETHER, PRIOR = 1000, 16 << 20, 6.0, 15, 64, 1 / 16, 64, 1.0
-_PREFIXES = (4, 6, 8)
+EXAMPLES, BYTES, Z, NEIGHBOURS, BLOCK, DENSE, TOGETHER, PRIOR = 1000, 16 << 20, 6.0, 15, 32, 1 / 32, 64, 1.0
+_PREFIXES = (4,)
 
 
 def terms(w: Words) -> tuple[np.ndarray, np.ndarray]:
