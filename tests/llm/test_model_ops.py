@@ -540,8 +540,8 @@ def test_segments_in_any_order_and_broken_ones(spark):
     random.Random(1).shuffle(records)
 
     def back(parts):
-        parsed = [(h, b) for p in parts for h, b in warc.parse(p)]
-        rows = [(h["warc-record-id"], h["warc-type"], 1, None, None, h.get("warc-payload-digest", "").rpartition(":")[2] or None, None, h.get("warc-segment-origin-id", h["warc-record-id"]), int(h["warc-segment-number"]), int(h["warc-segment-total-length"]) if "warc-segment-total-length" in h else None, bytearray(b)) for h, b in parsed]
+        parsed = [(h, b) for p in parts for h, b, error in warc.parse(p) if error is None]
+        rows = [(h["warc-record-id"], h["warc-type"], 1, None, None, h.get("warc-payload-digest", "").rpartition(":")[2] or None, None, h.get("warc-segment-origin-id", h["warc-record-id"]), int(h["warc-segment-number"]), int(h["warc-segment-total-length"]) if "warc-segment-total-length" in h else None, bytearray(b), None) for h, b in parsed]
         return warc.reassemble(spark.createDataFrame(rows, warc._RECORD)).collect()
 
     (whole,) = back(records)
@@ -553,6 +553,39 @@ def test_segments_in_any_order_and_broken_ones(spark):
     assert cut.payload is None and "gap" in cut.error
 
 
+def test_broken_archives_are_rows_with_an_error(spark, tmp_path):
+    import gzip
+
+    body = b"<p>x</p>" * 20
+    good = next(warc.records_of("<urn:uuid:1>", 1, "u", body, hashlib.sha1(body).hexdigest(), None))
+    again = good.replace(b"urn:uuid:1", b"urn:uuid:2").replace(b"X-Page-Id: 1", b"X-Page-Id: 2")
+    archives = {
+        "whole": good + again,
+        "members": gzip.compress(good) + gzip.compress(again),
+        "header cut": good + again[:60],
+        "block cut": good + again[:-20],
+        "no length": good.replace(b"Content-Length", b"X-Other") + again,
+        "no number": good + again.replace(b"X-Page-Id: 2", b"X-Page-Id: two"),
+        "garbage": good + b"garbage" + again,
+        "cut stream": gzip.compress(good + again)[:-9],
+        "bad stream": gzip.compress(good)[:-8] + b"12345678" + b"rest",
+        "empty": b"",
+        "wrong digest": good.replace(b"<p>x</p>", b"<p>y</p>", 1),
+    }
+    got = {}
+    for name, data in archives.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.warc").write_bytes(data)
+        rows = warc.reassemble(warc.read_records(spark, str(tmp_path / name))).collect()
+        got[name] = (sorted(r.page_id for r in rows if r.error is None), sorted(r.error for r in rows if r.error))
+        assert all(bytes(r.payload) == body for r in rows if r.error is None) and all(r.payload is None for r in rows if r.error)
+    assert got["whole"] == got["members"] == ([1, 2], []) and got["empty"] == ([], [])
+    assert got["header cut"] == ([1], ["header is cut"]) and got["block cut"] == ([1], ["block is cut"])
+    assert got["no length"] == ([2], ["record has no length"]) and got["no number"] == ([1], ["x-page-id is no number"])
+    assert got["garbage"] == ([1, 2], ["bytes outside of a record"]) and got["wrong digest"] == ([], ["payload digest differs"])
+    assert "archive is cut" in got["cut stream"][1] and got["bad stream"][1][-1].startswith("archive is broken")
+
+
 def test_chunk_framing():
     assert warc.decode_chunked(b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n3;x=1\r\nabc\r\n0\r\n\r\n") == b"abc"
     assert warc.decode_chunked(b"HTTP/1.1 200 OK\r\n\r\nplain") == b"plain"

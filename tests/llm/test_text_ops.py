@@ -145,6 +145,51 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(frame(spark, docs).where("false"), bench).count() == 0
 
 
+def plain_spans(doc, item):
+    """(first_word, end_word, matched) of the windows that match well enough, or None."""
+    d, b = bare(doc), bare(item)
+    n = min(13, len(b))
+    if n < decontaminate.SHORTEST:
+        return None
+    good = []
+    for i in range(len(d) - n + 1):
+        for j in range(len(b) - n + 1):
+            m = sum(x == y for x, y in zip(d[i : i + n], b[j : j + n], strict=True))
+            if m >= n - decontaminate.allowed(n):
+                good.append((i, m))
+    return (min(i for i, _ in good), max(i for i, _ in good) + n, max(m for _, m in good)) if good else None
+
+
+def test_every_column_of_decontamination(spark):
+    """The query's whole result against all alignments: repeated words, ties, repeated rows, clashing names."""
+    rng = random.Random(14)
+    items = [" ".join(prose(rng, 40, 6)), "a " * 30, "a b " * 20, " ".join(prose(rng, 25)), "x " * 6 + "y", " ".join(prose(rng, 25))]
+    docs = []
+    for _ in range(60):
+        ws = bare(rng.choice(items))
+        for k in rng.sample(range(len(ws)), min(len(ws), rng.randrange(5))):
+            ws[k] = "zz"
+        docs.append(" ".join(prose(rng, 8, 6) + ws + prose(rng, 8)))
+    docs += [docs[0], docs[0], "a " * 90, "a b " * 50, None, ""]
+    bench = spark.createDataFrame([(i, t, 0) for i, t in enumerate([*items, items[3]])], "item_id long, text string, doc_id int")
+    df = spark.createDataFrame([(i, t, 1, "m") for i, t in enumerate(docs)], "doc_id long, text string, item_id int, matched string").coalesce(2)
+    got = sorted(tuple(r) for r in decontaminate.contaminated(df, bench).collect())
+    want = sorted((i, j, *s) for i, d in enumerate(docs) for j, t in enumerate([*items, items[3]]) if (s := plain_spans(d, t)))
+    assert got == want and len(want) > 60
+
+
+def test_repeated_words_cost_their_sum():
+    import time
+
+    w = wd.bare_words(pa.array(["one " * 20000, "one two " * 10000, "p q r s t u v " * 3000]))
+    tests = decontaminate.Tests([1, 2, 3], ["one " * 400, "one two " * 200, "p q r s t u v " * 60])
+    doc, _ = tests.hits(w.hashes, w.row)
+    assert len(doc) < 4 * (len(w.hashes) + len(tests.hashes))
+    began = time.process_time()
+    found = tests.overlaps(w)
+    assert {(r, i) for r, i, *_ in found} == {(0, 0), (1, 1), (2, 2)} and time.process_time() - began < 5
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     rng = random.Random(6)
     items = [" ".join(prose(rng, 20)) for _ in range(12)]

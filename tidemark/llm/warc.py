@@ -7,15 +7,18 @@ are there, and decodes the chunked transfer framing.
 Defined cases: a null html is an empty payload; a null page id or url is written
 as an absent header and read back as null; rows that share the page id and the
 payload of a response are responses too; an empty table gives no archive and no
-row; a record with a gap, a wrong total or a broken chunk has a null payload and
-says so in ``error``.
+row; columns besides page_id, url and html are not archived. A record with a gap, a
+wrong total or a broken chunk, with a cut header or block, or without a length has a
+null payload and says so in ``error``; so does an archive that cannot be unpacked to its
+end or has bytes outside of records. An archive is one gzip stream, as Spark's writer
+makes it; archives with a stream a record are read as well.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,7 +31,7 @@ from .common import ensure_checkpoint_dir
 #: Bytes of a segment's block, of an HTTP chunk and of an archive; and the least payload that is deduplicated.
 SEGMENT, CHUNK, ARCHIVE, REVISIT_FROM = 16384, 4096, 4 << 20, 1000
 _HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
-_RECORD = "record_id string, type string, page_id long, url string, refers_to long, digest string, payload_bytes long, origin string, number int, total long, block binary"
+_RECORD = "record_id string, type string, page_id long, url string, refers_to long, digest string, payload_bytes long, origin string, number int, total long, block binary, error string"
 
 
 def revisits(pages: DataFrame) -> DataFrame:
@@ -104,33 +107,80 @@ def write_archives(pages: DataFrame, path: str) -> None:
     rows.mapInArrow(_build, "value string").write.option("maxRecordsPerFile", 1).option("compression", "gzip").mode("overwrite").text(path)
 
 
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers in lower case, block) of each record of one archive's bytes."""
+def unpacked(data: bytes) -> tuple[bytes, str | None]:
+    """An archive's bytes, as far as they can be had, and what is wrong with it."""
+    if data[:2] != b"\x1f\x8b":
+        return data, None
+    out = []
+    while data:
+        stream = zlib.decompressobj(wbits=31)
+        try:
+            out.append(stream.decompress(data))
+        except zlib.error as e:
+            return b"".join(out), f"archive is broken: {e}"
+        if not stream.eof:
+            return b"".join(out), "archive is cut"
+        data = stream.unused_data
+    return b"".join(out), None
+
+
+def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
+    """(headers in lower case, block, error) of each record of one archive's bytes."""
     at = 0
-    while (at := data.find(b"WARC/", at)) >= 0:
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
+    while at < len(data):
+        begin = data.find(b"WARC/", at)
+        if data[at : begin if begin >= 0 else len(data)].strip(b"\r\n"):
+            yield {}, b"", "bytes outside of a record"
+        if begin < 0:
+            return
+        end = data.find(b"\r\n\r\n", begin)
+        lines = data[begin : end if end >= 0 else len(data)].decode("utf-8", "replace").split("\r\n")[1:]
         headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        size = int(headers["content-length"])
-        yield headers, data[end + 4 : end + 4 + size]
-        at = end + 4 + size
+        if end < 0:
+            yield headers, b"", "header is cut"
+            return
+        size = headers.get("content-length", "")
+        if not (size.isascii() and size.isdigit()):
+            yield headers, b"", "record has no length"
+            at = data.find(b"WARC/", end)
+            if at < 0:
+                return
+            continue
+        block = data[end + 4 : end + 4 + int(size)]
+        yield headers, block, None if len(block) == int(size) else "block is cut"
+        at = end + 4 + int(size)
+
+
+def _row(headers: dict[str, str], block: bytes, error: str | None) -> tuple:
+    def whole(name: str) -> int | None:
+        nonlocal error
+        text = headers.get(name)
+        if text is None:
+            return None
+        if text.removeprefix("-").isascii() and text.removeprefix("-").isdigit() and abs(int(text)) < 2**31 << 32 * (name != "warc-segment-number"):
+            return int(text)
+        error = error or f"{name} is no number"
+        return None
+
+    number = whole("warc-segment-number")
+    named = headers.get("warc-record-id")
+    origin = headers.get("warc-segment-origin-id") or (named if number is not None else None)
+    digest = headers.get("warc-payload-digest", "").rpartition(":")[2] or None
+    found = (named, headers.get("warc-type"), whole("x-page-id"), headers.get("warc-target-uri"), whole("x-refers-to-page"), digest, whole("x-payload-length"), origin, number, whole("warc-segment-total-length"), block)
+    return (*found, error)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    whole = lambda x: None if x is None else int(x)
+    kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [x.split() for x in _RECORD.split(", ")]
     for batch in batches:
-        for row in range(batch.num_rows):
-            data = batch.column(0)[row].as_py()
-            rows = []
-            for h, block in parse(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
-                number = whole(h.get("warc-segment-number"))
-                origin = h.get("warc-segment-origin-id") or (h.get("warc-record-id") if number is not None else None)
-                digest = h.get("warc-payload-digest", "").rpartition(":")[2] or None
-                rows.append((h.get("warc-record-id"), h.get("warc-type"), whole(h.get("x-page-id")), h.get("warc-target-uri"), whole(h.get("x-refers-to-page")), digest, whole(h.get("x-payload-length")), origin, number, whole(h.get("warc-segment-total-length")), block))
-            names = [x.split()[0] for x in _RECORD.split(", ")]
-            types = [{"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[x.split()[1]] for x in _RECORD.split(", ")]
+        for data in batch.column(0):
+            raw, error = unpacked(data.as_py())
+            rows = [_row(*x) for x in parse(raw)]
+            if error:
+                rows.append(_row({}, b"", error))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=True)], [n for n, _ in fields])
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -152,6 +202,8 @@ def decode_chunked(block: bytes) -> bytes:
             raise ValueError("chunk size line is cut")
         size = int(body[at:end].partition(b";")[0], 16)
         at = end + 2
+        if size < 0:
+            raise ValueError("chunk size is negative")
         if not size:
             return b"".join(out)
         if body[at + size : at + size + 2] != b"\r\n":
@@ -205,7 +257,7 @@ def reassemble(records: DataFrame, keep_payload: bool = True) -> DataFrame:
     def single(batches):
         for batch in batches:
             if batch.num_rows:
-                yield _rows([_finish([batch.column(i)[r].as_py() for i in range(7)], batch.column(7)[r].as_py(), None, keep_payload) for r in range(batch.num_rows)], keep_payload)
+                yield _rows([_finish([batch.column(i)[r].as_py() for i in range(7)], *(batch.column(i)[r].as_py() for i in (7, 8)), keep_payload) for r in range(batch.num_rows)], keep_payload)
 
     def grouped(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -214,6 +266,8 @@ def reassemble(records: DataFrame, keep_payload: bool = True) -> DataFrame:
         meta = [head[c] for c in ("record_id", "type", "page_id", "url", "refers_to", "digest", "payload_bytes")]
         if not heads:
             return pa.Table.from_batches([_rows([_finish(meta, None, "first segment is missing", keep_payload)], keep_payload)])
+        if broken := next((r["error"] for r in rows if r["error"]), None):
+            return pa.Table.from_batches([_rows([_finish(meta, None, broken, keep_payload)], keep_payload)])
         try:
             block, error = join_segments([(r["number"], r["total"], r["block"]) for r in rows]), None
         except ValueError as e:
@@ -221,7 +275,7 @@ def reassemble(records: DataFrame, keep_payload: bool = True) -> DataFrame:
         return pa.Table.from_batches([_rows([_finish(meta, block, error, keep_payload)], keep_payload)])
 
     schema = _OUT if keep_payload else _SLIM
-    whole = records.where("origin is null").select("record_id", "type", "page_id", "url", "refers_to", "digest", "payload_bytes", "block").mapInArrow(single, schema)
+    whole = records.where("origin is null").select("record_id", "type", "page_id", "url", "refers_to", "digest", "payload_bytes", "block", "error").mapInArrow(single, schema)
     split = records.where("origin is not null").groupBy("origin").applyInArrow(grouped, schema)
     return whole.unionByName(split)
 
