@@ -233,7 +233,7 @@ def label(docs: DataFrame, crf: Crf, text_col: str = "text") -> DataFrame:
         model = shared.value
         names = pa.array([*model.labels, "und"])
         for batch in batches:
-            for part in slices(batch, text_col, 1 << 20):
+            for part in slices(batch, text_col, 1 << 18):
                 yield map_rows(part.drop_columns(["__td_letter"]), fields, one(model, names, part))
 
     def one(model: Crf, names: pa.Array, part: pa.RecordBatch) -> list[pa.Array]:
