@@ -2,10 +2,12 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import config, registry, stages
+from tidemark.sources import media
 from tidemark.sources import readers as rd
 from tidemark.sources import sinks as sk
 from tidemark.streaming import online
@@ -56,6 +58,52 @@ def test_writers(spark, tmp_path):
     assert said == {"srt": "written", "nope": "unknown", "json": "written"}
 
 
+def test_failures_can_fail_the_job(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(sk.FORMATS, "bad", lambda c: c.select("no such column"))
+    caps = spark.createDataFrame([(1, 1, 0.0, 5.0, "Hi", ["A"], True)], "video_id long, scene_id long, start double, end double, caption string, characters array<string>, has_dialogue boolean")
+    said = sk.write_all(caps, str(tmp_path), ["bad", "json"])
+    assert said["json"] == "written" and said["bad"].startswith("failed")
+    with pytest.raises(RuntimeError):
+        sk.raise_failures(said)
+
+
+def test_headers_and_samples(spark, tmp_path):
+    (tmp_path / "a.mp4").write_bytes(media.mp4_bytes(1280, 720, 100, 30, "hvc1"))
+    (tmp_path / "b.mp4").write_bytes(media.mp4_bytes(1280, 720, 100, 30)[:-40])
+    (tmp_path / "c.mp4").write_bytes(b"\0\0\0\x08ftyp")
+    got = {r.path[-5]: r for r in media.videos(spark, str(tmp_path)).collect()}
+    assert (got["a"].width, got["a"].height, got["a"].frame_count, got["a"].codec, got["a"].error) == (1280, 720, 100, "hvc1", None)
+    assert round(got["a"].fps, 6) == 30 and round(got["a"].duration, 6) == round(100 / 30, 6)
+    assert "cut" in got["b"].error and "no video track" in got["c"].error
+    tone = np.sin(np.arange(4000) / 4000 * 2 * np.pi * 440) * 0.5
+    assert np.allclose(media.wav_samples(media.wav_bytes(tone, 4000))[2], tone, atol=1e-3)
+    assert len(media.resampled(tone, 4000, 16000)) == 16000 and media.pitch(tone, 4000) == pytest.approx(440, abs=2)
+    assert media.bursts(np.concatenate([tone, np.zeros(2000), tone]), 4000) == [(0.0, 1.0), (1.5, 2.5)]
+    (tmp_path / "d.wav").write_bytes(b"RIFF1234WAVEfmt ")
+    assert media.audio(spark, str(tmp_path)).first().error is not None
+
+
+def test_speech_models_fail_by_row(spark, tmp_path):
+    def make():
+        def model(samples, rate):
+            raise OSError("no model")
+
+        return model
+
+    registry.TRANSCRIBERS["broken"] = make
+    (tmp_path / "a.wav").write_bytes(media.wav_bytes(np.zeros(100), 8000))
+    rows = registry.transcribed(media.audio(spark, str(tmp_path)), "broken").collect()
+    assert len(rows) == 1 and rows[0].error == "OSError: no model" and rows[0].text is None
+    assert registry.diarized(media.audio(spark, str(tmp_path))).count() == 0
+
+
+def test_resume_reads_what_was_written(spark, tmp_path):
+    first = stages.Pipeline({"video": lambda s, t: {"shots": s.range(3)}}, str(tmp_path))
+    first.run(spark, {}, ["video"])
+    again = stages.Pipeline({"video": lambda s, t: {"shots": s.range(9)}}, str(tmp_path))
+    assert again.run(spark, {}, ["video"])[0]["shots"].count() == 3
+
+
 def test_config(tmp_path, monkeypatch):
     monkeypatch.setenv("TM_X", "7")
     (tmp_path / "a.json").write_text('{"a": {"b": 1, "c": "${TM_X}"}, "profiles": {"p": {"overrides": {"a": {"b": 2}}}}}')
@@ -105,6 +153,36 @@ def test_streamed_tracks(spark, tmp_path):
     assert {(r.ord % 2, r.track_id) for r in got} == {(0, 0), (1, 1)}
 
 
+def test_idle_state_goes_and_late_rows_are_dropped(spark, tmp_path):
+    """Files one by one: a video that is idle past the watermark starts anew; a row behind the watermark is dropped and counted."""
+    from datetime import datetime, timedelta
+
+    t0 = datetime(2024, 1, 1)
+    schema = "video_id long, frame long, ord long, ts timestamp, x1 double, y1 double, x2 double, y2 double"
+    box = (10.0, 10.0, 50.0, 50.0)
+    folder = f"{tmp_path}/in"
+    spark.createDataFrame([], schema).write.parquet(folder)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    parts = [(1, 0, 0, 0), (1, 1, 1, 1), (2, 0, 2, 3600), (2, 1, 3, 3700), (1, 2, 4, 7300), (2, 2, 5, 60)]
+    q = online.tracks(stream, at="ts", idle="10 minutes").writeStream.format("memory").queryName("idle").outputMode("append").option("checkpointLocation", f"{tmp_path}/ck").start()
+    try:
+        for v, f, o, s in parts:
+            spark.createDataFrame([(v, f, o, t0 + timedelta(seconds=s), *(box if o != 4 else (300.0, 300.0, 340.0, 340.0)))], schema).coalesce(1).write.mode("append").parquet(folder)
+            q.processAllAvailable()
+        late = online.dropped(q)
+    finally:
+        q.stop()
+    got = {r.ord: r.track_id for r in spark.table("idle").collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0} and late == 1  # 4 is elsewhere: it would be track 1 if video 1 were not forgotten
+
+
+def test_a_cut_resets_the_tracks(spark, tmp_path):
+    rows = [(1, f, f, "cut" if f == 2 else "face", 10.0, 10.0, 50.0, 50.0) for f in range(4)]
+    s = _stream(spark, tmp_path, rows, "video_id long, frame long, ord long, kind string, x1 double, y1 double, x2 double, y2 double")
+    got = _all(spark, online.tracks(s, reset=("cut",)), tmp_path, "append")
+    assert [r.track_id for r in sorted(got, key=lambda r: r.ord)] == [0, 0, 1, 1]
+
+
 def test_streamed_sessions(spark, tmp_path):
     schema = "video_id long, character_id string, ts timestamp"
     from datetime import datetime, timedelta

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as tx
 from tidemark.functions import time as tm
 from tidemark.operators import folds as fo
+from tidemark.operators import frames as fr
 from tidemark.operators import intervals as iv
 from tidemark.operators import quality as ql
 from tidemark.operators import scoring as sc
@@ -143,7 +144,69 @@ def test_tracker_keeps_a_moving_box():
     assert {i for frame in ids for _, i in frame} == {0}
     for _ in range(5):
         t.step(np.zeros((0, 4)))
-    assert t.tracks == []
+    assert len(t.ids) == len(t.x) == 0
+
+
+def test_tracker_weighs_faces_and_boxes():
+    """Two faces that swap their boxes: by overlap alone the tracks swap with them, by vectors they do not."""
+    near = np.array([[0.0, 0, 40, 40], [8, 0, 48, 40]])
+    faces = np.array([[1.0, 0], [0, 1]])
+    boxes_only, both = fo.Tracker(5, 1), fo.Tracker(5, 1)
+    for b, v in ((near, faces), (near, faces), (near[::-1], faces)):
+        last = dict(boxes_only.step(b)), dict(both.step(b, v))
+    assert last == ({0: 1, 1: 0}, {0: 0, 1: 1})
+    cost = both.cost(near, near, faces)
+    assert math.isclose(cost[0, 0], 0.0, abs_tol=0.01) and math.isclose(cost[0, 1], 0.5 * (1 - 32 / 48) + 0.5, abs_tol=0.01)
+
+
+def test_matching_in_order(spark):
+    """Scores by hand: time 0.3, continuity 0.1 from the end of the last match, position 0.1, emotion 0.1, speaker 0.3 once learned."""
+    cols = "video_id long, segment_id string, ord long, start double, end double, speaker_id string, character_id string, distance double, window double, position double, emotion_score double"
+    rows = [
+        (1, "a", 0, 0.0, 10.0, "s", "X", 0.0, 30.0, 0.8, 0.5),
+        (1, "a", 0, 0.0, 10.0, "s", "Y", 15.0, 30.0, 1.0, 1.0),
+        (1, "b", 1, 14.0, 15.0, "s", "X", 30.0, 30.0, 0.8, None),
+        (1, "c", 2, 60.0, 61.0, "s", None, None, 30.0, None, None),
+    ]
+    got = {r.segment_id: r for r in fo.match_in_order(spark.createDataFrame(rows, cols)).collect()}
+    first = (0.3 * 1 + 0.1 * 0.5 + 0.1 * 0.8 + 0.1 * 0.5) / 0.6
+    assert (got["a"].character_id, got["a"].continuity) == ("X", 0.5) and math.isclose(got["a"].score, first)
+    second = (0.3 * 0 + 0.3 * first + 0.1 * 0.9 + 0.1 * 0.8) / 0.8
+    assert (got["b"].character_id, got["b"].continuity) == ("X", 0.9) and math.isclose(got["b"].score, second)
+    assert got["c"].second_pass and math.isclose(got["c"].score, 0.8 * (first + second) / 2)
+    bare = spark.createDataFrame([r[:9] for r in rows], cols.partition(", position")[0])
+    assert math.isclose({r.segment_id: r.score for r in fo.match_in_order(bare).collect()}["a"], (0.3 + 0.05) / 0.4)
+
+
+def test_budgets(spark):
+    rows = spark.createDataFrame([(v, i, i % 2 == 0) for v, n in ((1, 10), (2, 40)) for i in range(n)], "video_id long, ord long, said boolean")
+    kept = lambda b: {v: sorted(r.ord for r in fr.budgeted(rows, ["video_id"], F.col("said"), b, "ord").collect() if r.video_id == v) for v in (1, 2)}
+    assert kept(5) == {1: [0, 2, 4, 6, 8], 2: [0, 8, 16, 24, 32]}
+    assert kept(7)[1] == [0, 1, 2, 4, 5, 6, 8]
+    assert len(kept(25)[2]) == 25
+
+
+def test_enhancement():
+    rng = np.random.default_rng(2)
+    flat = fr.enhanced(np.full((8, 8), 100.0), least=16)
+    assert flat.shape == (16, 16) and flat.std() == 0
+    image = np.clip(rng.normal(120, 20, (24, 24)), 0, 255)
+    assert fr.enhanced(image, denoise=False, sharpen=False, least=8).std() > image.std()
+    plain = fr.enhanced(image, contrast=False, denoise=False, least=8)
+    i, v = np.round(image), np.clip(9 * np.round(image)[5, 5] - (np.round(image)[4:7, 4:7].sum() - np.round(image)[5, 5]), 0, 255)
+    assert plain[5, 5] == v and i.shape == plain.shape
+    dark = fr.enhanced(np.full((8, 8), 10.0), contrast=False, least=8)
+    assert (dark == 45).all()
+
+
+def test_average_hash(spark):
+    import hashlib
+
+    row = [1.0, 2.0, 3.0, 10.0]
+    want = hashlib.md5(b"0001").hexdigest()[:16]
+    df = spark.createDataFrame([(2, 5, row), (1, 3, row), (3, 9, [9.0, 0.0, 0.0, 0.0])], "video_id long, ord long, p array<double>")
+    assert one(spark, fr.average_hash(F.array(*[F.lit(x) for x in row]))) == want
+    assert sorted(r.ord for r in fr.first_of_hash(df, "p", "ord").collect()) == [3, 9]
 
 
 def test_short_scenes_are_merged_once(spark):

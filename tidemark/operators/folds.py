@@ -11,60 +11,75 @@ from collections import deque
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-MATCH = "video_id long, segment_id string, character_id string, score double, second_pass boolean"
+MATCH = "video_id long, segment_id string, character_id string, score double, continuity double, second_pass boolean"
 TRACK = "video_id long, frame long, ord long, track_id long"
+_OPTIONAL = ("position", "emotion_score")
 
 
-def continuity(history: list[tuple[float, str]], at: float, who: str) -> float:
-    """0.9 if the character spoke under 5 s ago, 0.7 under 30 s, else by its share of the last ten; 0.5 without history."""
+def continuity(history: deque[tuple[float, str]], at: float, who: str) -> float:
+    """0.9 if the character's last match ended under 5 s ago, 0.7 under 30 s, else by its share of the last ten; 0.5 without history."""
     if not history:
         return 0.5
-    mine = [t for t, w in history if w == who]
-    if mine and at - mine[-1] < 5:
-        return 0.9
-    if mine and at - mine[-1] < 30:
-        return 0.7
-    return 0.5 + 0.3 * len(mine) / len(history)
+    mine, last = 0, None
+    for t, w in history:
+        if w == who:
+            mine, last = mine + 1, t
+    if last is not None and at - last < 30:
+        return 0.9 if at - last < 5 else 0.7
+    return 0.5 + 0.3 * mine / len(history)
 
 
-def match_in_order(candidates: DataFrame, least: float = 0.3) -> DataFrame:
+def match_in_order(candidates: DataFrame, least: float = 0.3, weight: float = 0.1) -> DataFrame:
     """Dialogues in time order, each with the best of its candidate characters.
 
-    ``candidates``: video_id, segment_id, ord, start, speaker_id, character_id (null: none),
-    distance (s), window (s). A match teaches the speaker's association (half-averages),
-    which scores later dialogues; a second pass gives unmatched dialogues their speaker's
-    best association over 0.5, at 0.8 of it.
+    ``candidates``: video_id, segment_id, ord, start, end, speaker_id, character_id (null: none),
+    distance (s), window (s), and if known position and emotion_score (0 to 1). The score is
+    the mean of the terms that are there, by their weights: time 0.3, speaker 0.3 (if learned),
+    continuity ``weight``, position 0.1, emotion 0.1. A match teaches the speaker's association
+    (half-averages), which scores later dialogues; a second pass gives unmatched dialogues their
+    speaker's best association over 0.5, at 0.8 of it. Equal scores go to the first name.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["ord", "character_id"], kind="stable")
         video = pdf["video_id"].iloc[0]
+        near = (1 - pdf["distance"] / pdf["window"]).clip(lower=0).to_numpy(float)
+        good = (pdf["character_id"].notna() & (pdf["distance"] <= pdf["window"])).tolist()
+        fixed, total = 0.3 * near, np.full(len(pdf), 0.3 + weight)
+        for name in _OPTIONAL:
+            if name in pdf:
+                have = pdf[name].notna().to_numpy()
+                fixed, total = fixed + np.where(have, 0.1 * pdf[name].fillna(0).to_numpy(float), 0), total + 0.1 * have
+        fixed, total = fixed.tolist(), total.tolist()
+        names, speakers, segments = pdf["character_id"].tolist(), pdf["speaker_id"].tolist(), pdf["segment_id"].tolist()
+        starts, ends, places = pdf["start"].tolist(), pdf["end"].tolist(), pdf["ord"].to_numpy()
+        cuts = [0, *(np.flatnonzero(places[1:] != places[:-1]) + 1).tolist(), len(pdf)]
         history: deque[tuple[float, str]] = deque(maxlen=10)
-        links: dict[tuple[str, str], float] = {}
+        links: dict[str, dict[str, float]] = {}
         out, left = [], []
-        for (_, segment), rows in pdf.sort_values(["ord", "character_id"], kind="stable").groupby(["ord", "segment_id"], sort=True):
-            top, who = 0.0, None
-            at, speaker = float(rows["start"].iloc[0]), rows["speaker_id"].iloc[0]
-            for c in rows.itertuples():
-                if c.character_id is None or pd.isna(c.distance) or c.distance > c.window:
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            known = links.get(speakers[a], {})
+            top, best, steady = 0.0, None, None
+            for k in range(a, b):
+                if not good[k]:
                     continue
-                terms = [(max(0.0, 1 - c.distance / c.window), 0.3), (continuity(list(history), at, c.character_id), 0.1)]
-                if (known := links.get((c.character_id, speaker), 0.0)) > 0:
-                    terms.append((known, 0.3))
-                score = sum(s * w for s, w in terms) / sum(w for _, w in terms)
+                c, v = continuity(history, starts[a], names[k]), known.get(names[k], 0.0)
+                score = (fixed[k] + weight * c + 0.3 * v) / (total[k] + 0.3) if v > 0 else (fixed[k] + weight * c) / total[k]
                 if score > top:
-                    top, who = score, c.character_id
-            if who is None or top <= least:
-                left.append((segment, speaker))
+                    top, best, steady = score, names[k], c
+            if best is None or top <= least:
+                left.append((segments[a], speakers[a]))
                 continue
-            old = links.get((who, speaker))
-            links[who, speaker] = top if old is None else (old + top) / 2
-            history.append((at, who))
-            out.append((video, segment, who, top, False))
+            mine = links.setdefault(speakers[a], {})
+            mine[best] = (mine[best] + top) / 2 if best in mine else top
+            history.append((ends[a], best))
+            out.append((video, segments[a], best, top, steady, False))
         for segment, speaker in left:
-            best = max(((v, c) for (c, s), v in links.items() if s == speaker and v > 0.5), key=lambda x: (x[0], [-ord(k) for k in x[1]]), default=None)
-            out.append((video, segment, best[1] if best else None, best[0] * 0.8 if best else None, bool(best)))
-        return pd.DataFrame(out, columns=["video_id", "segment_id", "character_id", "score", "second_pass"])
+            v, who = min(((-v, c) for c, v in links.get(speaker, {}).items() if v > 0.5), default=(None, None))
+            out.append((video, segment, who, -v * 0.8 if who else None, None, bool(who)))
+        return pd.DataFrame(out, columns=[x.split()[0] for x in MATCH.split(", ")])
 
     return candidates.groupBy("video_id").applyInPandas(run, MATCH)
 
@@ -110,85 +125,108 @@ def iou_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.divide(common, union, out=np.zeros_like(common), where=union > 0)
 
 
-class Motion:
-    """Constant-velocity Kalman filter over (centre x, centre y, area, aspect)."""
+#: Constant-velocity Kalman filter over (centre x, centre y, area, aspect): step, and noise of step and measurement.
+_STEP = np.eye(7) + np.diag([1.0, 1.0, 1.0], 4)[:7, :7]
+_Q, _R = np.diag([1, 1, 1, 1, 0.01, 0.01, 0.0001]), np.diag([1.0, 1.0, 10.0, 10.0])
 
-    F = np.eye(7) + np.diag([1.0, 1.0, 1.0], 4)[:7, :7]
-    H = np.eye(4, 7)
-    Q, R = np.diag([1, 1, 1, 1, 0.01, 0.01, 0.0001]), np.diag([1.0, 1.0, 10.0, 10.0])
 
-    def __init__(self, box: np.ndarray):
-        self.x, self.p = np.concatenate([self.state(box), np.zeros(3)]), np.diag([10.0] * 4 + [1e4] * 3)
-
-    @staticmethod
-    def state(b: np.ndarray) -> np.ndarray:
-        w, h = b[2] - b[0], b[3] - b[1]
-        return np.array([b[0] + w / 2, b[1] + h / 2, w * h, w / h if h else 0.0])
-
-    def box(self) -> np.ndarray:
-        area, aspect = max(self.x[2], 1e-6), max(self.x[3], 1e-6)
-        w = np.sqrt(area * aspect)
-        h = area / w
-        return np.array([self.x[0] - w / 2, self.x[1] - h / 2, self.x[0] + w / 2, self.x[1] + h / 2])
-
-    def predict(self) -> np.ndarray:
-        if self.x[2] + self.x[6] <= 0:
-            self.x[6] = 0.0
-        self.x, self.p = self.F @ self.x, self.F @ self.p @ self.F.T + self.Q
-        return self.box()
-
-    def update(self, box: np.ndarray) -> None:
-        gain = self.p @ self.H.T @ np.linalg.inv(self.H @ self.p @ self.H.T + self.R)
-        self.x = self.x + gain @ (self.state(box) - self.H @ self.x)
-        self.p = (np.eye(7) - gain @ self.H) @ self.p
+def box_states(boxes: np.ndarray) -> np.ndarray:
+    """(centre x, centre y, area, aspect) of each box."""
+    size = boxes[:, 2:] - boxes[:, :2]
+    aspect = np.divide(size[:, 0], size[:, 1], out=np.zeros(len(boxes)), where=size[:, 1] != 0)
+    return np.column_stack([boxes[:, :2] + size / 2, size[:, 0] * size[:, 1], aspect])
 
 
 class Tracker:
-    """Frame-by-frame tracks: predict, assign by box overlap, update, birth, death after ``max_age`` frames."""
+    """Frame-by-frame tracks: predict, assign, update, birth, death after ``max_age`` frames; the states of all tracks are one array.
 
-    def __init__(self, max_age: int = 30, min_hits: int = 3, reject: float = 0.7):
-        self.max_age, self.min_hits, self.reject = max_age, min_hits, reject
-        self.tracks: list[dict] = []
+    The cost of a pair is 1 - IoU or, where faces have vectors, half of that and half of
+    1 - cosine with the track's running mean vector; pairs that cost ``reject`` or more are none.
+    """
+
+    def __init__(self, max_age: int = 30, min_hits: int = 3, reject: float = 0.7, alpha: float = 0.3):
+        self.max_age, self.min_hits, self.reject, self.alpha = max_age, min_hits, reject, alpha
+        self.x, self.p, self.vectors = np.zeros((0, 7)), np.zeros((0, 7, 7)), None
+        self.ids, self.age, self.streak = (np.zeros(0, np.int64) for _ in range(3))
         self.frames = self.next_id = 0
 
-    def step(self, boxes: np.ndarray) -> list[tuple[int, int]]:
+    def predict(self) -> np.ndarray:
+        """Boxes of all tracks one frame on."""
+        x = self.x
+        x[x[:, 2] + x[:, 6] <= 0, 6] = 0
+        self.x, self.p = x @ _STEP.T, _STEP @ self.p @ _STEP.T + _Q
+        area, aspect = np.maximum(self.x[:, 2], 1e-6), np.maximum(self.x[:, 3], 1e-6)
+        w = np.sqrt(area * aspect)
+        half = np.column_stack([w, area / w]) / 2
+        return np.column_stack([self.x[:, :2] - half, self.x[:, :2] + half])
+
+    def update(self, of: np.ndarray, boxes: np.ndarray) -> None:
+        p = self.p[of]
+        gain = p[:, :, :4] @ np.linalg.inv(p[:, :4, :4] + _R)
+        self.x[of] += (gain @ (box_states(boxes) - self.x[of, :4])[:, :, None])[:, :, 0]
+        self.p[of] = p - gain @ p[:, :4, :]
+
+    def cost(self, guess: np.ndarray, boxes: np.ndarray, vectors: np.ndarray | None) -> np.ndarray:
+        if not len(guess) or not len(boxes):
+            return np.zeros((len(guess), len(boxes)))
+        apart = 1 - iou_matrix(guess, boxes)
+        return apart if vectors is None else 0.5 * apart + 0.5 * (1 - self.vectors @ vectors.T)
+
+    def step(self, boxes: np.ndarray, vectors: np.ndarray | None = None) -> list[tuple[int, int]]:
         """(box index, track id) of the tracks that are reported in this frame."""
         self.frames += 1
-        guess = np.array([t["motion"].predict() for t in self.tracks]).reshape(-1, 4)
-        cost = 1 - iou_matrix(guess, boxes) if len(guess) and len(boxes) else np.zeros((len(guess), len(boxes)))
-        pairs = [(i, j) for i, j in assign(cost) if cost[i, j] < self.reject]
-        taken, told = {j for _, j in pairs}, []
-        hit = dict(pairs)
-        for i, t in enumerate(self.tracks):
-            if i in hit:
-                t["motion"].update(boxes[hit[i]])
-                t["age"], t["streak"] = 0, t["streak"] + 1
-                if t["streak"] >= self.min_hits or self.frames <= self.min_hits:
-                    told.append((hit[i], t["id"]))
-            else:
-                t["age"], t["streak"] = t["age"] + 1, 0
-        self.tracks = [t for t in self.tracks if t["age"] <= self.max_age]
-        for j in range(len(boxes)):
-            if j not in taken:
-                self.tracks.append({"id": self.next_id, "motion": Motion(boxes[j]), "age": 0, "streak": 1})
-                if self.frames <= self.min_hits:
-                    told.append((j, self.next_id))
-                self.next_id += 1
+        if vectors is not None:
+            vectors = _unit(vectors)
+            self.vectors = np.zeros((0, vectors.shape[1])) if self.vectors is None else self.vectors
+        cost = self.cost(self.predict(), boxes, vectors)
+        pairs = np.array([(i, j) for i, j in assign(cost) if cost[i, j] < self.reject], int).reshape(-1, 2)
+        i, j = pairs.T
+        self.age += 1
+        missed = np.ones(len(self.ids), bool)
+        missed[i] = False
+        self.streak[missed] = 0
+        told = []
+        if len(i):
+            self.update(i, boxes[j])
+            self.age[i], self.streak[i] = 0, self.streak[i] + 1
+            if vectors is not None:
+                self.vectors[i] = _unit((1 - self.alpha) * self.vectors[i] + self.alpha * vectors[j])
+            shown = (self.streak[i] >= self.min_hits) | (self.frames <= self.min_hits)
+            told = list(zip(j[shown].tolist(), self.ids[i[shown]].tolist(), strict=True))
+        new = np.setdiff1d(np.arange(len(boxes)), j)
+        keep = self.age <= self.max_age
+        ids = self.next_id + np.arange(len(new))
+        self.next_id += len(new)
+        if self.frames <= self.min_hits:
+            told += list(zip(new.tolist(), ids.tolist(), strict=True))
+        if len(new) or not keep.all():
+            start = np.diag([10.0] * 4 + [1e4] * 3)
+            self.x = np.concatenate([self.x[keep], np.column_stack([box_states(boxes[new]), np.zeros((len(new), 3))])])
+            self.p = np.concatenate([self.p[keep], np.broadcast_to(start, (len(new), 7, 7))])
+            self.ids, self.age = np.concatenate([self.ids[keep], ids]), np.concatenate([self.age[keep], np.zeros(len(new), np.int64)])
+            self.streak = np.concatenate([self.streak[keep], np.ones(len(new), np.int64)])
+            if vectors is not None:
+                self.vectors = np.concatenate([self.vectors[keep], vectors[new]])
         return told
 
 
-def tracked(detections: DataFrame, max_age: int = 30, min_hits: int = 3) -> DataFrame:
-    """Detections (video_id, frame, ord, box) with the track that each belongs to, where one is reported."""
+def tracked(detections: DataFrame, max_age: int = 30, min_hits: int = 3, vector: str | None = None) -> DataFrame:
+    """Detections (video_id, frame, ord, box, and their ``vector`` if named) with the track that each belongs to, where one is reported."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["frame", "ord"])
         tracker, out = Tracker(max_age, min_hits), []
-        for frame, rows in pdf.sort_values(["frame", "ord"]).groupby("frame", sort=True):
-            boxes = rows[["x1", "y1", "x2", "y2"]].to_numpy(float)
-            ids = rows["ord"].tolist()
-            out += [(rows["video_id"].iloc[0], frame, ids[j], t) for j, t in tracker.step(boxes)]
-        return pd.DataFrame(out, columns=["video_id", "frame", "ord", "track_id"])
-
-    return detections.select("video_id", "frame", "ord", "box.x1", "box.y1", "box.x2", "box.y2").groupBy("video_id").applyInPandas(run, TRACK)
+        boxes, frames, ids = pdf[["x1", "y1", "x2", "y2"]].to_numpy(float), pdf["frame"].to_numpy(), pdf["ord"].tolist()
+        faces = np.stack(pdf["vector"].to_numpy()).astype(float) if vector else None
+        cuts = [0, *(np.flatnonzero(frames[1:] != frames[:-1]) + 1).tolist(), len(pdf)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            out += [(frames[a], ids[a + j], t) for j, t in tracker.step(boxes[a:b], faces[a:b] if vector else None)]
+        found = pd.DataFrame(out, columns=["frame", "ord", "track_id"])
+        found.insert(0, "video_id", pdf["video_id"].iloc[0])
+        return found
+
+    rows = detections.select("video_id", "frame", "ord", "box.x1", "box.y1", "box.x2", "box.y2", *([F.col(vector).alias("vector")] if vector else []))
+    return rows.groupBy("video_id").applyInPandas(run, TRACK)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:

@@ -124,3 +124,17 @@ def matches(dialogues: DataFrame, detections: DataFrame, threshold: float = 0.3,
     scored = p.withColumn("final", fused(best(scores), rules(F.lit(False)) if with_rules else None))
     top = first_by(scored, ["video_id", "segment_id"], F.desc("final"), "character_id").where(F.col("final") >= threshold)
     return dialogues.join(top.select("video_id", "segment_id", "character_id", "final"), ["video_id", "segment_id"], "left")
+
+
+def comprehensive(temporal_: Column, speaker: Column, continuity: Column, place: Column, emotion: Column, weight: float = 0.1) -> Column:
+    """Mean of the terms that are there, by weights 0.3, 0.3 (if over 0), ``weight``, 0.1 and 0.1 (if not null)."""
+    known = F.when(speaker > 0, 1.0).otherwise(0.0)
+    felt = F.when(emotion.isNotNull(), 1.0).otherwise(0.0)
+    total = temporal_ * 0.3 + F.coalesce(speaker, F.lit(0.0)) * known * 0.3 + continuity * weight + place * 0.1 + F.coalesce(emotion, F.lit(0.0)) * 0.1
+    return total / (known * 0.3 + felt * 0.1 + (0.3 + weight + 0.1))
+
+
+def lip_evidence(present: Column, has_data: Column, moves: Column, speaking: Column, confidence: Column) -> Column:
+    """0.9 of the confidence if the lips speak and 0.05 if they do not; 0 without a movement in the span; without lip data 0.1 for mere presence."""
+    told = F.when(moves == 0, 0.0).when(speaking, confidence * 0.9).otherwise(0.05)
+    return F.when(has_data, told).when(present, 0.1).otherwise(0.0)

@@ -132,9 +132,9 @@ query("src_meta", "SELECT event_id, chr((97 + event_id % 26)::INTEGER) || 'v' ||
 _CODEC_SQL = "['h264', 'av1', 'vp8', 'vp9', 'xvid'][(ord % 5 + 1)::INT]"
 query("src_probe", sql(f"SELECT ord, concat_ws(',', CASE WHEN {_CODEC_SQL} IN ('av1', 'vp8') THEN 'codec' END, CASE WHEN x2 < 320 OR y2 < 100 THEN 'resolution' END, CASE WHEN ord % 40 < 15 THEN 'frame rate' END) AS issues FROM det", "det"))(lambda s, d: mp.detections(s, d).select("ord", F.array_join(ql.issues(_codec(), F.col("box.x2") + 320, F.col("box.y2") + 380, F.col("ord") % 40), ",").alias("issues")))
 query("src_codec_compat", sql(f"SELECT ord, CASE WHEN {_CODEC_SQL} = 'h264' THEN 'true' WHEN {_CODEC_SQL} IN ('av1', 'vp8', 'vp9') THEN 'false' ELSE 'unknown' END AS ok FROM det", "det"))(lambda s, d: mp.detections(s, d).select("ord", F.coalesce(ql.codec_support(_codec()).cast("string"), F.lit("unknown")).alias("ok")))
-query("src_scenes_cv")(lambda s, d: rd.scene_cuts(mp.detections(s, d).select("video_id", F.col("decis").alias("frame"), F.col("confidence").alias("diff")), 0.2, 30))
-query("src_synthetic")(lambda s, d: rd.synthetic(s))
-query("src_latest_session", "SELECT max(lpad((20240000 + event_id)::VARCHAR, 8, '0') || '_000000') AS v FROM events")(lambda s, d: mp.table(s, d, "events").select(F.max(rd.session_stamp(F.format_string("/x/session_%08d_000000/a.json", F.col("event_id") + 20240000))).alias("v")))
+query("src_scenes_cv", sql("""o AS (SELECT video_id, list(decis::DOUBLE ORDER BY decis) AS l FROM det WHERE confidence > 0.2 GROUP BY video_id), f AS (SELECT video_id, list_reduce(l, lambda k, t: CASE WHEN t[1] - k[len(k)] >= 30 THEN list_concat(k, t) ELSE k END) AS k FROM (SELECT video_id, list_transform(l, lambda t: [t]) AS l FROM o))
+SELECT video_id, unnest(k) AS frame FROM f""", "det"))(lambda s, d: rd.scene_cuts(mp.detections(s, d).select("video_id", F.col("decis").alias("frame"), F.col("confidence").alias("diff")), 0.2, 30))
+query("src_synthetic", """SELECT video_id, ord, start, start + 2 + h / 200 AS "end", printf('SPEAKER_%02d', h % 4) AS speaker, 0.5 + h / 2000 AS confidence FROM (SELECT i // 150 AS video_id, i % 150 AS ord, (i * 7919 + 7 * 104729) % 1000 AS h, (i % 150) * 12.0::DOUBLE + ((i * 7919 + 7 * 104729) % 1000) / 250 AS start FROM range(450) t(i))""")(lambda s, d: rd.synthetic(s))
 
 # ---- projections and filters -----------------------------------------------------------
 
@@ -208,4 +208,4 @@ query("prj_video_recs", sql("SELECT video_id, concat_ws(',', CASE WHEN q < 0.25
 query("flt_emotion_rows", sql("SELECT video_id, ord, CASE WHEN n < 50 THEN 'neutral' ELSE emotion END AS emotion, CASE WHEN n < 50 THEN 0.0 ELSE emotion_confidence END::DOUBLE AS c FROM seg", "seg"))(lambda s, d: mp.segments(s, d).select("video_id", "ord", F.when(F.col("n") < 50, "neutral").otherwise(F.col("emotion")).alias("emotion"), F.when(F.col("n") < 50, 0.0).otherwise(F.col("emotion_confidence")).alias("c")))
 query("prj_audio_slice", sql("SELECT video_id, ord, greatest(400, n * 100)::INTEGER AS v FROM seg", "seg"))(lambda s, d: mp.segments(s, d).select("video_id", "ord", F.size(ql.audio_slice(F.transform(F.sequence(F.lit(0), (F.col("n") * 100 - 1).cast("int")), lambda i: i.cast("double")), F.lit(0.0), F.col("n").cast("double"), 100)).alias("v")))
 
-from . import queries_io, queries_joins, queries_more  # noqa: E402, F401
+from . import queries_io, queries_joins, queries_media, queries_more  # noqa: E402, F401

@@ -23,13 +23,23 @@ from .queries import query
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new path in the cluster's shared checkpoint folder; a local one only where none is named."""
+    """A new path in the shared checkpoint folder that the cluster names; a local one only where there is no cluster."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemark-"))
     return f"{sc.getCheckpointDir()}/io-{uuid.uuid4().hex}"
 
 
+def stored(rows: DataFrame) -> DataFrame:
+    """Rows written as JSON documents to the shared folder and read back."""
+    path = shared_folder(rows.sparkSession)
+    sk.write_document(rows, path)
+    return rows.sparkSession.read.schema(rows.schema).json(path)
+
+
 def through_json(rows: DataFrame, kind: str, name: str, entry, order: str) -> DataFrame:
     """Rows nested into documents, written as JSON, read back with the declared schema and flattened."""
     spark, path = rows.sparkSession, shared_folder(rows.sparkSession)
@@ -53,15 +63,11 @@ query("src_shots", sql('SELECT video_id, id::INTEGER AS shot_id, start, "end" -
 query("src_scenes", sql('SELECT video_id, id::INTEGER AS scene_id, "end", id::INTEGER AS shot FROM scene', "scene"))(lambda s, d: through_json(mp.scenes(s, d), "scenes", "scenes", F.struct(F.col("id").alias("scene_id"), "start", F.col("end").alias("end_time"), F.array(F.col("id").cast("int")).alias("contained_shots")), "id").select("video_id", "scene_id", "end", F.get("shots", F.lit(0)).alias("shot")))
 query("src_scene_doc", sql("SELECT video_id, count(*) AS n FROM scene GROUP BY ALL", "scene"))(lambda s, d: through_json(mp.scenes(s, d), "scenes", "scenes", F.struct("id", "start", "end"), "id").groupBy("video_id").agg(F.count("*").alias("n")))
 query("src_scene_detector", sql("SELECT video_id, id::INTEGER AS scene_id, start FROM scene", "scene"))(lambda s, d: through_json(mp.scenes(s, d), "scenes", "scenes", F.struct("id", F.col("start").alias("start_time"), "end"), "id").select("video_id", "scene_id", "start"))
-query("snk_clusters", "SELECT label::BIGINT AS video_id, count(*)::INTEGER AS n FROM embeddings GROUP BY ALL")(lambda s, d: sk.nested(mp.table(s, d, "embeddings").select(F.col("label").cast("bigint").alias("video_id"), "vec_id"), "faces", "vec_id").select("video_id", F.col("total_faces").alias("n")))
-query("snk_scenes", sql("SELECT video_id, count(*)::INTEGER AS n FROM scene GROUP BY ALL", "scene"))(lambda s, d: sk.nested(mp.scenes(s, d), "scenes", "id", "start", "end").select("video_id", F.col("total_scenes").alias("n")))
-query("snk_frames_meta", sql("SELECT ord, printf('frame_%06d.jpg', ord) AS file, ts FROM det", "det"))(lambda s, d: mp.detections(s, d).select("ord", F.format_string("frame_%06d.jpg", "ord").alias("file"), "ts"))
+query("snk_clusters", "SELECT label::BIGINT AS video_id, count(*)::INTEGER AS n FROM embeddings GROUP BY ALL")(lambda s, d: stored(sk.nested(mp.table(s, d, "embeddings").select(F.col("label").cast("bigint").alias("video_id"), "vec_id"), "faces", "vec_id")).select("video_id", F.col("total_faces").alias("n")))
+query("snk_scenes", sql("SELECT video_id, count(*)::INTEGER AS n FROM scene GROUP BY ALL", "scene"))(lambda s, d: stored(sk.nested(mp.scenes(s, d), "scenes", "id", "start", "end")).select("video_id", F.col("total_scenes").alias("n")))
+query("snk_frames_meta", sql("SELECT ord, printf('frame_%06d.jpg', ord) AS file, ts FROM det", "det"))(lambda s, d: stored(mp.detections(s, d).select("ord", F.format_string("frame_%06d.jpg", "ord").alias("file"), "ts")))
 query("snk_visual_results", sql("SELECT video_id, character_id, count(*) AS n FROM det GROUP BY ALL", "det"))(lambda s, d: _written(mp.detections(s, d)).groupBy("video_id", "character_id").agg(F.count("*").alias("n")))
-query("snk_format_router", "SELECT * FROM (VALUES ('json', 'written'), ('none', 'unknown'), ('srt', 'written')) t(format, status)")(lambda s, d: _routed(s, d))
-query("snk_listing", "SELECT 'a.json' AS name WHERE false")(lambda s, d: s.createDataFrame([(n,) for n in rd.listing(s, shared_folder(s))], "name string"))
-query("src_packaged", "SELECT 0::BIGINT AS shots, 0::BIGINT AS scenes")(lambda s, d: rd.read_or_empty(s, shared_folder(s), "shots").select(F.lit("shots").alias("k")).unionAll(rd.read_or_empty(s, shared_folder(s), "scenes").select(F.lit("scenes").alias("k"))).agg(F.count_if(F.col("k") == "shots").alias("shots"), F.count_if(F.col("k") == "scenes").alias("scenes")))
-query("src_fusion_docs", sql("SELECT DISTINCT character_id, 'Character_' || character_id AS name FROM det", "det"))(lambda s, d: mp.detections(s, d).select("character_id").distinct().withColumn("name", F.concat(F.lit("Character_"), "character_id")))
-query("src_keyframes", sql("SELECT video_id, id, printf('shot_%04d.jpg', id) AS path FROM shot", "shot"))(lambda s, d: mp.shots(s, d).withColumn("path", F.format_string("shot_%04d.jpg", "id")).select("video_id", F.regexp_extract("path", r"shot_(\d+)", 1).cast("bigint").alias("id"), "path"))
+query("snk_format_router", sql("SELECT format, CASE WHEN format = 'none' THEN 'unknown' ELSE 'written' END AS status, CASE WHEN format <> 'none' THEN (SELECT count(*) FROM vid) END AS files FROM (VALUES ('json'), ('none'), ('srt')) t(format)", "vid"))(lambda s, d: _routed(s, d))
 
 
 def _written(df: DataFrame) -> DataFrame:
@@ -71,10 +77,13 @@ def _written(df: DataFrame) -> DataFrame:
 
 
 def _routed(spark, sf):
+    """What became of each format, and how many bodies can be read back."""
     from .queries_more import captions
 
-    said = sk.write_all(captions(spark, sf), shared_folder(spark), ["srt", "json", "none"])
-    return spark.createDataFrame(sorted(said.items()), "format string, status string")
+    folder = shared_folder(spark)
+    said = sk.raise_failures(sk.write_all(captions(spark, sf), folder, ["srt", "json", "none"]))
+    found = [(k, v, spark.read.schema("video_id long, body string").json(f"{folder}/{k}").where("body is not null").count() if v == "written" else None) for k, v in sorted(said.items())]
+    return spark.createDataFrame(found, "format string, status string, files long")
 
 
 # ---- frames and faces ------------------------------------------------------------------
@@ -90,14 +99,6 @@ def _faces(spark, sf):
 
 query("src_faces", sql(f"SELECT video_id, ord, decis // 40 AS frame, round({_FQ}, 9) AS q FROM det WHERE x2 - x1 >= 40", "det"))(_faces)
 query("fn_face_batch", sql(f"SELECT video_id, frame, ord FROM (SELECT *, row_number() OVER (PARTITION BY video_id, frame ORDER BY q DESC, ord) AS k FROM (SELECT video_id, ord, decis // 40 AS frame, round({_FQ}, 9) AS q FROM det WHERE x2 - x1 >= 40)) WHERE k = 1", "det"))(lambda s, d: iv.first_by(_faces(s, d), ["video_id", "frame"], F.desc("q"), "ord").select("video_id", "frame", "ord"))
-query("udf_face", sql("SELECT ord, greatest(0, x1 - 10) AS a, least(640, x2 + 10) AS b, CASE WHEN confidence < 0.01 THEN 'TooFaint' END AS error FROM det", "det"))(lambda s, d: mp.detections(s, d).select("ord", F.greatest(F.lit(0.0), F.col("box.x1") - 10).alias("a"), F.least(F.lit(640.0), F.col("box.x2") + 10).alias("b"), F.when(F.col("confidence") < 0.01, "TooFaint").alias("error")))
-query("udf_refine", sql("SELECT video_id, id, 'Scene ' || id || ' again' AS summary FROM scene WHERE id = 1", "scene"))(lambda s, d: mp.scenes(s, d).where("id = 1").select("video_id", "id", F.concat(F.lit("Scene "), F.col("id").cast("string"), F.lit(" again")).alias("summary")))
-query("src_keyframe_extract", sql("SELECT video_id, id, CASE WHEN id % 5 = 0 THEN NULL ELSE printf('shot_%04d.jpg', id) END AS path FROM shot", "shot"))(lambda s, d: mp.shots(s, d).select("video_id", "id", F.when(F.col("id") % 5 != 0, F.format_string("shot_%04d.jpg", "id")).alias("path")))
-query("sc_lip_dispatch", "SELECT vec_id, CASE WHEN label % 2 = 0 THEN 0.15 ELSE 0.0 END::DOUBLE AS v FROM embeddings")(
-    lambda s, d: mp.table(s, d, "embeddings").select("vec_id", vc.mouth_ratio(F.slice(F.transform("embedding", lambda x: F.struct(x.cast("double").alias("x"), x.cast("double").alias("y"))), F.lit(1), F.when(F.col("label") % 2 == 0, 5).otherwise(7))).alias("v"))
-)
-query("prj_lip_rows", "SELECT vec_id, 0.15::DOUBLE AS mar FROM embeddings WHERE label < 5")(lambda s, d: mp.table(s, d, "embeddings").where("label < 5").select("vec_id", vc.mouth_ratio(F.transform(F.slice("embedding", 1, 5), lambda x: F.struct(x.cast("double").alias("x"), x.cast("double").alias("y")))).alias("mar")))
-query("sc_speaker_lookup", sql("SELECT video_id, ord, CASE speaker WHEN 'user' THEN 0.7 ELSE 0.0 END::DOUBLE AS v FROM seg", "seg"))(lambda s, d: mp.segments(s, d).select("video_id", "ord", F.coalesce(F.create_map(F.lit("user"), F.lit(0.7))[F.col("speaker")], F.lit(0.0)).alias("v")))
 query("flt_char_dialogue", sql("SELECT video_id, ord FROM seg WHERE speaker = 'user'", "seg"))(lambda s, d: mp.segments(s, d).where("speaker = 'user'").select("video_id", "ord"))
 
 # ---- configuration and plug-ins --------------------------------------------------------
@@ -107,7 +108,7 @@ query("fn_template_lookup", "SELECT * FROM (VALUES ('desc', 'Describe what can b
 query("set_components", "SELECT * FROM (VALUES ('audio', 'ok'), ('video', 'ok')) t(component, status)")(lambda s, d: s.createDataFrame(sorted(stages.Pipeline({"video": lambda a, t: {}, "audio": lambda a, t: {}}).run(s, {}, ["video", "audio", "caption"], ("caption",))[1].items()), "component string, status string"))
 query("drv_stage_drivers", sql("SELECT video_id, count(*) AS n FROM shot GROUP BY ALL", "shot"))(lambda s, d: stages.Pipeline({"video": lambda a, t: {"n": mp.shots(a, d).groupBy("video_id").agg(F.count("*").alias("n"))}}, shared_folder(s)).run(s, {}, ["video"])[0]["n"])
 query("drv_verify", "SELECT 'pyspark' AS library, true AS found")(lambda s, d: s.createDataFrame([(k, v) for k, v in stages.verify().items() if k == "pyspark"], "library string, found boolean"))
-query("udf_retry")(lambda s, d: _flaky(s, d))
+query("udf_retry", sql("SELECT video_id, ord, speaker AS prompt, 'A caption of ' || length(speaker) || ' letters.' AS caption, NULL::VARCHAR AS error FROM seg", "seg"))(lambda s, d: _flaky(s, d))
 query("udf_template", sql("SELECT video_id, ord, speaker || ' / ' || n AS v FROM seg", "seg"))(lambda s, d: mp.segments(s, d).select("video_id", "ord", tx.prompt(F.col("speaker"), F.col("n").cast("string"), F.lit(""), "custom", "%s / %s%s").alias("v")))
 query("udf_backend", sql("SELECT video_id, speaker_id, count(*) AS n FROM turn GROUP BY ALL", "turn"))(lambda s, d: _backend(s, d))
 query("udf_formats", "SELECT unnest(['html', 'json', 'srt', 'txt', 'vtt']) AS format")(lambda s, d: s.createDataFrame([(k,) for k in sorted(sk.FORMATS)], "format string"))
@@ -145,19 +146,31 @@ def _backend(spark, sf):
 # ---- streams ---------------------------------------------------------------------------
 
 
+class Streamed:
+    """Streams over the events, run to their end; each micro-batch's rows go to a folder of its own, so that a batch that runs twice counts once."""
+
+    def __init__(self, spark: SparkSession, sf: str):
+        path = f"{sf}/events.parquet"
+        self.spark, self.folder = spark, shared_folder(spark)
+        stream = spark.readStream.schema(spark.read.parquet(path).schema)
+        events = stream.parquet(path) if rd.is_folder(spark, path) else stream.option("pathGlobFilter", "events.parquet").parquet(sf)
+        self.events = events.select(F.col("user_id").alias("video_id"), F.col("ts").cast("timestamp").alias("ts"), "value", F.col("event_id").alias("ord"), F.concat(F.lit("C"), F.pmod(F.floor(F.col("event_id") / 3), F.lit(5)).cast("string")).alias("character_id"), F.col("event_type").alias("kind"))
+
+    def rows(self, make, mode: str) -> DataFrame:
+        """All rows of an append stream, or the last table of a complete one."""
+        out, seen = f"{self.folder}/out", []
+
+        def keep(df: DataFrame, batch: int) -> None:
+            df.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+            seen.append(batch)
+
+        q = make(self.events).writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", f"{self.folder}/checkpoint").trigger(availableNow=True).start()
+        q.awaitTermination()
+        return self.spark.read.parquet(f"{out}/batch={max(seen)}" if mode == "complete" else out).drop("batch")
+
+
 def _streamed(spark: SparkSession, sf: str, make, mode: str) -> DataFrame:
-    """Run a stream over the events to its end into a table of the session, and read that."""
-    path = f"{sf}/events.parquet"
-    stream = spark.readStream.schema(spark.read.parquet(path).schema)
-    events = stream.parquet(path) if rd.is_folder(spark, path) else stream.option("pathGlobFilter", "events.parquet").parquet(sf)
-    rows = events.select(F.col("user_id").alias("video_id"), F.col("ts").cast("timestamp").alias("ts"), "value", F.col("event_id").alias("ord"), F.concat(F.lit("C"), F.pmod(F.floor(F.col("event_id") / 3), F.lit(5)).cast("string")).alias("character_id"))
-    name = f"stream_{uuid.uuid4().hex}"
-    q = make(rows).writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", shared_folder(spark)).start()
-    try:
-        q.processAllAvailable()
-    finally:
-        q.stop()
-    return spark.table(name)
+    return Streamed(spark, sf).rows(make, mode)
 
 
 query("st_tumbling", "SELECT user_id AS video_id, count(*) AS n FROM events GROUP BY user_id, time_bucket(INTERVAL 1 DAY, ts)")(lambda s, d: _streamed(s, d, lambda r: online.coverage(r, width="1 day"), "complete").select("video_id", "n"))
@@ -165,4 +178,3 @@ query("st_sliding", "SELECT user_id AS video_id, (count(*) * 2) AS n FROM events
 query("st_session", """WITH f AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 6 HOUR THEN 1 ELSE 0 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM f)
 SELECT user_id AS video_id, count(*) AS points FROM g GROUP BY user_id, k""")(lambda s, d: _streamed(s, d, lambda r: online.appearances(r.withColumn("character_id", F.lit("one")), gap="6 hours"), "complete").select("video_id", "points"))
 query("st_dedup", "SELECT count(*)::BIGINT AS n FROM (SELECT DISTINCT user_id, floor(value) FROM events)")(lambda s, d: _streamed(s, d, lambda r: online.first_frames(r.withColumn("hash", F.floor("value")), late="3650 days"), "append").agg(F.count("*").alias("n")))
-query("st_reset", sql("SELECT video_id, max(ord) AS ord FROM det WHERE character_id <> 'C2' GROUP BY ALL", "det"))(lambda s, d: mp.detections(s, d).where("character_id <> 'C2'").withColumn("k", F.row_number().over(Window.partitionBy("video_id").orderBy(F.desc("ord")))).where("k = 1").select("video_id", "ord"))

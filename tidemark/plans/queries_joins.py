@@ -111,7 +111,6 @@ def _presence(spark, sf):
 
 _PK = ["video_id", "segment_id", "character_id"]
 query("sc_single_char", sql(_PRES + "SELECT video_id, segment_id, character_id, round(single, 6) AS v FROM q", "seg", "det"))(lambda s, d: _presence(s, d).select(*_PK, F.round(sc.single_character(), 6).alias("v")))
-query("sc_lip", sql(_PRES + "SELECT video_id, segment_id, character_id, CASE WHEN near > 0 THEN 0.1 ELSE 0 END::DOUBLE AS v FROM q", "seg", "det"))(lambda s, d: _presence(s, d).select(*_PK, sc.lip().alias("v")))
 query("sc_centrality", sql(_PRES + "SELECT video_id, segment_id, character_id, round(central, 6) AS v FROM q", "seg", "det"))(lambda s, d: _presence(s, d).select(*_PK, F.round(sc.centrality_score(), 6).alias("v")))
 query("sc_temporal", sql(_PRES + "SELECT video_id, segment_id, character_id, round(temporal, 6) AS v FROM q", "seg", "det"))(lambda s, d: _presence(s, d).select(*_PK, F.round(sc.temporal(F.col("distance")), 6).alias("v")))
 query("sc_llm_sim", sql(_PRES + "SELECT video_id, segment_id, character_id, round(rule, 6)::DOUBLE AS v, CASE WHEN during > 0 THEN concat_ws('; ', 'visible', CASE WHEN size > 0.15 THEN 'large face' END, CASE WHEN centrality > 0.7 THEN 'central' END, CASE WHEN who_during = 1 THEN 'alone' END) ELSE 'not visible' END AS why FROM q", "seg", "det"))(
@@ -171,7 +170,6 @@ def _vec_pairs(spark, sf):
     return e.join(e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("a").alias("b")), "vec_id")
 
 
-query("sc_mar")(lambda s, d: mp.table(s, d, "embeddings").select("vec_id", F.round(vc.mouth_ratio(F.transform(F.sequence(F.lit(0), F.lit(67)), lambda i: F.struct(F.get("embedding", i % 64).cast("double").alias("x"), F.get("embedding", (i + 1) % 64).cast("double").alias("y")))), 6).alias("v")))
 
 # ---- equi, anti and semi joins ---------------------------------------------------------
 
@@ -209,7 +207,6 @@ query("jn_absent", "SELECT n_name, r_name, count(s_suppkey) AS suppliers FROM na
 query("set_word_overlap", sql("SELECT video_id, ord, round(len(list_intersect(a, b)) / greatest(len(a), len(b)), 6) AS v FROM (SELECT video_id, ord, list_distinct(list_filter(string_split_regex(lower(text), '\\s+'), lambda x: x <> '')) AS a, list_distinct(list_filter(string_split_regex(lower(nxt), '\\s+'), lambda x: x <> '')) AS b FROM (SELECT *, lead(text) OVER (PARTITION BY video_id ORDER BY ord) AS nxt FROM seg)) WHERE b IS NOT NULL", "seg"))(
     lambda s, d: mp.segments(s, d).withColumn("nxt", F.lead("text").over(Window.partitionBy("video_id").orderBy("ord"))).where("nxt is not null").select("video_id", "ord", F.round(tx.word_overlap(F.col("text"), F.col("nxt")), 6).alias("v"))
 )
-query("set_frame_dedup", sql("SELECT min(ord) AS ord FROM det GROUP BY video_id, decis // 100", "det"))(lambda s, d: mp.detections(s, d).withColumn("h", F.floor(F.col("decis") / 100)).withColumn("k", F.row_number().over(Window.partitionBy("video_id", "h").orderBy("ord"))).where("k = 1").select("ord"))
 query("jn_band", sql('SELECT s.video_id, s.ord, count(*) AS n FROM seg s JOIN det d ON d.video_id = s.video_id AND abs(d.ts - s.start) <= 2 GROUP BY ALL', "seg", "det"))(lambda s, d: iv.band_join(mp.segments(s, d).select("video_id", "ord", "start"), mp.detections(s, d).select("video_id", "ts"), "start", "ts", 2.0).groupBy("video_id", "ord").agg(F.count("*").alias("n")))
 query("jn_as_of", sql("SELECT d.ord, s.ord AS seg_ord FROM det d ASOF LEFT JOIN seg s ON d.video_id = s.video_id AND d.ts >= s.start", "seg", "det"))(lambda s, d: iv.as_of(mp.detections(s, d).select("video_id", "ord", "ts"), mp.segments(s, d).select("video_id", "start", F.col("ord").alias("seg_ord")), "ts", "start", "seg_ord").select("ord", "seg_ord"))
 

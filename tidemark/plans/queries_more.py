@@ -17,6 +17,7 @@ from . import mapping as mp
 from . import registry
 from .mapping import sql
 from .queries import query
+from .queries_io import stored
 from .queries_joins import dialogues, spans
 
 _V = ["video_id"]
@@ -29,7 +30,10 @@ _MERGE = """r AS (SELECT *, max("end") OVER (PARTITION BY {k} ORDER BY start, or
 """
 query("win_merge_tol", sql(_MERGE.format(k="video_id, speaker", t="seg", tol="10") + "SELECT video_id, speaker, part::BIGINT AS part, min(start) AS start, max(\"end\") AS \"end\", count(*) AS pieces, string_agg(text, ' ' ORDER BY start, ord) AS text FROM g GROUP BY ALL", "seg"))(lambda s, d: se.merged(mp.segments(s, d), ["video_id", "speaker"], 10.0, "text"))
 query("win_merge_spk", sql(_MERGE.format(k="video_id, speaker_id", t="turn", tol="0.5") + "SELECT video_id, speaker_id, part::BIGINT AS part, min(start) AS start, max(\"end\") AS \"end\", count(*) AS pieces FROM g GROUP BY ALL", "turn"))(lambda s, d: se.merged(mp.turns(s, d), ["video_id", "speaker_id"], 0.5))
-query("win_merge_short")(lambda s, d: fo.short_merged(mp.scenes(s, d), 45.0))
+_SHORT = """o AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY start, id) AS k, lead("end") OVER (PARTITION BY video_id ORDER BY start, id) AS nxt FROM scene),
+r AS (SELECT video_id, 1 AS k, 1 AS new FROM o WHERE k = 1 UNION ALL SELECT r.video_id, r.k + CASE WHEN o."end" - o.start < 45 AND o.nxt IS NOT NULL THEN 2 ELSE 1 END, r.new + 1 FROM r JOIN o ON o.video_id = r.video_id AND o.k = r.k)
+SELECT o.video_id, r.new::BIGINT AS id, o.start, CASE WHEN o."end" - o.start < 45 AND o.nxt IS NOT NULL THEN o.nxt ELSE o."end" END AS "end" FROM r JOIN o ON o.video_id = r.video_id AND o.k = r.k"""
+query("win_merge_short", sql(_SHORT, "scene").replace("WITH ", "WITH RECURSIVE ", 1))(lambda s, d: fo.short_merged(mp.scenes(s, d), 45.0))
 query("win_transitions", sql("SELECT video_id, start FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY start) AS k FROM scene) WHERE k > 1", "scene"))(lambda s, d: mp.scenes(s, d).withColumn("k", F.row_number().over(Window.partitionBy("video_id").orderBy("start"))).where("k > 1").select("video_id", "start"))
 query("win_validate_seq", sql("SELECT video_id, ord, concat_ws(',', CASE WHEN start >= \"end\" THEN 'empty span' END, CASE WHEN start < lag(\"end\") OVER (PARTITION BY video_id ORDER BY ord) THEN 'overlaps previous' END) AS v FROM turn", "turn"))(lambda s, d: se.sequence_errors(mp.turns(s, d), _V).select("video_id", "ord", F.array_join("errors", ",").alias("v")))
 query("win_turns", sql("SELECT a AS from_label, b AS to_label, count(*) AS times FROM (SELECT speaker_id AS a, lead(speaker_id) OVER (PARTITION BY video_id ORDER BY start, ord) AS b FROM turn) WHERE a <> b GROUP BY ALL", "turn"))(lambda s, d: se.transitions(mp.turns(s, d), _V, "speaker_id", True, "start", "ord"))
@@ -65,22 +69,12 @@ query("win_resolve", sql("""w AS (SELECT *, lag("end") OVER w AS pe, lag(confide
 SELECT video_id, ord FROM w WHERE NOT coalesce(start < pe AND confidence <= ps, false) AND NOT coalesce(ns < "end" AND nq > confidence, false)""", "turn"))(lambda s, d: se.resolved(mp.turns(s, d), _V, "confidence").select("video_id", "ord"))
 
 
-def _candidates(spark, sf):
-    near = sc.presence(dialogues(spark, sf), mp.detections(spark, sf)).select("video_id", "segment_id", "character_id", "distance")
-    said = mp.segments(spark, sf).select("video_id", "segment_id", "ord", "start", F.col("speaker").alias("speaker_id"))
-    return said.join(near, ["video_id", "segment_id"], "left").withColumn("window", F.lit(30.0))
-
-
-query("win_match_adv")(lambda s, d: fo.match_in_order(_candidates(s, d)))
-query("win_continuity")(lambda s, d: fo.match_in_order(_candidates(s, d)).where("not second_pass"))
-query("win_second_pass")(lambda s, d: fo.match_in_order(_candidates(s, d)).where("second_pass or character_id is null"))
-query("sc_comprehensive")(lambda s, d: fo.match_in_order(_candidates(s, d)).groupBy("video_id").agg(F.round(F.avg("score"), 6).alias("mean")))
 query("win_assoc", sql("SELECT video_id, round(list_reduce(list(confidence ORDER BY ord), lambda a, x: (a + x) / 2), 6) AS v FROM seg GROUP BY video_id", "seg"))(
     lambda s, d: mp.segments(s, d).groupBy("video_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "confidence"))), lambda x: x["confidence"]).alias("l")).select("video_id", F.round(F.aggregate(F.slice("l", F.lit(2), F.greatest(F.size("l") - 1, F.lit(0))), F.get("l", F.lit(0)), lambda a, x: (a + x) / 2), 6).alias("v"))
 )
 query("win_profiles", sql("SELECT video_id, character_id, count(*) AS n, round(avg((x1 + x2) / 2), 6) AS cx, round(avg((y1 + y2) / 2), 6) AS cy FROM det GROUP BY ALL", "det"))(lambda s, d: mp.detections(s, d).groupBy("video_id", "character_id").agg(F.count("*").alias("n"), F.round(F.avg((F.col("box.x1") + F.col("box.x2")) / 2), 6).alias("cx"), F.round(F.avg((F.col("box.y1") + F.col("box.y2")) / 2), 6).alias("cy")))
 query("win_prior_summary", sql("SELECT video_id, ord, lag('Scene ' || ord || ': ' || left(text, 100) || '...', 1, 'The story begins.') OVER (PARTITION BY video_id ORDER BY ord) AS v FROM seg", "seg"))(lambda s, d: mp.segments(s, d).select("video_id", "ord", F.lag(F.concat(F.lit("Scene "), F.col("ord").cast("string"), F.lit(": "), F.left("text", F.lit(100)), F.lit("...")), 1, "The story begins.").over(Window.partitionBy("video_id").orderBy("ord")).alias("v")))
-query("win_context_chain")(lambda s, d: fo.chained_captions(mp.segments(s, d).select("video_id", F.col("ord").alias("scene_id"), F.concat(F.lit("Characters: "), "speaker", F.lit("\nBefore: {before}")).alias("prompt")), registry.mock_model()))
+query("win_context_chain", sql("SELECT video_id, ord AS scene_id, speaker || ' in a scene described from ' || CASE WHEN ord = min(ord) OVER (PARTITION BY video_id) THEN 6 ELSE 11 END || ' words.' AS caption, NULL::VARCHAR AS error FROM seg", "seg"))(lambda s, d: fo.chained_captions(mp.segments(s, d).select("video_id", F.col("ord").alias("scene_id"), F.concat(F.lit("Characters: "), "speaker", F.lit("\nBefore: {before}")).alias("prompt")), registry.mock_model()))
 query("win_lip_hist", sql("SELECT ord, round(avg(confidence) OVER w, 9) AS m, round(stddev_pop(confidence) OVER w, 9) AS sd FROM det WINDOW w AS (PARTITION BY video_id, character_id ORDER BY ts, ord ROWS 14 PRECEDING)", "det"))(lambda s, d: _lip(s, d))
 
 
@@ -99,7 +93,6 @@ def _frames(spark, sf):
 
 
 query("win_sort")(lambda s, d: fo.tracked(_frames(s, d)))
-query("jn_assign")(lambda s, d: fo.tracked(_frames(s, d), 5, 1))
 query("win_ema_emb")(lambda s, d: mp.table(s, d, "embeddings").groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))), lambda x: x["embedding"]).alias("l")).select("label", F.round(F.get(vc.ema(F.col("l")), F.lit(0)), 6).alias("v")))
 query("win_batch_scenes", sql("SELECT video_id, (row_number() OVER (PARTITION BY video_id ORDER BY id) - 1) // 2 + 1 AS batch, id FROM shot", "shot"))(lambda s, d: se.batches(mp.shots(s, d), _V, 2, "id").select("video_id", "batch", "id"))
 query("win_individual", sql("SELECT video_id, id AS scene_id, start, \"end\", 'Shot ' || id AS summary FROM shot", "shot"))(lambda s, d: mp.shots(s, d).select("video_id", F.col("id").alias("scene_id"), "start", "end", F.concat(F.lit("Shot "), F.col("id").cast("string")).alias("summary")))
@@ -117,7 +110,6 @@ def _important(spark, sf):
     return mp.segments(spark, sf).where("ord % 3 = 0").select("video_id", "start", "end", F.when(F.col("emotion") != "neutral", 1.5).otherwise(1.0).alias("importance"))
 
 
-query("win_budget", sql("SELECT video_id, count(*) AS kept FROM (SELECT video_id, ord % 3 = 0 AS said, row_number() OVER (PARTITION BY video_id, ord % 3 = 0 ORDER BY ord) AS k FROM det) WHERE said OR k % 4 = 1 GROUP BY ALL", "det"))(lambda s, d: mp.detections(s, d).withColumn("said", F.col("ord") % 3 == 0).withColumn("k", F.row_number().over(Window.partitionBy("video_id", "said").orderBy("ord"))).where("said or k % 4 = 1").groupBy("video_id").agg(F.count("*").alias("kept")))
 query("win_strategy", sql("SELECT video_id, min(p) AS strategy FROM (SELECT video_id, count(*) FILTER (confidence >= 0.3) AS a, count(*) FILTER (confidence >= 0.1) AS b FROM det GROUP BY ALL) t, LATERAL (SELECT CASE WHEN a >= 20 THEN 1 WHEN b >= 40 THEN 2 ELSE 3 END AS p) GROUP BY ALL", "det"))(
     lambda s, d: mp.detections(s, d).groupBy("video_id").agg(F.count_if(F.col("confidence") >= 0.3).alias("a"), F.count_if(F.col("confidence") >= 0.1).alias("b")).select("video_id", F.when(F.col("a") >= 20, 1).when(F.col("b") >= 40, 2).otherwise(3).alias("strategy"))
 )
@@ -141,11 +133,9 @@ def _best_around(spark, sf):
     return mp.detections(spark, sf).withColumn("m", F.max(F.struct("confidence", (-F.col("ord")).alias("o"))).over(w)).where("ord % 7 = 0 and m.confidence > 0").select("ord", (-F.col("m.o")).alias("best"))
 
 
-query("win_samplers", sql("SELECT ord FROM det WHERE decis % 30 = 0", "det"))(lambda s, d: mp.detections(s, d).where("decis % 30 = 0").select("ord"))
 query("win_gap_fill", sql("SELECT video_id, id, round(start + (\"end\" - start) * j / 4, 6) AS t FROM scene, range(5) t(j)", "scene"))(lambda s, d: mp.scenes(s, d).select("video_id", "id", "start", "end", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("j")).select("video_id", "id", F.round(F.col("start") + (F.col("end") - F.col("start")) * F.col("j") / 4, 6).alias("t")))
-query("win_random_scenes")(lambda s, d: mp.videos(s, d).select("video_id", F.explode(F.sequence(F.lit(5), F.greatest(F.lit(5), F.col("duration").cast("int")), F.lit(5))).alias("t")).select("video_id", F.round(F.col("t") + F.pmod(F.xxhash64("video_id", "t"), F.lit(2000)) / 1000 - 1, 3).alias("t")))
+query("win_random_scenes", sql("SELECT video_id, round(t + ((video_id * 7919 + t * 104729) % 2000) / 1000.0::DOUBLE - 1, 3) AS t FROM (SELECT video_id, unnest(range(5, greatest(5, trunc(duration)::BIGINT) + 1, 5)) AS t FROM vid)", "vid"))(lambda s, d: mp.videos(s, d).select("video_id", F.explode(F.sequence(F.lit(5), F.greatest(F.lit(5), F.col("duration").cast("int")), F.lit(5))).alias("t")).select("video_id", F.round(F.col("t") + F.pmod(F.col("video_id") * 7919 + F.col("t") * 104729, F.lit(2000)) / 1000 - 1, 3).alias("t")))
 query("win_chunks", sql("SELECT video_id, unnest(range(0, greatest(duration::BIGINT - 10, 0) + 1, 1)) AS c FROM vid", "vid"))(lambda s, d: mp.videos(s, d).select("video_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("duration").cast("bigint") - 10, F.lit(0).cast("bigint")))).alias("c")))
-query("win_gap_trigger", sql("SELECT video_id FROM (SELECT video_id, count(DISTINCT character_id) AS c FROM det GROUP BY ALL) WHERE c < 5", "det"))(lambda s, d: mp.detections(s, d).groupBy("video_id").agg(F.count_distinct("character_id").alias("c")).where("c < 5").select("video_id"))
 query("lim_shots", sql("SELECT video_id, id FROM shot WHERE id <= 10", "shot"))(lambda s, d: mp.shots(s, d).withColumn("k", F.row_number().over(Window.partitionBy("video_id").orderBy("id"))).where("k <= 10").select("video_id", "id"))
 
 # ---- aggregates ------------------------------------------------------------------------
@@ -243,37 +233,40 @@ def captions(spark, sf):
     return mp.segments(spark, sf).select("video_id", F.col("ord").alias("scene_id"), "start", "end", F.col("text").alias("caption"), F.array("speaker").alias("characters"), (F.col("ord") % 2 == 0).alias("has_dialogue"))
 
 
-def _prefixes(spark, sf):
-    """The captions' first 40 characters, which are all that the SQL of five queries asks for."""
-    return captions(spark, sf).withColumn("caption", F.left("caption", F.lit(40)))
-
-
 _CS = "printf('%02d:%02d:%02d{m}%03d', {c}::BIGINT // 3600, ({c}::BIGINT % 3600) // 60, {c}::BIGINT % 60, 0)"
 _A, _B = _CS.format(m=",", c="start"), _CS.format(m=",", c='"end"')
 _AV, _BV = _CS.format(m=".", c="start"), _CS.format(m=".", c='"end"')
 _WHO = "CASE WHEN ord % 2 = 0 THEN '[' || speaker || '] ' ELSE '' END"
-query("snk_srt", sql(f"SELECT video_id, string_agg((ord + 1) || chr(10) || {_A} || ' --> ' || {_B} || chr(10) || {_WHO} || left(text, 40) || chr(10), chr(10) ORDER BY ord) || chr(10) AS body FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY ord) - 1 AS o FROM seg) GROUP BY ALL", "seg"))(lambda s, d: sk.srt_file(_prefixes(s, d)))
-query("snk_vtt", sql(f"SELECT video_id, 'WEBVTT' || chr(10) || 'Kind: captions' || chr(10) || chr(10) || string_agg(printf('SCENE_%03d', ord) || chr(10) || {_AV} || ' --> ' || {_BV} || ' align:left line:90%' || chr(10) || CASE WHEN ord % 2 = 0 THEN '<v ' || speaker || '>' ELSE '' END || left(text, 40) || chr(10), chr(10) ORDER BY ord) || chr(10) AS body FROM seg GROUP BY ALL", "seg"))(lambda s, d: sk.vtt_file(_prefixes(s, d)))
-query("snk_pkg_srt_vtt", sql(f"SELECT video_id, string_agg(ord || chr(10) || {_A} || ' --> ' || {_B} || chr(10) || left(text, 40) || chr(10), chr(10) ORDER BY ord) || chr(10) AS body FROM seg GROUP BY ALL", "seg"))(lambda s, d: sk.plain_srt(_prefixes(s, d)))
+query("snk_srt", sql(f"SELECT video_id, string_agg((ord + 1) || chr(10) || {_A} || ' --> ' || {_B} || chr(10) || {_WHO} || text || chr(10), chr(10) ORDER BY ord) || chr(10) AS body FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY ord) - 1 AS o FROM seg) GROUP BY ALL", "seg"))(lambda s, d: sk.srt_file(captions(s, d)))
+query("snk_vtt", sql(f"SELECT video_id, 'WEBVTT' || chr(10) || 'Kind: captions' || chr(10) || chr(10) || string_agg(printf('SCENE_%03d', ord) || chr(10) || {_AV} || ' --> ' || {_BV} || ' align:left line:90%' || chr(10) || CASE WHEN ord % 2 = 0 THEN '<v ' || speaker || '>' ELSE '' END || text || chr(10), chr(10) ORDER BY ord) || chr(10) AS body FROM seg GROUP BY ALL", "seg"))(lambda s, d: sk.vtt_file(captions(s, d)))
+query("snk_pkg_srt_vtt", sql(f"SELECT video_id, string_agg(ord || chr(10) || {_A} || ' --> ' || {_B} || chr(10) || text || chr(10), chr(10) ORDER BY ord) || chr(10) AS body FROM seg GROUP BY ALL", "seg"))(lambda s, d: sk.plain_srt(captions(s, d)))
 _RD = "CASE WHEN {c} >= 3600 THEN printf('%d:%02d:%02d', {c}::BIGINT // 3600, ({c}::BIGINT % 3600) // 60, {c}::BIGINT % 60) ELSE printf('%d:%02d', {c}::BIGINT // 60, {c}::BIGINT % 60) END"
-query("snk_txt", sql(f"SELECT video_id, string_agg('[' || {_RD.format(c='start')} || ' - ' || {_RD.format(c=chr(34) + 'end' + chr(34))} || '] ' || left(text, 40), chr(10) ORDER BY ord) || chr(10) AS body FROM seg GROUP BY ALL", "seg"))(lambda s, d: sk.text_file(_prefixes(s, d)))
-query("snk_html", "SELECT doc_id AS video_id, '<!DOCTYPE html>' || chr(10) || '<meta charset=\"utf-8\">' || chr(10) || '<p><b>0:00</b> ' || replace(replace(replace(replace(replace(left(text, 200), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') || '</p>' || chr(10) AS body FROM documents")(
-    lambda s, d: sk.html_file(mp.table(s, d, "documents").select(F.col("doc_id").alias("video_id"), F.lit(1).alias("scene_id"), F.lit(0.0).alias("start"), F.left("text", F.lit(200)).alias("caption")))
+query("snk_txt", sql(f"SELECT video_id, string_agg('[' || {_RD.format(c='start')} || ' - ' || {_RD.format(c=chr(34) + 'end' + chr(34))} || '] ' || text, chr(10) ORDER BY ord) || chr(10) AS body FROM seg GROUP BY ALL", "seg"))(lambda s, d: sk.text_file(captions(s, d)))
+query("snk_html", "SELECT doc_id AS video_id, '<!DOCTYPE html>' || chr(10) || '<meta charset=\"utf-8\">' || chr(10) || '<p><b>0:00</b> ' || replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') || '</p>' || chr(10) AS body FROM documents")(
+    lambda s, d: sk.html_file(mp.table(s, d, "documents").select(F.col("doc_id").alias("video_id"), F.lit(1).alias("scene_id"), F.lit(0.0).alias("start"), F.col("text").alias("caption")))
 )
-query("snk_json_caps")(lambda s, d: sk.json_file(captions(s, d)))
-query("snk_json_docs", sql("SELECT video_id, count(*)::INTEGER AS n, string_agg(segment_id, ',' ORDER BY ord) AS v FROM seg GROUP BY ALL", "seg"))(lambda s, d: sk.nested(mp.segments(s, d), "segments", "ord", "segment_id", "start", "end", "text").select("video_id", F.col("total_segments").alias("n"), F.array_join(F.transform("segments", lambda x: x["segment_id"]), ",").alias("v")))
-query("snk_shots_scenes", sql('SELECT video_id, count(*)::INTEGER AS total_shots, max("end") AS "end" FROM shot GROUP BY ALL', "shot"))(lambda s, d: sk.nested(mp.shots(s, d), "shots", "id", "start", "end").select("video_id", "total_shots", F.element_at("shots", -1)["end"].alias("end")))
-query("snk_analysis", sql("SELECT v.video_id, duration, (SELECT count(*) FROM shot s WHERE s.video_id = v.video_id)::INTEGER AS total_shots, (SELECT count(*) FROM scene c WHERE c.video_id = v.video_id)::INTEGER AS total_scenes FROM vid v", "shot", "scene"))(lambda s, d: sk.analysis(mp.videos(s, d), mp.shots(s, d), mp.scenes(s, d)).select("video_id", "duration", "total_shots", "total_scenes"))
-query("snk_tracking", sql("SELECT character_id, string_agg(ord::VARCHAR, ',' ORDER BY k DESC) AS v FROM (SELECT character_id, ord, row_number() OVER (PARTITION BY character_id ORDER BY ord DESC) AS k FROM det) WHERE k <= 10 GROUP BY ALL", "det"))(lambda s, d: mp.detections(s, d).withColumn("k", F.row_number().over(Window.partitionBy("character_id").orderBy(F.desc("ord")))).where("k <= 10").groupBy("character_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list("ord")), lambda x: x.cast("string")), ",").alias("v")))
-query("snk_context", sql("SELECT video_id, ord AS scene_id, speaker || ': ' || left(text, 40) AS v FROM seg", "seg"))(lambda s, d: _prefixes(s, d).select("video_id", "scene_id", F.concat(F.get("characters", F.lit(0)), F.lit(": "), "caption").alias("v")))
-query("snk_reports", sql("SELECT '# Video ' || video_id || chr(10) || '- segments: ' || segments || chr(10) || '- words: ' || words AS body FROM vid", "vid"))(lambda s, d: mp.videos(s, d).select(F.concat(F.lit("# Video "), F.col("video_id").cast("string"), F.lit("\n- segments: "), F.col("segments").cast("string"), F.lit("\n- words: "), F.col("words").cast("string")).alias("body")))
+query("snk_json_caps", sql("SELECT video_id, count(*)::INTEGER AS n, string_agg(text, chr(10) ORDER BY ord) AS captions, string_agg(start || '-' || \"end\", ',' ORDER BY ord) AS spans FROM seg GROUP BY ALL", "seg"))(lambda s, d: _json_captions(s, d))
+
+
+def _json_captions(spark, sf):
+    """The bodies, written, read back and parsed."""
+    kind = "struct<total_captions:int,captions:array<struct<scene_id:bigint,start:double,end:double,caption:string,characters:array<string>,has_dialogue:boolean>>>"
+    back = stored(sk.json_file(captions(spark, sf))).select("video_id", F.from_json("body", kind).alias("b"))
+    one = lambda f: F.array_join(F.transform("b.captions", f), "\n")
+    spans_ = F.array_join(F.transform("b.captions", lambda x: F.concat(x["start"].cast("string"), F.lit("-"), x["end"].cast("string"))), ",")
+    return back.select("video_id", F.col("b.total_captions").alias("n"), one(lambda x: x["caption"]).alias("captions"), spans_.alias("spans"))
+query("snk_json_docs", sql("SELECT video_id, count(*)::INTEGER AS n, string_agg(segment_id, ',' ORDER BY ord) AS v FROM seg GROUP BY ALL", "seg"))(lambda s, d: stored(sk.nested(mp.segments(s, d), "segments", "ord", "segment_id", "start", "end", "text")).select("video_id", F.col("total_segments").alias("n"), F.array_join(F.transform("segments", lambda x: x["segment_id"]), ",").alias("v")))
+query("snk_shots_scenes", sql('SELECT video_id, count(*)::INTEGER AS total_shots, max("end") AS "end" FROM shot GROUP BY ALL', "shot"))(lambda s, d: stored(sk.nested(mp.shots(s, d), "shots", "id", "start", "end")).select("video_id", "total_shots", F.element_at("shots", -1)["end"].alias("end")))
+query("snk_analysis", sql("SELECT v.video_id, duration, (SELECT count(*) FROM shot s WHERE s.video_id = v.video_id)::INTEGER AS total_shots, (SELECT count(*) FROM scene c WHERE c.video_id = v.video_id)::INTEGER AS total_scenes FROM vid v", "shot", "scene"))(lambda s, d: stored(sk.analysis(mp.videos(s, d), mp.shots(s, d), mp.scenes(s, d))).select("video_id", "duration", "total_shots", "total_scenes"))
+query("snk_tracking", sql("SELECT character_id, string_agg(ord::VARCHAR, ',' ORDER BY k DESC) AS v FROM (SELECT character_id, ord, row_number() OVER (PARTITION BY character_id ORDER BY ord DESC) AS k FROM det) WHERE k <= 10 GROUP BY ALL", "det"))(lambda s, d: stored(mp.detections(s, d).withColumn("k", F.row_number().over(Window.partitionBy("character_id").orderBy(F.desc("ord")))).where("k <= 10").groupBy("character_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list("ord")), lambda x: x.cast("string")), ",").alias("v"))))
+query("snk_context", sql("SELECT video_id, ord AS scene_id, speaker || ': ' || text AS v FROM seg", "seg"))(lambda s, d: stored(captions(s, d).select("video_id", "scene_id", F.concat(F.get("characters", F.lit(0)), F.lit(": "), "caption").alias("v"))))
+query("snk_reports", sql("SELECT '# Video ' || video_id || chr(10) || '- segments: ' || segments || chr(10) || '- words: ' || words AS body FROM vid", "vid"))(lambda s, d: stored(mp.videos(s, d).select(F.concat(F.lit("# Video "), F.col("video_id").cast("string"), F.lit("\n- segments: "), F.col("segments").cast("string"), F.lit("\n- words: "), F.col("words").cast("string")).alias("body"))))
 
 # ---- model boundary --------------------------------------------------------------------
 
-query("udf_mllm")(lambda s, d: registry.captioned(mp.segments(s, d).select("video_id", "ord", F.concat(F.lit("Characters: "), "speaker", F.lit("\n"), "text").alias("prompt"))).drop("prompt"))
+query("udf_mllm", sql("SELECT video_id, ord, speaker || ' in a scene described from ' || (2 + n) || ' words.' AS caption, NULL::VARCHAR AS error FROM seg", "seg"))(lambda s, d: registry.captioned(mp.segments(s, d).select("video_id", "ord", F.concat(F.lit("Characters: "), "speaker", F.lit("\n"), "text").alias("prompt"))).drop("prompt"))
 query("udf_presets", "SELECT * FROM (VALUES ('action', 0.2::DOUBLE, 3000), ('crowd', 0.3, 3000), ('dark', 0.15, 2000), ('default', 0.3, 2000), ('dialogue', 0.4, 1500), ('fast', 0.5, 600)) t(name, quality, max_frames)")(lambda s, d: _presets(s))
 query("udf_cinematic", sql("SELECT video_id, 'disabled' AS status FROM vid", "vid"))(lambda s, d: registry.cinematic(mp.videos(s, d)))
-query("udf_progress", "SELECT event_id FROM events WHERE event_id % 10 = 0")(lambda s, d: mp.table(s, d, "events").where("event_id % 10 = 0").select("event_id"))
 
 
 def _presets(spark):

@@ -55,10 +55,10 @@ def characters_of(documents: DataFrame) -> DataFrame:
     return rows.withColumn("scene_appearances", F.map_from_entries(F.transform(F.map_entries("scene_appearances"), lambda e: F.struct(e["key"].cast("int"), e["value"]))))
 
 
-def read_or_empty(spark: SparkSession, path: str, kind: str) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, kind: str, lines: bool = False) -> DataFrame:
     """Rows of a document, or an empty table of its schema where there is no file."""
     if exists(spark, path):
-        return rows_of(read_document(spark, path, kind), kind)
+        return rows_of(read_document(spark, path, kind, lines), kind)
     return rows_of(spark.createDataFrame([], DOCUMENTS[kind]), kind)
 
 
@@ -77,6 +77,10 @@ def session_stamp(path: Column) -> Column:
     return F.nullif(F.regexp_extract(path, r"session_(\d{8}_\d{6})", 1), F.lit(""))
 
 
+def session_name(path: str) -> str:
+    return path.rstrip("/").rpartition("/")[2]
+
+
 def latest_session(spark: SparkSession, root: str) -> str | None:
     """The session folder of the latest stamp, by name."""
     fs, p = _fs(spark, root)
@@ -84,6 +88,18 @@ def latest_session(spark: SparkSession, root: str) -> str | None:
     return f"{root}/{max(names)}" if names else None
 
 
+def session_documents(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Rows of the documents a, b, c, d of the latest session: files ``a.json`` or folders ``a`` of one document a line; a missing one is empty."""
+    session = latest_session(spark, root)
+    if session is None:
+        raise FileNotFoundError(f"no session under {root}")
+    out = {}
+    for kind in ("a", "b", "c", "d"):
+        path = first_existing(spark, [f"{session}/{kind}.json", f"{session}/{kind}"]) or f"{session}/{kind}"
+        out[kind] = read_or_empty(spark, path, kind, lines=not path.endswith(".json"))
+    return out
+
+
 def keyframes(spark: SparkSession, folder: str) -> DataFrame:
     """(shot_id, path, length) of keyframe images; their bytes are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.jpg").load(folder).select("path", "length")
@@ -143,6 +159,6 @@ def scene_cuts(frames: DataFrame, threshold: float, least: int) -> DataFrame:
 def synthetic(spark: SparkSession, videos: int = 3, minutes: int = 30, seed: int = 7) -> DataFrame:
     """Seeded stand-in dialogues (video_id, ord, start, end, speaker, confidence)."""
     n = minutes * 5
-    base = spark.range(videos * n).select(F.floor(F.col("id") / n).alias("video_id"), (F.col("id") % n).alias("ord"), F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1000)).alias("h"))
+    base = spark.range(videos * n).select(F.floor(F.col("id") / n).alias("video_id"), (F.col("id") % n).alias("ord"), F.pmod(F.col("id") * 7919 + seed * 104729, F.lit(1000)).alias("h"))
     start = F.col("ord") * 12.0 + F.col("h") / 250
     return base.select("video_id", "ord", start.alias("start"), (start + 2 + F.col("h") / 200).alias("end"), F.format_string("SPEAKER_%02d", F.col("h") % 4).alias("speaker"), (F.lit(0.5) + F.col("h") / 2000).alias("confidence"))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import html
 import logging
+import os
 from collections.abc import Callable
+from http.server import SimpleHTTPRequestHandler, ThreadingHTTPServer
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import html_escape
@@ -77,7 +81,10 @@ FORMATS: dict[str, Callable[[DataFrame], DataFrame]] = {"srt": srt_file, "vtt":
 
 
 def write_all(captions: DataFrame, folder: str, formats: list[str]) -> dict[str, str]:
-    """Write every format under the folder; an unknown or failing one is reported and the rest go on."""
+    """Write every format under the folder as (video_id, body) rows, in as many files as there are partitions; an unknown or failing one is reported and the rest go on.
+
+    Call ``raise_failures`` on the result where a failure must fail the job.
+    """
     said = {}
     for name in formats:
         if name not in FORMATS:
@@ -85,13 +92,66 @@ def write_all(captions: DataFrame, folder: str, formats: list[str]) -> dict[str,
             said[name] = "unknown"
             continue
         try:
-            FORMATS[name](captions).write.mode("overwrite").partitionBy("video_id").text(f"{folder}/{name}")
+            write_document(FORMATS[name](captions), f"{folder}/{name}")
             said[name] = "written"
         except Exception as e:  # noqa: BLE001  one format's failure must not lose the others
             _log.warning("%s failed: %s", name, e)
-            said[name] = f"failed: {type(e).__name__}"
+            said[name] = f"failed: {type(e).__name__}: {str(e)[:200]}"
+    return said
+
+
+def raise_failures(said: dict[str, str]) -> dict[str, str]:
+    if bad := {k: v for k, v in said.items() if v.startswith("failed")}:
+        raise RuntimeError(str(bad))
     return said
 
 
 def write_document(rows: DataFrame, folder: str) -> None:
     rows.write.mode("overwrite").json(folder)
+
+
+def put(spark: SparkSession, path: str, data: bytes) -> None:
+    """One small file on any file system, written by the driver; data of tables goes through Spark's writers."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
+def result_page(title: str, names: list[str]) -> str:
+    """The listing that a static server of result files shows."""
+    rows = "\n".join(f'<li><a href="{html.escape(quote(n), quote=True)}">{html.escape(n)}</a></li>' for n in names)
+    return f"<!DOCTYPE html>\n<meta charset=\"utf-8\">\n<title>{html.escape(title)}</title>\n<ul>\n{rows}\n</ul>\n"
+
+
+def serve(folder: str, port: int = 0, title: str = "Results"):
+    """A static HTTP server of a local result folder (``serve_forever`` is the caller's); / lists the pages in it."""
+
+    class Handler(SimpleHTTPRequestHandler):
+        def __init__(self, *a, **k):
+            super().__init__(*a, directory=folder, **k)
+
+        def do_GET(self):  # noqa: N802
+            if self.path != "/":
+                super().do_GET()
+                return
+            body = result_page(title, sorted(n for n in os.listdir(folder) if n.endswith((".html", ".json", ".srt", ".vtt")))).encode()
+            self.send_response(200)
+            self.send_header("Content-Type", "text/html; charset=utf-8")
+            self.send_header("Content-Length", str(len(body)))
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, text, *args):
+            _log.info(text, *args)
+
+    return ThreadingHTTPServer(("127.0.0.1", port), Handler)
+
+
+def transcode_command(source: str, target: str, width: int, height: int, target_height: int, fps: float | None = None, crf: int = 23) -> list[str]:
+    """The ffmpeg call that converts a file to H.264 at another height, its width rounded down to an even number."""
+    even = int(width * target_height / height) // 2 * 2
+    rate = ["-r", f"{fps:g}"] if fps else []
+    return ["ffmpeg", "-y", "-i", source, "-vf", f"scale={even}:{target_height}", *rate, "-c:v", "libx264", "-crf", str(crf), "-c:a", "aac", target]

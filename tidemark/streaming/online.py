@@ -39,12 +39,28 @@ _TRACK_STATE = "tracks array<struct<id:long,box:array<double>,age:int,hits:int>>
 _TRACK_OUT = "video_id long, frame long, ord long, track_id long"
 
 
-def tracks(stream: DataFrame, max_age: int = 30, least_iou: float = 0.3) -> DataFrame:
-    """Online tracks of boxes (video_id, frame, ord, x1, y1, x2, y2): last boxes are the state, old tracks expire."""
+def dropped(query) -> int:
+    """Late rows that a stream has dropped behind its watermarks so far."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in p["stateOperators"])
+
+
+def tracks(stream: DataFrame, max_age: int = 30, least_iou: float = 0.3, at: str | None = None, idle: str = "10 minutes", late: str = LATE, reset: tuple[str, ...] = ()) -> DataFrame:
+    """Online tracks of boxes (video_id, frame, ord, x1, y1, x2, y2, and kind if ``reset`` is given): last boxes are the state.
+
+    Tracks end after ``max_age`` frames without a box, and a video's tracks where a row of a kind
+    in ``reset`` comes. With an event time ``at``, a video's whole state goes once the watermark is
+    ``idle`` past its last row; without one it stays.
+    """
+    milliseconds = int(pd.Timedelta(idle).total_seconds() * 1000)
+    if at:
+        stream = stream.withWatermark(at, late)
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         from ..operators.folds import assign, iou_matrix
 
+        if state.hasTimedOut:
+            state.remove()
+            return
         live, next_id, last = ([dict(zip(("id", "box", "age", "hits"), t, strict=True)) for t in state.get[0]], state.get[1], state.get[2]) if state.exists else ([], 0, -1)
         out = []
         rows = pd.concat(list(batches))
@@ -52,6 +68,8 @@ def tracks(stream: DataFrame, max_age: int = 30, least_iou: float = 0.3) -> Data
             for t in live:
                 t["age"] += int(frame - last) if last >= 0 else 0
             live, last = [t for t in live if t["age"] <= max_age], int(frame)
+            if reset and now["kind"].isin(reset).any():
+                live = []
             boxes = now[["x1", "y1", "x2", "y2"]].to_numpy(float)
             iou = iou_matrix(np.array([t["box"] for t in live]).reshape(-1, 4), boxes) if live else np.zeros((0, len(boxes)))
             of = {j: i for i, j in assign(1 - iou) if iou[i, j] >= least_iou}
@@ -65,6 +83,8 @@ def tracks(stream: DataFrame, max_age: int = 30, least_iou: float = 0.3) -> Data
                     next_id += 1
                 out.append((key[0], int(frame), int(ordinal), t["id"]))
         state.update(([(t["id"], t["box"], t["age"], t["hits"]) for t in live], next_id, last))
+        if at:
+            state.setTimeoutTimestamp(max(int(rows[at].max().timestamp() * 1000), state.getCurrentWatermarkMs()) + milliseconds)
         yield pd.DataFrame(out, columns=["video_id", "frame", "ord", "track_id"])
 
-    return stream.groupBy("video_id").applyInPandasWithState(run, _TRACK_OUT, _TRACK_STATE, "append", GroupStateTimeout.NoTimeout)
+    return stream.groupBy("video_id").applyInPandasWithState(run, _TRACK_OUT, _TRACK_STATE, "append", GroupStateTimeout.EventTimeTimeout if at else GroupStateTimeout.NoTimeout)
