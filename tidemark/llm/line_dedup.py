@@ -6,7 +6,8 @@ order stays, and every line covered by a later occurrence goes.
 
 Defined cases: a null text stays null; a text under three lines has no window;
 windows of blank lines only are ignored; rows equal in id and text are one
-occurrence and are cut alike; a null id sorts first; other columns pass through.
+occurrence and are cut alike; a null id sorts first; columns named n_lines or
+n_removed are replaced (kept without ``counts``), others pass through.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 SPAN = 3
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with repeated windows cut from the text, plus n_lines and n_removed (long)."""
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
+    """``docs`` with repeated windows cut from the text, plus n_lines and n_removed (long) if ``counts``."""
     columns = docs.columns
     text, ident = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
     row_key = [F.xxhash64(ident, text), F.xxhash64(F.lit(7), text, ident)]
@@ -38,8 +39,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     pick = F.array_join(F.transform("__td_kept", lambda i: F.get(lines, i)), "\n")
     new = {"__td_n": n_lines, "__td_gone": F.when(hit, n_lines - F.size("__td_kept")).otherwise(0).cast("long"), "__td_text": F.when(hit, pick).otherwise(text)}
     out = out.withColumns(new)
-    base = [F.col("__td_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in columns if c not in ("n_lines", "n_removed")]
-    return out.select(*base, F.col("__td_n").alias("n_lines"), F.col("__td_gone").alias("n_removed"))
+    base = [F.col("__td_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in columns if not counts or c not in ("n_lines", "n_removed")]
+    return out.select(*base, *([F.col("__td_n").alias("n_lines"), F.col("__td_gone").alias("n_removed")] if counts else []))
 
 
 def _windows(keyed: DataFrame, text_col: str, id_col: str) -> DataFrame:

@@ -17,8 +17,8 @@ of toxic labels among examples without one; labels other than 0 and 1 are ignore
 document labelled both ways counts as toxic; of sample rows that share an id the
 smallest text is the example; without labels every score is 0; ties between
 neighbours (cosines that agree to six places) go to the smaller example id; every row of ``docs`` is scored, repeated ids
-and texts alike; columns named score, predicted or evidence are replaced, others pass
-through.
+and texts alike; in ``score`` columns named score, predicted or evidence are replaced, others
+pass through; ``accepted`` changes no column.
 """
 
 from __future__ import annotations
@@ -35,8 +35,8 @@ from pyspark.sql import types as T
 from .common import slices
 from .words import U, Words, bare_words, map_rows, mix
 
-#: Labelled examples of a class, bytes of their texts (a class), z of a half contrast, neighbours, examples in a block, share of the examples that makes a term dense, texts in a product, and the prior's weight.
-EXAMPLES, BYTES, Z, NEIGHBOURS, BLOCK, DENSE, TOGETHER, PRIOR = 1000, 16 << 20, 6.0, 15, 32, 1 / 32, 64, 1.0
+#: Labelled examples of a class, bytes of their texts (a class), z of a half contrast, neighbours, examples in a block, share of the examples that makes a term dense, texts in a product, the prior's weight, and the score from which a text is called toxic.
+EXAMPLES, BYTES, Z, NEIGHBOURS, BLOCK, DENSE, TOGETHER, PRIOR, LIMIT = 1000, 16 << 20, 6.0, 15, 32, 1 / 32, 64, 1.0, 0.3
 _PREFIXES = (4,)
 
 
@@ -264,6 +264,16 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
 _NEAR = T.ArrayType(T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("cosine", T.DoubleType()), T.StructField("toxic", T.IntegerType())]))
 
 
+def _scores(ix: Index, texts: pa.Array, evidence: int = 0) -> tuple[np.ndarray, list[list[dict]]]:
+    """(scores, nearest examples) of a string array."""
+    scores, notes = np.full(len(texts), ix.empty), [[]] * len(texts)
+    found = ix.vectors(*ix.vocabulary.counted(*terms(bare_words(texts))))
+    for row, best, sims in ix.search(found):
+        notes[row] = [{"doc_id": int(ix.ids[b]), "cosine": float(s), "toxic": int(ix.labels[b])} for b, s in zip(best[:evidence], sims, strict=False)]
+        scores[row] = ix.calibrated(ix.vote(best, sims))
+    return scores, notes
+
+
 def score(docs: DataFrame, index: Index, text_col: str = "text", evidence: int = 3) -> DataFrame:
     """``docs`` with score (double), predicted (int) and evidence: the nearest examples with cosine and label."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
@@ -271,15 +281,22 @@ def score(docs: DataFrame, index: Index, text_col: str = "text", evidence: int =
     fields = [pa.field("score", pa.float64()), pa.field("predicted", pa.int32()), pa.field("evidence", near)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = shared.value
         for batch in batches:
             for part in slices(batch, text_col):
-                scores, notes = np.full(part.num_rows, ix.empty), [[]] * part.num_rows
-                found = ix.vectors(*ix.vocabulary.counted(*terms(bare_words(part.column(text_col)))))
-                for row, best, sims in ix.search(found):
-                    notes[row] = [{"doc_id": int(ix.ids[b]), "cosine": float(s), "toxic": int(ix.labels[b])} for b, s in zip(best[:evidence], sims, strict=False)]
-                    scores[row] = ix.calibrated(ix.vote(best, sims))
-                yield map_rows(part, fields, [pa.array(scores), pa.array((scores >= 0.3).astype(np.int32)), pa.array(notes, near)])
+                scores, notes = _scores(shared.value, part.column(text_col), evidence)
+                yield map_rows(part, fields, [pa.array(scores), pa.array((scores >= LIMIT).astype(np.int32)), pa.array(notes, near)])
 
     kept = [f for f in docs.schema.fields if f.name not in ("score", "predicted", "evidence")]
     return docs.mapInArrow(run, T.StructType([*kept, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("evidence", _NEAR)]))
+
+
+def accepted(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose score is under LIMIT."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text_col):
+                yield part.filter(pa.array(_scores(shared.value, part.column(text_col))[0] < LIMIT))
+
+    return docs.mapInArrow(run, T.StructType(docs.schema.fields))
