@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return
 the columns of documents. ``run`` writes each stage's rows as Parquet into the shared
 checkpoint folder and reads them back for the next.
+
+Defined cases, in every stage: an empty table gives an empty one; a null text stays null
+and is kept (near-dedup keeps one of all rows that share a null text and have an id, and
+every row without an id); an empty text has the toxicity score of texts without a known
+term; rows that share an id and a text are judged alike, and near-dedup keeps the first;
+very long texts are read whole; columns beside those of documents pass through, whatever
+their names, except that the last stage sets ``piece_ids``.
 """
 
 from __future__ import annotations
@@ -21,12 +28,12 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold of 0.3."""
     index = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), fold("doc_id", 4) != 2)
-    return toxicity.score(docs, index).where("predicted = 0").select(*docs.columns)
+    return toxicity.accepted(docs, index)
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the three-line windows that stand earlier; n_chars follows the text."""
-    out = line_dedup.line_dedup(docs).drop("n_lines", "n_removed")
+    out = line_dedup.line_dedup(docs, counts=False)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
