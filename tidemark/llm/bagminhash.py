@@ -9,8 +9,8 @@ weight are dropped. Two texts agree in a register with probability equal to thei
 weighted Jaccard similarity, and points later than every register are never drawn.
 
 Equal texts are one node. Nodes that share a band's registers meet in a bucket; each is
-linked with the bucket's two hubs (the smallest id, and the node with the most
-neighbours), and the overlap of each link is counted on the whole multisets. The other
+held against the bucket's two hubs (the first node, and the one with the most
+neighbours), and the overlap of each pair is counted on the whole multisets. The other
 members of a bucket, where they are of more than one class yet, are dealt to blocks of
 about BLOCK nodes or BLOCK_BYTES of text, and each two blocks are held against each other
 exactly, by the product of their members' shingle tables. So every two nodes of a bucket
@@ -18,10 +18,11 @@ are in one class or were compared. Two blocks give a forest of links at most: co
 never expanded into pairs, and no bucket is gathered.
 
 Defined cases: null and empty texts have no shingle and are near copies of their equals
-only (null is not equal to empty); texts of one to four words are one shingle; rows that
-share an id share a class; a null id has the class of its text, null if it has none;
-other columns are ignored by ``classes`` and pass through ``deduplicated``. ``docs`` must be
-a stable scan (files or a table), as rows are known by their place in it.
+only (null is not equal to empty); texts of one to four words are one shingle; rows are
+judged by their texts, so that unlike texts of one id are apart; a null id has the class
+of its text, null if no row of the class has an id; other columns are ignored by
+``classes`` and pass through ``deduplicated``, which keeps every row of a class without an
+id. ``docs`` must be a stable scan (files or a table), as rows are known by their place in it.
 """
 
 from __future__ import annotations
@@ -31,15 +32,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpoint, slices
 from .components import components
 from .words import U, Words, mix, windows, words
 
-#: Words of a shingle, least similarity, registers, registers of a band, sketch bits that a link may differ in (J = 0.8 differs in 10 of 100, sd 3), nodes and bytes of text in a block, and cells of a shingle table.
-SHINGLE, SIMILAR, REGISTERS, BAND, DIFFER, BLOCK, BLOCK_BYTES, CELLS = 5, 0.8, 100, 5, 30, 1024, 2 << 20, 1 << 21
+#: Words of a shingle, least similarity, registers, registers of a band, nodes and bytes of text in a block, and cells of a shingle table.
+SHINGLE, SIMILAR, REGISTERS, BAND, BLOCK, BLOCK_BYTES, CELLS = 5, 0.8, 100, 5, 1024, 2 << 20, 1 << 21
 BANDS = REGISTERS // BAND
 
 
@@ -97,8 +98,8 @@ def signatures(row: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int) -> np
     return out.reshape(n, REGISTERS)
 
 
-def banded(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(band keys, n x BANDS; two words of one bit per register)."""
+def banded(sig: np.ndarray) -> np.ndarray:
+    """Band keys, n x BANDS."""
     bits = sig.view(U)
     keys = np.empty((len(sig), BANDS), U)
     for b in range(BANDS):
@@ -106,25 +107,18 @@ def banded(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         for c in range(b * BAND, (b + 1) * BAND):
             k = mix(k * U(0x9FB21C651E98DF25) + bits[:, c])
         keys[:, b] = k
-    low = (mix(bits) & U(1)).astype(U)
-    half = REGISTERS // 2
-    place = np.arange(half, dtype=U)
-    sketch = np.stack([(low[:, :half] << place).sum(1, dtype=U), (low[:, half:] << place).sum(1, dtype=U)], 1)
-    return keys, sketch
+    return keys
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rid, text) to (rid, bands, s1, s2); bands is null without shingles."""
+    """(rid, text) to (rid, bands); bands is null without shingles."""
     for batch in batches:
-        for part in slices(batch, "text", 2 << 20):
+        for part in slices(batch, "text", 1 << 20):
             row, h, count = shingles(words(part.column(1)))
             sig = signatures(row, h, count, part.num_rows)
-            keys, sketch = banded(sig)
-            some = np.isfinite(sig[:, 0])
-            flat = pa.array(keys.view(np.int64).ravel())
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS), pa.int32()), flat, mask=pa.array(~some))
-            s = sketch.view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), bands, pa.array(s[:, 0]), pa.array(s[:, 1])], ["rid", "bands", "s1", "s2"])
+            flat = pa.array(banded(sig).view(np.int64).ravel())
+            bands = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS), pa.int32()), flat, mask=pa.array(~np.isfinite(sig[:, 0])))
+            yield pa.RecordBatch.from_arrays([part.column(0), bands], ["rid", "bands"])
 
 
 def _bag(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -214,40 +208,35 @@ def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pack.compress(t.encode()) for t in batch.column(1).to_pylist()], pa.binary())], ["id", "z"])
 
 
-def _differ(a: str, b: str) -> Column:
-    return F.bit_count(F.col(f"{a}.s1").bitwiseXOR(F.col(f"{b}.s1"))) + F.bit_count(F.col(f"{a}.s2").bitwiseXOR(F.col(f"{b}.s2")))
-
-
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(rid, doc_id, class_id) of every row; class_id is the smallest id of its near copies, rid the row's number in the scan."""
+    found, first = _components(docs, id_col, text_col)
+    named = first.groupBy("comp").agg(F.min("id").alias("class_id"))
+    return found.join(first.join(named, "comp").select("k1", "k2", "class_id"), ["k1", "k2"]).select("rid", "doc_id", "class_id")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rid, doc_id, k1, k2) of every row; and (k1, k2, node, id, comp) of every distinct text: its first row, smallest id and component."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).withColumn("rid", F.monotonically_increasing_id())
     rows = rows.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit(7), "text")})
-    keys = rows.select("rid", "doc_id", "k1", "k2")
-    first = checkpoint(rows.where("doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.min("rid").alias("rid"), F.max(F.octet_length("text")).alias("bytes")))
-    signed = checkpoint(_nodes(rows, first))
-    band = signed.select(F.struct("id", "s1", "s2", "bytes").alias("n"), F.explode("bands").alias("bucket"))
+    first = checkpoint(rows.groupBy("k1", "k2").agg(F.min("rid").alias("node"), F.min("doc_id").alias("id"), F.max(F.octet_length("text")).alias("bytes")))
+    one = rows.where("text is not null").select(F.col("rid").alias("node"), "text").join(first.select("node", "bytes"), "node")
+    signed = rows.where("text is not null").select("rid", "text").mapInArrow(_sign, "rid long, bands array<long>").where("bands is not null")
+    signed = checkpoint(signed.withColumnRenamed("rid", "node").join(first.select("node", "bytes"), "node"))
+    band = signed.select("node", "bytes", F.explode("bands").alias("bucket"))
     size = band.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     # the degree of a node is the sum of its buckets' sizes: the text that others were copied from has the highest
-    degree = band.select("n.id", "bucket").join(size, "bucket").groupBy("id").agg(F.sum("size").alias("degree"))
-    placed = checkpoint(band.select(F.col("n.id").alias("id"), "n", "bucket").join(degree, "id").join(size.select("bucket"), "bucket").select("bucket", "n", "degree"))
-    hubs = placed.groupBy("bucket").agg(F.min("n").alias("h1"), F.min(F.struct((-F.col("degree")).alias("d"), F.col("n").alias("n"))).alias("h2"))
-    hubs = hubs.select("bucket", F.explode(F.array("h1", "h2.n")).alias("h"))
-    links = _linked(placed, hubs)
-    needed = placed.select("n.id").distinct()
-    text = rows.select(F.col("doc_id").alias("id"), "text").where("text is not null").join(needed, "id")
-    text = checkpoint(text.mapInArrow(_squeeze, "id long, z binary"))
-    comp, found = components(_checked(links, text))
+    degree = band.select("node", "bucket").join(size, "bucket").groupBy("node").agg(F.sum("size").alias("degree"))
+    placed = checkpoint(band.join(degree, "node").join(size.select("bucket"), "bucket").select("bucket", "node", "bytes", "degree"))
+    hubs = placed.groupBy("bucket").agg(F.min("node").alias("h1"), F.min(F.struct((-F.col("degree")).alias("d"), "node")).alias("h2"))
+    hubs = hubs.select("bucket", F.explode(F.array("h1", "h2.node")).alias("hub"))
+    text = checkpoint(one.select("node", "text").join(placed.select("node").distinct(), "node").mapInArrow(_squeeze, "id long, z binary"))
+    comp, found = components(_checked(_linked(placed, hubs), text))
     more = checkpoint(_rest(placed, hubs, comp, text))
     if not more.isEmpty():
         comp, found = components(found.unionByName(more))
-    by_text = first.select("k1", "k2", "id").join(comp, "id", "left").select("k1", "k2", F.coalesce("comp", "id").alias("class_id"))
-    return keys.join(by_text, ["k1", "k2"], "left").select("rid", "doc_id", "class_id")
-
-
-def _nodes(rows: DataFrame, first: DataFrame) -> DataFrame:
-    """Signature of one row of each distinct text."""
-    signed = rows.where("text is not null").select("rid", "text").mapInArrow(_sign, "rid long, bands array<long>, s1 long, s2 long")
-    return signed.join(first.select("rid", "id", "bytes"), "rid").where("bands is not null").groupBy("id").agg(*(F.first(x).alias(x) for x in ("bands", "s1", "s2", "bytes")))
+    comp = comp.withColumnRenamed("id", "node")
+    return rows.select("rid", "doc_id", "k1", "k2"), first.join(comp, "node", "left").select("k1", "k2", "node", "id", F.coalesce("comp", "node").alias("comp"))
 
 
 def _checked(pairs: DataFrame, text: DataFrame) -> DataFrame:
@@ -258,15 +247,15 @@ def _checked(pairs: DataFrame, text: DataFrame) -> DataFrame:
 
 
 def _linked(placed: DataFrame, hubs: DataFrame) -> DataFrame:
-    """Pairs (a < b) of the buckets' members with the buckets' hubs that their sketches allow."""
-    pairs = placed.join(hubs, "bucket").where("n.id <> h.id").where(_differ("n", "h") <= DIFFER)
-    return pairs.select(F.least("n.id", "h.id").alias("a"), F.greatest("n.id", "h.id").alias("b")).distinct()
+    """Pairs (a < b) of the buckets' members with the buckets' hubs."""
+    pairs = placed.select("bucket", "node").join(hubs, "bucket").where("node <> hub")
+    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
 def _rest(placed: DataFrame, hubs: DataFrame, comp: DataFrame, text: DataFrame) -> DataFrame:
     """Links (a < b) between a bucket's members that are no hubs of it; a hub has met all."""
     label = comp.select(F.col("id").alias("m"), "comp")
-    member = placed.select("bucket", "n.id", "n.bytes").join(hubs.select("bucket", "h.id"), ["bucket", "id"], "left_anti")
+    member = placed.select("bucket", F.col("node").alias("id"), "bytes").join(hubs.select("bucket", F.col("hub").alias("id")), ["bucket", "id"], "left_anti")
     member = checkpoint(member.join(label, F.col("id") == F.col("m"), "left").select("bucket", "id", "bytes", F.coalesce("comp", "id").alias("c")))
     many = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int")
     open_ = member.groupBy("bucket").agg(many.alias("many"), F.min("c").alias("least"), F.max("c").alias("most")).where("least < most")
@@ -277,8 +266,10 @@ def _rest(placed: DataFrame, hubs: DataFrame, comp: DataFrame, text: DataFrame)
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each class, that of the smallest id."""
-    found = classes(docs, id_col, text_col)
-    named = F.when(F.col("class_id").isNotNull(), F.struct(F.lit(0).alias("k"), F.col("class_id").alias("v"))).otherwise(F.struct(F.lit(1).alias("k"), F.col("rid").alias("v")))
-    kept = found.groupBy(named.alias("g")).agg(F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("d"), F.col("rid").alias("rid"))).alias("m")).select(F.col("m.rid").alias("__td_rid"))
+    """``docs`` with one row of each class, the first of the smallest id."""
+    found, first = _components(docs, id_col, text_col)
+    known = found.where("doc_id is not null").join(first.select("k1", "k2", "comp"), ["k1", "k2"])
+    best = known.groupBy("comp").agg(F.min(F.struct("doc_id", "rid")).alias("m"))
+    bare = found.where("doc_id is null").join(first.select("k1", "k2", "comp"), ["k1", "k2"]).join(best.select("comp"), "comp", "left_anti")
+    kept = best.select(F.col("m.rid").alias("__td_rid")).unionByName(bare.select(F.col("rid").alias("__td_rid")))
     return docs.withColumn("__td_rid", F.monotonically_increasing_id()).join(kept, "__td_rid", "left_semi").drop("__td_rid")
