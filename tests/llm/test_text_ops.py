@@ -93,6 +93,28 @@ def test_substring_dedup(spark, n):
     assert got == plain_substrings(list(enumerate(texts)), n)
 
 
+def test_equal_first_hashes_do_not_remove_words(spark, monkeypatch):
+    """Where the first hash of all last-level windows is one and the same, the second one tells them apart."""
+    piece = doubling._Piece
+    texts = [" ".join(f"a{k}" for k in range(13)), " ".join(f"b{k}" for k in range(13)), " ".join(f"a{k}" for k in range(13))]
+    from tidemark.llm import blocks
+
+    made = []
+    for n, t in enumerate(texts):
+        sink = pa.BufferOutputStream()
+        table = pa.table({"doc_id": pa.array([n]), "text": [t]})
+        with pa.ipc.new_stream(sink, table.schema) as w:
+            w.write_table(table)
+        made.append(piece(sink.getvalue().to_pybytes(), [13], 1))
+    monkeypatch.setattr(piece, "keys", lambda self, level: np.full(len(self.at), 5, np.uint64))
+    asks = []
+    for n, p in enumerate(made):
+        keys, others, first, bounds, _, _ = p.last_ask()
+        asks.append(blocks.asks(n, 0, 1, bounds, lambda a, b, k=keys, o=others, f=first: k[a:b].tobytes() + o[a:b].tobytes() + f[a:b].tobytes()))
+    told = doubling._earlier(pa.Table.from_batches(asks)).to_pylist()
+    assert [np.unpackbits(np.frombuffer(r["bits"], np.uint8))[0] for r in told] == [0, 0, 1]
+
+
 def test_substring_defined_cases(spark):
     long = " ".join(f"q{k}" for k in range(20))
     df = frame(spark, [long, long, long, long], [5, 5, None, 9])

@@ -8,11 +8,12 @@ survives. At the last level every surviving window learns whether its words also
 start in a document with a smaller id, and the words under such windows go.
 
 The first levels are filters: their keys keep over 40 bits and can only let too much
-through. The last level compares 64-bit hashes of whole windows.
+through. The last level compares two 64-bit hashes of whole windows.
 
 Defined cases: a null text has no words; a null id neither removes nor loses words;
 rows that share an id do not count against each other; texts shorter than a window
-stay whole; other columns are ignored.
+stay whole; other columns are ignored. ``docs`` must be a stable scan (files or a table):
+a piece that reads other rows the second time is told so by an error.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from .words import U, Words, mix, row_windows, windows, words_in_slices
 
 FIRST = 5  # no level is shorter
 _NO_ID = np.iinfo(np.int64).max
+_SECOND = U(0x3C6EF372FE94F82B)  # makes the second hash another one
 
 
 def levels_of(length: int) -> list[int]:
@@ -94,21 +96,26 @@ class _Piece:
         self.at = nxt[marks[nxt] & marks[nxt + shift]]
 
     def last_ask(self):
-        """(distinct hashes, first ids, bounds, place of each window, windows that a smaller id here removes)."""
-        h = self.keys(len(self.levels) - 1)
-        doc = self.of_word[self.at]
-        keys, place = np.unique(h, return_inverse=True)
+        """(distinct hashes, their second hashes, first ids, bounds, place of each window, windows that a smaller id here removes)."""
+        h, doc = self.keys(len(self.levels) - 1), self.of_word[self.at]
+        g = windows(mix(self.w.hashes ^ _SECOND), self.levels[-1])[self.at] if len(self.at) else h
+        order = np.lexsort((g, h))
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
+        place = np.empty(len(order), np.int64)
+        place[order] = np.cumsum(fresh) - 1
+        keys, others = h[order][fresh], g[order][fresh]
         by, bounds = blocks.order(keys, self.buckets)
         rank = np.empty(len(by), np.int64)
         rank[by] = np.arange(len(by))
         place = rank[place]
         first = np.full(len(keys), _NO_ID)
         np.minimum.at(first, place, doc)
-        return keys[by], first, bounds, place, doc > first[place]
+        return keys[by], others[by], first, bounds, place, doc > first[place]
 
     def removed(self, table: pa.Table) -> np.ndarray:
         """Which words go."""
-        _, _, bounds, place, here = self.last_ask()
+        _, _, _, bounds, place, here = self.last_ask()
         gone = self.at[here | blocks.flags(table, len(self.levels) - 1, bounds)[place]]
         edge = np.zeros(len(self.w.hashes) + 1, np.int32)
         np.add.at(edge, gone, 1)
@@ -141,12 +148,11 @@ def _isin(keys: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 def _earlier(table: pa.Table) -> pa.Table:
     """A bucket of the last level: keys whose first id anywhere is smaller than the asking one."""
-    asked = [np.frombuffer(x.as_buffer(), np.int64).reshape(2, -1) for x in table["payload"]]
-    keys = np.concatenate([a[0] for a in asked]).view(U)
-    first = np.concatenate([a[1] for a in asked])
-    by = np.lexsort((first, keys))
+    asked = [np.frombuffer(x.as_buffer(), np.int64).reshape(3, -1) for x in table["payload"]]
+    keys, others, first = (np.concatenate([a[k] for a in asked]) for k in range(3))
+    by = np.lexsort((first, others, keys))
     fresh = np.ones(len(by), bool)
-    fresh[1:] = keys[by][1:] != keys[by][:-1]
+    fresh[1:] = (keys[by][1:] != keys[by][:-1]) | (others[by][1:] != others[by][:-1])
     least = np.empty(len(by), np.int64)
     least[by] = first[by][fresh][np.cumsum(fresh) - 1]
     ends = np.cumsum([a.shape[1] for a in asked])
@@ -170,8 +176,8 @@ def substring_dedup(docs: DataFrame, length: int = 13, id_col: str = "doc_id", t
         if level < last:
             keys, bounds, _, _ = piece.filter_ask(level)
             return blocks.asks(piece_id, level, buckets, bounds, lambda a, b: blocks.low5(keys[a:b]))
-        keys, first, bounds, _, _ = piece.last_ask()
-        return blocks.asks(piece_id, level, buckets, bounds, lambda a, b: keys[a:b].tobytes() + first[a:b].tobytes())
+        keys, others, first, bounds, _, _ = piece.last_ask()
+        return blocks.asks(piece_id, level, buckets, bounds, lambda a, b: keys[a:b].tobytes() + others[a:b].tobytes() + first[a:b].tobytes())
 
     def ask_at(level: int):
         def ask(left: pa.Table, right: pa.Table) -> pa.Table:
