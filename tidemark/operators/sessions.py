@@ -117,17 +117,24 @@ def linspace_capped(rows: DataFrame, keys: Sequence[str], limit: int, *order) ->
 
 
 def density_schedule(videos: DataFrame, dialogues: DataFrame, fps: float, micro: int = 1_000_000) -> DataFrame:
-    """Frame times: tenth-second buckets hold base density, raised near dialogue by its importance; a frame is due when the running sum passes a whole number.
+    """Frame times: tenth-second ticks hold base density, raised near dialogue by its importance; a frame is due at the tick where the running sum passes a whole number.
 
-    Densities are whole millionths, so running sums are exact.
+    Ticks between two dialogue bounds have one density, so sums run over such spans and
+    only due ticks are made. Densities are whole millionths, so running sums are exact.
     """
-    from .intervals import interval_join
-
-    grid = videos.select("video_id", F.explode(F.sequence(F.lit(0), F.floor(F.col("duration") * 10).cast("int"))).alias("k")).withColumn("t", F.col("k") / F.lit(10.0))
-    near = dialogues.select("video_id", (F.col("start") - 2).alias("d0"), (F.col("end") + 2).alias("d1"), "importance")
-    raised = interval_join(grid, near, ["video_id"], ("t", "t"), ("d0", "d1"), 60.0).groupBy("video_id", "k").agg(F.max("importance").alias("importance"))
-    joined = grid.join(raised, ["video_id", "k"], "left")
+    from .intervals import point_join
+
+    ends = videos.select("video_id", (F.floor(F.col("duration") * 10) + 1).alias("n"))
+    tick = lambda c, f: F.least(F.greatest(f(F.round(c * 10, 6)), F.lit(0)), F.col("n"))
+    near = dialogues.join(ends, "video_id").select("video_id", tick(F.col("start") - 2, F.ceil).alias("a"), (tick(F.col("end") + 2, F.floor) + 1).alias("b"), "importance", "n")
+    near = near.withColumn("b", F.least("b", "n"))
+    cuts = near.select("video_id", F.explode(F.array("a", "b")).alias("s")).unionByName(ends.select("video_id", F.explode(F.array(F.lit(0).cast("bigint"), "n")).alias("s"))).distinct()
+    spans = cuts.withColumn("e", F.lead("s").over(_order(["video_id"], "s"))).where("e is not null")
+    raised = point_join(spans, near.where("a < b").select("video_id", "a", "b", "importance"), "s", ("a", "b"), 600.0, closed=False).groupBy("video_id", "s").agg(F.max("importance").alias("importance"))
     density = F.round(F.lit(fps * 0.1 * micro) * F.coalesce("importance", F.lit(1.0))).cast("bigint")
-    w = _order(["video_id"], "k").rowsBetween(Window.unboundedPreceding, 0)
-    run = joined.withColumn("d", density).withColumn("cum", F.sum("d").over(w))
-    return run.where(F.floor(F.col("cum") / micro) > F.floor((F.col("cum") - F.col("d")) / micro)).select("video_id", "t")
+    run = spans.join(raised, ["video_id", "s"], "left").withColumn("d", density).where("d > 0")
+    total = (F.col("e") - F.col("s")) * F.col("d")
+    run = run.withColumn("base", F.sum(total).over(_order(["video_id"], "s").rowsBetween(Window.unboundedPreceding, 0)) - total)
+    first, last = F.floor(F.col("base") / micro) + 1, F.floor((F.col("base") + total) / micro)
+    due = F.transform(F.sequence(first, last), lambda m: F.col("s") + F.ceil((m * micro - F.col("base")) / F.col("d")) - 1)
+    return run.where(last >= first).select("video_id", F.explode(F.array_distinct(due)).alias("k")).select("video_id", (F.col("k") / F.lit(10.0)).alias("t"))
