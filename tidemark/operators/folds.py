@@ -252,18 +252,22 @@ def dbscan(vectors: np.ndarray, eps: float, least: int) -> np.ndarray:
 
 
 def average_linkage(vectors: np.ndarray, most: float) -> np.ndarray:
-    """Clusters joined while the mean cosine distance between two of them is at most ``most``."""
-    d, groups = 1 - _unit(vectors) @ _unit(vectors).T, [[k] for k in range(len(vectors))]
-    while len(groups) > 1:
-        means = [(float(d[np.ix_(a, b)].mean()), i, j) for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j]
-        least, i, j = min(means)
-        if least > most:
+    """Clusters joined while the mean cosine distance between two of them is at most ``most``; the first of equal pairs is joined."""
+    n = len(vectors)
+    d = 1 - _unit(vectors) @ _unit(vectors).T
+    np.fill_diagonal(d, np.inf)
+    size, label = np.ones(n), np.arange(n)
+    for _ in range(n - 1):
+        i, j = divmod(int(d.argmin()), n)
+        if d[i, j] > most:
             break
-        groups[i] += groups.pop(j)
-    label = np.empty(len(vectors), int)
-    for k, g in enumerate(sorted(groups, key=min)):
-        label[g] = k
-    return label
+        i, j = min(i, j), max(i, j)
+        row = (d[i] * size[i] + d[j] * size[j]) / (size[i] + size[j])  # the mean to the union is the weighted mean
+        d[i], d[:, i] = row, row
+        d[j], d[:, j], d[i, i] = np.inf, np.inf, np.inf
+        size[i] += size[j]
+        label[label == j] = i
+    return np.unique(label, return_inverse=True)[1]
 
 
 def greedy(vectors: np.ndarray, least: float) -> np.ndarray:

@@ -215,30 +215,41 @@ query("jn_as_of", sql("SELECT d.ord, s.ord AS seg_ord FROM det d ASOF LEFT JOIN
 _CENT = "WITH c AS (SELECT label, list(m ORDER BY i) AS v FROM (SELECT label, i, avg(x) AS m FROM (SELECT label, unnest(embedding::DOUBLE[]) AS x, unnest(range(64)) AS i FROM embeddings) GROUP BY label, i) GROUP BY label)"
 
 
-def centroids(spark, sf):
-    rows = mp.table(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("i", "x"))
-    means = rows.groupBy("label", "i").agg(F.avg("x").alias("m"))
-    return means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda z: z["m"]).alias("v"))
+def centroids(spark, sf, *by: str):
+    """The mean vector ``v`` of each label (or of each video and label)."""
+    keys = by or ("label",)
+    rows = _faces(spark, sf).select("video_id", F.col("scene_id").alias("label"), F.posexplode("embedding").alias("i", "x"))
+    means = rows.groupBy(*keys, "i").agg(F.avg("x").alias("m"))
+    return means.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda z: z["m"]).alias("v"))
 
 
+_OF = ("video_id", "label")
+_CENTV = "WITH e AS (SELECT vec_id, vec_id % 20 AS video_id, label::BIGINT AS label, embedding::DOUBLE[] AS x FROM embeddings), c AS (SELECT video_id, label, list(m ORDER BY i) AS v FROM (SELECT video_id, label, i, avg(y) AS m FROM (SELECT video_id, label, unnest(x) AS y, unnest(range(64)) AS i FROM e) GROUP BY video_id, label, i) GROUP BY video_id, label)"
 query("agg_centroid", _CENT + " SELECT label, round(list_sum(v), 4) AS s, round(v[1], 5) AS first FROM c")(lambda s, d: centroids(s, d).select("label", F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 4).alias("s"), F.round(F.get("v", F.lit(0)), 5).alias("first")))
-query("jn_cosine", _CENT + " SELECT a.label AS a, b.label AS b, round(list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v) * list_inner_product(b.v, b.v)), 4) AS v FROM c a JOIN c b ON a.label < b.label")(
-    lambda s, d: centroids(s, d).alias("a").join(centroids(s, d).alias("b"), F.col("a.label") < F.col("b.label")).select(F.col("a.label").alias("a"), F.col("b.label").alias("b"), F.round(vc.cosine(F.col("a.v"), F.col("b.v")), 4).alias("v"))
-)
-query("jn_emb_match", _CENT + ", m AS (SELECT e.vec_id, c.label, (list_inner_product(e.embedding::DOUBLE[], c.v) / sqrt(list_inner_product(e.embedding::DOUBLE[], e.embedding::DOUBLE[]) * list_inner_product(c.v, c.v)) + 1) / 2 AS s FROM embeddings e JOIN c ON true), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, label) AS k FROM m) SELECT vec_id, label AS best, round(s, 4) AS s FROM r WHERE k = 1 AND s > 0.55")(
+query("jn_cosine", _CENTV + " SELECT a.video_id, a.label AS a, b.label AS b, round(list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v) * list_inner_product(b.v, b.v)), 4) AS v FROM c a JOIN c b ON a.video_id = b.video_id AND a.label < b.label")(lambda s, d: _cosines(s, d))
+
+
+def _cosines(spark, sf):
+    """Pairs of a video's character centroids; a video has few characters."""
+    c = centroids(spark, sf, *_OF)
+    other = c.select("video_id", F.col("label").alias("b"), F.col("v").alias("w"))
+    return c.join(other, "video_id").where(F.col("label") < F.col("b")).select("video_id", F.col("label").alias("a"), "b", F.round(vc.cosine(F.col("v"), F.col("w")), 4).alias("v"))
+
+
+query("jn_emb_match", _CENTV + ", m AS (SELECT e.vec_id, c.label, (list_inner_product(e.x, c.v) / sqrt(list_inner_product(e.x, e.x) * list_inner_product(c.v, c.v)) + 1) / 2 AS s FROM e JOIN c USING (video_id)), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, label) AS k FROM m) SELECT vec_id, label AS best, round(s, 4) AS s FROM r WHERE k = 1 AND s > 0.55")(
     lambda s, d: _nearest(s, d)
 )
 
 
 def _nearest(spark, sf):
     """Each face with the nearest of its video's character centroids, which travel as one array a video: no pair of rows is made."""
-    known = centroids(spark, sf).groupBy(F.lit(0).alias("video_id")).agg(F.array_sort(F.collect_list(F.struct("label", "v"))).alias("known"))
-    faces = mp.table(spark, sf, "embeddings").select(F.lit(0).alias("video_id"), "vec_id", "embedding").join(known, "video_id")
+    known = centroids(spark, sf, *_OF).groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("label", "v"))).alias("known"))
+    faces = _faces(spark, sf).select("video_id", F.col("ord").alias("vec_id"), "embedding").join(known, "video_id")
     best = F.array_max(F.transform("known", lambda c: F.struct(vc.centred_cosine(F.col("embedding"), c["v"]).alias("s"), (-c["label"]).alias("k"))))
     return faces.select("vec_id", best.alias("b")).where("b.s > 0.55").select("vec_id", (-F.col("b.k")).alias("best"), F.round("b.s", 4).alias("s"))
 
 
-query("clu_greedy")(lambda s, d: fo.merged_clusters(centroids(s, d).select(F.lit(0).cast("bigint").alias("video_id"), F.col("label").cast("bigint").alias("cluster_id"), F.col("v").alias("embedding")), 0.3))
+query("clu_greedy")(lambda s, d: fo.merged_clusters(centroids(s, d, *_OF).select("video_id", F.col("label").alias("cluster_id"), F.col("v").alias("embedding")), 0.3))
 query("clu_dbscan")(lambda s, d: fo.clustered(_faces(s, d), 3, 0.75))
 query("clu_agglo")(lambda s, d: fo.clustered(_faces(s, d), 3, 0.6, "average"))
 query("win_char_assoc")(lambda s, d: fo.associated(_faces(s, d), 0.6))
@@ -249,13 +260,13 @@ def _faces(spark, sf):
 
 
 def _driver(spark, sf):
-    """Scene clusters, their centroids, the seeds they merge into and a profile of each."""
-    rows = fo.clustered(_faces(spark, sf).withColumn("video_id", F.lit(0).cast("bigint")), 3, 0.75)
+    """Scene clusters of each video, their centroids, the seeds they merge into and a profile of each."""
+    rows = fo.clustered(_faces(spark, sf), 3, 0.75)
     key = (F.col("scene_id") * 1000 + F.col("cluster")).alias("cluster_id")
-    member = rows.select("ord", "scene_id", key).join(_faces(spark, sf).select("ord", "embedding"), "ord")
-    means = member.select("cluster_id", F.posexplode("embedding").alias("i", "x")).groupBy("cluster_id", "i").agg(F.avg("x").alias("m")).groupBy("cluster_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda z: z["m"]).alias("embedding"))
-    seeds = fo.merged_clusters(means.select(F.lit(0).cast("bigint").alias("video_id"), "cluster_id", "embedding"), 0.75)
-    return member.join(seeds.select("cluster_id", "global_id"), "cluster_id").groupBy("global_id").agg(F.count("*").alias("faces"), F.count_distinct("scene_id").alias("scenes"), F.least(F.lit(1.0), F.count("*") / 10.0).alias("confidence"))
+    member = rows.select("video_id", "ord", "scene_id", key).join(_faces(spark, sf).select("ord", "embedding"), "ord")
+    means = member.select("video_id", "cluster_id", F.posexplode("embedding").alias("i", "x")).groupBy("video_id", "cluster_id", "i").agg(F.avg("x").alias("m")).groupBy("video_id", "cluster_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda z: z["m"]).alias("embedding"))
+    seeds = fo.merged_clusters(means, 0.75)
+    return member.join(seeds, ["video_id", "cluster_id"]).groupBy("video_id", "global_id").agg(F.count("*").alias("faces"), F.count_distinct("scene_id").alias("scenes"), F.least(F.lit(1.0), F.count("*") / 10.0).alias("confidence"))
 
 
 query("clu_driver")(_driver)
