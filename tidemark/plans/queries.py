@@ -92,7 +92,7 @@ query("fn_prompts", sql("SELECT video_id, ord, 'Sum up this scene in a sentence.
 _EMO_SQL = """SELECT video_id, CASE WHEN len(f) = 0 THEN 'conversational' WHEN len(list_distinct(f)) > 1 AND f[1] <> f[len(f)] THEN 'shifting from ' || f[1] || ' to ' || f[len(f)]
   ELSE (SELECT e FROM (SELECT unnest(f) AS e, unnest(range(1, len(f) + 1)) AS i) GROUP BY e ORDER BY count(*) DESC, min(i) LIMIT 1) END AS v FROM (SELECT video_id, list_filter(list(emotion ORDER BY ord), lambda e: e <> 'neutral') AS f FROM seg GROUP BY video_id)"""
 query("fn_emotion_ctx", sql(_EMO_SQL, "seg"))(lambda s, d: _speakers(s, d).select("video_id", tx.emotion_context(F.col("emotions")).alias("v")))
-query("fn_parse_lines", sql("SELECT video_id, (ord * 2 + 2)::INTEGER AS id, start AS start, start + 5 AS \"end\", 'w' || n AS text FROM seg WHERE start < 3600 * 24", "seg"))(
+query("fn_parse_lines", sql("SELECT video_id, (ord * 2 + 2)::INTEGER AS id, start AS start, start + 5 AS \"end\", 'w' || n AS text FROM seg", "seg"))(
     lambda s, d: tx.timed_lines(
         mp.segments(s, d).groupBy("video_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "start", "n"))), lambda r: F.concat(F.lit("noise\n["), F.format_string("%02d:%02d:%02d", F.floor(r["start"] / 3600), F.floor(r["start"] / 60) % 60, r["start"].cast("bigint") % 60), F.lit("] w"), r["n"].cast("string"))), "\n").alias("body")),
         "body", ["video_id"],
@@ -138,8 +138,8 @@ query("src_synthetic", """SELECT video_id, ord, start, start + 2 + h / 200 AS "e
 
 # ---- projections and filters -----------------------------------------------------------
 
-query("flt_asr_valid", sql("SELECT video_id, printf('SEG_%04d', row_number() OVER (PARTITION BY video_id ORDER BY ord) - 1) AS segment_id, 1 - confidence AS confidence FROM seg WHERE \"end\" > start AND trim(text) <> '' AND ord % 4 <> 2", "seg"))(
-    lambda s, d: mp.segments(s, d).where((F.col("end") > F.col("start")) & (F.trim("text") != "") & (F.col("ord") % 4 != 2)).select("video_id", F.format_string("SEG_%04d", F.row_number().over(Window.partitionBy("video_id").orderBy("ord")) - 1).alias("segment_id"), (1 - F.coalesce("confidence", F.lit(0.0))).alias("confidence"))
+query("flt_asr_valid", sql("SELECT video_id, printf('SEG_%04d', row_number() OVER (PARTITION BY video_id ORDER BY ord) - 1) AS segment_id, 1 - confidence AS confidence FROM seg WHERE \"end\" > start AND trim(text) <> ''", "seg"))(
+    lambda s, d: mp.segments(s, d).where((F.col("end") > F.col("start")) & (F.trim("text") != "")).select("video_id", F.format_string("SEG_%04d", F.row_number().over(Window.partitionBy("video_id").orderBy("ord")) - 1).alias("segment_id"), (1 - F.coalesce("confidence", F.lit(0.0))).alias("confidence"))
 )
 query("flt_fix_a", sql("SELECT count(*) FILTER (\"end\" <= start OR trim(text) = '' OR n < 40) AS removed, count(*) FILTER (NOT (\"end\" <= start OR trim(text) = '' OR n < 40)) AS kept FROM seg", "seg"))(lambda s, d: _fixed(s, d))
 

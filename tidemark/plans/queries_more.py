@@ -100,14 +100,14 @@ query("win_renumber", sql("SELECT video_id, id, row_number() OVER (PARTITION BY
 query("win_boundary_filter", sql("""o AS (SELECT video_id, list(ts ORDER BY ts) AS l FROM det GROUP BY video_id), f AS (SELECT video_id, list_reduce(l, lambda k, t: CASE WHEN t[1] - k[len(k)] >= 5 THEN list_concat(k, t) ELSE k END) AS k FROM (SELECT video_id, list_transform(l, lambda t: [t]) AS l FROM o))
 SELECT video_id, unnest(k) AS ts FROM f""", "det"))(lambda s, d: se.boundaries_kept(mp.detections(s, d), _V, "ts", 5.0))
 query("win_bounds_to_shots", sql('SELECT video_id, start, coalesce(lead(start) OVER (PARTITION BY video_id ORDER BY start), duration) AS "end" FROM seg JOIN vid USING (video_id)', "seg", "vid"))(lambda s, d: se.boundaries_to_spans(mp.segments(s, d).select("video_id", F.col("start").alias("b")).join(mp.videos(s, d).select("video_id", "duration"), "video_id"), _V, "b", F.col("duration")).select("video_id", "start", "end"))
-_DENS = """g AS (SELECT video_id, unnest(range(0, floor(duration * 10)::BIGINT + 1)) AS k FROM vid), i AS (SELECT video_id, start - 2 AS a, "end" + 2 AS b, CASE WHEN emotion <> 'neutral' THEN 1.5 ELSE 1.0 END AS imp FROM seg WHERE ord % 3 = 0),
+_DENS = """g AS (SELECT video_id, unnest(range(0, floor(duration * 10)::BIGINT + 1)) AS k FROM vid), i AS (SELECT video_id, start - 2 AS a, "end" + 2 AS b, CASE WHEN emotion <> 'neutral' THEN 1.5 ELSE 1.0 END AS imp FROM seg),
 r AS (SELECT g.video_id, g.k, round(100000 * coalesce(max(imp), 1.0))::BIGINT AS d FROM g LEFT JOIN i ON i.video_id = g.video_id AND g.k / 10.0::DOUBLE BETWEEN a AND b GROUP BY ALL), c AS (SELECT *, sum(d) OVER (PARTITION BY video_id ORDER BY k)::BIGINT AS cum FROM r)
 """
 query("win_density_sched", sql(_DENS + "SELECT video_id, k / 10.0::DOUBLE AS t FROM c WHERE cum // 1000000 > (cum - d) // 1000000", "seg", "vid"))(lambda s, d: se.density_schedule(mp.videos(s, d), _important(s, d), 1.0))
 
 
 def _important(spark, sf):
-    return mp.segments(spark, sf).where("ord % 3 = 0").select("video_id", "start", "end", F.when(F.col("emotion") != "neutral", 1.5).otherwise(1.0).alias("importance"))
+    return mp.segments(spark, sf).select("video_id", "start", "end", F.when(F.col("emotion") != "neutral", 1.5).otherwise(1.0).alias("importance"))
 
 
 query("win_strategy", sql("SELECT video_id, min(p) AS strategy FROM (SELECT video_id, count(*) FILTER (confidence >= 0.3) AS a, count(*) FILTER (confidence >= 0.1) AS b FROM det GROUP BY ALL) t, LATERAL (SELECT CASE WHEN a >= 20 THEN 1 WHEN b >= 40 THEN 2 ELSE 3 END AS p) GROUP BY ALL", "det"))(
