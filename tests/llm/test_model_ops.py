@@ -171,6 +171,18 @@ def test_top_k(spark, monkeypatch):
     assert topk.exact_top_k(df.where("vec_id in (0, 1, 2)"), F.col("vec_id") == 0).count() == 2
 
 
+def test_ties_at_the_last_place(spark, monkeypatch):
+    """Equal scores across tiles: the smaller ids stay, also under a clashing column name."""
+    rows = [(i, [1.0, float(i % 3)], i) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int").repartition(5)
+    monkeypatch.setattr(topk, "CANDIDATES", 4)
+    monkeypatch.setattr(topk, "FAN_IN", 2)
+    got = [(r.rank, r.vec_id) for r in topk.exact_top_k(df, F.col("vec_id") == 0, 5).orderBy("rank").collect()]
+    assert got == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5)]
+    got = [r.vec_id for r in topk.exact_top_k(df, F.col("vec_id") == 2, 21).orderBy("rank").collect()]
+    assert got == [5 + 3 * k for k in range(19)] + [1, 4]
+
+
 def test_large_products_stay_exact():
     q, c = np.array([[2.0**30, 3.0]]), np.array([[2.0**30, 1.0], [2.0**30, 2.0]])
     assert topk._product(q, c).tolist() == [[2**60 + 3, 2**60 + 6]]
