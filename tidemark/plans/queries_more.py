@@ -93,7 +93,8 @@ def _frames(spark, sf):
 
 
 query("win_sort")(lambda s, d: fo.tracked(_frames(s, d)))
-query("win_ema_emb")(lambda s, d: mp.table(s, d, "embeddings").groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))), lambda x: x["embedding"]).alias("l")).select("label", F.round(F.get(vc.ema(F.col("l")), F.lit(0)), 6).alias("v")))
+_MIX = "list_transform(list_zip(a, x), lambda z: z[1] * 0.7 + z[2] * 0.3)"
+query("win_ema_emb", f"SELECT label, round(list_reduce(list(embedding::DOUBLE[] ORDER BY vec_id), lambda a, x: list_transform({_MIX}, lambda y: y / sqrt(list_inner_product({_MIX}, {_MIX}))))[1], 6) AS v FROM embeddings GROUP BY label")(lambda s, d: mp.table(s, d, "embeddings").groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))), lambda x: x["embedding"]).alias("l")).select("label", F.round(F.get(vc.ema(F.col("l")), F.lit(0)), 6).alias("v")))
 query("win_batch_scenes", sql("SELECT video_id, (row_number() OVER (PARTITION BY video_id ORDER BY id) - 1) // 2 + 1 AS batch, id FROM shot", "shot"))(lambda s, d: se.batches(mp.shots(s, d), _V, 2, "id").select("video_id", "batch", "id"))
 query("win_individual", sql("SELECT video_id, id AS scene_id, start, \"end\", 'Shot ' || id AS summary FROM shot", "shot"))(lambda s, d: mp.shots(s, d).select("video_id", F.col("id").alias("scene_id"), "start", "end", F.concat(F.lit("Shot "), F.col("id").cast("string")).alias("summary")))
 query("win_renumber", sql("SELECT video_id, id, row_number() OVER (PARTITION BY video_id ORDER BY CASE WHEN id % 4 = 0 THEN 0 ELSE start END, id)::INTEGER AS new_id FROM shot", "shot"))(lambda s, d: se.renumbered(mp.shots(s, d).withColumn("start", F.when(F.col("id") % 4 != 0, F.col("start"))), _V, "start", "id").select("video_id", "id", "new_id"))
