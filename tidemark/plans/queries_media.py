@@ -348,14 +348,14 @@ def _vector():
 query("jn_assign")(lambda s, d: fo.tracked(mp.detections(s, d).select("video_id", F.floor(F.col("decis") / 40).alias("frame"), "ord", "box", _vector().alias("face")), 5, 1, "face"))
 _POS = "1 - least(1, 2 * sqrt(pow((x1 + x2) / 2 / 640 - 0.5, 2) + pow((y1 + y2) / 2 / 480 - 0.5, 2)))"
 query("sc_comprehensive", sql(f"""t AS (SELECT ord, confidence AS a, CASE WHEN ord % 2 = 0 THEN confidence / 2 ELSE 0 END AS s, {_POS} AS p, CASE WHEN ord % 3 = 0 THEN NULL WHEN emotion IN ('angry', 'fear') THEN 1 - ({_POS}) WHEN emotion IN ('happy', 'surprise') THEN {_POS} ELSE 0.5 END AS e FROM det)
-SELECT ord, round((0.3 * a + 0.3 * s + 0.1 * 0.5 + 0.1 * p + 0.1 * coalesce(e, 0)) / (0.5 + CASE WHEN s > 0 THEN 0.3 ELSE 0 END + CASE WHEN e IS NULL THEN 0 ELSE 0.1 END), 6) AS v FROM t""", "det"))(lambda s, d: _comprehensive(s, d))
+SELECT ord, round((0.3 * a + 0.3 * s + 0.1 * 0.5 + 0.1 * p + 0.1 * coalesce(e, 0)) / (0.5 + CASE WHEN s > 0 THEN 0.3 ELSE 0 END + CASE WHEN e IS NULL THEN 0 ELSE 0.1 END), 10) AS v FROM t""", "det"))(lambda s, d: _comprehensive(s, d))
 
 
 def _comprehensive(spark, sf):
     place = sc.position(F.col("box"))
     felt = F.when(F.col("ord") % 3 != 0, sc.emotion_position(F.col("emotion"), place))
     speaker = F.when(F.col("ord") % 2 == 0, F.col("confidence") / 2).otherwise(0.0)
-    return mp.detections(spark, sf).select("ord", F.round(sc.comprehensive(F.col("confidence"), speaker, F.lit(0.5), place, felt), 6).alias("v"))
+    return mp.detections(spark, sf).select("ord", F.round(sc.comprehensive(F.col("confidence"), speaker, F.lit(0.5), place, felt), 10).alias("v"))
 
 
 def _candidates(spark, sf):
