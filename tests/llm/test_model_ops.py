@@ -528,6 +528,32 @@ def test_components(spark):
     assert links.count() == 8
 
 
+@pytest.mark.parametrize("size", [10**6, 40])
+def test_components_by_levels(spark, monkeypatch, size):
+    """Paths, stars and cycles, merged by one task or by many in levels, against plain union-find."""
+    monkeypatch.setattr(components, "EDGES", size)
+    rng = random.Random(3)
+    edges = [(k, k + 1) for k in range(100, 300) if k % 37] + [(5, k) for k in range(400, 460)] + [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(250)]
+    edges += edges[:20] + [(b, a) for a, b in edges[:20]]
+    rng.shuffle(edges)
+    parent = {x: x for e in edges for x in e if e[0] != e[1]}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = root(a), root(b)
+            parent[max(x, y)] = min(x, y)
+    got, links = components.components(spark.createDataFrame(edges, "a long, b long").repartition(6))
+    assert {r.id: r.comp for r in got.collect()} == {x: root(x) for x in parent}
+    assert got.count() == len(parent) and links.count() == len({tuple(sorted(e)) for e in edges if e[0] != e[1]})
+    none, _ = components.components(spark.createDataFrame([], "a long, b long"))
+    assert none.count() == 0
+
+
 # ---- WARC ------------------------------------------------------------------------------
 
 

@@ -56,12 +56,12 @@ class Vocabulary:
 
     def __init__(self, keys: np.ndarray):
         self.keys = keys
-        self.bits = np.zeros(1 << 24, bool)
-        self.bits[keys >> U(40)] = True
+        self.bits = np.zeros(1 << 22, bool)
+        self.bits[keys >> U(42)] = True
 
     def counted(self, hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, term, count) of the terms that are known, by row then term."""
-        near = np.flatnonzero(self.bits[hashes >> U(40)])
+        near = np.flatnonzero(self.bits[hashes >> U(42)])
         hashes, rows = hashes[near], rows[near]
         at = np.searchsorted(self.keys, hashes)
         at[at == len(self.keys)] = 0
@@ -229,6 +229,7 @@ def frequencies(text: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, in
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(total[some], n))], ["t", "n"])
 
     got = text.select("text").mapInArrow(count, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # a row a term of the sample
+    shared.destroy()
     t, n = got["t"].to_numpy(), got["n"].to_numpy()
     df = np.zeros(size + 1, np.int64)
     df[t] = n  # -1, the last place, has all documents
@@ -242,7 +243,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     totals = {r["y"]: r["count"] for r in marked.groupBy("y").count().collect()}
     got = sampled(text, marked)
     ids, y = got["doc_id"].to_numpy(), got["y"].to_numpy()
-    keys, row = terms(bare_words(got["text"]))
+    found, at = [], 0
+    for batch in got.to_batches():
+        for part in slices(batch, "text", 1 << 20):  # bounded scratch memory on the driver
+            keys, row = terms(bare_words(part.column(1)))
+            found.append((keys, row + at))
+            at += part.num_rows
+    keys, row = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, U), np.zeros(0, np.int64))
     vocabulary = Vocabulary(np.unique(keys))
     row, term, count = vocabulary.counted(keys, row)
     size = len(vocabulary.keys)
