@@ -36,9 +36,9 @@ from .common import checkpoint
 from .common import slices as cut
 from .words import U, mix, words
 
-#: Levels of the class tree and classes at each, rows of weights, tokens in a gradient step, its rate, rounds; and the bound on broadcast tokens: a token is frequent if count * FREQUENT >= all tokens.
-LEVELS, WAYS, ROWS, STEP, RATE, ROUNDS, FREQUENT = 3, 16, 1 << 17, 1024, 0.6, 2, 2_000_000
-LEAVES = WAYS**LEVELS
+#: Levels of the class tree and classes at each, rows of weights, tokens in a gradient step, its rate, rounds, least training tokens of a task if there are so many; and the bound on broadcast tokens: a token is frequent if count * FREQUENT >= all tokens.
+LEVELS, WAYS, ROWS, STEP, RATE, ROUNDS, TASK, FREQUENT = 2, 32, 1 << 17, 512, 0.6, 2, 8_000_000, 2_000_000
+LEAVES, FEW = WAYS**LEVELS, 8
 _END, _START = U(0x1F83D9ABFB41BD6B), U(0x5BE0CD19137E2179)
 _NODES = np.cumsum([0, *(WAYS**k for k in range(LEVELS))])  # first softmax of each level, and how many there are
 
@@ -64,7 +64,7 @@ def softmaxes(leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def features(h: np.ndarray, rows: np.ndarray, node: np.ndarray) -> np.ndarray:
-    """Weight rows of each token's history at each of its softmaxes: tokens x LEVELS x 3."""
+    """Weight rows of each token's history at each of its softmaxes: 3 x tokens x LEVELS."""
     one, two = np.empty_like(h), np.empty_like(h)
     one[1:], two[2:] = h[:-1], h[:-2]
     begin = rows[:-1]
@@ -72,20 +72,18 @@ def features(h: np.ndarray, rows: np.ndarray, node: np.ndarray) -> np.ndarray:
     two[begin] = _START
     second = begin[np.diff(rows) > 1] + 1
     two[second] = _START
-    past = np.stack([mix(one + U(1)), mix(two + U(2)), mix(mix(two + U(3)) + one)], 1)
-    crossed = past[:, None, :] + node.astype(U)[:, :, None] * U(0x9FB21C651E98DF25)
-    return (mix(crossed) & U(ROWS - 1)).astype(np.int32)
+    past = np.stack([mix(one + U(1)), mix(two + U(2)), mix(mix(two + U(3)) + one)])
+    crossed = past[:, :, None] + (node.astype(U) * U(0x9FB21C651E98DF25))[None]
+    return (mix(crossed) & U(ROWS - 1)).astype(np.intp)
 
 
-def log_softmax(weights: np.ndarray, bias: np.ndarray, f: np.ndarray, node: np.ndarray) -> np.ndarray:
-    """Natural log of the softmaxes: len(node) x WAYS."""
-    z = weights[f[:, 0]]
-    z += weights[f[:, 1]]
-    z += weights[f[:, 2]]
-    z += bias[node]
-    z -= z.max(1, keepdims=True)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
-    return z
+def logits(weights: np.ndarray, bias: np.ndarray, f: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Logits of the softmaxes: len(node) x WAYS, 80 at most so that their exponents stay finite."""
+    z = weights.take(f[0], 0)
+    z += weights.take(f[1], 0)
+    z += weights.take(f[2], 0)
+    z += bias.take(node, 0)
+    return np.minimum(z, 80, out=z)
 
 
 def biases(in_leaf: np.ndarray) -> np.ndarray:
@@ -109,20 +107,37 @@ class Trainer:
         f = features(h, rows, node)
         for at in range(0, len(h), STEP):
             some = slice(at, at + STEP)
-            self.step(f[some].reshape(-1, 3), node[some].ravel(), digit[some].ravel())
+            self.step(f[:, some].reshape(3, -1), node[some].ravel(), digit[some].ravel())
         self.seen += len(h)
 
     def step(self, f: np.ndarray, node: np.ndarray, digit: np.ndarray) -> None:
-        error = np.exp(log_softmax(self.weights, self.bias, f, node))
-        error[np.arange(len(f)), digit] -= 1
-        flat = f.ravel()
-        by = np.argsort(flat)
-        ordered = flat[by]
-        cuts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        row, n = ordered[cuts], np.diff(np.append(cuts, len(ordered))).astype(np.float32)
-        total = np.add.reduceat(error[by // 3], cuts, axis=0)
+        error = np.exp(logits(self.weights, self.bias, f, node))
+        error /= (error @ np.ones(WAYS, np.float32))[:, None]
+        error[np.arange(len(node)), digit] -= 1
+        row, n, total = summed(f.ravel(), error)
         self.used[row] += n
-        self.weights[row] -= self.rate * total / np.sqrt(n * self.used[row])[:, None]
+        total *= (self.rate / np.sqrt(n * self.used[row]))[:, None]
+        self.weights[row] = self.weights.take(row, 0) - total
+
+
+def summed(rows: np.ndarray, error: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct rows, their uses, sums of their errors); use k of ``rows`` has error k modulo len(error)."""
+    by = np.argsort(rows)
+    ordered, by = rows[by], by % len(error)
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    n = np.diff(np.append(first, len(rows)))
+    total = error.take(by[first], 0)
+    for k in range(1, FEW):  # rows of few uses: one use at a time
+        more = np.flatnonzero((n > k) & (n <= FEW))
+        if not len(more):
+            break
+        total[more] += error.take(by[first[more] + k], 0)
+    many = np.flatnonzero(n > FEW)
+    if len(many):
+        size = n[many]
+        at = np.repeat(first[many] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        total[many] = np.add.reduceat(error.take(by[at], 0), np.cumsum(size) - size, axis=0)
+    return ordered[first], n.astype(np.float32), total
 
 
 def count_tokens(texts: DataFrame) -> DataFrame:
@@ -164,12 +179,14 @@ def train(texts: DataFrame, bias: np.ndarray) -> np.ndarray:
     names = [f"w{k}" for k in range(WAYS)]
     for turn in range(ROUNDS):
         share = texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == turn)
-        found = share.mapInArrow(_trained(texts.sparkSession.sparkContext.broadcast((weights, bias)), RATE / (1 + turn), names), f"row int, used float, {', '.join(f'{n} float' for n in names)}")
-        got = found.groupBy("row").agg(*(F.sum(n).alias(n) for n in ("used", *names))).toArrow()  # at most ROWS rows of WAYS numbers
-        row = got["row"].to_numpy()
-        sums = np.stack([got[n].to_numpy() for n in names], 1) if len(row) else np.zeros((0, WAYS))
-        weights = weights.copy()
-        weights[row] = sums / got["used"].to_numpy()[:, None]
+        shared = texts.sparkSession.sparkContext.broadcast((weights, bias))
+        found = share.mapInArrow(_trained(shared, RATE / (1 + turn), names), f"row int, used float, {', '.join(f'{n} float' for n in names)}")
+        mean = [(F.sum(n) / F.sum("used")).cast("float").alias(n) for n in names]
+        got = found.groupBy("row").agg(*mean).toArrow()  # at most ROWS rows of WAYS numbers
+        row, weights = got["row"].to_numpy(), weights.copy()
+        for k, n in enumerate(names):
+            weights[row, k] = got[n].to_numpy()
+        shared.destroy()
     return weights
 
 
@@ -189,12 +206,13 @@ def _trained(shared, rate: float, names: list[str]):
 def log_probability(h: np.ndarray, leaf: np.ndarray, rows: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Natural log of the probability of each token's last class, in batches."""
     node, digit = softmaxes(leaf)
-    out = np.empty(len(h))
+    out, one = np.empty(len(h)), np.ones(WAYS, np.float32)
     f = features(h, rows, node)
-    for at in range(0, len(h), 1 << 12):
-        some = slice(at, at + (1 << 12))
-        z = log_softmax(weights, bias, f[some].reshape(-1, 3), node[some].ravel())
-        out[some] = z[np.arange(len(z)), digit[some].ravel()].reshape(-1, LEVELS).sum(1)
+    for at in range(0, len(h), STEP):
+        some = slice(at, at + STEP)
+        z = logits(weights, bias, f[:, some].reshape(3, -1), node[some].ravel())
+        mine = z[np.arange(len(z)), digit[some].ravel()]
+        out[some] = (mine - np.log(np.exp(z, out=z) @ one)).reshape(-1, LEVELS).sum(1)
     return out
 
 
@@ -212,7 +230,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     h = frequent["h"].to_numpy().view(U)
     by = np.argsort(h)
     bias = biases(in_leaf)
-    weights = train(training, bias)
+    weights = train(training.coalesce(max(1, n_all // TASK)), bias)  # no more tasks than that: each sends its weights
     shared = docs.sparkSession.sparkContext.broadcast((h[by], frequent["c"].to_numpy()[by], weights, bias, np.log10(in_leaf + 0.5 * (kinds + 1))))
     base = float(np.log10(n_all + 0.5 * (v_all + 1)))
 
