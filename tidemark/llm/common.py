@@ -39,6 +39,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return out
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def fold(col: Column, modulus: int) -> Column:
     """crc32 of an id's decimal text, modulo ``modulus``: the split of every contract."""
     return F.crc32(F.col(col).cast("string") if isinstance(col, str) else col.cast("string")) % modulus
