@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bagminhash, decontaminate, line_dedup, pieces_bpe, toxicity
-from tidemark.llm.common import ensure_checkpoint_dir, fold
+from tidemark.llm.common import ensure_checkpoint_dir, fold, remove
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -73,4 +73,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for n, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{n}")
         docs = spark.read.parquet(f"{base}/{n}")
+        if n:
+            remove(spark, f"{base}/{n - 1}")  # the next stage reads what is written now
     return docs
