@@ -36,8 +36,8 @@ from pyspark.sql import types as T
 from .common import slices
 from .words import U, Words, map_rows, mix, words
 
-#: Sample bounds, words of a block, rows of weights, training sweeps, their rate, words of a foreign run, and ids that may be broadcast.
-PER_LANGUAGE, BYTES, BLOCK, ROWS, SWEEPS, RATE, RUN, IDS = 300, 1 << 20, 64, 1 << 17, 25, 0.5, 3, 1_000_000
+#: Sample bounds, words of a block, rows of weights, training sweeps, their rate, words of a foreign run, ids that may be broadcast, and parts of a language that are ranked apart.
+PER_LANGUAGE, BYTES, BLOCK, ROWS, SWEEPS, RATE, RUN, IDS, SALT = 300, 1 << 20, 64, 1 << 17, 25, 0.5, 3, 1_000_000, 64
 
 
 def word_features(w: Words, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,7 +211,10 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
     rows = docs.where(learn & F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull())
     rows = rows.select(F.col(f"`{id_col}`").alias("d"), F.col(f"`{text_col}`").alias("t"), F.col(f"`{lang_col}`").alias("l"))
     order = Window.partitionBy("l").orderBy(F.xxhash64("d"), "d")
-    ids = rows.select("l", "d").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= PER_LANGUAGE).select("d", "l")
+    salted = Window.partitionBy("l", F.pmod(F.xxhash64("d"), F.lit(SALT))).orderBy(F.xxhash64("d"), "d")
+    ids = rows.select("l", "d").distinct()
+    for each in (salted, order):  # so that a language's last choice is among PER_LANGUAGE * SALT ids at most
+        ids = ids.withColumn("n", F.row_number().over(each)).where(F.col("n") <= PER_LANGUAGE).select("d", "l")
     languages = rows.select("l").distinct().count()
     chosen = F.broadcast(ids) if languages * PER_LANGUAGE <= IDS else ids
     sample = rows.join(chosen, ["d", "l"]).groupBy("d", "l").agg(F.min("t").alias("t"))
