@@ -115,6 +115,19 @@ def test_config(tmp_path, monkeypatch):
         config.Config.load(str(tmp_path / "a.json"), profile="none")
 
 
+def test_commands(spark, tmp_path, capsys):
+    from tidemark.__main__ import main
+
+    assert main(["verify"]) == 0 and "pyspark: yes" in capsys.readouterr().out
+    (tmp_path / "c.json").write_text('{"a": 1, "profiles": {"p": {"overrides": {"a": 2}}}}')
+    assert main(["config", str(tmp_path / "c.json"), "--profile", "p"]) == 0 and '"a": 2' in capsys.readouterr().out
+    assert main(["config"]) == 0 and '"dark"' in capsys.readouterr().out
+    assert main(["download-models"]) == 0 and "caption: mock" in capsys.readouterr().out
+    assert main(["list"]) == 0 and "src_video" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["no such query", "x"])
+
+
 def test_pipeline(spark, tmp_path):
     def fails(spark, tables):
         raise ValueError("no")

@@ -107,7 +107,21 @@ query("src_config", "SELECT * FROM (VALUES ('a.b', '2'), ('a.c', 'kept'), ('a.z'
 query("fn_template_lookup", "SELECT * FROM (VALUES ('desc', 'Describe what can be seen in this scene.'), ('narrative', 'Tell what happens in this scene.')) t(name, head)")(lambda s, d: s.createDataFrame([(n, tx.template(n).split("\n")[0]) for n in ("desc", "narrative")], "name string, head string"))
 query("set_components", "SELECT * FROM (VALUES ('audio', 'ok'), ('video', 'ok')) t(component, status)")(lambda s, d: s.createDataFrame(sorted(stages.Pipeline({"video": lambda a, t: {}, "audio": lambda a, t: {}}).run(s, {}, ["video", "audio", "caption"], ("caption",))[1].items()), "component string, status string"))
 query("drv_stage_drivers", sql("SELECT video_id, count(*) AS n FROM shot GROUP BY ALL", "shot"))(lambda s, d: stages.Pipeline({"video": lambda a, t: {"n": mp.shots(a, d).groupBy("video_id").agg(F.count("*").alias("n"))}}, shared_folder(s)).run(s, {}, ["video"])[0]["n"])
-query("drv_verify", "SELECT 'pyspark' AS library, true AS found")(lambda s, d: s.createDataFrame([(k, v) for k, v in stages.verify().items() if k == "pyspark"], "library string, found boolean"))
+query("drv_verify", "SELECT unnest(['java', 'numpy', 'pandas', 'pyarrow', 'pyspark']) AS library, true AS found")(lambda s, d: s.createDataFrame([(k, v) for k, v in sorted(stages.verify().items()) if k not in ("yaml", "ffmpeg")], "library string, found boolean"))
+query("drv_cli", "SELECT 'caption: mock' AS line UNION ALL SELECT 'transcribe: energy' UNION ALL SELECT 'diarize: pitch'")(lambda s, d: _told(s, "list-models"))
+
+
+def _told(spark, *argv: str):
+    """What a command of the program prints about the built-in parts."""
+    import contextlib
+    import io
+
+    from ..__main__ import main
+
+    with contextlib.redirect_stdout(io.StringIO()) as out:
+        main(list(argv))
+    lines = [x for x in out.getvalue().splitlines() if x.endswith((": mock", ": energy", ": pitch"))]
+    return spark.createDataFrame([(x,) for x in lines], "line string")
 query("udf_retry", sql("SELECT video_id, ord, speaker AS prompt, 'A caption of ' || length(speaker) || ' letters.' AS caption, NULL::VARCHAR AS error FROM seg", "seg"))(lambda s, d: _flaky(s, d))
 query("udf_template", sql("SELECT video_id, ord, speaker || ' / ' || n AS v FROM seg", "seg"))(lambda s, d: mp.segments(s, d).select("video_id", "ord", tx.prompt(F.col("speaker"), F.col("n").cast("string"), F.lit(""), "custom", "%s / %s%s").alias("v")))
 query("udf_backend", sql("SELECT video_id, speaker_id, count(*) AS n FROM turn GROUP BY ALL", "turn"))(lambda s, d: _backend(s, d))

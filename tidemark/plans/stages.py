@@ -43,7 +43,12 @@ class Pipeline:
 
 
 def verify() -> dict[str, bool]:
-    """Which libraries are there."""
+    """Which libraries and programs are there; yaml and ffmpeg are optional."""
     import importlib.util
+    import os
+    import shutil
 
-    return {name: importlib.util.find_spec(name) is not None for name in ("pyspark", "pyarrow", "pandas", "numpy", "yaml")}
+    found = {name: importlib.util.find_spec(name) is not None for name in ("pyspark", "pyarrow", "pandas", "numpy", "yaml")}
+    found["java"] = shutil.which("java") is not None or os.path.exists(os.path.join(os.environ.get("JAVA_HOME", "/none"), "bin", "java"))
+    found["ffmpeg"] = shutil.which("ffmpeg") is not None
+    return found
