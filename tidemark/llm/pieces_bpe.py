@@ -33,7 +33,7 @@ from .common import slices
 from .words import U, buffers, hash_spans, map_rows, mix
 
 #: Characters of a long word, cells of a joint agenda, text bytes and ids taken at once, and no candidate.
-LONG, CELLS, TEXT, IDS, NONE = 64, 1 << 18, 1 << 19, 1 << 17, np.int32(2**31 - 1)
+LONG, CELLS, TEXT, IDS, NONE = 64, 1 << 17, 1 << 18, 1 << 17, np.int32(2**31 - 1)
 _WIDTHS = (4, 6, 8, 10, 12, 16, 24, 40, LONG)
 _K = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9))
 
