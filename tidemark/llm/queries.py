@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, crf, decontaminate, doubling, lm, pieces_bpe, topk, toxicity, warc
+from . import align, bagminhash, byte_bpe, crf, decontaminate, doubling, lm, pieces_bpe, topk, toxicity, warc
 from . import line_dedup as _lines
 from .common import fold
 
@@ -67,6 +71,26 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", checked.alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(_table(spark, sf_dir, "documents")).withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_byte_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    back = byte_bpe.decode(byte_bpe.encode(docs).select("doc_id", "ids"))
+    digest = back.mapInArrow(_ids_digest, "doc_id long, n_tokens long, ids_sha256 string, decoded string")
+    return digest.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def _ids_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = batch.column("ids")
+        flat = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+        ends = ids.value_lengths().to_numpy(zero_copy_only=False).cumsum()
+        digest = [hashlib.sha256(flat[a:b]).hexdigest() for a, b in zip([0, *ends[:-1]], ends, strict=True)] if len(ids) else []
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids.value_lengths().cast(pa.int64()), pa.array(digest, pa.string()), batch.column("decoded")], ["doc_id", "n_tokens", "ids_sha256", "decoded"])
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_line_dedup": op2_line_dedup,
@@ -78,6 +102,8 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
+    "op11_alignment": op11_alignment,
+    "op12_byte_codec": op12_byte_codec,
 }
 
 ORACLE = {
