@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, bagminhash, byte_bpe, crf, decontaminate, doubling, lm, pieces_bpe, topk, toxicity, warc
+from . import align, bagminhash, byte_bpe, crf, decontaminate, doubling, lexical, lm, pieces_bpe, topk, toxicity, warc
 from . import line_dedup as _lines
 from .common import fold
 
@@ -91,6 +91,10 @@ def _ids_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids.value_lengths().cast(pa.int64()), pa.array(digest, pa.string()), batch.column("decoded")], ["doc_id", "n_tokens", "ids_sha256", "decoded"])
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 10)
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_line_dedup": op2_line_dedup,
@@ -104,6 +108,7 @@ QUERIES = {
     "op10_warc": op10_warc,
     "op11_alignment": op11_alignment,
     "op12_byte_codec": op12_byte_codec,
+    "op13_lexical": op13_lexical,
 }
 
 ORACLE = {
@@ -136,4 +141,15 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, ''))::
 m AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last FROM p)
 SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest, CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to FROM m""",
+    "op13_lexical": """
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM documents),
+p AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+d AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM p GROUP BY doc_id),
+a AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM d),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+w AS (SELECT q.item_id, q.term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM q JOIN f USING (term), a),
+s AS (SELECT item_id, p.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score FROM w JOIN p USING (term) JOIN d USING (doc_id), a GROUP BY ALL),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10""",
 }
