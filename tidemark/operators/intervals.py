@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .slices import WIDTH, Scan
+
 
 def overlap(a0: Column, a1: Column, b0: Column, b1: Column) -> Column:
     """Length of the common part of two spans; 0 if there is none."""
@@ -71,10 +73,9 @@ def band_join(left: DataFrame, right: DataFrame, at: str, other: str, tolerance:
     return interval_join(left.withColumns({"__a": lo, "__b": hi}), right, ["video_id"], ("__a", "__b"), (other, other), max(tolerance * 4, 1.0)).drop("__a", "__b")
 
 
-def as_of(points: DataFrame, marks: DataFrame, at: str, mark_at: str, value: str) -> DataFrame:
-    """Each point with the last mark at or before it, by one sort of the union."""
-    p = points.withColumns({"__t": F.col(at), "__k": F.lit(1), "__v": F.lit(None).cast(marks.schema[value].dataType)})
-    m = marks.select("video_id", F.col(mark_at).alias("__t"), F.lit(0).alias("__k"), F.col(value).alias("__v"))
-    w = Window.partitionBy("video_id").orderBy("__t", "__k").rowsBetween(Window.unboundedPreceding, 0)
-    both = p.unionByName(m, allowMissingColumns=True).withColumn(value, F.last("__v", ignorenulls=True).over(w))
-    return both.where("__k = 1").drop("__t", "__k", "__v")
+def as_of(points: DataFrame, marks: DataFrame, at: str, mark_at: str, value: str, width: float = WIDTH) -> DataFrame:
+    """Each point with the last mark at or before it, by one sort of the union inside time slices; marks are carried from slice to slice."""
+    p = points.withColumns({"__t": F.col(at), "__k": F.lit(1), "__x": F.lit(None).cast(marks.schema[value].dataType)})
+    m = marks.select("video_id", F.col(mark_at).alias("__t"), F.lit(0).alias("__k"), F.col(value).alias("__x"))
+    both = Scan(p.unionByName(m, allowMissingColumns=True), ["video_id"], "__t", "__k", width=width)
+    return both.last_before(value, F.col("__x"), skip_nulls=True).done().where("__k = 1").drop("__t", "__k", "__x")

@@ -4,28 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .slices import WIDTH, Scan
+
 
 def _order(keys: Sequence[str], *by) -> Window:
     return Window.partitionBy(*keys).orderBy(*by)
 
 
-def islands(points: DataFrame, keys: Sequence[str], at: str, gap: float, *tie) -> DataFrame:
-    """Runs of points whose neighbours are at most ``gap`` apart: start, end, count."""
-    w = _order(keys, at, *tie)
-    flagged = points.withColumn("__new", (F.col(at) - F.lag(at).over(w) > gap).cast("int"))
-    numbered = flagged.withColumn("island", F.sum(F.coalesce("__new", F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+def islands(points: DataFrame, keys: Sequence[str], at: str, gap: float, *tie: str, width: float = WIDTH) -> DataFrame:
+    """Runs of points whose neighbours are at most ``gap`` apart: start, end, count. A key's points are dealt by time slices."""
+    opens = F.coalesce((F.col(at) - F.col("__before") > gap).cast("bigint"), F.lit(0))
+    scan = Scan(points.select(*keys, at, *tie), keys, at, *tie, width=width).last_before("__before", F.col(at))
+    numbered = scan.with_column("__new", opens).total_before("island", "__new").done().withColumn("island", F.col("island") + F.col("__new"))
     return numbered.groupBy(*keys, "island").agg(F.min(at).alias("start"), F.max(at).alias("end"), F.count("*").alias("points"))
 
 
-def merged(spans: DataFrame, keys: Sequence[str], tolerance: float, text: str | None = None, tie: str = "ord") -> DataFrame:
-    """Spans joined when one starts at most ``tolerance`` after the end reached so far; texts joined in order."""
-    w = _order(keys, "start", tie)
-    reach = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    numbered = spans.withColumn("__new", F.coalesce((F.col("start") > reach + tolerance).cast("int"), F.lit(0)))
-    numbered = numbered.withColumn("part", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+def merged(spans: DataFrame, keys: Sequence[str], tolerance: float, text: str | None = None, tie: str = "ord", width: float = WIDTH) -> DataFrame:
+    """Spans joined when one starts at most ``tolerance`` after the end reached so far; texts joined in order. A key's spans are dealt by time slices."""
+    opens = F.coalesce((F.col("start") > F.col("__reach") + tolerance).cast("bigint"), F.lit(0))
+    scan = Scan(spans, keys, "start", tie, width=width).greatest_before("__reach", F.col("end"))
+    numbered = scan.with_column("__new", opens).total_before("part", "__new").done().withColumn("part", F.col("part") + F.col("__new"))
     aggs = [F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("pieces")]
     if text:
         listed = F.array_sort(F.collect_list(F.struct("start", tie, text)))
@@ -33,16 +36,16 @@ def merged(spans: DataFrame, keys: Sequence[str], tolerance: float, text: str |
     return numbered.groupBy(*keys, "part").agg(*aggs)
 
 
-def with_gaps(spans: DataFrame, keys: Sequence[str], tie: str = "ord") -> DataFrame:
+def with_gaps(spans: DataFrame, keys: Sequence[str], tie: str = "ord", width: float = WIDTH) -> DataFrame:
     """Spans with the gap to the next; negative where they overlap, null at the end."""
-    w = _order(keys, "start", tie)
-    return spans.withColumn("gap", F.lead("start").over(w) - F.col("end"))
+    known = Scan(spans, keys, "start", tie, width=width).first_after("__next", F.col("start")).done()
+    return known.withColumn("gap", F.col("__next") - F.col("end")).drop("__next")
 
 
-def transitions(rows: DataFrame, keys: Sequence[str], label: str, changed_only: bool, *order) -> DataFrame:
-    """Counts of (from, to) labels of consecutive rows."""
-    w = _order(keys, *order)
-    pairs = rows.select(*keys, F.col(label).alias("from_label"), F.lead(label).over(w).alias("to_label")).where("to_label is not null")
+def transitions(rows: DataFrame, keys: Sequence[str], label: str, changed_only: bool, *order: str, width: float = WIDTH) -> DataFrame:
+    """Counts of (from, to) labels of consecutive rows; a slice is ``width`` of the first order column."""
+    held = Scan(rows.select(*keys, *order, label), keys, *order, width=width).last_before("__before", F.struct(F.col(label).alias("x"))).done()
+    pairs = held.where(F.col("__before").isNotNull() & F.col(label).isNotNull()).select(F.col("__before.x").alias("from_label"), F.col(label).alias("to_label"))
     pairs = pairs.where("from_label <> to_label") if changed_only else pairs
     return pairs.groupBy("from_label", "to_label").agg(F.count("*").alias("times"))
 
@@ -68,13 +71,78 @@ def renumbered(rows: DataFrame, keys: Sequence[str], at: str, tie: str) -> DataF
     return rows.withColumn("new_id", F.row_number().over(_order(keys, F.coalesce(at, F.lit(0.0)), tie)))
 
 
-def boundaries_kept(points: DataFrame, keys: Sequence[str], at: str, least: float) -> DataFrame:
-    """Boundaries at least ``least`` after the last one kept: a fold over each key's ordered list."""
-    listed = points.groupBy(*keys).agg(F.array_sort(F.collect_list(at)).alias("ts"))
-    empty = F.array().cast("array<double>")
-    step = lambda kept, t: F.when((F.size(kept) == 0) | (t - F.element_at(kept, F.greatest(F.size(kept), F.lit(1))) >= least), F.concat(kept, F.array(t))).otherwise(kept)
-    safe = lambda kept, t: F.when(F.size(kept) == 0, F.array(t)).otherwise(step(kept, t))
-    return listed.select(*keys, F.explode(F.aggregate("ts", empty, safe)).alias(at))
+def _jumps(t: np.ndarray, least: float) -> np.ndarray:
+    """For each of sorted points, the place of the first later one that is at least ``least`` after it (len(t): none)."""
+    n = len(t)
+    to = np.maximum(np.searchsorted(t, t + least), np.arange(n) + 1)
+    while True:  # the sum may be rounded to either side of the difference, which counts
+        back = (to - 1 > np.arange(n)) & (t[np.minimum(to - 1, n - 1)] - t >= least)
+        on = (to < n) & (t[np.minimum(to, n - 1)] - t < least)
+        if not (back.any() or on.any()):
+            return to
+        to = to - back + (on & ~back)
+
+
+def _ways(t: np.ndarray, low: float, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(points of a slice that may be the first one kept, the last one kept from each on), by pointer doubling."""
+    n, to = len(t), _jumps(t, least)
+    end = np.where(to < n, to, np.arange(n))
+    while (end[end] != end).any():
+        end = end[end]
+    some = min(n, int(np.searchsorted(t, low + least)) + 2)
+    return t[:some], t[end[:some]]
+
+
+def _enter(rows: list[dict], least: float) -> list[float | None]:
+    """The first point kept in each of a key's slices, in order."""
+    last, out = None, []
+    for row in rows:
+        at = np.asarray(row["ways"]["starts"], float)
+        hit = np.arange(len(at)) if last is None else np.flatnonzero(at - last >= least)
+        out.append(float(at[hit[0]]) if len(hit) else None)
+        last = row["ways"]["ends"][hit[0]] if len(hit) else last
+    return out
+
+
+def boundaries_kept(points: DataFrame, keys: Sequence[str], at: str, least: float, width: float = WIDTH) -> DataFrame:
+    """Boundaries at least ``least`` after the last one kept; null ones go.
+
+    A key's points are cut into time slices. Each slice tells, for every point that may be
+    the first one kept in it, which is the last (pointer doubling over "first point at least
+    ``least`` later"); a key's slices are then entered one after another by these tables
+    alone, and each lists the points that it keeps.
+    """
+    width = max(float(width), 20.0 * least)  # the tables hold about least / width of the points
+    number = F.floor(F.col(at) / width).cast("bigint")
+    slices = points.where(F.col(at).isNotNull()).groupBy(*keys, number.alias("__slice")).agg(F.array_sort(F.collect_list(F.col(at).cast("double"))).alias("__ts"))
+
+    @F.pandas_udf("struct<starts: array<double>, ends: array<double>>")
+    def ways(ts: pd.Series, number: pd.Series) -> pd.DataFrame:
+        made = [_ways(np.asarray(t, float), n * width, least) for t, n in zip(ts, number, strict=True)]
+        return pd.DataFrame({"starts": [m[0] for m in made], "ends": [m[1] for m in made]})
+
+    @F.pandas_udf("array<double>")
+    def enter(tables: pd.Series) -> pd.Series:
+        return pd.Series([_enter(t, least) for t in tables])
+
+    @F.pandas_udf("array<double>")
+    def keep(ts: pd.Series, first: pd.Series) -> pd.Series:
+        def one(t: np.ndarray, f: float) -> list[float]:
+            if f != f:  # a slice that keeps none
+                return []
+            t = np.asarray(t, float)
+            to, i, out = _jumps(t, least).tolist(), int(np.searchsorted(t, f)), []
+            while i < len(t):
+                out.append(t[i])
+                i = to[i]
+            return out
+
+        return pd.Series([one(t, f) for t, f in zip(ts, first, strict=True)])
+
+    tables = slices.select(*keys, F.struct("__slice", ways("__ts", "__slice").alias("ways")).alias("__w")).groupBy(*keys).agg(F.array_sort(F.collect_list("__w"), lambda a, b: (a["__slice"] - b["__slice"]).cast("int")).alias("__w"))
+    entered = tables.select(*keys, F.explode(F.arrays_zip(F.transform("__w", lambda w: w["__slice"]).alias("__slice"), enter("__w").alias("__first"))).alias("__e")).select(*keys, "__e.__slice", "__e.__first")
+    known = slices.join(entered, [*keys, "__slice"])
+    return known.select(*keys, F.explode(keep("__ts", "__first")).alias(at))
 
 
 def boundaries_to_spans(points: DataFrame, keys: Sequence[str], at: str, end: Column) -> DataFrame:
