@@ -14,6 +14,7 @@ from tidemark.operators import intervals as iv
 from tidemark.operators import quality as ql
 from tidemark.operators import scoring as sc
 from tidemark.operators import sessions as se
+from tidemark.operators import tracking as tk
 
 
 def one(spark, column):
@@ -127,8 +128,8 @@ def test_assignment_is_optimal():
     for n, m in ((1, 1), (3, 3), (2, 4), (4, 2), (5, 5)):
         c = rng.random((n, m))
         best = min(sum(c[i, j] for i, j in zip(range(n), p, strict=True)) for p in permutations(range(m), n)) if n <= m else min(sum(c[i, j] for i, j in zip(p, range(m), strict=True)) for p in permutations(range(n), m))
-        assert math.isclose(sum(c[i, j] for i, j in fo.assign(c)), best)
-    assert fo.assign(np.zeros((0, 3))) == []
+        assert math.isclose(sum(c[i, j] for i, j in tk.assign(c)), best)
+    assert tk.assign(np.zeros((0, 3))) == []
 
 
 def test_clusters():
@@ -138,27 +139,6 @@ def test_clusters():
     assert fo.greedy(v, 0.9).tolist() == [0, 0, 2, 2, 4]
 
 
-def test_tracker_keeps_a_moving_box():
-    t = fo.Tracker(max_age=3, min_hits=1)
-    ids = [t.step(np.array([[10.0 + k, 10, 50 + k, 50]])) for k in range(6)]
-    assert {i for frame in ids for _, i in frame} == {0}
-    for _ in range(5):
-        t.step(np.zeros((0, 4)))
-    assert len(t.ids) == len(t.x) == 0
-
-
-def test_tracker_weighs_faces_and_boxes():
-    """Two faces that swap their boxes: by overlap alone the tracks swap with them, by vectors they do not."""
-    near = np.array([[0.0, 0, 40, 40], [8, 0, 48, 40]])
-    faces = np.array([[1.0, 0], [0, 1]])
-    boxes_only, both = fo.Tracker(5, 1), fo.Tracker(5, 1)
-    for b, v in ((near, faces), (near, faces), (near[::-1], faces)):
-        last = dict(boxes_only.step(b)), dict(both.step(b, v))
-    assert last == ({0: 1, 1: 0}, {0: 0, 1: 1})
-    cost = both.cost(near, near, faces)
-    assert math.isclose(cost[0, 0], 0.0, abs_tol=0.01) and math.isclose(cost[0, 1], 0.5 * (1 - 32 / 48) + 0.5, abs_tol=0.01)
-
-
 def test_matching_in_order(spark):
     """Scores by hand: time 0.3, continuity 0.1 from the end of the last match, position 0.1, emotion 0.1, speaker 0.3 once learned."""
     cols = "video_id long, segment_id string, ord long, start double, end double, speaker_id string, character_id string, distance double, window double, position double, emotion_score double"

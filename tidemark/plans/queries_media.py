@@ -11,6 +11,7 @@ from ..operators import frames as fr
 from ..operators import intervals as iv
 from ..operators import quality as ql
 from ..operators import scoring as sc
+from ..operators import tracking as tk
 from ..sources import media
 from ..sources import readers as rd
 from ..sources import sinks as sk
@@ -345,7 +346,7 @@ def _vector():
     return F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.cos(k * 1.3 + i * 0.7))
 
 
-query("jn_assign")(lambda s, d: fo.tracked(mp.detections(s, d).select("video_id", F.floor(F.col("decis") / 40).alias("frame"), "ord", "box", _vector().alias("face")), 5, 1, "face"))
+query("jn_assign")(lambda s, d: tk.tracked(mp.detections(s, d).select("video_id", F.floor(F.col("decis") / 40).alias("frame"), "ord", "box", _vector().alias("face")), 5, 1, "face"))
 _POS = "1 - least(1, 2 * sqrt(pow((x1 + x2) / 2 / 640 - 0.5, 2) + pow((y1 + y2) / 2 / 480 - 0.5, 2)))"
 query("sc_comprehensive", sql(f"""t AS (SELECT ord, confidence AS a, CASE WHEN ord % 2 = 0 THEN confidence / 2 ELSE 0 END AS s, {_POS} AS p, CASE WHEN ord % 3 = 0 THEN NULL WHEN emotion IN ('angry', 'fear') THEN 1 - ({_POS}) WHEN emotion IN ('happy', 'surprise') THEN {_POS} ELSE 0.5 END AS e FROM det)
 SELECT ord, round((0.3 * a + 0.3 * s + 0.1 * 0.5 + 0.1 * p + 0.1 * coalesce(e, 0)) / (0.5 + CASE WHEN s > 0 THEN 0.3 ELSE 0 END + CASE WHEN e IS NULL THEN 0 ELSE 0.1 END), 10) AS v FROM t""", "det"))(lambda s, d: _comprehensive(s, d))

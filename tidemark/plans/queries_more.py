@@ -12,6 +12,7 @@ from ..operators import intervals as iv
 from ..operators import reports as rp
 from ..operators import scoring as sc
 from ..operators import sessions as se
+from ..operators import tracking as tk
 from ..sources import sinks as sk
 from . import mapping as mp
 from . import registry
@@ -92,7 +93,7 @@ def _frames(spark, sf):
     return mp.detections(spark, sf).select("video_id", F.floor(F.col("decis") / 40).alias("frame"), "ord", "box")
 
 
-query("win_sort")(lambda s, d: fo.tracked(_frames(s, d)))
+query("win_sort")(lambda s, d: tk.tracked(_frames(s, d)))
 _MIX = "list_transform(list_zip(a, x), lambda z: z[1] * 0.7 + z[2] * 0.3)"
 query("win_ema_emb", f"SELECT label, round(list_reduce(list(embedding::DOUBLE[] ORDER BY vec_id), lambda a, x: list_transform({_MIX}, lambda y: y / sqrt(list_inner_product({_MIX}, {_MIX}))))[1], 6) AS v FROM embeddings GROUP BY label")(lambda s, d: mp.table(s, d, "embeddings").groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))), lambda x: x["embedding"]).alias("l")).select("label", F.round(F.get(vc.ema(F.col("l")), F.lit(0)), 6).alias("v")))
 query("win_batch_scenes", sql("SELECT video_id, (row_number() OVER (PARTITION BY video_id ORDER BY id) - 1) // 2 + 1 AS batch, id FROM shot", "shot"))(lambda s, d: se.batches(mp.shots(s, d), _V, 2, "id").select("video_id", "batch", "id"))

@@ -56,7 +56,7 @@ def tracks(stream: DataFrame, max_age: int = 30, least_iou: float = 0.3, at: str
         stream = stream.withWatermark(at, late)
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        from ..operators.folds import assign, iou_matrix
+        from ..operators.tracking import assign, overlaps
 
         if state.hasTimedOut:
             state.remove()
@@ -71,7 +71,8 @@ def tracks(stream: DataFrame, max_age: int = 30, least_iou: float = 0.3, at: str
             if reset and now["kind"].isin(reset).any():
                 live = []
             boxes = now[["x1", "y1", "x2", "y2"]].to_numpy(float)
-            iou = iou_matrix(np.array([t["box"] for t in live]).reshape(-1, 4), boxes) if live else np.zeros((0, len(boxes)))
+            mine = np.array([t["box"] for t in live]).reshape(-1, 4)
+            iou = overlaps(np.repeat(mine, len(boxes), 0), np.tile(boxes, (len(live), 1))).reshape(len(live), len(boxes))
             of = {j: i for i, j in assign(1 - iou) if iou[i, j] >= least_iou}
             for j, ordinal in enumerate(now["ord"].tolist()):
                 if j in of:
