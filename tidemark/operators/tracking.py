@@ -154,6 +154,15 @@ class Tracks:
         single = (np.bincount(track, minlength=n)[track] == 1) & (np.bincount(box, minlength=n)[box] == 1)
         i, j, c = [track[single]], [box[single]], [cost[single]]
         track, box, cost = track[~single], box[~single], cost[~single]
+        of = self.seq[track]
+        width = [np.bincount(of[np.unique(side, return_index=True)[1]], minlength=len(self.frames)) for side in (track, box)]
+        lone = np.minimum(*width)[of] == 1  # one track or one box: its best pair
+        by = np.lexsort((box[lone], track[lone], cost[lone], of[lone]))
+        best = np.flatnonzero(lone)[by[np.flatnonzero(np.diff(of[lone][by], prepend=-1))]]
+        i.append(track[best])
+        j.append(box[best])
+        c.append(cost[best])
+        track, box, cost = track[~lone], box[~lone], cost[~lone]
         by = np.argsort(self.seq[track], kind="stable")
         bounds = np.flatnonzero(np.diff(self.seq[track][by], prepend=-1, append=-2))
         for a, b in zip(bounds, bounds[1:], strict=False):
@@ -253,7 +262,8 @@ def tracked(detections: DataFrame, max_age: int = 30, min_hits: int = 3, vector:
     apart = F.coalesce((F.col("frame") - F.col("__before") > max(max_age + 1, min_hits)).cast("long"), F.lit(0))
     parts = scan.with_column("__new", apart).total_before("part", "__new").done()
     parts = parts.select(*rows.columns, (F.col("part") + F.col("__new")).alias("part"))
-    dealt = parts.repartition("video_id", "part").sortWithinPartitions("video_id", "part", "frame", "ord")
+    tasks = int(detections.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number: the rows are few and the work on each is not
+    dealt = parts.repartition(tasks, "video_id", "part").sortWithinPartitions("video_id", "part", "frame", "ord")
     found = dealt.mapInArrow(_run(max_age, min_hits, bool(vector)), "video_id long, part long, frame long, ord long, track_id long").repartition("video_id", "part")
     births = found.groupBy("video_id", "part").agg(F.sum(F.when(F.col("frame").isNull() & F.col("ord").isNull(), F.col("track_id"))).alias("n"))
     before = F.sum("n").over(Window.partitionBy("video_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
