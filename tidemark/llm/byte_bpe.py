@@ -379,7 +379,7 @@ def encode(docs: DataFrame, text_col: str = "text", model_path: str | None = Non
     long = F.octet_length(F.col(f"`{text_col}`")) > SPREAD
     short = docs.where(~F.coalesce(long, F.lit(False))).mapInArrow(run, schema)
     others = [f.name for f in kept if f.name != text_col]
-    whole_rows = docs.where(long).select(F.monotonically_increasing_id().alias("key"), F.struct(*(F.col(f"`{c}`") for c in others) if others else F.lit(0)).alias("rest"), F.col(f"`{text_col}`").alias("text"))
+    whole_rows = docs.where(long).select(F.monotonically_increasing_id().alias("key"), F.struct(*([F.col(f"`{c}`") for c in others] or [F.lit(0)])).alias("rest"), F.col(f"`{text_col}`").alias("text"))
     rest = whole_rows.schema["rest"].dataType
     fields = [T.StructField("key", T.LongType()), T.StructField("part", T.LongType()), T.StructField("rest", rest), T.StructField("kind", T.IntegerType()), T.StructField("text", T.StringType())]
     dealt = whole_rows.mapInArrow(_deal(path, special), T.StructType(fields)).repartition("key", "part")
