@@ -101,3 +101,22 @@ class Tracker:
             if vectors is not None:
                 self.vectors = np.concatenate([self.vectors[keep], vectors[new]])
         return told
+
+
+def average_linkage(vectors: np.ndarray, most: float) -> np.ndarray:
+    """Clusters joined, by a table of all pairs, while the mean cosine distance between two of them is at most ``most``; the first of equal pairs is joined."""
+    n = len(vectors)
+    d = 1 - _unit(vectors) @ _unit(vectors).T
+    np.fill_diagonal(d, np.inf)
+    size, label = np.ones(n), np.arange(n)
+    for _ in range(n - 1):
+        i, j = divmod(int(d.argmin()), n)
+        if d[i, j] > most:
+            break
+        i, j = min(i, j), max(i, j)
+        row = (d[i] * size[i] + d[j] * size[j]) / (size[i] + size[j])  # the mean to the union is the weighted mean
+        d[i], d[:, i] = row, row
+        d[j], d[:, j], d[i, i] = np.inf, np.inf, np.inf
+        size[i] += size[j]
+        label[label == j] = i
+    return np.unique(label, return_inverse=True)[1]

@@ -11,6 +11,9 @@ from collections import deque
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import density
 from .tracking import unit as _unit
 
 MATCH = "video_id long, segment_id string, character_id string, score double, continuity double, second_pass boolean"
@@ -102,22 +105,52 @@ def dbscan(vectors: np.ndarray, eps: float, least: int) -> np.ndarray:
 
 
 def average_linkage(vectors: np.ndarray, most: float) -> np.ndarray:
-    """Clusters joined while the mean cosine distance between two of them is at most ``most``; the first of equal pairs is joined."""
+    """Clusters joined while the mean cosine distance between two of them is at most ``most``.
+
+    A chain of nearest neighbours grows until two are each other's; these are joined. The
+    mean distance of two clusters is one minus the product of their mean vectors, so that
+    only a vector a cluster is held. A cluster whose nearest one is over ``most`` away is
+    done, as later clusters are no nearer. Of equal neighbours the one before in the chain
+    is taken, else the first.
+    """
     n = len(vectors)
-    d = 1 - _unit(vectors) @ _unit(vectors).T
-    np.fill_diagonal(d, np.inf)
-    size, label = np.ones(n), np.arange(n)
-    for _ in range(n - 1):
-        i, j = divmod(int(d.argmin()), n)
-        if d[i, j] > most:
-            break
-        i, j = min(i, j), max(i, j)
-        row = (d[i] * size[i] + d[j] * size[j]) / (size[i] + size[j])  # the mean to the union is the weighted mean
-        d[i], d[:, i] = row, row
-        d[j], d[:, j], d[i, i] = np.inf, np.inf, np.inf
-        size[i] += size[j]
-        label[label == j] = i
-    return np.unique(label, return_inverse=True)[1]
+    mean, size, first = _unit(vectors).copy(), np.ones(n), np.arange(n)  # live clusters stand in front
+    parent, live, chain = np.arange(n), n, []
+
+    def move(k: int) -> None:
+        """The last live cluster takes place k."""
+        nonlocal live
+        live -= 1
+        for held in (mean, size, first):
+            held[k] = held[live]
+        for at, c in enumerate(chain):
+            if c == live:
+                chain[at] = k
+
+    while live:
+        if not chain:
+            chain.append(int(first[:live].argmin()))
+        top = chain[-1]
+        far = 1 - mean[:live] @ mean[top]
+        far[top] = np.inf
+        before = chain[-2] if len(chain) > 1 else -1
+        least = far.min()
+        if not least <= most:
+            chain.pop()
+            move(top)
+        elif before >= 0 and far[before] <= least:
+            chain[-2:] = []
+            a, b = sorted((top, before), key=lambda k: first[k])
+            mean[a] = (mean[a] * size[a] + mean[b] * size[b]) / (size[a] + size[b])
+            size[a] += size[b]
+            parent[first[b]] = first[a]
+            move(b)
+        else:
+            tied = np.flatnonzero(far == least)
+            chain.append(int(tied[first[tied].argmin()]))
+    while (parent[parent] != parent).any():
+        parent = parent[parent]
+    return np.unique(parent, return_inverse=True)[1]
 
 
 def greedy(vectors: np.ndarray, least: float) -> np.ndarray:
@@ -129,11 +162,17 @@ def greedy(vectors: np.ndarray, least: float) -> np.ndarray:
     return seed
 
 
+#: Faces of a scene that one task compares as a table.
+DENSE = 2000
 CLUSTER = "video_id long, scene_id long, ord long, cluster long"
 
 
 def clustered(rows: DataFrame, min_cluster: int = 3, eps: float = 0.35, method: str = "dbscan") -> DataFrame:
-    """Rows (video_id, scene_id, ord, embedding) clustered in each scene; noise is dropped, a small scene is one cluster."""
+    """Rows (video_id, scene_id, ord, embedding) clustered in each scene; noise is dropped, a small scene is one cluster.
+
+    A scene of at most ``DENSE`` faces is one task's table of pairs; for density, a larger
+    one is dealt over tasks by ``density.clusters``, with the same result.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ord")
@@ -146,7 +185,12 @@ def clustered(rows: DataFrame, min_cluster: int = 3, eps: float = 0.35, method:
             label = average_linkage(vectors, eps)
         return pdf[["video_id", "scene_id", "ord"]].assign(cluster=label)[label >= 0]
 
-    return rows.groupBy("video_id", "scene_id").applyInPandas(run, CLUSTER)
+    if method != "dbscan":
+        return rows.groupBy("video_id", "scene_id").applyInPandas(run, CLUSTER)
+    sizes = rows.groupBy("video_id", "scene_id").agg(F.count("*").alias("n"))
+    known = rows.join(sizes, ["video_id", "scene_id"])
+    small = known.where(F.col("n") <= DENSE).drop("n").groupBy("video_id", "scene_id").applyInPandas(run, CLUSTER)
+    return small.unionByName(density.clusters(known.where(F.col("n") > DENSE), eps, max(2, min_cluster // 2)))
 
 
 def merged_clusters(centroids: DataFrame, least: float = 0.75) -> DataFrame:
