@@ -90,7 +90,7 @@ class Tracker:
         keep = self.age <= self.max_age
         ids = self.next_id + np.arange(len(new))
         self.next_id += len(new)
-        if self.frames <= self.min_hits:
+        if self.frames <= self.min_hits or self.min_hits <= 1:
             told += list(zip(new.tolist(), ids.tolist(), strict=True))
         if len(new) or not keep.all():
             start = np.diag([10.0] * 4 + [1e4] * 3)

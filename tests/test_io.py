@@ -159,14 +159,23 @@ def _all(spark, df, tmp_path, mode):
     return spark.table("out").collect()
 
 
-def test_streamed_tracks(spark, tmp_path):
+@pytest.fixture
+def rocksdb(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    online.keep_state_in_rocksdb(spark)
+    yield
+    spark.conf.set(name, before)
+
+
+def test_streamed_tracks(spark, tmp_path, rocksdb):
     rows = [(1, f, f * 2, 10.0 + f, 10.0, 50.0 + f, 50.0) for f in range(4)] + [(1, f, f * 2 + 1, 200.0, 200.0, 240.0, 240.0) for f in range(4)]
     s = _stream(spark, tmp_path, rows, "video_id long, frame long, ord long, x1 double, y1 double, x2 double, y2 double")
     got = _all(spark, online.tracks(s), tmp_path, "append")
     assert {(r.ord % 2, r.track_id) for r in got} == {(0, 0), (1, 1)}
 
 
-def test_idle_state_goes_and_late_rows_are_dropped(spark, tmp_path):
+def test_idle_state_goes_and_late_rows_are_dropped(spark, tmp_path, rocksdb):
     """Files one by one: a video that is idle past the watermark starts anew; a row behind the watermark is dropped and counted."""
     from datetime import datetime, timedelta
 
@@ -189,19 +198,58 @@ def test_idle_state_goes_and_late_rows_are_dropped(spark, tmp_path):
     assert got == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0} and late == 1  # 4 is elsewhere: it would be track 1 if video 1 were not forgotten
 
 
-def test_a_cut_resets_the_tracks(spark, tmp_path):
+def test_a_cut_resets_the_tracks(spark, tmp_path, rocksdb):
     rows = [(1, f, f, "cut" if f == 2 else "face", 10.0, 10.0, 50.0, 50.0) for f in range(4)]
     s = _stream(spark, tmp_path, rows, "video_id long, frame long, ord long, kind string, x1 double, y1 double, x2 double, y2 double")
     got = _all(spark, online.tracks(s, reset=("cut",)), tmp_path, "append")
     assert [r.track_id for r in sorted(got, key=lambda r: r.ord)] == [0, 0, 1, 1]
 
 
+@pytest.mark.parametrize("faces", [False, True])
+def test_streamed_tracks_are_those_of_the_batch(spark, tmp_path, rocksdb, faces):
+    """Row by row, with the video cut into batches anywhere between two frames."""
+    from test_tracking import BOX, gappy
+    from tidemark.operators import tracking as tk
+
+    rows = gappy(11, videos=3, frames=60, faces=faces)
+    df = spark.createDataFrame(rows, f"video_id long, frame long, ord long, box {BOX}, face array<double>")
+    flat = df.select("video_id", "frame", "ord", "box.*", "face")
+    folder = f"{tmp_path}/in"
+    stream = lambda: spark.readStream.schema(flat.schema).parquet(folder)
+    for lo, hi in ((0, 40), (40, 41), (41, 90), (90, 10**6)):
+        flat.where(F.col("frame").between(lo, hi - 1)).write.mode("append").parquet(folder)
+        q = online.tracks(stream(), 5, 2, vector="face" if faces else None).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
+        q.awaitTermination()
+    got = sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").select("video_id", "frame", "ord", "track_id").collect()))
+    assert got == sorted(map(tuple, tk.tracked(df, 5, 2, "face" if faces else None).collect())) and len(got) > 100
+
+
+def test_window_state_goes_with_the_watermark(spark, tmp_path):
+    """Windows are told once and leave the state; rows that come too late are dropped and counted."""
+    from datetime import datetime, timedelta
+
+    schema, t0 = "video_id long, value double, ts timestamp", datetime(2024, 1, 1)
+    at = lambda m, v=1: (v, 1.0, t0 + timedelta(minutes=m))
+    told, state, late, removed = {}, [], 0, 0
+    for n, minutes in enumerate(([0, 1, 2, 10, 11], [20, 21, 3], [40, 41], [0, 60])):
+        spark.createDataFrame([at(m) for m in minutes], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        s = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        q = online.coverage(s, width="5 minutes", late="1 minute").writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
+        q.awaitTermination()
+        batches = online.progress(q)
+        state.append(batches[-1][2])
+        late, removed = late + sum(b[4] for b in batches), removed + sum(b[3] for b in batches)
+        told[n] = sorted((r.window.start.minute, r.n) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert told[0] == [(0, 3)] and told[1] == [(0, 3), (10, 2)] and told[3] == [(0, 3), (10, 2), (20, 2), (40, 2)]
+    assert state == [1, 1, 1, 1] and late == 2 and removed == 4
+
+
 def test_streamed_sessions(spark, tmp_path):
     schema = "video_id long, character_id string, ts timestamp"
     from datetime import datetime, timedelta
 
     t0 = datetime(2024, 1, 1)
     rows = [(1, "a", t0 + timedelta(seconds=s)) for s in (0, 1, 2, 10, 11)]
-    got = _all(spark, online.appearances(_stream(spark, tmp_path, rows, schema)), tmp_path, "complete")
+    got = _all(spark, online.appearances(_stream(spark, tmp_path, [*rows, (1, "b", t0 + timedelta(seconds=40))], schema)), tmp_path, "append")
     assert sorted((r.start.second, r.end.second, r.points) for r in got) == [(0, 2, 3), (10, 11, 2)]
     assert F is not None

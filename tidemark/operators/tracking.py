@@ -122,6 +122,8 @@ class Tracks:
         left = frames[self.seq]
         for k in range(int(left.max(initial=0))):
             some = np.flatnonzero(left > k)
+            if not len(some):
+                break
             self._advance(some)
             self.streak[some] = 0
             live = self.age <= self.max_age
@@ -206,7 +208,7 @@ class Tracks:
         of = seq[new]
         ids = self.next_id[of] + np.arange(len(new)) - np.searchsorted(of, of)
         np.add.at(self.next_id, of, 1)
-        early = self.frames[of] <= self.min_hits
+        early = (self.frames[of] <= self.min_hits) | (self.min_hits <= 1)
         told[0].append(new[early])
         told[1].append(ids[early])
         self.keep(self.age <= self.max_age)

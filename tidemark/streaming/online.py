@@ -1,6 +1,8 @@
 """Streaming variants: windows, sessions, dedup and stateful tracking over event time.
 
-Late rows are dropped after a watermark of ten seconds unless another is given.
+All append: a window or session is told once, when the watermark passes its end, and its
+state goes then. Late rows are dropped after a watermark of ten seconds unless another is
+given, and counted by the operators (``dropped``, ``progress``).
 """
 
 from __future__ import annotations
@@ -9,9 +11,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 LATE = "10 seconds"
 
@@ -35,8 +37,9 @@ def first_frames(stream: DataFrame, at: str = "ts", late: str = LATE) -> DataFra
     return stream.withWatermark(at, late).dropDuplicatesWithinWatermark(["video_id", "hash"])
 
 
-_TRACK_STATE = "tracks array<struct<id:long,box:array<double>,age:int,hits:int>>, next_id long, frame long"
-_TRACK_OUT = "video_id long, frame long, ord long, track_id long"
+def frames_of_slot(stream: DataFrame, slot: str = "slot", late: str = LATE) -> DataFrame:
+    """The first frame of each hash in its time slot (a timestamp); a slot's hashes are kept until the watermark passes it."""
+    return stream.withWatermark(slot, late).dropDuplicates(["video_id", "hash", slot])
 
 
 def dropped(query) -> int:
@@ -44,48 +47,101 @@ def dropped(query) -> int:
     return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in p["stateOperators"])
 
 
-def tracks(stream: DataFrame, max_age: int = 30, least_iou: float = 0.3, at: str | None = None, idle: str = "10 minutes", late: str = LATE, reset: tuple[str, ...] = ()) -> DataFrame:
-    """Online tracks of boxes (video_id, frame, ord, x1, y1, x2, y2, and kind if ``reset`` is given): last boxes are the state.
-
-    Tracks end after ``max_age`` frames without a box, and a video's tracks where a row of a kind
-    in ``reset`` comes. With an event time ``at``, a video's whole state goes once the watermark is
-    ``idle`` past its last row; without one it stays.
+def progress(query) -> list[tuple[int, int, int, int, int]]:
+    """(batch, rows in, rows of state, rows of state removed, late rows dropped) of each micro-batch."""
+    rows = []
+    for p in query.recentProgress:
+        total = lambda name, ops=p["stateOperators"]: sum(int(op.get(name, 0)) for op in ops)
+        rows.append((int(p["batchId"]), int(p["numInputRows"]), total("numRowsTotal"), total("numRowsRemoved"), total("numRowsDroppedByWatermark")))
+    return rows
+
+
+def keep_state_in_rocksdb(spark: SparkSession) -> None:
+    """What ``tracks`` needs; holds for streams that start later in this session."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+_TRACK = "id long, age long, streak long, x array<double>, p array<double>, vector array<double>"
+_OUT = "video_id long, frame long, ord long, track_id long"
+
+
+class _Tracking(StatefulProcessor):
+    """A video's live tracks are a list, a row each; a value holds what is one a video; a timer drops both."""
+
+    def __init__(self, max_age: int, min_hits: int, vector: str | None, at: str | None, idle_ms: int, reset: tuple[str, ...]):
+        self.max_age, self.min_hits, self.vector, self.at, self.idle_ms, self.reset = max_age, min_hits, vector, at, idle_ms, reset
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.live = handle.getListState("tracks", _TRACK)
+        self.video = handle.getValueState("video", "frames long, next_id long, last long")
+
+    def _load(self):
+        from ..operators.tracking import Tracks
+
+        tracks = Tracks(1, self.max_age, self.min_hits)
+        if not self.video.exists():
+            return tracks, None
+        frames, next_id, last = self.video.get()
+        tracks.frames[0], tracks.next_id[0] = frames, next_id
+        rows = list(self.live.get()) if self.live.exists() else []
+        if rows:
+            ids, age, streak, x, p, vectors = zip(*rows, strict=True)
+            tracks.ids, tracks.age, tracks.streak = (np.array(c, np.int64) for c in (ids, age, streak))
+            tracks.seq = np.zeros(len(ids), np.int64)
+            tracks.x, tracks.p = np.array(x, float), np.array(p, float).reshape(-1, 7, 7)
+            if self.vector:
+                tracks.vectors = np.array(vectors, float)
+        return tracks, last
+
+    def _save(self, tracks, last: int) -> None:
+        vectors = tracks.vectors if tracks.vectors is not None and len(tracks.ids) else np.zeros((len(tracks.ids), 0))
+        self.live.put([(int(i), int(a), int(s), x.tolist(), p.ravel().tolist(), v.tolist()) for i, a, s, x, p, v in zip(tracks.ids, tracks.age, tracks.streak, tracks.x, tracks.p, vectors, strict=True)])
+        self.video.update((int(tracks.frames[0]), int(tracks.next_id[0]), int(last)))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows)).sort_values(["frame", "ord"])
+        tracks, last = self._load()
+        told: list[tuple] = []
+        for frame, now in pdf.groupby("frame"):
+            if last is not None and frame <= last:
+                continue
+            if last is not None:
+                tracks.skip(np.array([frame - last - 1]))
+            if self.reset and now["kind"].isin(self.reset).any():
+                tracks.keep(np.zeros(len(tracks.ids), bool))
+            vectors = np.stack(now[self.vector].to_numpy()).astype(float) if self.vector else None
+            j, ids = tracks.step(now[["x1", "y1", "x2", "y2"]].to_numpy(float), np.zeros(len(now), np.int64), vectors)
+            told += zip([key[0]] * len(j), [frame] * len(j), now["ord"].to_numpy()[j].tolist(), ids.tolist(), strict=True)
+            last = frame
+        self._save(tracks, last)
+        if self.at:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            seen = int(pdf[self.at].max().timestamp() * 1000)
+            self.handle.registerTimer(max(seen, timerValues.getCurrentWatermarkInMs()) + self.idle_ms)
+        yield pd.DataFrame(told, columns=["video_id", "frame", "ord", "track_id"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.live.clear()
+        self.video.clear()
+        yield pd.DataFrame([], columns=["video_id", "frame", "ord", "track_id"])
+
+    def close(self) -> None:
+        pass
+
+
+def tracks(stream: DataFrame, max_age: int = 30, min_hits: int = 1, at: str | None = None, idle: str = "10 minutes", late: str = LATE, reset: tuple[str, ...] = (), vector: str | None = None) -> DataFrame:
+    """Online Kalman tracks of boxes (video_id, frame, ord, x1, y1, x2, y2, ``vector`` if named, kind if ``reset`` is given).
+
+    As ``tracking.tracked`` on rows whose frames come in order; rows of a frame that is not
+    after a video's last one are not told. Tracks end after ``max_age`` frames without a box,
+    and a video's tracks where a row of a kind in ``reset`` comes. With an event time ``at``,
+    a video's whole state goes once the watermark is ``idle`` past its last row; without one
+    it stays. States are kept in RocksDB (``keep_state_in_rocksdb``).
     """
-    milliseconds = int(pd.Timedelta(idle).total_seconds() * 1000)
-    if at:
-        stream = stream.withWatermark(at, late)
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        from ..operators.tracking import assign, overlaps
-
-        if state.hasTimedOut:
-            state.remove()
-            return
-        live, next_id, last = ([dict(zip(("id", "box", "age", "hits"), t, strict=True)) for t in state.get[0]], state.get[1], state.get[2]) if state.exists else ([], 0, -1)
-        out = []
-        rows = pd.concat(list(batches))
-        for frame, now in rows.sort_values(["frame", "ord"]).groupby("frame"):
-            for t in live:
-                t["age"] += int(frame - last) if last >= 0 else 0
-            live, last = [t for t in live if t["age"] <= max_age], int(frame)
-            if reset and now["kind"].isin(reset).any():
-                live = []
-            boxes = now[["x1", "y1", "x2", "y2"]].to_numpy(float)
-            mine = np.array([t["box"] for t in live]).reshape(-1, 4)
-            iou = overlaps(np.repeat(mine, len(boxes), 0), np.tile(boxes, (len(live), 1))).reshape(len(live), len(boxes))
-            of = {j: i for i, j in assign(1 - iou) if iou[i, j] >= least_iou}
-            for j, ordinal in enumerate(now["ord"].tolist()):
-                if j in of:
-                    t = live[of[j]]
-                    t.update(box=boxes[j].tolist(), age=0, hits=t["hits"] + 1)
-                else:
-                    t = {"id": next_id, "box": boxes[j].tolist(), "age": 0, "hits": 1}
-                    live.append(t)
-                    next_id += 1
-                out.append((key[0], int(frame), int(ordinal), t["id"]))
-        state.update(([(t["id"], t["box"], t["age"], t["hits"]) for t in live], next_id, last))
-        if at:
-            state.setTimeoutTimestamp(max(int(rows[at].max().timestamp() * 1000), state.getCurrentWatermarkMs()) + milliseconds)
-        yield pd.DataFrame(out, columns=["video_id", "frame", "ord", "track_id"])
-
-    return stream.groupBy("video_id").applyInPandasWithState(run, _TRACK_OUT, _TRACK_STATE, "append", GroupStateTimeout.EventTimeTimeout if at else GroupStateTimeout.NoTimeout)
+    columns = ["video_id", "frame", "ord", "x1", "y1", "x2", "y2", *([vector] if vector else []), *(["kind"] if reset else []), *([at] if at else [])]
+    stream = stream.select(*columns)
+    stream = stream.withWatermark(at, late) if at else stream
+    processor = _Tracking(max_age, min_hits, vector, at, int(pd.Timedelta(idle).total_seconds() * 1000), reset)
+    return stream.groupBy("video_id").transformWithStateInPandas(processor, _OUT, "Append", "EventTime" if at else "None")
