@@ -160,35 +160,75 @@ def _backend(spark, sf):
 # ---- streams ---------------------------------------------------------------------------
 
 
+#: A stream's deliveries, days of each, and how many deliveries a late row comes after its own.
+DELIVERIES, DAYS, LATER = 5, 6, 3
+
+
 class Streamed:
-    """Streams over the events, run to their end; each micro-batch's rows go to a folder of its own, so that a batch that runs twice counts once."""
+    """Append streams over the events, which come in deliveries of some days; some rows of the first two come late.
+
+    After each delivery the stream runs to its end from its checkpoint, with the state and
+    the watermark of the one before. Each micro-batch's rows go to a folder of its own, so
+    that a batch that runs twice counts once.
+    """
 
     def __init__(self, spark: SparkSession, sf: str):
-        path = f"{sf}/events.parquet"
         self.spark, self.folder = spark, shared_folder(spark)
-        stream = spark.readStream.schema(spark.read.parquet(path).schema)
-        events = stream.parquet(path) if rd.is_folder(spark, path) else stream.option("pathGlobFilter", "events.parquet").parquet(sf)
-        self.events = events.select(F.col("user_id").alias("video_id"), F.col("ts").cast("timestamp").alias("ts"), "value", F.col("event_id").alias("ord"), F.concat(F.lit("C"), F.pmod(F.floor(F.col("event_id") / 3), F.lit(5)).cast("string")).alias("character_id"), F.col("event_type").alias("kind"))
-
-    def rows(self, make, mode: str) -> DataFrame:
-        """All rows of an append stream, or the last table of a complete one."""
-        out, seen = f"{self.folder}/out", []
+        events = mp.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+        first = events.agg(F.min("ts")).first()[0]
+        own = F.least(F.floor((F.unix_micros("ts") - F.unix_micros(F.lit(first))) / (DAYS * 86_400_000_000)), F.lit(DELIVERIES - 1))
+        late = (F.col("event_id") % 97 == 0) & (own < 2)
+        rows = events.select(F.col("user_id").alias("video_id"), "ts", "value", F.col("event_id").alias("ord"), F.concat(F.lit("C"), F.pmod(F.floor(F.col("event_id") / 3), F.lit(5)).cast("string")).alias("character_id"), F.col("event_type").alias("kind"), F.when(late, own + LATER).otherwise(own).cast("int").alias("delivery"))
+        rows.write.partitionBy("delivery").parquet(f"{self.folder}/events")
+        self.schema, self.progress = rows.drop("delivery").schema, []
+
+    def rows(self, make) -> DataFrame:
+        """All rows of an append stream."""
+        out = f"{self.folder}/out"
 
         def keep(df: DataFrame, batch: int) -> None:
             df.write.mode("overwrite").parquet(f"{out}/batch={batch}")
-            seen.append(batch)
 
-        q = make(self.events).writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", f"{self.folder}/checkpoint").trigger(availableNow=True).start()
-        q.awaitTermination()
-        return self.spark.read.parquet(f"{out}/batch={max(seen)}" if mode == "complete" else out).drop("batch")
+        for n in range(DELIVERIES):
+            self.spark.read.schema(self.schema).parquet(f"{self.folder}/events/delivery={n}").write.mode("append").parquet(f"{self.folder}/in")
+            q = make(self.spark.readStream.schema(self.schema).parquet(f"{self.folder}/in")).writeStream.foreachBatch(keep).outputMode("append").option("checkpointLocation", f"{self.folder}/checkpoint").trigger(availableNow=True).start()
+            q.awaitTermination()
+            self.progress += [(n, *p) for p in online.progress(q)]
+        return self.spark.read.parquet(out).drop("batch")
+
+
+def _streamed(spark: SparkSession, sf: str, make) -> DataFrame:
+    return Streamed(spark, sf).rows(make)
+
+
+#: The rows that are not late, and the time of the last watermark less its delay.
+ARRIVED = f"""e0 AS (SELECT *, least(floor((epoch_us(ts) - epoch_us(min(ts) OVER ())) / ({DAYS} * 86400000000)), {DELIVERIES - 1})::INTEGER AS own FROM events), m AS (SELECT max(ts) AS top FROM events),
+e AS (SELECT e0.*, m.top FROM e0, m WHERE NOT (event_id % 97 = 0 AND own < 2))"""
+_DAY = "floor(unix_timestamp(window.start) / 86400)"
+
+query("st_tumbling", f"WITH {ARRIVED} SELECT video_id, day, n FROM (SELECT user_id AS video_id, floor(epoch(ts) / 86400)::BIGINT AS day, count(*) AS n, min(epoch(top)) AS top FROM e GROUP BY 1, 2) WHERE (day + 1) * 86400 <= top - 600")(
+    lambda s, d: _streamed(s, d, lambda r: online.coverage(r, width="1 day", late="10 minutes")).selectExpr("video_id", f"{_DAY} AS day", "n")
+)
+query("st_sliding", f"WITH {ARRIVED} SELECT video_id, day, n, mean FROM (SELECT user_id AS video_id, floor(epoch(ts) / 86400)::BIGINT - k AS day, count(*) AS n, round(avg(value), 6) AS mean, min(epoch(top)) AS top FROM e, range(2) r(k) GROUP BY 1, 2) WHERE (day + 2) * 86400 <= top - 600")(
+    lambda s, d: _streamed(s, d, lambda r: online.sliding(r, width="2 days", step="1 day", late="10 minutes")).selectExpr("video_id", f"{_DAY} AS day", "n", "round(mean, 6) AS mean")
+)
+query("st_session", f"""WITH {ARRIVED}, f AS (SELECT *, CASE WHEN ts - lag(ts) OVER w >= INTERVAL 6 HOUR THEN 1 ELSE 0 END AS new FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts)), g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM f)
+SELECT user_id AS video_id, floor(epoch(min(ts)))::BIGINT AS start, floor(epoch(max(ts)))::BIGINT AS "end", count(*) AS points FROM g GROUP BY user_id, k HAVING max(ts) + INTERVAL 6 HOUR <= min(top) - INTERVAL 10 MINUTE""")(
+    lambda s, d: _streamed(s, d, lambda r: online.appearances(r.withColumn("character_id", F.lit("one")), gap="6 hours", late="10 minutes")).selectExpr("video_id", "unix_timestamp(start) AS start", "unix_timestamp(end) AS end", "points")
+)
+
+
+def _slots(rows: DataFrame) -> DataFrame:
+    return online.frames_of_slot(rows.withColumns({"hash": F.floor("value"), "slot": F.date_trunc("day", "ts")}), late="1 day")
 
 
-def _streamed(spark: SparkSession, sf: str, make, mode: str) -> DataFrame:
-    return Streamed(spark, sf).rows(make, mode)
+query("st_dedup", f"WITH {ARRIVED} SELECT DISTINCT user_id AS video_id, floor(value)::BIGINT AS hash, floor(epoch(ts) / 86400)::BIGINT AS day FROM e")(lambda s, d: _streamed(s, d, _slots).selectExpr("video_id", "hash", "floor(unix_timestamp(slot) / 86400) AS day"))
+query("st_late", f"SELECT own + {LATER} AS delivery, count(*) AS late FROM (SELECT *, least(floor((epoch_us(ts) - epoch_us(min(ts) OVER ())) / ({DAYS} * 86400000000)), {DELIVERIES - 1})::BIGINT AS own FROM events) WHERE event_id % 97 = 0 AND own < 2 GROUP BY ALL")(lambda s, d: _late(s, d))
 
 
-query("st_tumbling", "SELECT user_id AS video_id, count(*) AS n FROM events GROUP BY user_id, time_bucket(INTERVAL 1 DAY, ts)")(lambda s, d: _streamed(s, d, lambda r: online.coverage(r, width="1 day"), "complete").select("video_id", "n"))
-query("st_sliding", "SELECT user_id AS video_id, (count(*) * 2) AS n FROM events GROUP BY user_id")(lambda s, d: _streamed(s, d, lambda r: online.sliding(r, width="2 days", step="1 day"), "complete").groupBy("video_id").agg(F.sum("n").alias("n")))
-query("st_session", """WITH f AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 6 HOUR THEN 1 ELSE 0 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM f)
-SELECT user_id AS video_id, count(*) AS points FROM g GROUP BY user_id, k""")(lambda s, d: _streamed(s, d, lambda r: online.appearances(r.withColumn("character_id", F.lit("one")), gap="6 hours"), "complete").select("video_id", "points"))
-query("st_dedup", "SELECT count(*)::BIGINT AS n FROM (SELECT DISTINCT user_id, floor(value) FROM events)")(lambda s, d: _streamed(s, d, lambda r: online.first_frames(r.withColumn("hash", F.floor("value")), late="3650 days"), "append").agg(F.count("*").alias("n")))
+def _late(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that came too late, by delivery, as the stream's operators count them."""
+    stream = Streamed(spark, sf)
+    stream.rows(_slots)
+    batches = spark.createDataFrame(stream.progress, "delivery long, batch long, rows long, state long, removed long, late long")  # a row a micro-batch
+    return batches.groupBy("delivery").agg(F.sum("late").alias("late")).where("late > 0")

@@ -20,7 +20,7 @@ from . import mapping as mp
 from . import registry
 from .mapping import sql
 from .queries import query
-from .queries_io import Streamed, shared_folder
+from .queries_io import ARRIVED, Streamed, shared_folder
 from .queries_joins import dialogues
 
 _V = ["video_id"]
@@ -382,8 +382,13 @@ def _boxes(rows: DataFrame) -> DataFrame:
     return rows.select("video_id", "ts", k.alias("frame"), "ord", x.alias("x1"), y.alias("y1"), (x + 20 + F.pmod(k * 7, F.lit(100))).alias("x2"), (y + 20 + F.pmod(k * 11, F.lit(100))).alias("y2"), "character_id", "kind")
 
 
-query("st_tracks", "SELECT user_id AS video_id, count(*) AS n, true AS from_zero FROM events GROUP BY ALL")(lambda s, d: Streamed(s, d).rows(lambda r: online.tracks(_boxes(r), at="ts"), "append").groupBy("video_id").agg(F.count("*").alias("n"), (F.min("track_id") == 0).alias("from_zero")))
-query("st_reset", "SELECT user_id AS video_id, count(*) AS n, count(*) AS tracks FROM events GROUP BY ALL")(lambda s, d: Streamed(s, d).rows(lambda r: online.tracks(_boxes(r).withColumn("kind", F.lit("cut")), at="ts", reset=("cut",)), "append").groupBy("video_id").agg(F.count("*").alias("n"), F.count_distinct("track_id").alias("tracks")))
+def _tracks(spark, sf, **how) -> DataFrame:
+    online.keep_state_in_rocksdb(spark)
+    return Streamed(spark, sf).rows(lambda r: online.tracks(_boxes(r).withColumn("kind", F.lit("cut")), at="ts", idle="60 days", **how))
+
+
+query("st_tracks", f"WITH {ARRIVED} SELECT user_id AS video_id, count(*) AS n, true AS from_zero FROM e GROUP BY ALL")(lambda s, d: _tracks(s, d).groupBy("video_id").agg(F.count("*").alias("n"), (F.min("track_id") == 0).alias("from_zero")))
+query("st_reset", f"WITH {ARRIVED} SELECT user_id AS video_id, event_id AS ord, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS track_id FROM e")(lambda s, d: _tracks(s, d, reset=("cut",)).select("video_id", "ord", "track_id"))
 query("drv_resume", sql("SELECT video_id, count(*) AS n FROM shot GROUP BY ALL", "shot"))(lambda s, d: _resumed(s, d))
 
 
