@@ -11,6 +11,7 @@ from tidemark.functions import time as tm
 from tidemark.operators import folds as fo
 from tidemark.operators import frames as fr
 from tidemark.operators import intervals as iv
+from tidemark.operators import matching as ma
 from tidemark.operators import quality as ql
 from tidemark.operators import scoring as sc
 from tidemark.operators import sessions as se
@@ -148,14 +149,14 @@ def test_matching_in_order(spark):
         (1, "b", 1, 14.0, 15.0, "s", "X", 30.0, 30.0, 0.8, None),
         (1, "c", 2, 60.0, 61.0, "s", None, None, 30.0, None, None),
     ]
-    got = {r.segment_id: r for r in fo.match_in_order(spark.createDataFrame(rows, cols)).collect()}
+    got = {r.segment_id: r for r in ma.match_in_order(spark.createDataFrame(rows, cols)).collect()}
     first = (0.3 * 1 + 0.1 * 0.5 + 0.1 * 0.8 + 0.1 * 0.5) / 0.6
     assert (got["a"].character_id, got["a"].continuity) == ("X", 0.5) and math.isclose(got["a"].score, first)
     second = (0.3 * 0 + 0.3 * first + 0.1 * 0.9 + 0.1 * 0.8) / 0.8
     assert (got["b"].character_id, got["b"].continuity) == ("X", 0.9) and math.isclose(got["b"].score, second)
     assert got["c"].second_pass and math.isclose(got["c"].score, 0.8 * (first + second) / 2)
     bare = spark.createDataFrame([r[:9] for r in rows], cols.partition(", position")[0])
-    assert math.isclose({r.segment_id: r.score for r in fo.match_in_order(bare).collect()}["a"], (0.3 + 0.05) / 0.4)
+    assert math.isclose({r.segment_id: r.score for r in ma.match_in_order(bare).collect()}["a"], (0.3 + 0.05) / 0.4)
 
 
 def test_budgets(spark):
@@ -195,10 +196,10 @@ def test_short_scenes_are_merged_once(spark):
 
 
 def test_continuity():
-    assert fo.continuity([], 1, "a") == 0.5
-    assert fo.continuity([(0, "a")], 3, "a") == 0.9
-    assert fo.continuity([(0, "a")], 20, "a") == 0.7
-    assert fo.continuity([(0, "a"), (1, "b")], 90, "a") == 0.65
+    assert ma.continuity([], 1, "a") == 0.5
+    assert ma.continuity([(0, "a")], 3, "a") == 0.9
+    assert ma.continuity([(0, "a")], 20, "a") == 0.7
+    assert ma.continuity([(0, "a"), (1, "b")], 90, "a") == 0.65
 
 
 def test_peaks():

@@ -6,8 +6,6 @@ one video, whose records are bounded by its length; videos run in parallel.
 
 from __future__ import annotations
 
-from collections import deque
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,76 +14,6 @@ from pyspark.sql import functions as F
 from . import density
 from .tracking import unit as _unit
 
-MATCH = "video_id long, segment_id string, character_id string, score double, continuity double, second_pass boolean"
-_OPTIONAL = ("position", "emotion_score")
-
-
-def continuity(history: deque[tuple[float, str]], at: float, who: str) -> float:
-    """0.9 if the character's last match ended under 5 s ago, 0.7 under 30 s, else by its share of the last ten; 0.5 without history."""
-    if not history:
-        return 0.5
-    mine, last = 0, None
-    for t, w in history:
-        if w == who:
-            mine, last = mine + 1, t
-    if last is not None and at - last < 30:
-        return 0.9 if at - last < 5 else 0.7
-    return 0.5 + 0.3 * mine / len(history)
-
-
-def match_in_order(candidates: DataFrame, least: float = 0.3, weight: float = 0.1) -> DataFrame:
-    """Dialogues in time order, each with the best of its candidate characters.
-
-    ``candidates``: video_id, segment_id, ord, start, end, speaker_id, character_id (null: none),
-    distance (s), window (s), and if known position and emotion_score (0 to 1). The score is
-    the mean of the terms that are there, by their weights: time 0.3, speaker 0.3 (if learned),
-    continuity ``weight``, position 0.1, emotion 0.1. A match teaches the speaker's association
-    (half-averages), which scores later dialogues; a second pass gives unmatched dialogues their
-    speaker's best association over 0.5, at 0.8 of it. Equal scores go to the first name.
-    """
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ord", "character_id"], kind="stable")
-        video = pdf["video_id"].iloc[0]
-        near = (1 - pdf["distance"] / pdf["window"]).clip(lower=0).to_numpy(float)
-        good = (pdf["character_id"].notna() & (pdf["distance"] <= pdf["window"])).tolist()
-        fixed, total = 0.3 * near, np.full(len(pdf), 0.3 + weight)
-        for name in _OPTIONAL:
-            if name in pdf:
-                have = pdf[name].notna().to_numpy()
-                fixed, total = fixed + np.where(have, 0.1 * pdf[name].fillna(0).to_numpy(float), 0), total + 0.1 * have
-        fixed, total = fixed.tolist(), total.tolist()
-        names, speakers, segments = pdf["character_id"].tolist(), pdf["speaker_id"].tolist(), pdf["segment_id"].tolist()
-        starts, ends, places = pdf["start"].tolist(), pdf["end"].tolist(), pdf["ord"].to_numpy()
-        cuts = [0, *(np.flatnonzero(places[1:] != places[:-1]) + 1).tolist(), len(pdf)]
-        history: deque[tuple[float, str]] = deque(maxlen=10)
-        links: dict[str, dict[str, float]] = {}
-        out, left = [], []
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            known = links.get(speakers[a], {})
-            top, best, steady = 0.0, None, None
-            for k in range(a, b):
-                if not good[k]:
-                    continue
-                c, v = continuity(history, starts[a], names[k]), known.get(names[k], 0.0)
-                score = (fixed[k] + weight * c + 0.3 * v) / (total[k] + 0.3) if v > 0 else (fixed[k] + weight * c) / total[k]
-                if score > top:
-                    top, best, steady = score, names[k], c
-            if best is None or top <= least:
-                left.append((segments[a], speakers[a]))
-                continue
-            mine = links.setdefault(speakers[a], {})
-            mine[best] = (mine[best] + top) / 2 if best in mine else top
-            history.append((ends[a], best))
-            out.append((video, segments[a], best, top, steady, False))
-        for segment, speaker in left:
-            v, who = min(((-v, c) for c, v in links.get(speaker, {}).items() if v > 0.5), default=(None, None))
-            out.append((video, segment, who, -v * 0.8 if who else None, None, bool(who)))
-        return pd.DataFrame(out, columns=[x.split()[0] for x in MATCH.split(", ")])
-
-    return candidates.groupBy("video_id").applyInPandas(run, MATCH)
-
-
 def dbscan(vectors: np.ndarray, eps: float, least: int) -> np.ndarray:
     """Density clusters under cosine distance; -1 is noise."""
     near = 1 - _unit(vectors) @ _unit(vectors).T <= eps + 1e-12

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vector as vc
-from ..operators import folds as fo
 from ..operators import frames as fr
 from ..operators import intervals as iv
 from ..operators import quality as ql
+from ..operators import matching as ma
 from ..operators import scoring as sc
+from ..operators import sessions as se
 from ..operators import tracking as tk
 from ..sources import media
 from ..sources import readers as rd
@@ -360,18 +361,40 @@ def _comprehensive(spark, sf):
 
 
 def _candidates(spark, sf):
-    """Each dialogue with the characters near it, their mean place and how its emotion goes with that."""
-    near = sc.presence(dialogues(spark, sf), mp.detections(spark, sf)).select("video_id", "segment_id", "character_id", "distance")
+    """Each dialogue with the characters that appear within its video's window, their mean place and how its emotion goes with that."""
+    seen = se.islands(mp.detections(spark, sf), ["video_id", "character_id"], "ts", 2.0, "ord").select("video_id", "character_id", F.col("start").alias("t0"), F.col("end").alias("t1"))
+    said = mp.segments(spark, sf).select("video_id", "segment_id", "ord", "start", "end", "emotion", F.col("speaker").alias("speaker_id"))
+    near = ma.candidates(said, seen, ma.contexts(said, seen, mp.videos(spark, sf)))
     mean = [F.avg(f"box.{k}").alias(k) for k in ("x1", "y1", "x2", "y2")]
     place = mp.detections(spark, sf).groupBy("video_id", "character_id").agg(*mean).select("video_id", "character_id", sc.position(F.struct("x1", "y1", "x2", "y2")).alias("position"))
-    said = mp.segments(spark, sf).select("video_id", "segment_id", "ord", "start", "end", "emotion", F.col("speaker").alias("speaker_id"))
-    rows = said.join(near.join(place, ["video_id", "character_id"], "left"), ["video_id", "segment_id"], "left")
-    return rows.withColumns({"window": F.lit(30.0), "emotion_score": sc.emotion_position(F.col("emotion"), F.col("position"))})
+    return near.join(place, ["video_id", "character_id"], "left").withColumn("emotion_score", sc.emotion_position(F.col("emotion"), F.col("position")))
+
+
+query("win_match_adv")(lambda s, d: ma.match_chain(_candidates(s, d)))
+query("win_match_context", sql("""a AS (SELECT video_id, count(DISTINCT character_id) AS seen FROM det GROUP BY video_id),
+c AS (SELECT vid.video_id, duration, coalesce(seen, 0) / (duration / 60) AS cd, segments / (duration / 60) AS dd FROM vid LEFT JOIN a USING (video_id))
+SELECT video_id, CASE WHEN dd > 20 THEN 10 WHEN dd < 5 THEN 60 ELSE 30 END::DOUBLE AS window, round(0.3::DOUBLE * CASE WHEN cd < 1 THEN 0.9 WHEN cd > 10 THEN 1.2 ELSE 1.0 END, 6) AS least, CASE WHEN duration > 600 THEN 0.3 ELSE 0.1 END::DOUBLE AS continuity_weight FROM c""", "vid", "det"))(
+    lambda s, d: ma.contexts(mp.segments(s, d), mp.detections(s, d), mp.videos(s, d)).withColumn("least", F.round("least", 6))
+)
+_PAST = """p AS (SELECT video_id, ord, start, speaker, list({e: "end", w: speaker}) OVER (PARTITION BY video_id ORDER BY ord ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS l FROM seg),
+m AS (SELECT *, list_filter(l, lambda x: x.w = speaker) AS mine, start - list_filter(l, lambda x: x.w = speaker)[-1].e AS since FROM p)
+"""
+query("win_continuity", sql(_PAST + "SELECT video_id, ord, round(CASE WHEN coalesce(len(l), 0) = 0 THEN 0.5 WHEN since < 5 THEN 0.9 WHEN since < 30 THEN 0.7 ELSE 0.5 + 0.3 * len(mine) / len(l) END, 6) AS continuity FROM m", "seg"))(
+    lambda s, d: ma.history_scores(mp.segments(s, d).withColumn("character_id", F.col("speaker"))).select("video_id", "ord", F.round("continuity", 6).alias("continuity"))
+)
+_LEARNED = """s AS (SELECT video_id, ord, segment_id, speaker AS speaker_id, confidence AS score, 'C' || (ord % 3)::VARCHAR AS character_id FROM seg),
+a AS (SELECT video_id, speaker_id, character_id, list_reduce(list(score ORDER BY ord), lambda x, y: (x + y) / 2) AS strength FROM s WHERE score > 0.3 GROUP BY ALL),
+b AS (SELECT *, row_number() OVER (PARTITION BY video_id, speaker_id ORDER BY strength DESC, character_id) AS k FROM a WHERE strength > 0.5)
+"""
+query("win_second_pass", sql(_LEARNED + "SELECT s.video_id, s.segment_id, b.character_id, round(b.strength * 0.8, 6) AS score FROM s JOIN b USING (video_id, speaker_id) WHERE s.score <= 0.3 AND b.k = 1", "seg"))(lambda s, d: _second(s, d))
+
 
+def _second(spark, sf):
+    """Dialogues of low confidence by what those of higher confidence teach of their speakers."""
+    rows = mp.segments(spark, sf).select("video_id", "ord", "segment_id", F.col("speaker").alias("speaker_id"), F.col("confidence").alias("score"), F.concat(F.lit("C"), (F.col("ord") % 3).cast("string")).alias("character_id"))
+    left = rows.where("score <= 0.3").select("video_id", "speaker_id", "segment_id")
+    return ma.second_pass(left, ma.associations(rows.where("score > 0.3"))).select("video_id", "segment_id", "character_id", F.round("score", 6).alias("score"))
 
-query("win_match_adv")(lambda s, d: fo.match_in_order(_candidates(s, d)))
-query("win_continuity")(lambda s, d: fo.match_in_order(_candidates(s, d)).where("continuity is not null").select("video_id", "segment_id", "character_id", "continuity"))
-query("win_second_pass")(lambda s, d: fo.match_in_order(_candidates(s, d)).where("second_pass or character_id is null"))
 
 # ---- streams ---------------------------------------------------------------------------
 
