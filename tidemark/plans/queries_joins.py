@@ -259,19 +259,24 @@ def _faces(spark, sf):
     return mp.table(spark, sf, "embeddings").select((F.col("vec_id") % 20).alias("video_id"), F.col("label").cast("bigint").alias("scene_id"), F.col("vec_id").alias("ord"), "embedding")
 
 
-def _driver(spark, sf):
-    """Scene clusters of each video, their centroids, the seeds they merge into and a profile of each."""
-    rows = fo.clustered(_faces(spark, sf), 3, 0.75)
+def _members(spark, sf):
+    """Faces with their scene's cluster and the merged cluster that this one joins."""
+    faces = _faces(spark, sf)
     key = (F.col("scene_id") * 1000 + F.col("cluster")).alias("cluster_id")
-    member = rows.select("video_id", "ord", "scene_id", key).join(_faces(spark, sf).select("ord", "embedding"), "ord")
+    member = fo.clustered(faces, 3, 0.75).select("video_id", "ord", "scene_id", key).join(faces.select("ord", "embedding"), "ord")
     means = member.select("video_id", "cluster_id", F.posexplode("embedding").alias("i", "x")).groupBy("video_id", "cluster_id", "i").agg(F.avg("x").alias("m")).groupBy("video_id", "cluster_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda z: z["m"]).alias("embedding"))
-    seeds = fo.merged_clusters(means, 0.75)
-    return member.join(seeds, ["video_id", "cluster_id"]).groupBy("video_id", "global_id").agg(F.count("*").alias("faces"), F.count_distinct("scene_id").alias("scenes"), F.least(F.lit(1.0), F.count("*") / 10.0).alias("confidence"))
+    return member.join(fo.merged_clusters(means, 0.75), ["video_id", "cluster_id"])
 
 
-query("clu_driver")(_driver)
-query("agg_cluster_profiles")(_driver)
-query("jn_id_remap")(lambda s, d: fo.clustered(_faces(s, d), 3, 0.75).select("ord", (F.col("scene_id") * 1000 + F.col("cluster")).alias("global_id")))
+def _profiled(spark, sf, *more):
+    """A profile of each merged cluster."""
+    aggs = [F.count("*").alias("faces"), F.count_distinct("scene_id").alias("scenes"), F.least(F.lit(1.0), F.count("*") / 10.0).alias("confidence"), *more]
+    return _members(spark, sf).groupBy("video_id", "global_id").agg(*aggs)
+
+
+query("clu_driver")(lambda s, d: _profiled(s, d))
+query("agg_cluster_profiles")(lambda s, d: _profiled(s, d, F.min("ord").alias("first"), F.max("ord").alias("last"), F.sort_array(F.collect_set("cluster_id")).alias("clusters"), F.sort_array(F.collect_set("scene_id")).alias("in_scenes")))
+query("jn_id_remap")(lambda s, d: _members(s, d).select("video_id", "ord", "cluster_id", F.dense_rank().over(Window.partitionBy("video_id").orderBy("global_id")).alias("character")))
 query("agg_cluster_stats", "SELECT count(*) AS clusters, sum(n)::BIGINT AS faces, round(avg(n), 6) AS mean, round(1 - count(*)::DOUBLE / greatest(1, sum(n)), 6) AS reduction FROM (SELECT vec_id % 20 AS v, label, count(*) AS n FROM embeddings GROUP BY ALL)")(
     lambda s, d: _faces(s, d).groupBy("video_id", "scene_id").agg(F.count("*").alias("n")).agg(F.count("*").alias("clusters"), F.sum("n").alias("faces"), F.round(F.avg("n"), 6).alias("mean"), F.round(1 - F.count("*") / F.greatest(F.lit(1), F.sum("n")), 6).alias("reduction"))
 )

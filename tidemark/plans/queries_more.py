@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import vector as vc
+from ..operators import faces as fc
 from ..operators import folds as fo
 from ..operators import intervals as iv
 from ..operators import reports as rp
@@ -84,6 +85,18 @@ def _lip(spark, sf):
     return mp.detections(spark, sf).select("ord", F.round(F.avg("confidence").over(w), 9).alias("m"), F.round(F.stddev_pop("confidence").over(w), 9).alias("sd"))
 
 
+def _mouths(spark, sf):
+    """Lip rows of each face: how far the mouth is open by the confidence, how far it moved by the box."""
+    k = F.col("ord")
+    return mp.detections(spark, sf).select("video_id", "character_id", "ts", F.floor(F.col("decis") / 40).alias("frame"), "ord", F.col("confidence").alias("mar"), (F.pmod(k * 29, F.lit(100)) / 400.0).alias("movement"))
+
+
+query("win_lip_decisions")(lambda s, d: fc.lip_decisions(_mouths(s, d)).select("video_id", "character_id", "ord", "mar_mean", "mar_std", "movement_mean", "regular", "score", "speaking"))
+query("win_lip_score", sql("""h AS (SELECT ord, avg(confidence) OVER w AS m, stddev_pop(confidence) OVER w AS sd, avg(((ord * 29) % 100) / 400.0::DOUBLE) OVER w AS mv, count(*) OVER w AS n, first(ts) OVER w AS since FROM det WINDOW w AS (PARTITION BY video_id, character_id ORDER BY ts, ord ROWS 14 PRECEDING))
+SELECT ord, since, CASE WHEN n < 3 THEN 0 ELSE round(CASE WHEN sd > 0.02 THEN 0.3 ELSE 0 END + CASE WHEN m > 0.15 THEN 0.2 ELSE 0 END + CASE WHEN mv > 0.1 THEN 0.3 ELSE 0 END, 6) END::DOUBLE AS steady FROM h""", "det"))(
+    lambda s, d: fc.lip_decisions(_mouths(s, d)).select("ord", "since", F.round(F.greatest(F.col("score") - F.when(F.col("regular"), 0.2).otherwise(0.0), F.lit(0.0)), 6).alias("steady"))
+)
+query("win_speaking_now")(lambda s, d: fc.active_speakers(fc.lip_decisions(_mouths(s, d))))
 query("win_peaks")(lambda s, d: fo.regular_peaks(mp.detections(s, d), "confidence"))
 query("win_audio_corr", sql("SELECT character_id, round((corr(confidence, x1) + 1) / 2, 6) AS v FROM det GROUP BY ALL", "det"))(lambda s, d: mp.detections(s, d).groupBy("character_id").agg(F.round(F.coalesce((F.corr("confidence", "box.x1") + 1) / 2, F.lit(0.0)), 6).alias("v")))
 query("win_active_speaker", sql("SELECT video_id, character_id, n FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY n DESC, character_id) AS k FROM (SELECT video_id, character_id, count(*) AS n FROM det WHERE confidence > 0.2 GROUP BY ALL)) WHERE k = 1", "det"))(lambda s, d: iv.first_by(mp.detections(s, d).where("confidence > 0.2").groupBy("video_id", "character_id").agg(F.count("*").alias("n")), _V, F.desc("n"), "character_id"))
@@ -185,6 +198,28 @@ query("agg_shot_stats", sql("SELECT CASE WHEN l < 2 THEN '0-2' WHEN l < 5 THEN '
 query("agg_scene_log", sql('SELECT video_id, count(*) AS n, round(avg("end" - start), 6) AS mean, min("end" - start) AS low, max("end" - start) AS high FROM scene GROUP BY ALL', "scene"))(lambda s, d: mp.scenes(s, d).withColumn("l", F.col("end") - F.col("start")).groupBy("video_id").agg(F.count("*").alias("n"), F.round(F.avg("l"), 6).alias("mean"), F.min("l").alias("low"), F.max("l").alias("high")))
 query("agg_attr", sql("""s AS (SELECT character_id, round(avg(confidence), 9) AS mean, round(median(confidence), 9) AS median, round(stddev_pop(confidence), 9) AS std, min(confidence) AS low, max(confidence) AS high FROM det GROUP BY ALL), t AS (SELECT character_id, emotion, count(*) AS n, row_number() OVER (PARTITION BY character_id ORDER BY count(*) DESC, emotion) AS k FROM det GROUP BY character_id, emotion)
 SELECT s.*, t.emotion AS dominant, t.n AS dominant_n FROM s JOIN t USING (character_id) WHERE k = 1""", "det"))(lambda s, d: rp.attributes(mp.detections(s, d)).withColumns({c: F.round(c, 9) for c in ("mean", "median", "std")}))
+def _analyses(spark, sf):
+    """Face analyses: age, gender and race by the row's number, emotions by the confidence of one and the rest of another."""
+    k, c = F.col("ord"), F.col("confidence")
+    return mp.detections(spark, sf).select(
+        "character_id", (F.pmod(k * 31, F.lit(60)) + 18).cast("double").alias("age"), F.when(k % 3 == 0, "woman").otherwise("man").alias("gender"), c.alias("gender_confidence"),
+        F.map_from_arrays(F.array("emotion", F.concat(F.col("emotion"), F.lit("_not"))), F.array(c, 0.3 - c)).alias("emotions"), F.create_map(F.concat(F.lit("r"), (k % 4).cast("string")), c).alias("races"),
+    )
+
+
+def _profile_rows(spark, sf):
+    """A row for each entry of a profile's maps."""
+    p = fc.profiles(_analyses(spark, sf), ["character_id"])
+    rows = lambda kind, freq, mean: p.select("character_id", "n", "age_median", "age_min", "age_max", F.round("age_mean", 6).alias("age_mean"), F.round("age_std", 6).alias("age_std"), "dominant_gender", F.lit(kind).alias("kind"), F.explode(kind).alias("name", "v")).select("*", F.round(freq, 6).alias("frequency"), F.round(mean, 6).alias("mean")).drop("v")
+    return rows("genders", F.col("v.frequency"), F.col("v.mean")).unionByName(rows("emotions", F.col("v.clear"), F.col("v.mean"))).unionByName(rows("races", F.col("v.frequency"), F.col("v.mean")))
+
+
+query("agg_attr_maps", sql("""x AS (SELECT character_id, (ord * 31) % 60 + 18 AS age, CASE WHEN ord % 3 = 0 THEN 'woman' ELSE 'man' END AS gender, 'r' || (ord % 4)::VARCHAR AS race, emotion, confidence AS c FROM det),
+a AS (SELECT character_id, count(*) AS n, median(age)::DOUBLE AS age_median, min(age)::DOUBLE AS age_min, max(age)::DOUBLE AS age_max, round(avg(age), 6) AS age_mean, round(stddev_pop(age), 6) AS age_std FROM x GROUP BY ALL),
+e AS (SELECT character_id, 'genders' AS kind, gender AS name, c, true AS clear FROM x UNION ALL SELECT character_id, 'emotions', emotion, c, c > 0.1 FROM x UNION ALL SELECT character_id, 'emotions', emotion || '_not', 0.3 - c, 0.3 - c > 0.1 FROM x UNION ALL SELECT character_id, 'races', race, c, true FROM x),
+g AS (SELECT character_id, kind, name, count(*) AS k, count(*) FILTER (clear) AS m, avg(c) AS mean FROM e GROUP BY ALL),
+t AS (SELECT character_id, name AS dominant_gender FROM (SELECT *, row_number() OVER (PARTITION BY character_id ORDER BY k DESC, name) AS r FROM g WHERE kind = 'genders') WHERE r = 1)
+SELECT a.*, dominant_gender, kind, name, round((CASE WHEN kind = 'emotions' THEN m ELSE k END) / n::DOUBLE, 6) AS frequency, round(mean, 6) AS mean FROM a JOIN g USING (character_id) JOIN t USING (character_id)""", "det"))(_profile_rows)
 query("agg_attr_best", sql("SELECT character_id, ord FROM (SELECT *, row_number() OVER (PARTITION BY character_id ORDER BY confidence DESC, ord) AS k FROM det) WHERE k = 1", "det"))(lambda s, d: iv.first_by(mp.detections(s, d), ["character_id"], F.desc("confidence"), "ord").select("character_id", "ord"))
 query("agg_bbox", sql("SELECT video_id, character_id, round(avg((x2 - x1) * (y2 - y1)), 6) AS area FROM det GROUP BY ALL", "det"))(lambda s, d: mp.detections(s, d).groupBy("video_id", "character_id").agg(F.round(F.avg(vc.box_area(F.col("box"))), 6).alias("area")))
 query("agg_character", sql("SELECT video_id, character_id, count(*) AS n, min(ts) AS first, max(ts) AS last, max(ts) - min(ts) AS span, count(DISTINCT floor(ts)) AS present FROM det GROUP BY ALL", "det"))(lambda s, d: mp.detections(s, d).groupBy("video_id", "character_id").agg(F.count("*").alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"), (F.max("ts") - F.min("ts")).alias("span"), F.count_distinct(F.floor("ts")).alias("present")))
