@@ -10,9 +10,12 @@ word has its own nearly for itself, so that features bear on words. The biases o
 softmaxes are the classes' shares of the training tokens.
 
 Token counts cover every training document, and so does the training, in ROUNDS: each
-round takes its share of the documents, by hash; every task makes gradient steps over
-its own, from the weights of the round before, and the tasks' rows are averaged by how
-often each row was used. So the weights depend on how the input is dealt to tasks.
+round takes its share of the documents, by a hash of id and text, and deals it to SHARDS
+shards by another one, whatever the size of the corpus. A shard is one task, which makes
+gradient steps over its own documents from the weights of the round before. A row takes
+the mean of the shards' steps, weighed by their uses of it; one that is used less than
+SELDOM times takes more of their sum. A larger cluster trains with more shards (an
+argument of ``score``).
 
 Counts of the frequent tokens, at most FREQUENT of them by the bound below, are
 broadcast; all others meet their documents in a join.
@@ -36,8 +39,8 @@ from .common import checkpoint
 from .common import slices as cut
 from .words import U, mix, words
 
-#: Levels of the class tree and classes at each, rows of weights, tokens in a gradient step, its rate, rounds, least training tokens of a task if there are so many; and the bound on broadcast tokens: a token is frequent if count * FREQUENT >= all tokens.
-LEVELS, WAYS, ROWS, STEP, RATE, ROUNDS, TASK, FREQUENT = 2, 32, 1 << 17, 512, 0.6, 2, 8_000_000, 2_000_000
+#: Levels of the class tree and classes at each, rows of weights, tokens in a gradient step, its rate, rounds, shards of the training documents, uses of a row from which it counts as used often; and the bound on broadcast tokens: a token is frequent if count * FREQUENT >= all tokens.
+LEVELS, WAYS, ROWS, STEP, RATE, ROUNDS, SHARDS, SELDOM, FREQUENT = 3, 16, 1 << 18, 512, 0.6, 2, 8, 200.0, 2_000_000
 LEAVES, FEW = WAYS**LEVELS, 8
 _END, _START = U(0x1F83D9ABFB41BD6B), U(0x5BE0CD19137E2179)
 _NODES = np.cumsum([0, *(WAYS**k for k in range(LEVELS))])  # first softmax of each level, and how many there are
@@ -173,19 +176,22 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     return found.groupBy("h").agg(F.first("leaf").alias("leaf"), F.sum("c").alias("c"))
 
 
-def train(texts: DataFrame, bias: np.ndarray) -> np.ndarray:
-    """Weights from gradient steps over all rows of ``texts``, in rounds that each go on from the mean of the last."""
+def train(texts: DataFrame, bias: np.ndarray, shards: int = SHARDS) -> np.ndarray:
+    """Weights from gradient steps over all rows of ``texts`` (text, deal), in rounds that each go on from the mean of the last."""
     weights = np.zeros((ROWS, WAYS), np.float32)
     names = [f"w{k}" for k in range(WAYS)]
     for turn in range(ROUNDS):
-        share = texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == turn)
+        share = texts.where(F.pmod("deal", F.lit(ROUNDS)) == turn).repartition(shards, F.shiftright("deal", 8)).select("text")
         shared = texts.sparkSession.sparkContext.broadcast((weights, bias))
         found = share.mapInArrow(_trained(shared, RATE / (1 + turn), names), f"row int, used float, {', '.join(f'{n} float' for n in names)}")
-        mean = [(F.sum(n) / F.sum("used")).cast("float").alias(n) for n in names]
+        used = F.sum(F.col("used").cast("double"))
+        worth = used / F.sqrt(F.sum(F.col("used").cast("double") * F.col("used")))  # square root of how many shares of equal size the shards' are worth
+        scale = (1 + (worth - 1) / (1 + used / SELDOM)) / used
+        mean = [(F.sum(n) * scale).cast("float").alias(n) for n in names]
         got = found.groupBy("row").agg(*mean).toArrow()  # at most ROWS rows of WAYS numbers
         row, weights = got["row"].to_numpy(), weights.copy()
         for k, n in enumerate(names):
-            weights[row, k] = got[n].to_numpy()
+            weights[row, k] += got[n].to_numpy()
         shared.destroy()
     return weights
 
@@ -197,7 +203,7 @@ def _trained(shared, rate: float, names: list[str]):
             for part in cut(batch, "text", 1 << 19):
                 t.learn(*tokens(part.column(0)))
         row = np.flatnonzero(t.used)
-        sums = t.weights[row] * t.used[row, None]
+        sums = (t.weights[row] - shared.value[0][row]) * t.used[row, None]
         yield pa.RecordBatch.from_arrays([pa.array(row.astype(np.int32)), pa.array(t.used[row]), *(pa.array(sums[:, k]) for k in range(WAYS))], ["row", "used", *names])
 
     return run
@@ -216,11 +222,11 @@ def log_probability(h: np.ndarray, leaf: np.ndarray, rows: np.ndarray, weights:
     return out
 
 
-def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), learn.alias("learn"))
-    training = rows.where("learn").select("text")
-    counts = checkpoint(count_tokens(training))
+    training = rows.where("learn").select("text", F.xxhash64("doc_id", "text").alias("deal"))
+    counts = checkpoint(count_tokens(training.select("text")))
     totals = counts.groupBy("leaf").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()  # LEAVES rows at most
     in_leaf, kinds = np.zeros(LEAVES), np.zeros(LEAVES)
     for t in totals:
@@ -230,7 +236,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     h = frequent["h"].to_numpy().view(U)
     by = np.argsort(h)
     bias = biases(in_leaf)
-    weights = train(training.coalesce(max(1, n_all // TASK)), bias)  # no more tasks than that: each sends its weights
+    weights = train(training, bias, shards)
     shared = docs.sparkSession.sparkContext.broadcast((h[by], frequent["c"].to_numpy()[by], weights, bias, np.log10(in_leaf + 0.5 * (kinds + 1))))
     base = float(np.log10(n_all + 0.5 * (v_all + 1)))
 
