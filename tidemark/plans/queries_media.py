@@ -346,7 +346,7 @@ query("src_keyframe_extract", sql("SELECT video_id, id, CASE WHEN id % 5 = 0 THE
 CLIP = 100  # frames of a clip
 
 
-def _clips(spark, sf) -> DataFrame:
+def _films(spark, sf) -> DataFrame:
     """A Y4M clip of each video, written to the shared folder and read back: frames as light as the events so far in their quarter make them, the lower half inverted."""
     levels = mp.detections(spark, sf).groupBy("video_id", F.floor(F.col("decis") / 40).alias("frame")).agg(F.sum("ord").alias("s"))
 
@@ -365,17 +365,17 @@ def _clips(spark, sf) -> DataFrame:
 _LEVELS = f"""l AS (SELECT video_id, decis // 40 AS k, sum(ord)::BIGINT * 37 % 256 AS v FROM det GROUP BY ALL), n AS (SELECT DISTINCT video_id FROM det),
 f AS (SELECT n.video_id, k.k, coalesce(l.v, 0) AS v FROM n CROSS JOIN range({CLIP}) k(k) LEFT JOIN l ON l.video_id = n.video_id AND l.k = k.k // 4 * 4)"""
 query("src_pixel_frames", sql(_LEVELS + f" SELECT video_id, k AS frame, v AS first, 255 - v AS last FROM f WHERE k >= 10 AND k < {CLIP - 10} AND (k - 10) % 3 = 0", "det"))(
-    lambda s, d: px.frames(_clips(s, d), 10, CLIP - 10, 3).select(F.col("name").cast("long").alias("video_id"), "frame", F.conv(F.hex(F.substring("luma", 1, 1)), 16, 10).cast("long").alias("first"), F.conv(F.hex(F.substring("luma", 48, 1)), 16, 10).cast("long").alias("last"))
+    lambda s, d: px.frames(_films(s, d), 10, CLIP - 10, 3).select(F.col("name").cast("long").alias("video_id"), "frame", F.conv(F.hex(F.substring("luma", 1, 1)), 16, 10).cast("long").alias("first"), F.conv(F.hex(F.substring("luma", 48, 1)), 16, 10).cast("long").alias("last"))
 )
 _DIFFS = _LEVELS + """, d AS (SELECT video_id, k, abs(v - lag(v) OVER (PARTITION BY video_id ORDER BY k))::DOUBLE AS diff FROM f),
 a AS (SELECT *, count(diff) OVER w AS n, (sum(diff) OVER w - diff) / 4 AS around FROM d WINDOW w AS (PARTITION BY video_id ORDER BY k ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)),
 c AS (SELECT video_id, k FROM a WHERE n = 5 AND diff >= 15 AND (around <= 1e-5 OR diff / around >= 3)), o AS (SELECT video_id, list([k] ORDER BY k) AS l FROM (SELECT * FROM c UNION ALL SELECT DISTINCT video_id, 0 FROM d) GROUP BY video_id)
 """
 query("src_pixel_cuts", sql(_DIFFS + "SELECT video_id, frame FROM (SELECT video_id, unnest(list_reduce(l, lambda x, y: CASE WHEN y[1] - x[len(x)] >= 15 THEN list_concat(x, y) ELSE x END)) AS frame FROM o) WHERE frame > 0", "det"))(
-    lambda s, d: px.adaptive_cuts(px.scores(_clips(s, d))).select(F.col("name").cast("long").alias("video_id"), "frame")
+    lambda s, d: px.adaptive_cuts(px.scores(_films(s, d))).select(F.col("name").cast("long").alias("video_id"), "frame")
 )
 query("src_pixel_scores", sql(_LEVELS + " SELECT video_id, k AS frame, abs(v - lag(v) OVER (PARTITION BY video_id ORDER BY k))::DOUBLE AS diff, 127.5::DOUBLE AS mean FROM f", "det"))(
-    lambda s, d: px.scores(_clips(s, d)).select(F.col("name").cast("long").alias("video_id"), "frame", "diff", "mean")
+    lambda s, d: px.scores(_films(s, d)).select(F.col("name").cast("long").alias("video_id"), "frame", "diff", "mean")
 )
 
 # ---- tracking and matching -------------------------------------------------------------
