@@ -40,7 +40,7 @@ from .common import slices as cut
 from .words import U, mix, words
 
 #: Levels of the class tree and classes at each, rows of weights, tokens in a gradient step, its rate, rounds, shards of the training documents, uses of a row from which it counts as used often; and the bound on broadcast tokens: a token is frequent if count * FREQUENT >= all tokens.
-LEVELS, WAYS, ROWS, STEP, RATE, ROUNDS, SHARDS, SELDOM, FREQUENT = 3, 16, 1 << 18, 512, 0.6, 2, 8, 200.0, 2_000_000
+LEVELS, WAYS, ROWS, STEP, RATE, ROUNDS, SHARDS, SELDOM, FREQUENT = 3, 16, 1 << 18, 512, 0.6, 2, 4, 200.0, 2_000_000
 LEAVES, FEW = WAYS**LEVELS, 8
 _END, _START = U(0x1F83D9ABFB41BD6B), U(0x5BE0CD19137E2179)
 _NODES = np.cumsum([0, *(WAYS**k for k in range(LEVELS))])  # first softmax of each level, and how many there are
@@ -188,7 +188,7 @@ def train(texts: DataFrame, bias: np.ndarray, shards: int = SHARDS) -> np.ndarra
         worth = used / F.sqrt(F.sum(F.col("used").cast("double") * F.col("used")))  # square root of how many shares of equal size the shards' are worth
         scale = (1 + (worth - 1) / (1 + used / SELDOM)) / used
         mean = [(F.sum(n) * scale).cast("float").alias(n) for n in names]
-        got = found.groupBy("row").agg(*mean).toArrow()  # at most ROWS rows of WAYS numbers
+        got = found.repartition("row").groupBy("row").agg(*mean).toArrow()  # at most ROWS rows of WAYS numbers; a shard has a row once, so it is added up after the exchange
         row, weights = got["row"].to_numpy(), weights.copy()
         for k, n in enumerate(names):
             weights[row, k] += got[n].to_numpy()
