@@ -245,13 +245,19 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     ids, y = got["doc_id"].to_numpy(), got["y"].to_numpy()
     found, at = [], 0
     for batch in got.to_batches():
-        for part in slices(batch, "text", 1 << 20):  # bounded scratch memory on the driver
+        for part in slices(batch, "text", 1 << 18):  # bounded scratch memory on the driver: each slice keeps its distinct terms
             keys, row = terms(bare_words(part.column(1)))
-            found.append((keys, row + at))
+            by = np.lexsort((keys, row))
+            keys, row = keys[by], row[by]
+            first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (row[1:] != row[:-1])])) if len(keys) else np.zeros(0, np.int64)
+            found.append((keys[first], (row[first] + at).astype(np.int32), np.diff(np.append(first, len(keys))).astype(np.int32)))
             at += part.num_rows
-    keys, row = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, U), np.zeros(0, np.int64))
+    del got
+    keys, row, count = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, U), np.zeros(0, np.int32), np.zeros(0, np.int32))
+    del found
     vocabulary = Vocabulary(np.unique(keys))
-    row, term, count = vocabulary.counted(keys, row)
+    term = np.searchsorted(vocabulary.keys, keys).astype(np.int32)
+    del keys
     size = len(vocabulary.keys)
     sizes = np.bincount(y, minlength=2)
     apart = contrast(*(np.bincount(term[y[row] == k], minlength=size) for k in (0, 1)), *sizes.tolist())
