@@ -181,7 +181,7 @@ def train(texts: DataFrame, bias: np.ndarray, shards: int = SHARDS) -> np.ndarra
     weights = np.zeros((ROWS, WAYS), np.float32)
     names = [f"w{k}" for k in range(WAYS)]
     for turn in range(ROUNDS):
-        share = texts.where(F.pmod("deal", F.lit(ROUNDS)) == turn).repartition(shards, F.shiftright("deal", 8)).select("text")
+        share = texts.where(F.pmod("deal", F.lit(ROUNDS)) == turn).repartition(shards, F.shiftright("deal", 8)).coalesce(shards).select("text")
         shared = texts.sparkSession.sparkContext.broadcast((weights, bias))
         found = share.mapInArrow(_trained(shared, RATE / (1 + turn), names), f"row int, used float, {', '.join(f'{n} float' for n in names)}")
         used = F.sum(F.col("used").cast("double"))
