@@ -60,6 +60,16 @@ def test_unknown_emotions_align(spark):
     assert one(spark, tx.emotions_align(F.lit("sad"), F.lit("happy"))) is False
 
 
+@pytest.mark.parametrize(("size", "mark", "share"), [(180, ",", 7), (350, ",", 7), (90, ",", 7), (350, ".", 6), (90, ".", 6)])
+def test_a_mark_at_the_limit_is_not_late(spark, size, mark, share):
+    """A cut text of ``size`` letters with its last mark exactly at 6 or 7 tenths, and one letter later (as doubles, 180 * 0.7 is below 126)."""
+    for late in (0, 1):
+        at = size * share // 10 + late
+        cut = "a " * 10 + "b" * (at - 20) + mark + "c" * (size - at - 1)
+        got = spark.createDataFrame([(cut + " more words",)], "t string").select(tx.summary(F.col("t"), 11).alias("v")).first().v
+        assert got == ((cut[: at + 1] if mark == "." else cut[:at] + "...") if late else cut + "...")
+
+
 def test_template():
     assert tx.template("narr") == tx.TEMPLATES["narrative"]
     with pytest.raises(KeyError):

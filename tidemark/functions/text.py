@@ -46,11 +46,11 @@ def _last(text: Column, mark: str) -> Column:
 
 
 def summary(text: Column, words: int = 30) -> Column:
-    """At most ``words`` words, cut at a late full stop, else at a late comma, else anywhere."""
+    """At most ``words`` words, cut at a full stop past 6 tenths, else at a comma past 7 tenths (in whole numbers: exactly there is not past), else anywhere."""
     listed = word_list(text)
     cut = F.array_join(F.slice(listed, 1, words), " ")
     dot, comma, size = _last(cut, "."), _last(cut, ","), F.length(cut)
-    short = F.when(dot > size * 0.6, F.left(cut, dot + 1)).when(comma > size * 0.7, F.concat(F.left(cut, comma), F.lit("..."))).otherwise(F.concat(cut, F.lit("...")))
+    short = F.when(dot * 10 > size * 6, F.left(cut, dot + 1)).when(comma * 10 > size * 7, F.concat(F.left(cut, comma), F.lit("..."))).otherwise(F.concat(cut, F.lit("...")))
     return F.when(F.size(listed) <= words, text).otherwise(short)
 
 
