@@ -198,6 +198,20 @@ def test_idle_state_goes_and_late_rows_are_dropped(spark, tmp_path, rocksdb):
     assert got == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0} and late == 1  # 4 is elsewhere: it would be track 1 if video 1 were not forgotten
 
 
+def test_one_of_a_bucket_is_forgotten(spark, tmp_path, rocksdb):
+    """The timer of a bucket drops the video that is idle, and the other goes on."""
+    from datetime import datetime, timedelta
+
+    t0, schema = datetime(2024, 1, 1), "video_id long, frame long, ord long, ts timestamp, x1 double, y1 double, x2 double, y2 double"
+    for n, part in enumerate([[(1, 0, 0, 0), (2, 0, 1, 500)], [(2, 1, 2, 900)], [(1, 1, 3, 1000), (2, 2, 4, 1000)]]):
+        rows = [(v, f, o, t0 + timedelta(seconds=s), *((10.0, 10.0, 50.0, 50.0) if n < 2 else (300.0, 300.0, 340.0, 340.0))) for v, f, o, s in part]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        s = online.tracks(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), at="ts", idle="10 minutes", buckets=1)
+        s.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start().awaitTermination()
+    got = {r.ord: r.track_id for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 0, 4: 1}
+
+
 def test_a_cut_resets_the_tracks(spark, tmp_path, rocksdb):
     rows = [(1, f, f, "cut" if f == 2 else "face", 10.0, 10.0, 50.0, 50.0) for f in range(4)]
     s = _stream(spark, tmp_path, rows, "video_id long, frame long, ord long, kind string, x1 double, y1 double, x2 double, y2 double")
@@ -205,6 +219,34 @@ def test_a_cut_resets_the_tracks(spark, tmp_path, rocksdb):
     assert [r.track_id for r in sorted(got, key=lambda r: r.ord)] == [0, 0, 1, 1]
 
 
+@pytest.mark.parametrize(("min_hits", "faces"), [(1, False), (3, True)])
+def test_tracks_of_a_bucket_are_the_plain_ones(spark, tmp_path, rocksdb, monkeypatch, min_hits, faces):
+    """Videos of one bucket with resets and long gaps, cut into deliveries anywhere, against a tracker a video; stale rows are not told."""
+    from plain import Tracker
+    from test_tracking import gappy
+
+    rows = [(v, f, o, "cut" if f % 13 == 0 else "face", *box, face) for v, f, o, box, face in gappy(5, videos=5, frames=70, faces=faces)]
+    schema = "video_id long, frame long, ord long, kind string, x1 double, y1 double, x2 double, y2 double, face array<double>"
+    want = []
+    for v in range(5):
+        tracker, mine = Tracker(5, min_hits), [r for r in rows if r[0] == v]
+        for frame in range(min(r[1] for r in mine), max(r[1] for r in mine) + 1):
+            now = [r for r in mine if r[1] == frame]
+            if any(r[3] == "cut" for r in now):
+                for state in ("x", "p", "ids", "age", "streak", *(["vectors"] if tracker.vectors is not None else [])):
+                    setattr(tracker, state, getattr(tracker, state)[:0])
+            told = tracker.step(np.array([r[4:8] for r in now], float).reshape(-1, 4), np.array([r[8] for r in now], float).reshape(-1, 3) if faces else None)
+            want += [(v, frame, now[j][2], i) for j, i in told]
+    folder = f"{tmp_path}/in"
+    for lo, hi in ((0, 60), (60, 61), (61, 10**6)):
+        part = [r for r in rows if lo <= r[1] < hi] + [(2, 10, -1, "cut", 0.0, 0.0, 9.0, 9.0, [1.0, 0.0, 0.0])] * (lo == 61)
+        spark.createDataFrame(part, schema).write.mode("append").parquet(folder)
+        s = online.tracks(spark.readStream.schema(schema).parquet(folder), 5, min_hits, reset=("cut",), vector="face" if faces else None, buckets=1)
+        s.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start().awaitTermination()
+    got = sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").select("video_id", "frame", "ord", "track_id").collect()))
+    assert got == sorted(want) and len(got) > 100
+
+
 @pytest.mark.parametrize("faces", [False, True])
 def test_streamed_tracks_are_those_of_the_batch(spark, tmp_path, rocksdb, faces):
     """Row by row, with the video cut into batches anywhere between two frames."""

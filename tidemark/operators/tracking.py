@@ -227,8 +227,9 @@ class Tracks:
             self.vectors = np.concatenate([self.vectors, vectors])[by]
 
 
-def run_together(seq: np.ndarray, frame: np.ndarray, boxes: np.ndarray, vectors: np.ndarray | None, tracks: Tracks) -> tuple[np.ndarray, np.ndarray]:
-    """(row, track id) of all told rows; rows are sorted by (seq, frame)."""
+def run_together(seq: np.ndarray, frame: np.ndarray, boxes: np.ndarray, vectors: np.ndarray | None, tracks: Tracks, lasting: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, track id) of all told rows; rows are sorted by (seq, frame). ``tracks`` keeps those of the ``lasting`` sequences (a mask)."""
+    lasting = np.zeros(len(tracks.frames), bool) if lasting is None else lasting
     start = np.flatnonzero((np.diff(seq, prepend=-1) != 0) | (np.diff(frame, prepend=frame[:1] - 1) != 0))
     stop = np.append(start[1:], len(seq))
     of, at = seq[start], frame[start]
@@ -243,7 +244,7 @@ def run_together(seq: np.ndarray, frame: np.ndarray, boxes: np.ndarray, vectors:
         now = by[a:b]
         empty = np.zeros(len(tracks.frames), np.int64)
         empty[of[now]] = gap[now]
-        tracks.keep(last[tracks.seq] >= k)
+        tracks.keep((last[tracks.seq] >= k) | lasting[tracks.seq])
         tracks.skip(empty)
         some = np.concatenate([np.arange(start[g], stop[g]) for g in now])
         j, found = tracks.step(boxes[some], seq[some], None if vectors is None else vectors[some])
