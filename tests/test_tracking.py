@@ -67,6 +67,17 @@ def test_a_moving_box_keeps_its_track():
     assert len(t.ids) == len(t.x) == 0
 
 
+def test_a_long_gap_moves_no_track_that_ends_in_it(monkeypatch):
+    """Two sequences; only tracks that outlive their gap are moved on, frame by frame."""
+    moved = []
+    monkeypatch.setattr(tk.Tracks, "_advance", lambda self, some, f=tk.Tracks._advance: (moved.append(len(some)), f(self, some))[1])
+    t = tk.Tracks(2, max_age=30, min_hits=1)
+    t.step(np.array([[10.0, 10, 50, 50], [10, 10, 50, 50]]), np.array([0, 1]))
+    moved.clear()
+    t.skip(np.array([1000, 3]))
+    assert moved == [1, 1, 1] and t.seq.tolist() == [1] and t.age.tolist() == [3] and t.frames.tolist() == [1001, 4]
+
+
 def test_faces_and_boxes_weigh_the_same():
     """Two faces that swap their boxes: by overlap alone the tracks swap with them, by vectors they do not."""
     near, of = np.array([[0.0, 0, 40, 40], [8, 0, 48, 40]]), np.zeros(2, np.int64)

@@ -120,15 +120,15 @@ class Tracks:
         if not len(self.seq):
             return
         left = frames[self.seq]
+        lasting = self.age + left <= self.max_age  # the others end on the way, with no frame to tell them in
+        left = left[lasting]
+        self.keep(lasting)
         for k in range(int(left.max(initial=0))):
             some = np.flatnonzero(left > k)
             if not len(some):
                 break
             self._advance(some)
             self.streak[some] = 0
-            live = self.age <= self.max_age
-            left = left[live]
-            self.keep(live)
 
     def boxes(self) -> np.ndarray:
         area, aspect = np.maximum(self.x[:, 2], 1e-6), np.maximum(self.x[:, 3], 1e-6)
